@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreflow.llm import ngram_jaccard
+from acreflow.llm import ngram_jaccard, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,13 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op9_winnowing": op9_winnowing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
