@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreflow.llm import ngram_jaccard, packing, secrets, winnowing
+from acreflow.llm import bloom_lm, ngram_jaccard, packing, secrets, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,9 +40,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op5_packing": op5_packing,
+    "op6_bloom_lm": op6_bloom_lm,
     "op9_winnowing": op9_winnowing,
     "op10_secrets": op10_secrets,
 }
