@@ -10,11 +10,14 @@ bound what has to be multiplied:
 * With columns in ascending order of rows, a linked pair meets within the first n - ceil(0.8·n) + 1
   columns of both rows.  Only these prefixes are multiplied; passages that many documents share are at the
   far end of the order.
-* The product runs twice.  First each row goes only against the smallest row of its columns; exact checks
-  make links and components of them, so a group of near copies costs as much as it has rows.  Then prefixes
-  are multiplied between different components only; overlap counts are accumulated, pairs whose count and
-  remaining size stay below the bound are discarded, the others are checked exactly.  A pair within one
-  component could not change any component, so nothing is lost.
+* The product runs twice.  First each row goes only against the most central row of its columns (the one
+  whose columns have most rows); exact checks make links and components of them, so a group of near copies
+  costs as much as it has rows.  Then prefixes are multiplied between different components only; a pair
+  within one component could not change any component, so nothing is lost.  In columns of few rows, overlap
+  counts are accumulated by pair, pairs whose count and remaining size stay below the bound are discarded,
+  the others are checked exactly.  Columns of many rows that are still in different components (near copies
+  that are too far from each other) are joined into clusters, and a cluster's rows are multiplied in dense
+  tiles of bounded size, of which only a spanning set of links comes out, never the pairs.
 
 Rows are distinct shingle sets (64-bit identities): exact copies are collapsed, inside a task before the
 shuffle and then in each block, and come back by a join.  A column block gathers the entries of its columns;
@@ -36,7 +39,11 @@ from acreflow.plans.storage import input_bytes, stored
 
 WIDTH = 5
 #: Bytes of input that one column block stands for, as Catalyst estimates them.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+#: Columns of more rows than this are multiplied in tiles.
+FEW = 16
+#: Rows in a chunk of a cluster, at least and at most; a tile is made of two chunks.
+CHUNK = (128, 1500)
 _SEED = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -193,7 +200,8 @@ def _rare_first(table: pa.Table) -> pa.Table:
     have = np.flatnonzero(alive)
     cuts = np.searchsorted(row, np.append(have, len(ids)))
     keys = [column[i:j].tobytes() for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-    return pa.table([pa.array(ids[have].view(np.int64)), pa.array(sizes[have].astype(np.int64)), pa.array(keys, pa.binary())], ["set_id", "n", "keys"])
+    central = np.bincount(row, rare[order], minlength=len(ids))[have].astype(np.int64)
+    return pa.table([pa.array(ids[have].view(np.int64)), pa.array(sizes[have].astype(np.int64)), pa.array(central), pa.array(keys, pa.binary())], ["set_id", "n", "central", "keys"])
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +213,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.append(k[: len(k) - need + 1])
         count = [len(p) for p in parts]
         flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(batch.column("set_id").to_numpy(), count)), pa.array(np.repeat(sizes, count))], ["key", "s", "n"])
+        own = [pa.array(np.repeat(batch.column(c).to_numpy(), count)) for c in ("set_id", "n", "central")]
+        yield pa.RecordBatch.from_arrays([pa.array(flat), *own], ["key", "s", "n", "central"])
 
 
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,6 +232,49 @@ def _links(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(end("a"), "a").join(end("b"), "b").select("a", "b", "n_a", "n_b", "keys_a", "keys_b").mapInArrow(_check, "a long, b long")
 
 
+def _tile_links(key: tuple, table: pa.Table) -> pa.Table:
+    """Of the rows of one tile: edges that span all links between rows of different components."""
+    ids, sizes = table.column("s").to_numpy(), table.column("n").to_numpy()
+    parts = [np.frombuffer(k.as_py(), np.int64) for k in table.column("keys")]
+    row = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    _, column, n_rows = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    kept = n_rows[column] > 1
+    row, column = row[kept], np.unique(column[kept], return_inverse=True)[1]
+    overlap = np.zeros((len(ids), len(ids)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+        i, j = np.searchsorted(column, (at, at + 2048))
+        block = np.zeros((len(ids), 2048), np.float32)
+        block[row[i:j], column[i:j] - at] = 1
+        overlap += block @ block.T
+    link = 9 * overlap >= 4 * (sizes[:, None] + sizes[None, :]).astype(np.float32)
+    label = np.arange(len(ids))
+    while True:
+        new = np.where(link, label[None, :], len(ids)).min(axis=1)
+        new = np.minimum(new, label)[np.minimum(new, label)]
+        if (new == label).all():
+            break
+        label = new
+    far = label != np.arange(len(ids))
+    return pa.table([pa.array(ids[far]), pa.array(ids[label[far]])], ["a", "b"])
+
+
+def _cluster_links(hot: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b) links between the rows of columns with many rows, by clusters of such columns."""
+    least = hot.groupBy("key").agg(F.min("c").alias("low"))
+    joined = connected_components(hot.join(least, "key").select("c", "low").distinct(), "c", "low")
+    members = hot.select("s", "n", "c").distinct().join(joined.select(F.col("node").alias("c"), F.col("component").alias("cluster")), "c")
+    sized = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
+    chunk = F.least(F.greatest(F.floor(F.col("m") / 32), F.lit(CHUNK[0])), F.lit(CHUNK[1]))
+    chunks = sized.select("cluster", F.ceil(F.col("m") / chunk).cast("int").alias("q"))
+    dealt = members.join(chunks, "cluster").withColumn("i", F.pmod(F.xxhash64("s"), "q").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("o")
+    tiles = dealt.select("s", "n", "cluster", "i", other).select("s", "n", "cluster", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"))
+    own = tiles.join(rows.select(F.col("set_id").alias("s"), "keys"), "s")
+    return own.groupBy("cluster", "i", "j").applyInArrow(_tile_links, "a long, b long")
+
+
 def shingle_rows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, set_id, n) for each row of ``docs``: the identity and size of its shingle set."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_identities(width), "doc_id long, set_id long, n long")
@@ -233,29 +285,31 @@ def set_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     bits = max(4, min(16, (input_bytes(docs) // BLOCK_BYTES).bit_length()))
     tiles = docs.select("text").mapInArrow(_tiles(width, bits), _TILE)
     turned = tiles.groupBy("block").applyInArrow(_count_columns(bits), _TURNED)
-    rows = stored(turned.groupBy("block").applyInArrow(_rare_first, "set_id long, n long, keys binary"), "rows")
-    prefix = stored(rows.mapInArrow(_prefixes, "key long, s long, n long"), "prefixes")
-    # A row against the smallest row of like size in each of its columns; the one it meets most often.
+    rows = stored(turned.groupBy("block").applyInArrow(_rare_first, "set_id long, n long, central long, keys binary"), "rows")
+    prefix = stored(rows.mapInArrow(_prefixes, "key long, s long, n long, central long"), "prefixes")
+    # A row against the most central row of like size in each of its columns; the one it meets most often.
     graded = prefix.withColumn("grade", F.floor(F.log("n") / F.log(F.lit(1.25))))
-    least = graded.groupBy("key", "grade").agg(F.min("s").alias("b"))
-    votes = graded.join(least, ["key", "grade"]).filter("s != b").groupBy("s", "b").agg(F.count(F.lit(1)).alias("votes"))
+    centre = graded.groupBy("key", "grade").agg(F.max(F.struct("central", "s")).alias("x")).select("key", "grade", F.col("x.s").alias("b"))
+    votes = graded.join(centre, ["key", "grade"]).filter("s != b").groupBy("s", "b").agg(F.count(F.lit(1)).alias("votes"))
     best = votes.groupBy("s").agg(F.max(F.struct("votes", "b")).alias("x")).select(F.col("s").alias("a"), F.col("x.b").alias("b"))
     first = stored(_links(best, rows), "first")
     known = connected_components(first, "a", "b").select(F.col("node").alias("s"), F.col("component").alias("c"))
     # The product between different components.
     part = prefix.join(known, "s", "left").select("key", "s", "n", F.coalesce("c", "s").alias("c"))
-    mixed = part.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    part = stored(part.join(mixed, "key"), "mixed")
-    groups = part.groupBy("key", "c").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    one = groups.select("key", F.col("c").alias("ca"), F.col("least").alias("la"), F.col("most").alias("ma"))
-    two = groups.select("key", F.col("c").alias("cb"), F.col("least").alias("lb"), F.col("most").alias("mb"))
-    meet = one.join(two, "key").filter("ca < cb and 4 * la <= 5 * mb and 4 * lb <= 5 * ma").select("key", "ca", "cb")
-    left = part.select("key", F.col("c").alias("ca"), F.col("s").alias("a"), F.col("n").alias("na"))
-    right = part.select("key", F.col("c").alias("cb"), F.col("s").alias("b"), F.col("n").alias("nb"))
-    pairs = meet.join(left, ["key", "ca"]).join(right, ["key", "cb"]).filter("4 * na <= 5 * nb and 4 * nb <= 5 * na")
+    mixed = part.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("rows")).filter("lo < hi")
+    part = stored(part.join(mixed.select("key", "rows"), "key"), "mixed")
+    few = part.filter(F.col("rows") <= FEW)
+    left = few.select("key", F.col("c").alias("ca"), F.col("s").alias("a"), F.col("n").alias("na"))
+    right = few.select("key", F.col("c").alias("cb"), F.col("s").alias("b"), F.col("n").alias("nb"))
+    pairs = left.join(right, "key").filter("ca < cb and 4 * na <= 5 * nb and 4 * nb <= 5 * na")
     counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    # Columns of many rows are left out of ``met``, so a pair is discarded only if it could meet in none of them.
+    hot = part.filter(F.col("rows") > FEW)
+    in_hot = hot.groupBy("s").agg(F.count(F.lit(1)).alias("h"))
+    unseen = lambda x: in_hot.select(F.col("s").alias(x), F.col("h").alias(f"h_{x}"))
+    counted = counted.join(unseen("a"), "a", "left").join(unseen("b"), "b", "left").withColumn("met", F.col("met") + F.coalesce(F.least("h_a", "h_b"), F.lit(0)))
     able = counted.filter("9 * (met + floor((4 * greatest(na, nb) + 4) / 5) - 1) >= 4 * (na + nb)")
-    second = stored(_links(able, rows), "second")
+    second = stored(_links(able, rows).unionByName(_cluster_links(hot, rows)), "second")
     return connected_components(first.unionByName(second), "a", "b").withColumnRenamed("node", "set_id")
 
 
