@@ -7,13 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreflow.llm import bloom_lm, ngram_jaccard, packing, secrets, winnowing
+from acreflow.llm import bloom_lm, cap_filters, ngram_jaccard, packing, poisson_mix, secrets, toxicity, url_filters, winnowing, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return poisson_mix.poisson_mix(table(spark, sf_dir, "documents"))
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_wordpiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """A file of the public tokenizers; ACREFLOW_TOKENIZERS names another folder."""
     folder = os.environ.get("ACREFLOW_TOKENIZERS")
@@ -44,12 +60,23 @@ def op6_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_poisson_mix": op1_poisson_mix,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_toxicity": op3_toxicity,
+    "op4_wordpiece": op4_wordpiece,
     "op5_packing": op5_packing,
     "op6_bloom_lm": op6_bloom_lm,
+    "op7_cap_filters": op7_cap_filters,
+    "op8_url_filters": op8_url_filters,
     "op9_winnowing": op9_winnowing,
     "op10_secrets": op10_secrets,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_poisson_mix": poisson_mix.ORACLE_SQL,
+}

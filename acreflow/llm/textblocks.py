@@ -75,12 +75,12 @@ def slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, n
         at = stop
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(raw: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, first word of each document and the total) of all words, in order."""
     n = len(raw)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    gap = SEPARATOR[raw]
+    gap = separator[raw]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = edge[:n].copy()
