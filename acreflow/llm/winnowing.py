@@ -33,32 +33,38 @@ def word_list(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _SPACE), lambda w: w != "")
 
 
-def _shifted(a: Column, by: int) -> Column:
-    return F.slice(a, F.lit(1 + by), F.greatest(F.size(a) - by, F.lit(0)))
+def _with_next(a: str, by: int, f) -> Column:
+    """f(x, y) of each entry of the array column ``a`` and the one ``by`` further on, null beyond the end.
 
-
-def _extend(a: Column, b: Column, factor: int) -> Column:
-    """a * factor + b modulo the prime, for as many entries as ``b`` has."""
-    return F.zip_with(F.slice(a, F.lit(1), F.size(b)), b, lambda x, y: (x * F.lit(factor % PRIME) + y) % F.lit(PRIME))
+    ``a`` must be a column and not an expression: it is read three times.
+    """
+    return F.zip_with(F.col(a), F.slice(F.col(a), F.lit(1 + by), F.greatest(F.size(a) - by, F.lit(0))), f)
 
 
-def _smaller(a: Column, by: int) -> Column:
-    """The minimum of each entry and the one ``by`` further on, where there is one."""
-    b = _shifted(a, by)
-    return F.zip_with(F.slice(a, F.lit(1), F.size(b)), b, lambda x, y: F.least(x, y))
+def _first(a: str, n: Column) -> Column:
+    return F.slice(F.col(a), F.lit(1), F.greatest(n, F.lit(0)))
 
 
 def with_marks(df: DataFrame, text: str, to: str) -> DataFrame:
-    """Adds ``to``, the chosen (hash, position) longs of ``text`` in the order of positions."""
-    t = lambda name: f"__{to}_{name}"
-    h = F.transform(word_list(F.col(text)), lambda w: F.pmod(F.xxhash64(w), F.lit(PRIME)))
-    df = df.withColumn(t("h"), h)
-    df = df.withColumn(t("two"), _extend(F.col(t("h")), _shifted(F.col(t("h")), 1), BASE))
-    short = F.when(F.size(t("h")) > 0, F.array(F.aggregate(t("h"), F.lit(0).cast("long"), lambda a, x: (a * F.lit(BASE) + x) % F.lit(PRIME)))).otherwise(F.array().cast("array<long>"))
-    df = df.withColumn(t("k"), F.when(F.size(t("h")) < K, short).otherwise(_extend(F.col(t("two")), _shifted(F.col(t("h")), 2), BASE)))
-    df = df.withColumn(t("p"), F.transform(t("k"), lambda x, i: x * F.lit(2**32) + (F.lit(_TOP) - i)))
-    df = df.withColumn(t("m"), F.when(F.size(t("p")) >= W, _smaller(_smaller(_smaller(F.col(t("p")), 1), 2), 2)).otherwise(F.when(F.size(t("p")) > 0, F.array(F.array_min(t("p")))).otherwise(F.array().cast("array<long>"))))
-    return df.withColumn(to, F.array_distinct(t("m"))).drop(*(t(x) for x in ("h", "two", "k", "p", "m")))
+    """Adds ``to``, the chosen (hash, position) longs of ``text`` in the order of positions.
+
+    Each step is a column of its own, so that no array is computed twice.
+    """
+    h, two, n, k, p, a, b, m = (f"__{to}_{x}" for x in ("h", "two", "n", "k", "p", "a", "b", "m"))
+    none = F.array().cast("array<long>")
+    join = lambda x, y: (x * F.lit(BASE) + y) % F.lit(PRIME)
+    least = lambda x, y: F.least(x, y)
+    df = df.withColumn(h, F.transform(word_list(F.col(text)), lambda w: F.pmod(F.xxhash64(w), F.lit(PRIME))))
+    # Polynomial hashes of two words, then of three: the last ones, which run over the end, are cut off.
+    df = df.withColumn(n, F.greatest(F.size(h) - (K - 1), F.lit(0))).withColumn(two, _with_next(h, 1, join))
+    third = F.zip_with(_first(two, F.col(n)), F.slice(F.col(h), F.lit(K), F.greatest(F.col(n), F.lit(1))), join)
+    short = F.array(F.aggregate(h, F.lit(0).cast("long"), join))
+    df = df.withColumn(k, F.when(F.col(n) > 0, third).when(F.size(h) > 0, short).otherwise(none))
+    df = df.withColumn(p, F.transform(k, lambda x, i: x * F.lit(2**32) + (F.lit(_TOP) - i)))
+    # Sliding minima of widths 2, 4 and 6; least() passes over the nulls beyond the end.
+    df = df.withColumn(a, _with_next(p, 1, least)).withColumn(b, _with_next(a, 2, least)).withColumn(m, _with_next(b, 2, least))
+    chosen = F.when(F.size(p) >= W, _first(m, F.size(p) - (W - 1))).when(F.size(p) > 0, F.array(F.array_min(p))).otherwise(none)
+    return df.withColumn(to, F.array_distinct(chosen)).drop(h, two, n, k, p, a, b, m)
 
 
 def mark_hashes(marks: Column) -> Column:
