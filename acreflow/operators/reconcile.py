@@ -45,8 +45,10 @@ def shingle_links(df: DataFrame, key: str, text: str, width: int = 5, percent: i
     """
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     own = df.groupBy(F.sha2(F.col(text), 256).alias("h")).agg(F.min(key).alias("k"), F.first(text).alias(text)).filter("h is not null")
-    own = own.withColumn("w", words).filter("size(w) > 0")
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice("w", i, width), " ")))
+    own = own.select("k", F.transform(words, lambda w: F.xxhash64(w)).alias("w")).filter("size(w) > 0").withColumn("run", F.col("w"))
+    for j in range(1, width):  # a column for each word more, so that no array is computed twice
+        own = own.withColumn("run", F.zip_with("run", F.slice("w", F.lit(1 + j), F.greatest(F.size("w") - j, F.lit(0))), lambda x, y: F.xxhash64(x, y)))
+    runs = F.slice("run", F.lit(1), F.greatest(F.size("w") - (width - 1), F.lit(1)))
     sets = own.select("k", F.array_sort(F.array_distinct(runs)).alias("set")).withColumn("n", F.size("set"))
     entries = sets.select("k", "n", F.explode("set").alias("s"))
     rare = entries.join(entries.groupBy("s").agg(F.count(F.lit(1)).alias("f")), "s")
