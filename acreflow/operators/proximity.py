@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreflow.functions.columns import DEGREE_M, haversine_m, valid_point
+from acreflow.plans.storage import checkpointed
 
 MAX_RINGS = 14
 
@@ -66,12 +67,13 @@ def nearest(left: DataFrame, right: DataFrame, key: str, right_key: str, radius_
     out = best(within(todo, spots, radius_m, max_lat))
     if bounded or spots.isEmpty():
         return out
+    out = checkpointed(out)  # each ring starts from results, not from the rings before
     for _ in range(MAX_RINGS):
-        todo = todo.join(out.select(key), key, "left_anti")
+        todo = checkpointed(todo.join(out.select(key), key, "left_anti"))
         if todo.isEmpty():
             return out
         radius_m *= 2
         if radius_m > 2_000_000:
             break
-        out = out.unionByName(best(within(todo, spots, radius_m, max_lat)))
+        out = out.unionByName(checkpointed(best(within(todo, spots, radius_m, max_lat))))
     raise ValueError("some rows have no row within 2000 km")
