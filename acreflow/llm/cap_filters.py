@@ -67,19 +67,42 @@ def codes(dim: int, parts: int, size: int) -> tuple[np.ndarray, list[np.ndarray]
     return turn, out
 
 
-def decode(unit: np.ndarray, parts: int, size: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, filter) for all filters whose direction a unit row exceeds ``threshold`` / sqrt(dim) on; by row."""
+@lru_cache(maxsize=64)
+def limit_of(dim: int, parts: int, size: int, threshold: float, cosine: float, shared: float) -> float:
+    """The inner product that a filter direction must be exceeded on.
+
+    Measured on random pairs at the limit and a part of the filters, where that shows enough of them; else
+    ``threshold`` / sqrt(dim), which is right for long vectors.
+    """
+    books, rng, pairs, tried = codes(dim, parts, size)[1], np.random.default_rng(dim), 64, 1 << 16
+    wanted = round(shared / float(size) ** len(books) * tried * pairs)
+    if wanted < 50:
+        return threshold / math.sqrt(dim)
+    x, y = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.standard_normal((2, pairs, dim)))
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    n = np.linalg.norm(y, axis=1, keepdims=True)
+    y = cosine * x + math.sqrt(1 - cosine**2) * np.divide(y, n, out=np.zeros_like(y), where=n > 0)
+    low, at = np.zeros((2, pairs, tried)), 0
+    for c in books:
+        pick = c[rng.integers(0, size, tried)]
+        low += np.stack([v[:, at : at + c.shape[1]] @ pick.T for v in (x, y)])
+        at += c.shape[1]
+    both = np.sort(low.min(axis=0).ravel())
+    return float(both[-min(wanted, len(both))])
+
+
+def decode(unit: np.ndarray, parts: int, size: int, limit: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, filter) for all filters whose direction a unit row exceeds ``limit`` on; by row."""
     turn, books = codes(unit.shape[1], parts, size)
     turned, at, sums = unit @ turn, 0, []
     for c in books:
         sums.append(turned[:, at : at + c.shape[1]] @ c.T)
         at += c.shape[1]
-    limit = min(threshold / math.sqrt(unit.shape[1]), 0.999)
     best = [s.max(axis=1) for s in sums]
     row, code, total = np.arange(len(unit)), np.zeros(len(unit), np.int64), np.zeros(len(unit))
     for i, s in enumerate(sums):
         rest = sum(best[i + 1 :], np.zeros(len(unit)))
-        found = []
+        found = [(row[:0], code[:0], total[:0])]
         for a in range(0, len(row), 1 << 14):
             r, t = row[a : a + (1 << 14)], total[a : a + (1 << 14)]
             reach = s[r] + (t + rest[r])[:, None]
@@ -108,10 +131,11 @@ def _decoded(kind: str, n: int, cosine: float, shared: float):
             starts = np.concatenate(([0], np.cumsum(dims)))
             cls, m = batch.column("cls").to_numpy(), batch.column("m").to_numpy()
             for dim in np.unique(dims).tolist():
+                limit = limit_of(dim, parts, size, threshold, cosine, shared)
                 for at in range(0, len(own := np.flatnonzero(dims == dim)), 1024):
                     rows = own[at : at + 1024]
                     x = flat[starts[rows][:, None] + np.arange(dim)]
-                    row, code = decode(unit_rows(x), parts, size, threshold)
+                    row, code = decode(unit_rows(x), parts, size, limit)
                     code += dim << 42
                     order = np.lexsort((code, row))
                     row, code = row[order], code[order]
