@@ -94,7 +94,7 @@ def _ranges(spark: SparkSession, ids: DataFrame, n: int) -> list:
     if not cuts:
         return []
     known = ids.filter("doc_id is not null").select("doc_id", _range_of(F.col("doc_id"), sorted(set(cuts))).alias("r"))
-    return [x[0] for x in known.groupBy("r").agg(F.min("doc_id")).orderBy("r").collect()]
+    return sorted(x["least"] for x in known.groupBy("r").agg(F.min("doc_id").alias("least")).collect())
 
 
 def _range_of(id_: Column, starts: list) -> Column:
