@@ -37,8 +37,7 @@ def percent_ranks(df: DataFrame, value: str, name: str = "percent_rank") -> Data
 def tiles(df: DataFrame, n: int, *order: Column, name: str = "tile") -> DataFrame:
     """``df`` with its tile 1..n of about equal size by ``order`` (total), the larger ones first."""
     numbered = stored(positions(df, *order, name="__at"), "numbered")
-    rows = numbered.agg(F.count(F.lit(1)).alias("__rows"))
-    small, large = F.expr(f"__rows div {n}"), F.expr(f"__rows % {n}")
+    small, large = divmod(numbered.count(), n)
     at = F.col("__at") - 1
-    tile = F.when(at < large * (small + 1), F.floor(at / (small + 1))).otherwise(large + F.floor((at - large * (small + 1)) / F.greatest(small, F.lit(1)))) + 1
-    return numbered.crossJoin(F.broadcast(rows)).withColumn(name, tile.cast("int")).drop("__at", "__rows")
+    tile = F.when(at < large * (small + 1), F.floor(at / (small + 1))).otherwise(large + F.floor((at - large * (small + 1)) / max(small, 1))) + 1
+    return numbered.withColumn(name, tile.cast("int")).drop("__at")
