@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from acreflow.plans.storage import stored
+
 #: A table of rates of at most so many rows is broadcast; a larger one is joined with salted keys.
 FEW_SOURCES = 20_000
 SALTS = 32
@@ -38,15 +40,16 @@ def poisson_table(rate: Column) -> Column:
 
 def rates(docs: DataFrame, weights: dict[str, float] | None, power: float, size: float) -> DataFrame:
     """(source, rate) for each source of ``docs``; null is a source of its own."""
-    mass = docs.groupBy("source").agg(F.sum(F.length(F.coalesce("text", F.lit("")))).cast("double").alias("mass"))
+    mass = stored(docs.groupBy("source").agg(F.sum(F.length(F.coalesce("text", F.lit("")))).cast("double").alias("mass")), "mass")
     if weights is None:
         wanted = mass.withColumn("weight", F.pow(F.col("mass"), F.lit(power)))
     else:
         table = docs.sparkSession.createDataFrame([(k, float(v)) for k, v in weights.items()] or [("", 0.0)], "source string, weight double")
         wanted = mass.join(F.broadcast(table), "source", "left").fillna(0.0, ["weight"])
     sums = wanted.agg(F.sum("mass").alias("all_mass"), F.sum(F.when(F.col("mass") > 0, F.col("weight")).otherwise(0.0)).alias("all_weight"))
-    share = F.col("weight") / F.col("all_weight") * F.col("all_mass") * F.lit(float(size)) / F.col("mass")
-    return wanted.crossJoin(F.broadcast(sums)).select("source", F.when((F.col("mass") > 0) & (F.col("all_weight") > 0), share).otherwise(F.lit(0.0)).alias("rate"))
+    all_mass, all_weight = (float(x or 0) for x in sums.first())
+    share = F.col("weight") / F.lit(all_weight or 1.0) * F.lit(all_mass) * F.lit(float(size)) / F.col("mass")
+    return wanted.select("source", F.when((F.col("mass") > 0) & F.lit(all_weight > 0), share).otherwise(F.lit(0.0)).alias("rate"))
 
 
 def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, size: float = 1.0, seed: str = "mix") -> DataFrame:
@@ -58,15 +61,16 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, power:
     Sources without any character, and all if no weight is positive, have rate 0.  Repeated rows draw the
     same count; rows with a null doc_id draw by their text.  An empty table stays empty.
     """
-    table = rates(docs, weights, power, size).select(F.col("source").alias("__source"), poisson_table(F.col("rate")).alias("__cumulative"))
+    table = stored(rates(docs, weights, power, size).select(F.col("source").alias("__source"), poisson_table(F.col("rate")).alias("__cumulative")), "rates")
     draw = uniform(seed, F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
     if table.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES:
         joined = docs.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("__source")))
     else:
         salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = docs.withColumn("__own", F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)).cast("int")).join(salted, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__salt")))
-    count = F.size(F.filter("__cumulative", lambda c: c <= draw))
-    copies = joined.withColumn("__n", count).filter("__n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
+    # How many entries are at most the draw: all but those before it in descending order.
+    count = F.size("__cumulative") - (F.array_position(F.reverse(F.array_sort(F.array_append("__cumulative", draw))), draw) - 1)
+    copies = joined.withColumn("__n", count).filter("__n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__n").cast("int") - 1)))
     return copies.withColumn("__order", F.xxhash64(F.lit(seed), "doc_id", "copy", "text")).repartition("__order").sortWithinPartitions("__order").select(*docs.columns, "copy")
 
 
