@@ -68,27 +68,29 @@ def codes(dim: int, parts: int, size: int) -> tuple[np.ndarray, list[np.ndarray]
 
 
 @lru_cache(maxsize=64)
-def limit_of(dim: int, parts: int, size: int, threshold: float, cosine: float, shared: float) -> float:
+def limit_of(dim: int, parts: int, size: int, threshold: float, cosine: float) -> float:
     """The inner product that a filter direction must be exceeded on.
 
-    Measured on random pairs at the limit and a part of the filters, where that shows enough of them; else
-    ``threshold`` / sqrt(dim), which is right for long vectors.
+    ``threshold`` / sqrt(dim), or lower where 256 random pairs at the limit show that more than one in a
+    hundred of them would not share two filters; so short vectors, whose products are no normal law, are found.
     """
-    books, rng, pairs, tried = codes(dim, parts, size)[1], np.random.default_rng(dim), 64, 1 << 16
-    wanted = round(shared / float(size) ** len(books) * tried * pairs)
-    if wanted < 50:
-        return threshold / math.sqrt(dim)
-    x, y = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.standard_normal((2, pairs, dim)))
-    y -= (x * y).sum(axis=1, keepdims=True) * x
-    n = np.linalg.norm(y, axis=1, keepdims=True)
-    y = cosine * x + math.sqrt(1 - cosine**2) * np.divide(y, n, out=np.zeros_like(y), where=n > 0)
-    low, at = np.zeros((2, pairs, tried)), 0
-    for c in books:
-        pick = c[rng.integers(0, size, tried)]
-        low += np.stack([v[:, at : at + c.shape[1]] @ pick.T for v in (x, y)])
-        at += c.shape[1]
-    both = np.sort(low.min(axis=0).ravel())
-    return float(both[-min(wanted, len(both))])
+    books, plain = codes(dim, parts, size)[1], threshold / math.sqrt(dim)
+    filters = size ** len(books)
+    if filters > 1 << 16:
+        return plain
+    rng, best = np.random.default_rng(dim), []
+    for _ in range(16):
+        x, y = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.standard_normal((2, 16, dim)))
+        y -= (x * y).sum(axis=1, keepdims=True) * x
+        n = np.linalg.norm(y, axis=1, keepdims=True)
+        y = cosine * x + math.sqrt(1 - cosine**2) * np.divide(y, n, out=np.zeros_like(y), where=n > 0)
+        sums, at = np.zeros((2, 16, 1)), 0
+        for c in books:
+            more = np.stack([v[:, at : at + c.shape[1]] @ c.T for v in (x, y)])
+            sums = (sums[:, :, :, None] + more[:, :, None, :]).reshape(2, 16, -1)
+            at += c.shape[1]
+        best += np.sort(sums.min(axis=0), axis=1)[:, -min(2, filters)].tolist()
+    return min(plain, float(np.quantile(best, 0.01)))
 
 
 def decode(unit: np.ndarray, parts: int, size: int, limit: float) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +133,7 @@ def _decoded(kind: str, n: int, cosine: float, shared: float):
             starts = np.concatenate(([0], np.cumsum(dims)))
             cls, m = batch.column("cls").to_numpy(), batch.column("m").to_numpy()
             for dim in np.unique(dims).tolist():
-                limit = limit_of(dim, parts, size, threshold, cosine, shared)
+                limit = limit_of(dim, parts, size, threshold, cosine)
                 for at in range(0, len(own := np.flatnonzero(dims == dim)), 1024):
                     rows = own[at : at + 1024]
                     x = flat[starts[rows][:, None] + np.arange(dim)]
