@@ -46,6 +46,8 @@ def plan(n: int, cosine: float, shared: float) -> tuple[int, int, float]:
         else:
             parts, size = parts + 1, 256
     law, filters = NormalDist(), float(size) ** parts
+    if filters > 1 << 16:  # too many to measure in limit_of: more shared ones on average stand in for that
+        shared *= 3
     low, high = 0.0, 12.0
     for _ in range(60):
         mid = (low + high) / 2
@@ -71,8 +73,8 @@ def codes(dim: int, parts: int, size: int) -> tuple[np.ndarray, list[np.ndarray]
 def limit_of(dim: int, parts: int, size: int, threshold: float, cosine: float) -> float:
     """The inner product that a filter direction must be exceeded on.
 
-    ``threshold`` / sqrt(dim), or lower where 256 random pairs at the limit show that more than one in a
-    hundred of them would not share two filters; so short vectors, whose products are no normal law, are found.
+    ``threshold`` / sqrt(dim), or lower where 256 random pairs at the limit show that more than 1.5 in a hundred
+    of them would share no filter; so short vectors, whose products follow no normal law, are found too.
     """
     books, plain = codes(dim, parts, size)[1], threshold / math.sqrt(dim)
     filters = size ** len(books)
@@ -89,8 +91,8 @@ def limit_of(dim: int, parts: int, size: int, threshold: float, cosine: float) -
             more = np.stack([v[:, at : at + c.shape[1]] @ c.T for v in (x, y)])
             sums = (sums[:, :, :, None] + more[:, :, None, :]).reshape(2, 16, -1)
             at += c.shape[1]
-        best += np.sort(sums.min(axis=0), axis=1)[:, -min(2, filters)].tolist()
-    return min(plain, float(np.quantile(best, 0.01)))
+        best += sums.min(axis=0).max(axis=1).tolist()
+    return min(plain, float(np.quantile(best, 0.015)))
 
 
 def decode(unit: np.ndarray, parts: int, size: int, limit: float) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +125,9 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
 _ENTRY = "filter long, cls long, m long, vec binary, lower binary"
 
 
-def _decoded(kind: str, n: int, cosine: float, shared: float):
+def _decoded(kind: str, n: int, cosine: float, shared: float, whole: bool = True):
+    """Entries (filter, cls, m, vec, lower) of all filters of each vector, or with ``whole`` off the filters alone."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size, threshold = plan(n, cosine, shared)
         for batch in batches:
@@ -139,10 +143,13 @@ def _decoded(kind: str, n: int, cosine: float, shared: float):
                     x = flat[starts[rows][:, None] + np.arange(dim)]
                     row, code = decode(unit_rows(x), parts, size, limit)
                     code += dim << 42
+                    if not whole:
+                        yield pa.RecordBatch.from_arrays([pa.array(code)], ["filter"])
+                        continue
                     order = np.lexsort((code, row))
                     row, code = row[order], code[order]
                     first = np.searchsorted(row, np.arange(len(rows)))
-                    lower = [code[first[r] : i].tobytes() for i, r in enumerate(row.tolist())]
+                    lower = [code[first[r] : i].astype(np.uint32).tobytes() if parts * size.bit_length() < 30 else code[first[r] : i].tobytes() for i, r in enumerate(row.tolist())]
                     raw = [v.tobytes() for v in x]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(code), pa.array(cls[rows][row]), pa.array(m[rows][row]), pa.array([raw[r] for r in row.tolist()], pa.binary()), pa.array(lower, pa.binary())],
@@ -184,7 +191,7 @@ def _meet(kind: str, cosine: float, ids: np.ndarray, m: np.ndarray, unit: np.nda
     return list(zip(ids.tolist(), counted.tolist(), ids[label].tolist(), strict=True))
 
 
-def _verified(kind: str, cosine: float):
+def _verified(kind: str, cosine: float, width: type):
     """Streams rows sorted by (filter, i, j) and works off each filter or tile as soon as it is whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +206,7 @@ def _verified(kind: str, cosine: float):
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if b - a > 1:
                     unit = unit_rows(np.frombuffer(b"".join(vec[a:b]), kind).reshape(b - a, -1))
-                    out += _meet(kind, cosine, ids[a:b], m[a:b], unit, [np.frombuffer(x, np.int64) for x in lower[a:b]], chunk[a:b], (int(key[1, a]), int(key[2, a])))
+                    out += _meet(kind, cosine, ids[a:b], m[a:b], unit, [np.frombuffer(x, width) for x in lower[a:b]], chunk[a:b], (int(key[1, a]), int(key[2, a])))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], ["cls", "links", "to"])
 
@@ -231,22 +238,25 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shared: float =
 
     Rows whose embedding is null, empty or zero or holds null or non-finite components link with nothing.
     Only vectors of one length are compared.  Equal vectors link whatever their ids; repeated rows count each.
-    A pair is found with a probability that falls with its distance, 0.99 and more at the limit; none below
-    the limit is reported.  Rows with a null vec_id take part, their own component_id may be null.
+    A pair is found with a probability that falls with its distance, about 0.98 at the limit; none below the
+    limit is reported.  Rows with a null vec_id take part, their own component_id may be null.
     """
     kind = "f4" if "float" in dict(vectors.dtypes)["embedding"] else "f8"
     element = "float" if kind == "f4" else "double"
     source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{element}>").alias("embedding"))
     source = source.withColumn("cls", F.when(comparable(F.col("embedding")), F.xxhash64(F.transform("embedding", lambda x: x + F.lit(0).cast(element)))))
     ids = stored(source.select("vec_id", "cls"), "ids")
-    classes = source.filter("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("m"), F.first("embedding").alias("embedding"))
-    n = ids.select("cls").distinct().count()
-    entries = stored(classes.mapInArrow(_decoded(kind, n, cosine, shared), _ENTRY), "entries")
-    many = entries.groupBy("filter").count().filter(F.col("count") > 2 * CHUNK).select("filter", F.ceil(F.col("count") / CHUNK).cast("int").alias("q"))
+    classes = stored(source.filter("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("m"), F.first("embedding").alias("embedding")), "classes")
+    n = classes.count()
+    parts, size, _ = plan(n, cosine, shared)
+    width = np.uint32 if parts * size.bit_length() < 30 else np.int64
+    entries = classes.mapInArrow(_decoded(kind, n, cosine, shared), _ENTRY)
+    seen = classes.select("cls", "m", "embedding").mapInArrow(_decoded(kind, n, cosine, shared, False), "filter long")
+    many = seen.groupBy("filter").count().filter(F.col("count") > 2 * CHUNK).select("filter", F.ceil(F.col("count") / CHUNK).cast("int").alias("q"))
     dealt = entries.join(many, "filter", "left").withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("cls"), "q"), F.lit(0)).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.coalesce("q", F.lit(1)) - 1)).alias("o")
     tiles = dealt.select("filter", "cls", "m", "vec", "lower", "chunk", other).withColumns({"i": F.least("chunk", "o"), "j": F.greatest("chunk", "o")}).drop("o")
-    met = stored(tiles.repartition("filter", "i", "j").sortWithinPartitions("filter", "i", "j").mapInArrow(_verified(kind, cosine), "cls long, links long, to long"), "met")
+    met = stored(tiles.repartition("filter", "i", "j").sortWithinPartitions("filter", "i", "j").mapInArrow(_verified(kind, cosine, width), "cls long, links long, to long"), "met")
     links = met.groupBy("cls").agg(F.sum("links").alias("links"))
     found = connected_components(met, "cls", "to").select(F.col("node").alias("cls"), F.col("component").alias("c"))
     size = ids.filter("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("least"))

@@ -1,0 +1,545 @@
+"""The ten text operators against plain versions, on small tables with nulls, blanks, ties, repeated rows and odd columns."""
+
+import base64
+import collections
+import hashlib
+import json
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from acreflow.llm import bloom_lm, cap_filters, ngram_jaccard, packing, poisson_mix, secrets, textblocks, toxicity, url_filters, winnowing, wordpiece
+from acreflow.llm.queries import tokenizer_path
+from acreflow.llm.subwords import TextEncoder
+
+SPACE = r"[^\x20\x09-\x0D]+"
+rng = random.Random(7)
+WORDS = ["".join(rng.choice("abcdefghijé") for _ in range(rng.randrange(1, 9))) for _ in range(300)]
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, block int, key string, score double"
+
+
+def words_of(text):
+    return re.findall(SPACE, re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def prose(n):
+    return " ".join(rng.choice(WORDS) for _ in range(n)) + "."
+
+
+def odd_texts():
+    base = prose(80)
+    w = base.split()
+    near = [" ".join(w[:i] + ["changed"] + w[i + 1 :]) for i in (0, 20, 40, 79)]
+    far = [" ".join("x" if j % 9 == i else v for j, v in enumerate(w)) for i in range(3)]
+    return [base, base, *near, *far, base.upper(), base.replace(" ", "\t\n"), "", None, "  \n", "one", "One", "one two three", "日本語 テキスト ñandú 🙂", "a" * 5000, "\x0b".join(["é"] * 40), *(prose(rng.randrange(1, 200)) for _ in range(25)), prose(6000)]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return odd_texts()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, "en", f"s{i % 3}" if i % 11 else None, len(t or ""), 1, "k", 0.5) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS).repartition(3, "doc_id").cache()
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null ids and repeated rows."""
+    rows = [(None, "one two three four five six", None, None, None, None, None, None)] * 2 + [(5, "one two three four five six", "x", "s", 3, 1, "k", None)] * 2 + [(7, None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def listed(df, *cols):
+    return sorted((tuple(r) for r in (df.select(*cols) if cols else df).collect()), key=repr)
+
+
+# words and shingles
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=" \t\n\x0bAaBbéß日\u0301.", max_size=30)), max_size=8))
+def test_words_and_shingles_equal_plain_ones(column):
+    got, sets = [], []
+    for _, _, raw, offsets in textblocks.slices(pa.array(column, pa.string()), 16):
+        starts, ends, first = textblocks.words(raw, offsets)
+        low = textblocks.LOWER[raw].tobytes()
+        all_ = [low[a:b].decode() for a, b in zip(starts, ends)]
+        got += [all_[a:b] for a, b in zip(first[:-1], first[1:])]
+        sets += [len(s) for s in textblocks.shingle_sets(textblocks.word_hashes(raw, starts, ends), first, 5)]
+    want = [words_of(t) for t in column]
+    assert got == want
+    assert sets == [len({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}) if w else 0 for w in want]
+
+
+def test_hashes_do_not_depend_on_where_a_word_is(monkeypatch):
+    text = "abc def abc " + "x" * 100 + " abc"
+    raw, offsets = textblocks.string_buffer(pa.array([text]))
+    monkeypatch.setattr(textblocks, "WINDOW", 16)
+    textblocks._powers.clear()
+    starts, ends, _ = textblocks.words(raw, offsets)
+    h = textblocks.word_hashes(raw, starts, ends)
+    textblocks._powers.clear()
+    assert h[0] == h[2] == h[4] and len(set(h.tolist())) == 3
+
+
+# 1 mixing
+
+
+def test_poisson_counts_follow_the_rate(spark):
+    df = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("abcd").alias("text"), F.when(F.col("id") % 10 < 3, "a").otherwise("b").alias("source"))
+    n = dict(listed(poisson_mix.poisson_mix(df, {"a": 0.5, "b": 0.5}, size=2.0).groupBy("source").count()))
+    assert abs(n["a"] - 20000) < 900 and abs(n["b"] - 20000) < 900
+    per = collections.Counter(r[1] for r in listed(poisson_mix.poisson_mix(df, {"a": 0.5, "b": 0.5}, size=2.0).filter("source = 'a'").groupBy("doc_id").count()))
+    rate = 20000 / 6000
+    for k in (1, 3, 6):
+        assert abs(per[k] / 6000 - math.exp(-rate) * rate**k / math.factorial(k)) < 0.03
+
+
+def test_poisson_inversion_equals_plain_one(spark, docs, texts):
+    out = collections.Counter(r[0] for r in listed(poisson_mix.poisson_mix(docs.filter("source is not null"), {"s0": 3.0, "s1": 1.0}, size=3.0), "doc_id"))
+    mass = collections.Counter()
+    source = {i: f"s{i % 3}" for i in range(len(texts)) if i % 11}
+    for i, s in source.items():
+        mass[s] += len(texts[i] or "")
+    for i, s in source.items():
+        rate = {"s0": 0.75, "s1": 0.25, "s2": 0}[s] * sum(mass.values()) * 3 / mass[s]
+        u = int(hashlib.md5(f"mix:{i}:\\N".encode()).hexdigest()[:13], 16) / 2**52
+        k, p, cum = 0, math.exp(-rate), math.exp(-rate)
+        while cum <= u:
+            k += 1
+            p *= rate / k
+            cum += p
+        assert out[i] == k, (i, rate)
+
+
+def test_mixing_odd_rows_large_rates_and_salted_join(spark, odd, docs, monkeypatch):
+    assert poisson_mix.poisson_mix(odd.limit(0)).count() == 0
+    out = poisson_mix.poisson_mix(odd, {"s": 1.0}, size=400.0)
+    assert out.columns == [*odd.columns, "copy"]
+    n = collections.Counter(r[0] for r in listed(out, "doc_id"))
+    assert set(n) == {5} and n[5] % 2 == 0 and 700 < n[5] < 2200
+    plain = listed(poisson_mix.poisson_mix(docs), "doc_id", "copy")
+    monkeypatch.setattr(poisson_mix, "FEW_SOURCES", 1)
+    assert listed(poisson_mix.poisson_mix(docs), "doc_id", "copy") == plain
+    assert poisson_mix.poisson_mix(docs, {}).count() == 0
+
+
+# 2 n-gram Jaccard
+
+
+def plain_components(ids, texts):
+    sets = [frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if (w := words_of(t)) else frozenset() for t in texts]
+    label = list(range(len(ids)))
+    for i in range(len(ids)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                a, b = label[i], label[j]
+                label = [b if x == a else x for x in label]
+    least = {}
+    for i, x in enumerate(label):
+        least[x] = min([least.get(x), ids[i]], key=lambda v: (v is None, v))
+    return [(ids[i], len(sets[i]), least[label[i]] if sets[i] else ids[i]) for i in range(len(ids))]
+
+
+def test_jaccard_equals_brute_force(docs, texts):
+    assert listed(ngram_jaccard.jaccard_components(docs)) == sorted(plain_components(list(range(len(texts))), texts), key=repr)
+
+
+def test_jaccard_with_hot_columns_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "FEW", 3)
+    monkeypatch.setattr(ngram_jaccard, "CHUNK", (4, 8))
+    base, made = prose(150).split(), []
+    for _ in range(40):
+        t = list(base)
+        for _ in range(rng.randrange(1, 7)):
+            t[rng.randrange(150)] = rng.choice(WORDS) + "z"
+        made.append(" ".join(t))
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    assert listed(ngram_jaccard.jaccard_components(df)) == sorted(plain_components(list(range(40)), made), key=repr)
+
+
+def test_jaccard_odd_rows(spark, odd):
+    assert listed(ngram_jaccard.jaccard_components(odd)) == sorted([(None, 2, 5)] * 2 + [(5, 2, 5)] * 2 + [(7, 0, 7)], key=repr)
+    assert ngram_jaccard.jaccard_components(odd.limit(0)).count() == 0
+    kept = ngram_jaccard.one_of_each(odd)
+    assert listed(kept, "doc_id") == sorted([(None,)] * 2 + [(5,), (7,)], key=repr) and kept.columns == odd.columns
+
+
+def test_one_of_each_keeps_the_smallest(docs, texts):
+    want = {c for _, _, c in plain_components(list(range(len(texts))), texts)}
+    assert {r[0] for r in listed(ngram_jaccard.one_of_each(docs), "doc_id")} == want
+
+
+# 3 toxicity
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    r = random.Random(5)
+    rows, marks = [], []
+    for i in range(1200):
+        toxic, junk = r.random() < 0.2, r.random() < 0.2
+        t = [r.choice(WORDS) for _ in range(r.randrange(20, 90))]
+        if toxic:
+            for _ in range(3):
+                t[r.randrange(len(t))] = r.choice(["Idiot,", "scum", "réeux" + r.choice(WORDS)])
+        if junk:
+            t = [w + "###" for w in t] + ["buynow"] * 5
+        rows.append((i, " ".join(t), "en", "s", 1, 1, "k", 0.0))
+        marks.append((i, int(not junk), int(toxic)))
+    return spark.createDataFrame(rows, DOCS), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"), {i: t for i, _, t in marks}
+
+
+def test_chain_is_accurate_on_rows_held_out(labelled):
+    docs, labels, truth = labelled
+    out = toxicity.toxicity(docs, labels.filter("doc_id < 800"))
+    assert out.columns == ["doc_id", "p_junk", "p_toxic", "toxic"]
+    held = [(truth[r["doc_id"]], r["toxic"]) for r in out.collect() if r["doc_id"] >= 800]
+    assert sum(t and p for t, p in held) >= 0.9 * sum(t for t, _ in held) and sum(p and not t for t, p in held) <= 2
+    kept = {r[0] for r in listed(toxicity.without_toxic(docs, labels.filter("doc_id < 800")), "doc_id")}
+    assert kept == {r["doc_id"] for r in out.collect() if not r["toxic"]}
+
+
+def test_chain_odd_rows(spark, odd, labelled):
+    _, labels, _ = labelled
+    out = toxicity.toxicity(odd, labels.limit(0))
+    assert out.count() == 5 and not [r for r in out.collect() if r["toxic"]]
+    doubled = spark.createDataFrame([(5, 1, 0), (5, 1, 1), (7, None, None), (None, 1, 1), (99, 1, 1)], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(odd, doubled).count() == 5 and toxicity.toxicity(odd.limit(0), doubled).count() == 0
+    assert listed(toxicity.without_toxic(odd, labels.limit(0))) == listed(odd)
+
+
+# 4 token counts
+
+
+def greedy(pieces, later, word):
+    n = at = 0
+    while at < len(word):
+        for end in range(len(word), at, -1):
+            if word[at:end] in (later if at else pieces):
+                break
+        else:
+            return -1
+        at, n = end, n + 1
+    return n
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.binary(min_size=1, max_size=4).map(lambda b: bytes(97 + x % 3 for x in b)), max_size=12), st.lists(st.binary(min_size=1, max_size=4).map(lambda b: bytes(97 + x % 3 for x in b)), max_size=12), st.booleans(), st.lists(st.binary(min_size=1, max_size=14).map(lambda b: bytes(97 + x % 4 for x in b)), min_size=1, max_size=12))
+def test_automaton_equals_greedy_matching(first, later, apart, words):
+    a = wordpiece.build(first, later if apart else None)
+    pieces, rest = set(first), set(later) if apart else set(first)
+    want = [greedy(pieces, rest, w) for w in words]
+    assert [wordpiece.count_one(a, w) for w in words] == want
+    ends = np.cumsum([len(w) for w in words])
+    assert wordpiece.count_many(a, np.frombuffer(b"".join(words), np.uint8), ends - [len(w) for w in words], ends).tolist() == want
+
+
+def test_token_counts(docs, texts, odd, tmp_path):
+    pieces = set(wordpiece.load_pieces(tokenizer_path())[0])
+    want = []
+    for i, t in enumerate(texts):
+        n = [greedy(pieces, pieces, w.encode()) if len(w) < 300 else None for w in words_of(t)]
+        want.append((i, None if None in n else sum(n), len(n)))
+    for got, w in zip(listed(wordpiece.token_counts(docs, tokenizer_path()), "doc_id", "n_tokens", "n_words"), sorted(want, key=repr), strict=True):
+        assert got == w or w[1] is None
+    vocabulary = tmp_path / "v.txt"
+    vocabulary.write_text("on\n##e\none\n##s\n")
+    assert listed(wordpiece.token_counts(odd, str(vocabulary)), "doc_id", "n_tokens", "n_words", "n_unknown") == sorted([(None, 6, 6, 5)] * 2 + [(5, 6, 6, 5)] * 2 + [(7, 0, 0, 0)], key=repr)
+
+
+# 5 packing
+
+
+def unpacked(rows, size):
+    docs, windows = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        docs[r["doc_id"]].append(r)
+        windows[r["sequence_id"]].append(r)
+    for w in windows.values():
+        at = 0
+        for r in sorted(w, key=lambda r: r["offset"]):
+            assert r["offset"] == at and r["length"] > 0
+            at += r["length"]
+        assert at <= size
+    return docs, windows
+
+
+@pytest.mark.parametrize(("size", "limit"), [(4096, 64), (64, 2), (16, 1)])
+def test_packing_is_an_exact_round_trip(docs, texts, size, limit):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer_path())
+    by_doc, windows = unpacked(packing.pack(docs, tokenizer_path(), size=size, limit=limit, with_ids=True).collect(), size)
+    total = 0
+    for i, text in enumerate(texts):
+        ids, at = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], np.uint32), 0
+        for r in sorted(by_doc[i], key=lambda r: r["start"]):
+            part = ids[at : at + r["length"]]
+            assert r["start"] == at and r["ids"] == part.tobytes() and r["ids_crc32"] == zlib.crc32(part.tobytes()) and r["doc_tokens"] == len(ids)
+            at += len(part)
+        assert at == len(ids)
+        total += at
+    lengths = [sum(r["length"] for r in w) for w in windows.values()]
+    padding = sum(size - n for n in lengths if n & (n - 1))
+    assert padding <= 0.05 * total + (limit == 1) * total
+
+
+def test_packing_odd_rows(odd):
+    rows = packing.pack(odd, tokenizer_path()).collect()
+    assert sum(r["length"] for r in rows) == sum(r["length"] for r in rows if r["doc_id"] is None) * 2 + 1
+    assert packing.pack(odd.limit(0), tokenizer_path()).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack(odd, tokenizer_path(), size=100)
+
+
+def test_cached_encoding_equals_the_library(texts, monkeypatch):
+    from acreflow.llm import subwords
+
+    monkeypatch.setattr(subwords, "KEPT_WORDS", 50)
+    e = TextEncoder(tokenizer_path())
+    assert e.by_word
+    odd = [*texts, "It's DON'T we'll 12 3#$%", "e\u0301 \u0301x \u00a0y\u3000z", "İstanbul ΣΑΣ"]
+    for _ in range(2):
+        assert [i.tolist() for i in e.ids(pa.array(odd))] == [e._encode.encode(t or "", add_special_tokens=False).ids for t in odd]
+
+
+# 6 language model
+
+
+def test_base_scores_equal_exact_counts(docs, texts):
+    tokens = {i: [*words_of(t), "</s> "] for i, t in enumerate(texts)}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
+    c = collections.Counter(w for i, v in tokens.items() if not held[i] for w in v)
+    n, v = sum(c.values()), len(c)
+    for r in bloom_lm.score_documents(docs).collect():
+        t = tokens[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[r["doc_id"]], len(t), sum(c[w] > 0 for w in t), n)
+        assert math.isclose(r["base_score"], sum(math.log10((c[w] + 1) / (n + 1 * (v + 1))) for w in t), rel_tol=1e-9)
+        assert r["score"] < 0
+
+
+def test_scores_prefer_known_sequences_and_odd_rows(spark, odd):
+    base = prose(60)
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2][:20]
+    out = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    mixed = base.split()
+    random.Random(1).shuffle(mixed)
+    df = spark.createDataFrame([*((i, base) for i in ids), (out[0], base), (out[1], " ".join(mixed))], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in bloom_lm.score_documents(df).collect()}
+    assert got[out[0]]["score"] > got[out[1]]["score"] + 5 and math.isclose(got[out[0]]["base_score"], got[out[1]]["base_score"])
+    rows = bloom_lm.score_documents(odd).collect()
+    assert sorted((r["doc_id"] or -1, r["n_tokens"]) for r in rows) == [(-1, 7), (-1, 7), (5, 7), (5, 7), (7, 1)]
+    assert bloom_lm.score_documents(odd.limit(0)).count() == 0
+
+
+def test_filter_reads_back_levels_and_never_too_low():
+    r = np.random.default_rng(3)
+    grams, counts = r.integers(0, 2**63, 20000, dtype=np.uint64) * np.uint64(2) + np.uint64(1), r.integers(1, 5000, 20000)
+    q = bloom_lm.level(counts)
+    whole = np.zeros(1 << (bloom_lm.LOG2_BITS - 6), np.uint64)
+    size = 1 << (bloom_lm.LOG2_BITS - 6 - bloom_lm.LOG2_SEGMENTS)
+    segment = (grams >> np.uint64(64 - bloom_lm.LOG2_SEGMENTS)).astype(int)
+    for s in range(1 << bloom_lm.LOG2_SEGMENTS):
+        whole[s * size : (s + 1) * size] = bloom_lm.build_segment(grams[segment == s], q[segment == s])
+    got = bloom_lm.probe(whole, grams)
+    assert (got >= q).all() and (got == q).mean() > 0.99
+    assert (bloom_lm.probe(whole, r.integers(0, 2**63, 20000, dtype=np.uint64)) > 0).mean() < 0.01
+    ratio = bloom_lm.count_of(q) / counts
+    assert ratio.min() > 0.6 and ratio.max() < 1.6
+
+
+# 7 embeddings
+
+
+def plain_links(rows):
+    unit = {}
+    for i, v in rows:
+        if v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            a = np.array(np.array(v, np.float32), float)
+            unit[i] = a / np.linalg.norm(a)
+    return {(i, j) for i in unit for j in unit if i != j and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.9}
+
+
+def test_cap_filters_reach_brute_force(spark):
+    r = np.random.default_rng(1)
+    rows = []
+    for c in range(30):
+        base = r.standard_normal(32)
+        for _ in range(8):
+            rows.append((len(rows), [float(x) for x in base + r.standard_normal(32) * 0.28]))
+    rows += [(len(rows) + i, [float(x) for x in r.standard_normal(32)]) for i in range(100)]
+    n = len(rows)
+    rows += [(n, None), (n + 1, [0.0] * 32), (n + 2, [1.0, None] * 16), (n + 3, [float("nan")] * 32), (n + 4, []), (n + 5, rows[0][1]), (n + 6, rows[0][1][:8]), (n + 7, [float("inf")] * 32), (n + 8, [2 * x for x in rows[0][1]])]
+    df = spark.createDataFrame([(*x, 1) for x in rows], "vec_id long, embedding array<float>, cls int")
+    got = {x["vec_id"]: x for x in cap_filters.near_duplicates(df).collect()}
+    want = plain_links(rows)
+    assert len(got) == len(rows) and sum(x["n_links"] for x in got.values()) <= len(want)
+    assert sum(x["n_links"] for x in got.values()) >= 0.98 * len(want)
+    assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i and got[i]["kept"] for i in (n, n + 1, n + 2, n + 3, n + 4, n + 7))
+    assert got[n + 5]["component_id"] == got[n + 8]["component_id"] == got[0]["component_id"] == 0
+
+
+def test_cap_filters_hot_filters_in_tiles_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(cap_filters, "CHUNK", 8)
+    r = np.random.default_rng(2)
+    base = r.standard_normal(16)
+    rows = [(i, [float(x) for x in base + r.standard_normal(16) * 0.02]) for i in range(60)]
+    df = spark.createDataFrame([*rows, rows[0], (None, rows[0][1])], "vec_id long, embedding array<double>")
+    got = cap_filters.near_duplicates(df).collect()
+    assert [x["n_links"] for x in got] == [61] * 62 and {x["component_id"] for x in got} == {0}
+    assert cap_filters.near_duplicates(df.limit(0)).count() == 0
+
+
+# 8 urls
+
+
+def test_url_parts_and_rules(spark):
+    cases = [
+        ("http://Ex.ORG/es/1?x#y", "ex.org", "/es/1", "org/", "allow"), ("https://example.org/es/a", "example.org", "/es/a", "example.org/es/", "block"), ("https://a.example.org/en/12", "a.example.org", "/en/12", "example.org/en/1", "block"),
+        ("https://example.org", "example.org", "", None, "allow"), ("http://x.com/de/", "x.com", "/de/", "com/de/", "block"), ("http://x.com/fr/", "x.com", "/fr/", "com/fr/", "allow"), ("http://xcom/de/", "xcom", "/de/", None, "allow"),
+        ("x.org/es/", "", "", None, "allow"), (None, "", "", None, "allow"), ("http://A?b://c/d", "a", "", None, "allow"), ("://org/", "org", "/", "org/", "allow"), ("http://É.Org/", "É.org", "/", "org/", "allow"),
+    ]
+    df = spark.createDataFrame([(i, c[0], None, "x", "y") for i, c in enumerate(cases)], "page_id long, url string, html string, host string, verdict string")
+    assert [tuple(r)[1:] for r in sorted(url_filters.judge(df).collect(), key=lambda r: r["page_id"])] == [c[1:] for c in cases]
+    assert url_filters.judge(df.limit(0)).count() == 0
+
+
+def test_blocks_reach_aliases_but_not_allowed_ones(spark):
+    link = lambda u: f'<HTML><link href="{u}" rel=canonical>'
+    rows = [
+        (1, "http://a.net/1#x", link("//b.net/2")), (2, "https://b.net/2", '<meta http-equiv="Refresh" content="0; URL=http://x.com/de/9">'), (3, "http://ok.org/1", link("http://b.net/2")),
+        (4, "http://c.net/1", link("/2")), (5, "http://c.net/2", None), (6, "http://d.net/a/b", link("c")), (7, "http://d.net/a/c?q", link("mailto:x")), (2, "https://b.net/2", None),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert listed(url_filters.judge(df), "page_id", "verdict") == sorted([(1, "block"), (2, "block"), (2, "block"), (3, "allow"), (4, "allow"), (5, "allow"), (6, "allow"), (7, "allow")], key=repr)
+    more = spark.createDataFrame([("http://c.net/2", "http://y.com/de/1"), (None, "http://z")], "a string, b string")
+    assert dict(listed(url_filters.judge(df, redirects=more), "page_id", "verdict"))[4] == "block"
+
+
+# 9 fingerprints
+
+
+def plain_marks(text):
+    p, b, k, w = winnowing.PRIME, winnowing.BASE, winnowing.K, winnowing.W
+    h = [xxhash.xxh64_intdigest(x.encode(), seed=42) for x in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if x]
+    h = [(v - 2**64 if v >= 2**63 else v) % p for v in h]
+
+    def poly(run):
+        a = 0
+        for v in run:
+            a = (a * b + v) % p
+        return a
+
+    g = [poly(h[i : i + k]) for i in range(len(h) - k + 1)] if len(h) >= k else [poly(h)] if h else []
+    out = []
+    for i in range(max(1, len(g) - w + 1) if g else 0):
+        run = g[i : i + w]
+        at = i + max(j for j, v in enumerate(run) if v == min(run))
+        if (g[at], at) not in out:
+            out.append((g[at], at))
+    return out
+
+
+def test_fingerprints_equal_plain_winnowing(docs, texts):
+    show = lambda m: ",".join(f"{a:x}@{b:x}" for a, b in m)
+    like = lambda a, b: len({x for x, _ in a} & {x for x, _ in b}) / len({x for x, _ in a} | {x for x, _ in b}) if a or b else 1.0
+    got = {r["doc_id"]: r for r in winnowing.edited_fingerprints(docs, 5).collect()}
+    marks = [plain_marks(t) for t in texts]
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        t, after = t or "", texts[(i + 1) % len(texts)] or ""
+        cut = len(t) // 4
+        edited = t[: len(t) - cut] + after[:cut]
+        r = got[i]
+        assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["fingerprint"] == show(marks[i]) and r["edited_fingerprint"] == show(plain_marks(edited))
+        assert r["near_next"] == like(marks[i], marks[(i + 1) % len(texts)]) and r["near_edited"] == like(marks[i], plain_marks(edited))
+
+
+def test_fingerprints_share_long_runs(spark):
+    shared = prose(winnowing.K + winnowing.W - 1)
+    df = winnowing.fingerprint(spark.createDataFrame([(prose(50) + " " + shared + " " + prose(50),), (prose(9) + " " + shared,)], "text string"))
+    a, b = ({x.split("@")[0] for x in r["fingerprint"].split(",")} for r in df.collect())
+    assert a & b
+
+
+def test_fingerprints_odd_rows_and_native_plan(spark, odd):
+    rows = winnowing.edited_fingerprints(odd).collect()
+    assert len(rows) == 5 and len({r["fingerprint"] for r in rows}) == 2 and all(r["near_edited"] is not None and r["near_next"] is not None for r in rows)
+    assert winnowing.edited_fingerprints(odd.limit(0)).count() == 0
+    plan = winnowing.edited_fingerprints(odd)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan) and plan.count("zip_with") == 10
+
+
+# 10 secrets
+
+
+def tlv(tag, body):
+    n = len(body)
+    return bytes([tag]) + (bytes([n]) if n < 128 else bytes([0x80 | (n.bit_length() + 7) // 8]) + n.to_bytes((n.bit_length() + 7) // 8, "big")) + body
+
+
+def rsa():
+    return tlv(0x30, tlv(2, b"\0") + b"".join(tlv(2, b"\1" + rng.randbytes(63)) for _ in range(8)))
+
+
+def coded(b):
+    return base64.b64encode(b).decode()
+
+
+def jwt(header, claims, tail="c2lnbmF0dXJlLXBhcnQteHl6"):
+    enc = lambda o: base64.urlsafe_b64encode(json.dumps(o).encode()).decode().rstrip("=")
+    return f"{enc(header)}.{enc(claims)}.{tail}"
+
+
+def test_structural_confirmation():
+    key = rsa()
+    pkcs8 = tlv(0x30, tlv(2, b"\0") + tlv(0x30, tlv(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x01\x01") + tlv(5, b"")) + tlv(4, key))
+    assert [secrets.der_key(x) for x in (key, pkcs8, key[:-1], key + b"\0", b"", b"\x30\x03\x02\x01\x00")] == ["pkcs1", "pkcs8", None, None, None, None]
+    assert secrets.der_key(tlv(0x30, tlv(2, b"\1") + tlv(4, rng.randbytes(32)))) == "sec1"
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    ssh = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(rng.randbytes(51)) + field(rng.randbytes(136))
+    assert secrets.openssh_key(ssh) and not secrets.openssh_key(ssh[:-1]) and not secrets.openssh_key(ssh + b"x")
+    kinds = lambda t: [secrets.KINDS[k] for _, k, _, _ in secrets.spans_of(t)]
+    assert kinds(f"see {coded(key)} here") == ["key"] and kinds(f"see {key.hex()} here") == ["hex", "key"]
+    body = re.sub("(.{64})", r"\1\n", coded(pkcs8))
+    assert kinds(f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----") == ["key"]
+    assert kinds(jwt({"alg": "HS256"}, {"sub": "1"})) == ["jwt"] and kinds(jwt({"typ": "x"}, {"sub": "1"})) == [] and kinds(jwt({"alg": "HS256"}, {"sub": "1"}, "x")) == []
+    assert kinds(coded(rng.randbytes(200)).replace("=", "")) == [] and kinds("word " * 50 + "a.b.c") == []
+
+
+BASE = ["token=token:abcdefg", 'API_KEY : "abc123"', "passwd=abc", "secret:=x123456", "ſecret=abcdef", "AKIA" + "A" * 16, "AKIAAKIA" + "B" * 11, "x" + "0123456789abcdef" * 2 + "g", "A" * 50, "token = \"" + "0f" * 20 + '"', "é password=ünïc password='abcdef'", "", None]
+
+
+def test_base_spans_equal_plain_regexes(spark, docs, texts):
+    every = [*BASE, *(f"{prose(5)} {b} {prose(5)}" for b in BASE if b), f"日本 {coded(rsa())} 語", "\n".join(b or "" for b in BASE), *texts]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(every)], "doc_id long, text string, spans int")
+    got = {r["doc_id"]: r for r in secrets.secret_digest(df).collect()}
+    assert len(got) == len(every)
+    for i, t in enumerate(every):
+        t = t or ""
+        own = [(m.start(), 0, m.end()) for m in re.finditer(r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", t) if len(m[2]) >= 6]
+        own += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20] + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        base = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(own))
+        full = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b, _ in secrets.spans_of(t))
+        r = got[i]
+        assert (r["base_sha256"], r["spans"], r["n_assign"], r["n_access"], r["n_hex"]) == (hashlib.sha256(base.encode()).hexdigest(), full, *(sum(k == j for _, k, _ in own) for j in range(3)))
+
+
+def test_redaction_takes_effect_and_leaves_the_rest(spark, odd):
+    df = spark.createDataFrame([(1, "a token = \"abcdef123\" b", 22), (2, "clean", 5), (3, None, None), (4, "AKIA" + "Z" * 20 + "!", 25)], "doc_id long, text string, n_chars int")
+    assert listed(secrets.redact_secrets(df)) == [(1, 'a token = "[secret]" b', 22), (2, "clean", 5), (3, None, None), (4, "[secret]!", 9)]
+    assert listed(secrets.redact_secrets(odd)) == listed(odd)
