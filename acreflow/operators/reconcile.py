@@ -65,10 +65,10 @@ def shingle_links(df: DataFrame, key: str, text: str, width: int = 5, percent: i
 
 def clusters(df: DataFrame, key: str, links: DataFrame, content: str) -> DataFrame:
     """(key, cluster_id): rows of equal ``content`` or linked ones, directly or not; the smallest key of each."""
-    classes = df.groupBy(F.sha2(F.col(content), 256).alias("h")).agg(F.min(key).alias("k"))
-    own = df.select(F.col(key), F.sha2(F.col(content), 256).alias("h")).join(classes, "h", "left").select(key, F.coalesce("k", key).alias("k"))
-    found = connected_components(links, "a", "b").select(F.col("node").alias("k"), "component")
-    return own.join(found, "k", "left").select(key, F.coalesce("component", "k").alias("cluster_id"))
+    classes = df.groupBy(F.sha2(F.col(content), 256).alias("__h")).agg(F.min(key).alias("__rep"))
+    own = df.select(F.col(key), F.sha2(F.col(content), 256).alias("__h")).join(classes, "__h", "left").select(key, F.coalesce("__rep", key).alias("__rep"))
+    found = connected_components(links, "a", "b").select(F.col("node").alias("__rep"), "component")
+    return own.join(found, "__rep", "left").select(key, F.coalesce("component", "__rep").alias("cluster_id"))
 
 
 def canonical(members: DataFrame, cluster: str, key: str, completeness: Column, collected_at: str | None = None) -> DataFrame:

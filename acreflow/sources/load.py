@@ -21,7 +21,7 @@ def try_as(column: Column, kind: str) -> Column:
     """A value in the curated type, null if it cannot be; never an error."""
     text = F.trim(column.cast("string"))
     if kind == "date":
-        return F.coalesce(F.try_to_date(text, F.lit("yyyy-MM-dd")), F.try_to_date(text, F.lit("MM/dd/yyyy")), F.to_date(F.try_to_timestamp(text)))
+        return F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "MM/dd/yyyy"), F.to_date(F.try_to_timestamp(text)))
     return text if kind == "string" else text.try_cast(kind)
 
 
