@@ -73,7 +73,7 @@ def codes(dim: int, parts: int, size: int) -> tuple[np.ndarray, list[np.ndarray]
 def limit_of(dim: int, parts: int, size: int, threshold: float, cosine: float) -> float:
     """The inner product that a filter direction must be exceeded on.
 
-    ``threshold`` / sqrt(dim), or lower where 256 random pairs at the limit show that more than 1.5 in a hundred
+    ``threshold`` / sqrt(dim), or lower where 256 random pairs at the limit show that more than 1 in two hundred
     of them would share no filter; so short vectors, whose products follow no normal law, are found too.
     """
     books, plain = codes(dim, parts, size)[1], threshold / math.sqrt(dim)
@@ -92,7 +92,7 @@ def limit_of(dim: int, parts: int, size: int, threshold: float, cosine: float) -
             sums = (sums[:, :, :, None] + more[:, :, None, :]).reshape(2, 16, -1)
             at += c.shape[1]
         best += sums.min(axis=0).max(axis=1).tolist()
-    return min(plain, float(np.quantile(best, 0.015)))
+    return min(plain, float(np.quantile(best, 0.005)))
 
 
 def decode(unit: np.ndarray, parts: int, size: int, limit: float) -> tuple[np.ndarray, np.ndarray]:
@@ -122,11 +122,11 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-_ENTRY = "filter long, cls long, m long, vec binary, lower binary"
+_ENTRY = "filter long, cls long, m long, vec binary"
 
 
 def _decoded(kind: str, n: int, cosine: float, shared: float, whole: bool = True):
-    """Entries (filter, cls, m, vec, lower) of all filters of each vector, or with ``whole`` off the filters alone."""
+    """Entries (filter, cls, m, vec) of all filters of each vector, or with ``whole`` off the filters alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size, threshold = plan(n, cosine, shared)
@@ -146,20 +146,13 @@ def _decoded(kind: str, n: int, cosine: float, shared: float, whole: bool = True
                     if not whole:
                         yield pa.RecordBatch.from_arrays([pa.array(code)], ["filter"])
                         continue
-                    order = np.lexsort((code, row))
-                    row, code = row[order], code[order]
-                    first = np.searchsorted(row, np.arange(len(rows)))
-                    lower = [code[first[r] : i].astype(np.uint32).tobytes() if parts * size.bit_length() < 30 else code[first[r] : i].tobytes() for i, r in enumerate(row.tolist())]
                     raw = [v.tobytes() for v in x]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(code), pa.array(cls[rows][row]), pa.array(m[rows][row]), pa.array([raw[r] for r in row.tolist()], pa.binary()), pa.array(lower, pa.binary())],
-                        ["filter", "cls", "m", "vec", "lower"],
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(cls[rows][row]), pa.array(m[rows][row]), pa.array([raw[r] for r in row.tolist()], pa.binary())], ["filter", "cls", "m", "vec"])
 
     return run
 
 
-def _meet(kind: str, cosine: float, ids: np.ndarray, m: np.ndarray, unit: np.ndarray, lower: list[np.ndarray], chunk: np.ndarray, tile: tuple[int, int]) -> list[tuple[int, int, int]]:
+def _meet(cosine: float, law: tuple[int, int, float], filter_: int, ids: np.ndarray, m: np.ndarray, unit: np.ndarray, chunk: np.ndarray, tile: tuple[int, int]) -> list[tuple[int, int, int]]:
     """(cls, links counted here, cls of a row that it is connected with) for the rows of one filter or tile."""
     link = unit @ unit.T >= cosine
     np.fill_diagonal(link, False)
@@ -169,8 +162,11 @@ def _meet(kind: str, cosine: float, ids: np.ndarray, m: np.ndarray, unit: np.nda
     if not len(some):
         return []
     link, ids, m = link[np.ix_(some, some)], ids[some], m[some]
-    _, column, rows = np.unique(np.concatenate([lower[i] for i in some]), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(some)), [len(lower[i]) for i in some])
+    # Pairs that meet in a smaller filter too were counted there: the filters of linked rows are decoded again.
+    row, code = decode(unit[some], *law)
+    smaller = code + (unit.shape[1] << 42) < filter_
+    row, code = row[smaller], code[smaller]
+    _, column, rows = np.unique(code, return_inverse=True, return_counts=True)
     kept = rows[column] > 1
     before = np.zeros(link.shape, np.float32)
     if kept.any():
@@ -191,22 +187,24 @@ def _meet(kind: str, cosine: float, ids: np.ndarray, m: np.ndarray, unit: np.nda
     return list(zip(ids.tolist(), counted.tolist(), ids[label].tolist(), strict=True))
 
 
-def _verified(kind: str, cosine: float, width: type):
+def _verified(kind: str, n: int, cosine: float, shared: float):
     """Streams rows sorted by (filter, i, j) and works off each filter or tile as soon as it is whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        parts, size, threshold = plan(n, cosine, shared)
 
         def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
             key = np.stack([table.column(c).to_numpy() for c in ("filter", "i", "j")])
             ids, m, chunk = (table.column(c).to_numpy() for c in ("cls", "m", "chunk"))
-            vec, lower = table.column("vec").to_pylist(), table.column("lower").to_pylist()
+            vec = table.column("vec").to_pylist()
             edges = np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0), [True])))
             out: list[tuple[int, int, int]] = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if b - a > 1:
                     unit = unit_rows(np.frombuffer(b"".join(vec[a:b]), kind).reshape(b - a, -1))
-                    out += _meet(kind, cosine, ids[a:b], m[a:b], unit, [np.frombuffer(x, width) for x in lower[a:b]], chunk[a:b], (int(key[1, a]), int(key[2, a])))
+                    law = (parts, size, limit_of(unit.shape[1], parts, size, threshold, cosine))
+                    out += _meet(cosine, law, int(key[0, a]), ids[a:b], m[a:b], unit, chunk[a:b], (int(key[1, a]), int(key[2, a])))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], ["cls", "links", "to"])
 
@@ -238,7 +236,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shared: float =
 
     Rows whose embedding is null, empty or zero or holds null or non-finite components link with nothing.
     Only vectors of one length are compared.  Equal vectors link whatever their ids; repeated rows count each.
-    A pair is found with a probability that falls with its distance, about 0.98 at the limit; none below the
+    A pair is found with a probability that falls with its distance, about 0.99 at the limit; none below the
     limit is reported.  Rows with a null vec_id take part, their own component_id may be null.
     """
     kind = "f4" if "float" in dict(vectors.dtypes)["embedding"] else "f8"
@@ -248,15 +246,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shared: float =
     ids = stored(source.select("vec_id", "cls"), "ids")
     classes = stored(source.filter("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("m"), F.first("embedding").alias("embedding")), "classes")
     n = classes.count()
-    parts, size, _ = plan(n, cosine, shared)
-    width = np.uint32 if parts * size.bit_length() < 30 else np.int64
     entries = classes.mapInArrow(_decoded(kind, n, cosine, shared), _ENTRY)
     seen = classes.select("cls", "m", "embedding").mapInArrow(_decoded(kind, n, cosine, shared, False), "filter long")
     many = seen.groupBy("filter").count().filter(F.col("count") > 2 * CHUNK).select("filter", F.ceil(F.col("count") / CHUNK).cast("int").alias("q"))
     dealt = entries.join(many, "filter", "left").withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("cls"), "q"), F.lit(0)).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.coalesce("q", F.lit(1)) - 1)).alias("o")
-    tiles = dealt.select("filter", "cls", "m", "vec", "lower", "chunk", other).withColumns({"i": F.least("chunk", "o"), "j": F.greatest("chunk", "o")}).drop("o")
-    met = stored(tiles.repartition("filter", "i", "j").sortWithinPartitions("filter", "i", "j").mapInArrow(_verified(kind, cosine, width), "cls long, links long, to long"), "met")
+    tiles = dealt.select("filter", "cls", "m", "vec", "chunk", other).withColumns({"i": F.least("chunk", "o"), "j": F.greatest("chunk", "o")}).drop("o")
+    met = stored(tiles.repartition("filter", "i", "j").sortWithinPartitions("filter", "i", "j").mapInArrow(_verified(kind, n, cosine, shared), "cls long, links long, to long"), "met")
     links = met.groupBy("cls").agg(F.sum("links").alias("links"))
     found = connected_components(met, "cls", "to").select(F.col("node").alias("cls"), F.col("component").alias("c"))
     size = ids.filter("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("least"))
