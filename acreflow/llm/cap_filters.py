@@ -1,13 +1,14 @@
 """Near-duplicate embeddings by spherical-cap filters.
 
-A vector, turned by a fixed random rotation, is cut into m parts; each part has a code of B random directions,
-and every choice of one direction from each code is a filter direction, B**m in all.  A vector is list-decoded
-to all filters whose direction it exceeds a threshold on: partial sums are extended part by part while the
-best that can still follow reaches the threshold.  Similar vectors exceed common filters, so rows are joined
-on filters and every pair that meets is verified by its cosine in double precision.
+A vector, turned by a fixed random rotation, is cut into two parts; each part has a code of B random directions,
+and every choice of one direction from each code is a filter direction, B**2 in all.  A vector is list-decoded
+to all filters whose direction it exceeds a limit on: of each part only directions are combined that reach the
+limit with the best of the other parts.  Similar vectors exceed common filters, so rows are joined on filters and
+every pair that meets is verified by its cosine in double precision.
 
-B and m follow the number of vectors, so a filter holds a bounded number of unrelated ones; the threshold
-follows from the number of filters that a pair at the limit is expected to share (``SHARED``).
+B follows the number of vectors, so a filter holds a bounded number of unrelated ones; the limit follows from the
+number of filters that a pair at the limit of cosine is expected to share (``SHARED``), and at every size from
+what random pairs share.
 
 A pair is counted where it meets first, in the smallest filter that both have: no pair is ever emitted, only
 counts and a spanning set of links per filter.  Equal vectors are one class with a multiplicity.  A filter
@@ -34,6 +35,8 @@ COSINE = 0.9
 SHARED = 14.0
 #: Rows in a chunk of a filter; filters with more rows are cut into tiles.
 CHUNK = 1024
+#: Random pairs at the limit that the filter limit is measured on.
+PAIRS = 2048
 
 
 @lru_cache(maxsize=64)
@@ -41,13 +44,8 @@ def plan(n: int, cosine: float, shared: float) -> tuple[int, int, float]:
     """(parts, directions in each, threshold in standard deviations) for ``n`` vectors."""
     parts, size = 2, 64
     while size**parts < max(n, 1 << 14):
-        if size < 1024:
-            size *= 2
-        else:
-            parts, size = parts + 1, 256
+        size *= 2
     law, filters = NormalDist(), float(size) ** parts
-    if filters > 1 << 16:  # too many to measure in limit_of: more shared ones on average stand in for that
-        shared *= 3
     low, high = 0.0, 12.0
     for _ in range(60):
         mid = (low + high) / 2
@@ -69,51 +67,101 @@ def codes(dim: int, parts: int, size: int) -> tuple[np.ndarray, list[np.ndarray]
     return turn, out
 
 
+def best_shared(products: list[tuple[np.ndarray, np.ndarray]]) -> float:
+    """The highest limit at which a pair shares a filter, from the products of both with the directions of each part.
+
+    Of a part, and of the sums over the parts so far, only choices matter that no other one equals or exceeds for both.
+    """
+    a, b = np.zeros(1), np.zeros(1)
+    for x, y in products:
+        for own in (True, False):
+            if not own:
+                x, y = (a[:, None] + x).ravel(), (b[:, None] + y).ravel()
+            able = (x >= x[y.argmax()]) & (y >= y[x.argmax()])
+            x, y = x[able], y[able]
+            order = np.lexsort((-y, -x))
+            x, y = x[order], y[order]
+            first = np.concatenate(([True], y[1:] > np.maximum.accumulate(y)[:-1]))
+            x, y = x[first], y[first]
+        a, b = x, y
+    return float(np.minimum(a, b).max())
+
+
 @lru_cache(maxsize=64)
-def limit_of(dim: int, parts: int, size: int, threshold: float, cosine: float) -> float:
-    """The inner product that a filter direction must be exceeded on.
+def limit_of(dim: int, parts: int, size: int, threshold: float, cosine: float) -> tuple[float, float]:
+    """The inner product that a filter direction must be exceeded on, and of how many filters a random vector does.
 
-    ``threshold`` / sqrt(dim), or lower where 256 random pairs at the limit show that more than 1 in two hundred
-    of them would share no filter; so short vectors, whose products follow no normal law, are found too.
+    ``threshold`` / sqrt(dim), or lower where ``PAIRS`` random pairs at the limit show that more than 1 in five hundred
+    of them would share no filter; so vectors whose products follow no normal law are found too, at any size.
     """
     books, plain = codes(dim, parts, size)[1], threshold / math.sqrt(dim)
-    filters = size ** len(books)
-    if filters > 1 << 16:
-        return plain
-    rng, best = np.random.default_rng(dim), []
-    for _ in range(16):
+    rng, best, kept = np.random.default_rng(dim), [], []
+    for _ in range(PAIRS // 16):
         x, y = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.standard_normal((2, 16, dim)))
         y -= (x * y).sum(axis=1, keepdims=True) * x
         n = np.linalg.norm(y, axis=1, keepdims=True)
         y = cosine * x + math.sqrt(1 - cosine**2) * np.divide(y, n, out=np.zeros_like(y), where=n > 0)
-        sums, at = np.zeros((2, 16, 1)), 0
+        products, at = [], 0
         for c in books:
-            more = np.stack([v[:, at : at + c.shape[1]] @ c.T for v in (x, y)])
-            sums = (sums[:, :, :, None] + more[:, :, None, :]).reshape(2, 16, -1)
+            products.append([v[:, at : at + c.shape[1]] @ c.T for v in (x, y)])
             at += c.shape[1]
-        best += sums.min(axis=0).max(axis=1).tolist()
-    return min(plain, float(np.quantile(best, 0.005)))
+        best += [best_shared([(p[i], q[i]) for p, q in products]) for i in range(16)]
+        if len(kept) < 64:
+            kept += [[p[i] for p, _ in products] for i in range(16)]
+    limit = min(plain, float(np.quantile(best, 0.002)))
+    ends = [np.sort(v[-1]) for v in kept]
+    heads = [v[0] if len(v) > 1 else np.zeros(1) for v in kept]
+    return limit, float(np.mean([(size - np.searchsorted(e, limit - h)).sum() for e, h in zip(ends, heads, strict=True)]))
+
+
+@lru_cache(maxsize=64)
+def law_of(dim: int, n: int, cosine: float, shared: float) -> tuple[int, int, float]:
+    """(parts, directions in each, limit) for the vectors of one length.
+
+    In few dimensions directions crowd: codes are halved while that about halves the filters of a vector, so
+    comparisons, which go by their square over the number of filters, hardly become more.
+    """
+    parts, size, threshold = plan(n, cosine, shared)
+    limit, copies = limit_of(dim, parts, size, threshold, cosine)
+    while size > 16:
+        fewer = limit_of(dim, parts, size // 2, threshold, cosine)
+        if 1.8 * fewer[1] > copies:
+            break
+        size, (limit, copies) = size // 2, fewer
+    return parts, size, limit
 
 
 def decode(unit: np.ndarray, parts: int, size: int, limit: float) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter) for all filters whose direction a unit row exceeds ``limit`` on; by row."""
     turn, books = codes(unit.shape[1], parts, size)
-    turned, at, sums = unit @ turn, 0, []
-    for c in books:
-        sums.append(turned[:, at : at + c.shape[1]] @ c.T)
-        at += c.shape[1]
-    best = [s.max(axis=1) for s in sums]
-    row, code, total = np.arange(len(unit)), np.zeros(len(unit), np.int64), np.zeros(len(unit))
-    for i, s in enumerate(sums):
-        rest = sum(best[i + 1 :], np.zeros(len(unit)))
-        found = [(row[:0], code[:0], total[:0])]
-        for a in range(0, len(row), 1 << 14):
-            r, t = row[a : a + (1 << 14)], total[a : a + (1 << 14)]
-            reach = s[r] + (t + rest[r])[:, None]
-            k, j = np.nonzero(reach >= limit)
-            found.append((r[k], code[a + k] * size + j, t[k] + s[r[k], j]))
-        row, code, total = (np.concatenate(x) for x in zip(*found, strict=True))
-    return row, code
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    step = max(16, (1 << 21) // size)
+    for start in range(0, len(unit), step):
+        turned, at, sums = unit[start : start + step] @ turn, 0, []
+        for c in books:
+            sums.append(turned[:, at : at + c.shape[1]] @ c.T)
+            at += c.shape[1]
+        best = [s.max(axis=1) for s in sums]
+        n = len(turned)
+        row, code, total = np.arange(n), np.zeros(n, np.int64), np.zeros(n)
+        for i, s in enumerate(sums):
+            rest = sum(best[i + 1 :], np.zeros(n))
+            k, j = np.nonzero(s >= (limit - rest - sum(best[:i], np.zeros(n)) - 1e-9)[:, None])
+            value, begin = s[k, j], np.searchsorted(k, np.arange(n + 1))
+            times = np.diff(begin)[row]
+            ends, out, a = np.cumsum(times), [(row[:0], code[:0], total[:0])], 0
+            while a < len(row):
+                b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 21), "right")))
+                own = np.repeat(np.arange(a, b), times[a:b])
+                pick = begin[row[own]] + np.arange(len(own)) - np.repeat(np.cumsum(times[a:b]) - times[a:b], times[a:b])
+                more = total[own] + value[pick]
+                reach = np.flatnonzero(more + rest[row[own]] >= limit)
+                own = own[reach]
+                out.append((row[own], code[own] * size + j[pick[reach]], more[reach]))
+                a = b
+            row, code, total = (np.concatenate(x) for x in zip(*out, strict=True))
+        found.append((row + start, code))
+    return np.concatenate([r for r, _ in found]), np.concatenate([c for _, c in found])
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -129,7 +177,6 @@ def _decoded(kind: str, n: int, cosine: float, shared: float, whole: bool = True
     """Entries (filter, cls, m, vec) of all filters of each vector, or with ``whole`` off the filters alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size, threshold = plan(n, cosine, shared)
         for batch in batches:
             vectors = batch.column("embedding")
             dims = np.diff(vectors.offsets.to_numpy())
@@ -137,11 +184,11 @@ def _decoded(kind: str, n: int, cosine: float, shared: float, whole: bool = True
             starts = np.concatenate(([0], np.cumsum(dims)))
             cls, m = batch.column("cls").to_numpy(), batch.column("m").to_numpy()
             for dim in np.unique(dims).tolist():
-                limit = limit_of(dim, parts, size, threshold, cosine)
+                law = law_of(dim, n, cosine, shared)
                 for at in range(0, len(own := np.flatnonzero(dims == dim)), 1024):
                     rows = own[at : at + 1024]
                     x = flat[starts[rows][:, None] + np.arange(dim)]
-                    row, code = decode(unit_rows(x), parts, size, limit)
+                    row, code = decode(unit_rows(x), *law)
                     code += dim << 42
                     if not whole:
                         yield pa.RecordBatch.from_arrays([pa.array(code)], ["filter"])
@@ -192,7 +239,6 @@ def _verified(kind: str, n: int, cosine: float, shared: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        parts, size, threshold = plan(n, cosine, shared)
 
         def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
             key = np.stack([table.column(c).to_numpy() for c in ("filter", "i", "j")])
@@ -203,7 +249,7 @@ def _verified(kind: str, n: int, cosine: float, shared: float):
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if b - a > 1:
                     unit = unit_rows(np.frombuffer(b"".join(vec[a:b]), kind).reshape(b - a, -1))
-                    law = (parts, size, limit_of(unit.shape[1], parts, size, threshold, cosine))
+                    law = law_of(unit.shape[1], n, cosine, shared)
                     out += _meet(cosine, law, int(key[0, a]), ids[a:b], m[a:b], unit, chunk[a:b], (int(key[1, a]), int(key[2, a])))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], ["cls", "links", "to"])

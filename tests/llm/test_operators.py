@@ -392,6 +392,32 @@ def test_cap_filters_reach_brute_force(spark):
     assert got[n + 5]["component_id"] == got[n + 8]["component_id"] == got[0]["component_id"] == 0
 
 
+@pytest.mark.parametrize("dim,n", [(64, 10**5), (64, 10**6), (64, 3 * 10**6), (32, 3 * 10**6), (16, 3 * 10**6), (8, 10**6), (2, 10**6), (1, 10**6)])
+def test_cap_filters_find_pairs_by_the_plan_of_any_size(dim, n):
+    r = np.random.default_rng(dim + n)
+    x, z = r.standard_normal((2, 600, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (x * z).sum(axis=1, keepdims=True) * x
+    z = z / np.linalg.norm(z, axis=1, keepdims=True) if dim > 1 else x  # in one dimension only equal directions link
+    y = 0.9001 * x + math.sqrt(1 - 0.9001**2) * z
+    rows = np.concatenate([x, y]) * r.uniform(0.5, 2, (1200, 1))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1200)), pa.array([1] * 1200), pa.array(rows.tolist())], ["cls", "m", "embedding"])
+    entries = pa.Table.from_batches(cap_filters._decoded("f8", n, 0.9, cap_filters.SHARED)([batch]))
+    code, row = entries.column("filter").to_numpy(), entries.column("cls").to_numpy()
+    both = np.intersect1d(code[row < 600] * 600 + row[row < 600], code[row >= 600] * 600 + row[row >= 600] - 600)
+    assert len(np.unique(both % 600)) >= 0.98 * 600
+    assert len(entries) < 1200 * 900
+
+
+def test_decoding_equals_all_sums():
+    unit = cap_filters.unit_rows(np.random.default_rng(3).standard_normal((70, 24)))
+    turn, books = cap_filters.codes(24, 2, 64)
+    sums = (unit @ turn)[:, :12] @ books[0].T
+    every = sums[:, :, None] + ((unit @ turn)[:, 12:] @ books[1].T)[:, None, :]
+    row, code = cap_filters.decode(unit, 2, 64, 0.45)
+    assert list(zip(row.tolist(), code.tolist())) == list(zip(*(x.tolist() for x in np.nonzero(every.reshape(70, -1) >= 0.45))))
+
+
 def test_cap_filters_hot_filters_in_tiles_and_repeated_rows(spark, monkeypatch):
     monkeypatch.setattr(cap_filters, "CHUNK", 8)
     r = np.random.default_rng(2)
