@@ -181,9 +181,13 @@ def spans_of(text: str | None) -> list[tuple[int, int, int, int]]:
     return sorted(base_spans(text or "") + confirmed_spans(text or ""))
 
 
-def _runs(mask: np.ndarray, least: int) -> np.ndarray:
-    """Where runs of at least ``least`` set bytes begin."""
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8)))
+def _runs(mask: np.ndarray, offsets: np.ndarray, least: int) -> np.ndarray:
+    """Where runs of at least ``least`` set bytes of one text begin."""
+    shift = np.diff(np.concatenate(([False], mask, [False])).astype(np.int8))
+    shift, bounds = np.flatnonzero(shift), offsets[1:-1]
+    bounds = np.unique(bounds[(bounds > 0) & (bounds < len(mask))])
+    bounds = bounds[mask[bounds - 1] & mask[bounds]]  # a run across a bound ends and begins there
+    edge = np.sort(np.concatenate((shift, bounds, bounds)))
     return edge[::2][edge[1::2] - edge[::2] >= least]
 
 
@@ -202,8 +206,8 @@ def _scan(column: pa.Array) -> Iterator[list[tuple[int, int, int, int]]]:
         where = {
             "assign": [x for w in (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key") for x in _found(low, w)],
             "access": _found(data, b"AKIA"),
-            "hex": _runs(_LOWER_HEX[raw], MIN_HEX),
-            "coded": [*_runs(_CODED_BYTES[raw], MIN_CODED - 20), *_found(data, b"-----BEGIN ")],
+            "hex": _runs(_LOWER_HEX[raw], offsets, MIN_HEX),
+            "coded": [*_runs(_CODED_BYTES[raw], offsets, MIN_CODED - 20), *_found(data, b"-----BEGIN ")],
         }
         todo: dict[int, set[str]] = {}
         for kind, at in where.items():

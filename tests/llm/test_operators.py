@@ -565,6 +565,15 @@ def test_base_spans_equal_plain_regexes(spark, docs, texts):
         assert (r["base_sha256"], r["spans"], r["n_assign"], r["n_access"], r["n_hex"]) == (hashlib.sha256(base.encode()).hexdigest(), full, *(sum(k == j for _, k, _ in own) for j in range(3)))
 
 
+def test_rows_are_scanned_alone_whatever_the_row_before_ends_in():
+    key = rsa()
+    secret = ["0123456789abcdef0123456789abcdef is a hash", coded(key) + " key", key.hex() + " key", jwt({"alg": "HS256"}, {"sub": "1"}) + " token", "0123456789abcdef" * 2]
+    rows = [x for s in secret for end in ("ends with code", "a full stop.", "", None, "é", "0123456789abcdef0123", "a/") for x in (end, s)] + secret
+    assert all(secrets.spans_of(s) for s in secret)
+    for column in (rows, rows[1:], ["0123456789ab"] * 3, ["", None]):
+        assert list(secrets._scan(pa.array(column, pa.string()))) == [secrets.spans_of(t) for t in column]
+
+
 def test_redaction_takes_effect_and_leaves_the_rest(spark, odd):
     df = spark.createDataFrame([(1, "a token = \"abcdef123\" b", 22), (2, "clean", 5), (3, None, None), (4, "AKIA" + "Z" * 20 + "!", 25)], "doc_id long, text string, n_chars int")
     assert listed(secrets.redact_secrets(df)) == [(1, 'a token = "[secret]" b', 22), (2, "clean", 5), (3, None, None), (4, "[secret]!", 9)]
