@@ -1,9 +1,11 @@
 """Secret scans: pattern matches, and structural confirmation of what decodes to a key or a signed token.
 
 Base kinds are three patterns.  On top of them, every run that could be base64, base64url or hexadecimal is
-decoded and parsed: private keys in DER (PKCS#1, PKCS#8 plain or encrypted, SEC1) with all nested lengths adding up exactly, OpenSSH private keys with their length-prefixed fields, and tokens of three
-dot-separated parts whose first part is a JSON header that names an algorithm.  Only confirmed ones are
-reported.  Texts are first narrowed down on their raw bytes, which can pass too many but never too few.
+decoded and parsed: private keys in DER (PKCS#1, PKCS#8 plain with its inner key or encrypted, SEC1) with all nested
+lengths adding up exactly, OpenSSH private keys with their length-prefixed fields, and tokens of three
+dot-separated parts whose first part is a JSON header that names an algorithm.  A run that fails as a whole is
+tried again from where a key or a header can begin behind a separator.  Only confirmed ones are reported.  Texts are
+first narrowed down on their raw bytes, which can pass too many but never too few.  Scanning is linear in a text.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +34,17 @@ BASE_KINDS = ("assign", "access", "hex")
 #: In the order in which spans with one start are listed.
 KINDS = (*BASE_KINDS, "key", "jwt")
 
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,60})-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,60})-----([A-Za-z0-9+/=\s\\]+)-----END \1-----")
+#: Line ends in a PEM body, as they are or escaped as in JSON.
+_BREAKS = re.compile(r"\\[nrt]|\s+")
 _CODED = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_CODED)
+#: Where a DER sequence or an OpenSSH key can begin behind a separator inside a run.
+_INNER_KEY = re.compile(r"(?<=[/_-])(?:M[C-I]|b3BlbnNzaC1rZXktdjE)")
 _HEX_ANY = re.compile(r"[0-9A-Fa-f]{%d,}" % (2 * MIN_CODED))
-_JWT = re.compile(r"[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+#: Three dot-separated parts; looked for at each run of such characters, so runs that follow one another are all tried.
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*))")
+_INNER_TOKEN = re.compile(r"[_-](?=ey[A-Za-z0-9_-]{8,})")
+_JSON_OPENING = re.compile(rb'\{\s*"[\x20-\x7e\s]*')
 
 
 def _class(chars: str) -> np.ndarray:
@@ -75,25 +85,60 @@ def _der_children(b: bytes, at: int, end: int) -> list[tuple[int, int, int]] | N
     return out
 
 
+#: Object identifiers as DER writes them.
+_RSA, _EC, _DSA, _DH = (bytes.fromhex(x) for x in ("2a864886f70d010101", "2a8648ce3d0201", "2a8648ce380401", "2a864886f70d010301"))
+_EDWARDS = tuple(bytes.fromhex(x) for x in ("2b656e", "2b656f", "2b6570", "2b6571"))
+_PASSWORD_BASED = tuple(bytes.fromhex(x) for x in ("2a864886f70d0105", "2a864886f70d010c"))
+
+
+def _pkcs1(b: bytes, parts: list[tuple[int, int, int]]) -> bool:
+    whole = len(parts) >= 9 and all(t == 0x02 for t, _, _ in parts[:9]) and all(t == 0x30 for t, _, _ in parts[9:])
+    return whole and b[parts[0][1] : parts[0][2]] in (b"\0", b"\1") and parts[1][2] - parts[1][1] >= 32
+
+
+def _sec1(b: bytes, parts: list[tuple[int, int, int]]) -> bool:
+    tags = [t for t, _, _ in parts]
+    return tags[:2] == [0x02, 0x04] and b[parts[0][1] : parts[0][2]] == b"\1" and parts[1][2] - parts[1][1] >= 16 and set(tags[2:]) <= {0xA0, 0xA1}
+
+
+def _inner_key(oid: bytes, b: bytes) -> bool:
+    """Whether ``b`` is what the private key field of PKCS#8 holds for an algorithm; for one not known here, any one element."""
+    top = _der_item(b, 0, len(b))
+    if top is None or top[2] != len(b):
+        return False
+    if oid in _EDWARDS:
+        return top[0] == 0x04 and top[2] - top[1] in (32, 56, 57)
+    if oid in (_DSA, _DH):
+        return top[0] == 0x02 and top[2] - top[1] >= 16
+    parts = _der_children(b, top[1], top[2]) if top[0] == 0x30 else None
+    if oid == _RSA:
+        return bool(parts) and _pkcs1(b, parts)
+    if oid == _EC:
+        return bool(parts) and _sec1(b, parts)
+    return bool(parts) or (top[0] in (0x02, 0x04) and top[2] - top[1] >= 16)
+
+
 def der_key(b: bytes) -> str | None:
-    """The encoding of the key that ``b`` is, nested lengths and all, or None."""
+    """The encoding of the key that ``b`` is, nested lengths and the inner key included, or None."""
     top = _der_item(b, 0, len(b))
     if top is None or top[0] != 0x30 or top[2] != len(b):
         return None
     parts = _der_children(b, top[1], top[2])
     if not parts:
         return None
-    tags, value = [p[0] for p in parts], lambda i: b[parts[i][1] : parts[i][2]]
-    algorithm = lambda i: (c := _der_children(b, parts[i][1], parts[i][2])) and c[0][0] == 0x06 and c[0][2] - c[0][1] >= 3
-    if len(tags) >= 9 and set(tags[:9]) == {0x02} and value(0) in (b"\0", b"\1") and parts[1][2] - parts[1][1] >= 32:
+    tags = [p[0] for p in parts]
+    if _pkcs1(b, parts):
         return "pkcs1"
-    if tags[:3] == [0x02, 0x30, 0x04] and value(0) in (b"\0", b"\1") and algorithm(1) and parts[2][2] - parts[2][1] >= 16:
-        return "pkcs8"
-    if tags[:2] == [0x02, 0x04] and value(0) == b"\1" and parts[1][2] - parts[1][1] >= 16 and set(tags[2:]) <= {0xA0, 0xA1}:
+    if _sec1(b, parts):
         return "sec1"
-    if tags == [0x30, 0x04] and algorithm(0) and parts[1][2] - parts[1][1] >= 32:
-        return "pkcs8, encrypted"
-    return None
+    at = 1 if tags[:3] == [0x02, 0x30, 0x04] else 0 if tags == [0x30, 0x04] else -1
+    algorithm = _der_children(b, parts[at][1], parts[at][2]) if at >= 0 else None
+    if not algorithm or algorithm[0][0] != 0x06 or algorithm[0][2] - algorithm[0][1] < 3:
+        return None
+    oid, body = b[algorithm[0][1] : algorithm[0][2]], b[parts[at + 1][1] : parts[at + 1][2]]
+    if at and b[parts[0][1] : parts[0][2]] in (b"\0", b"\1") and set(tags[3:]) <= {0xA0, 0xA1, 0x81} and _inner_key(oid, body):
+        return "pkcs8"
+    return "pkcs8, encrypted" if not at and oid.startswith(_PASSWORD_BASED) and len(body) >= 32 else None
 
 
 def openssh_key(b: bytes) -> bool:
@@ -144,6 +189,35 @@ def is_signed_token(run: str) -> bool:
     return isinstance(header, dict) and isinstance(claims, dict) and isinstance(header.get("alg"), str) and (len(parts[2]) >= 16 or header["alg"].lower() == "none")
 
 
+def _inner_token(run: str) -> int:
+    """Where in a run a token begins behind a separator; -1 if none does.  Only what opens as a JSON object of ASCII is decoded whole."""
+    dot = run.index(".")
+    for m in _INNER_TOKEN.finditer(run, 0, dot):
+        near = min(m.end() + 64, dot)
+        opening = _decoded(run[m.end() : near - (near - m.end()) % 4]) or b""
+        if _JSON_OPENING.fullmatch(opening) and is_signed_token(run[m.end() :]):
+            return m.end()
+    return -1
+
+
+def _inner_der(run: str) -> tuple[int, int] | None:
+    """(start, end) of the first key inside a run behind a separator.  The length that opens a sequence says how far it has to go."""
+    for m in _INNER_KEY.finditer(run):
+        at, end = m.start(), len(run)
+        if run[at] == "M":
+            opening = _decoded(run[at : at + 12]) or b""
+            k = opening[1] & 0x7F if len(opening) == 9 and opening[1] & 0x80 else 0
+            if len(opening) < 9 or k > 4 or opening[2 + k] not in (0x02, 0x30):
+                continue
+            n = 2 + k + (int.from_bytes(opening[2 : 2 + k], "big") if k else opening[1])
+            end = at + (4 * n + 2) // 3
+            if end - at < MIN_CODED or end > len(run):
+                continue
+        if is_key(_decoded(run[at:end])):
+            return at, end if run[end:].strip("=") else len(run)
+    return None
+
+
 def base_spans(text: str, kinds: frozenset = frozenset(BASE_KINDS)) -> list[tuple[int, int, int, int]]:
     """(start, rank of the kind, end, start of the secret itself): leftmost non-overlapping of each kind."""
     out = []
@@ -156,23 +230,49 @@ def base_spans(text: str, kinds: frozenset = frozenset(BASE_KINDS)) -> list[tupl
     return out
 
 
+class _Taken:
+    """Spans that do not overlap, in order."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def free(self, a: int, b: int) -> bool:
+        i = bisect_right(self.starts, a)
+        return not (i and self.ends[i - 1] > a) and not (i < len(self.starts) and self.starts[i] < b)
+
+    def add(self, a: int, b: int) -> None:
+        i = bisect_right(self.starts, a)
+        self.starts.insert(i, a)
+        self.ends.insert(i, b)
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int, int]]:
     """Spans that decode to a key (3) or a signed token (4)."""
-    out, taken = [], []
+    out, taken = [], _Taken()
+
+    def report(a: int, kind: int, b: int) -> None:
+        out.append((a, kind, b, a))
+        taken.add(a, b)
+
     for m in _PEM.finditer(text):
-        if is_key(_decoded(re.sub(r"\s+", "", m[2]))):
-            out.append((m.start(), 3, m.end(), m.start()))
-            taken.append((m.start(), m.end()))
-    free = lambda m: all(m.end() <= a or m.start() >= b for a, b in taken)
+        if is_key(_decoded(_BREAKS.sub("", m[2]))):
+            report(m.start(), 3, m.end())
     for m in _JWT.finditer(text):
-        if is_signed_token(m[0]):
-            out.append((m.start(), 4, m.end(), m.start()))
-            taken.append((m.start(), m.end()))
+        if is_signed_token(m[1]):
+            inner = 0
+        elif (inner := _inner_token(m[1])) < 0:
+            continue
+        if taken.free(m.start() + inner, m.end(1)):
+            report(m.start() + inner, 4, m.end(1))
     for pattern, decode in ((_HEX_ANY, lambda r: bytes.fromhex(r) if len(r) % 2 == 0 else None), (_CODED, _decoded)):
         for m in pattern.finditer(text):
-            if free(m) and is_key(decode(m[0])):
-                out.append((m.start(), 3, m.end(), m.start()))
-                taken.append((m.start(), m.end()))
+            if not taken.free(m.start(), m.end()):
+                continue
+            if is_key(decode(m[0])):
+                report(m.start(), 3, m.end())
+            elif pattern is _CODED and (inside := _inner_der(m[0])):
+                report(m.start() + inside[0], 3, m.start() + inside[1])
     return out
 
 

@@ -7,6 +7,7 @@ import json
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -565,6 +566,39 @@ def test_base_spans_equal_plain_regexes(spark, docs, texts):
         assert (r["base_sha256"], r["spans"], r["n_assign"], r["n_access"], r["n_hex"]) == (hashlib.sha256(base.encode()).hexdigest(), full, *(sum(k == j for _, k, _ in own) for j in range(3)))
 
 
+def test_inner_keys_of_pkcs8_and_what_only_looks_like_one():
+    wrap = lambda oid, inner: tlv(0x30, tlv(2, b"\0") + tlv(0x30, tlv(6, bytes.fromhex(oid)) + tlv(5, b"")) + tlv(4, inner))
+    sec1 = tlv(0x30, tlv(2, b"\1") + tlv(4, rng.randbytes(32)))
+    good = [wrap("2a864886f70d010101", rsa()), wrap("2a8648ce3d0201", sec1), wrap("2b6570", tlv(4, rng.randbytes(32))), wrap("2a8648ce380401", tlv(2, b"\1" * 20)), wrap("2a030405", tlv(0x30, tlv(2, b"\1")))]
+    bad = [wrap("2a864886f70d010101", rng.randbytes(64)), wrap("2a864886f70d010101", sec1), wrap("2a8648ce3d0201", rsa()), wrap("2b6570", tlv(4, rng.randbytes(31))), wrap("2a030405", b"x" * 40)]
+    assert [secrets.der_key(x) for x in good] == ["pkcs8"] * 5 and [secrets.der_key(x) for x in bad] == [None] * 5
+    digest = tlv(0x30, tlv(0x30, tlv(6, bytes.fromhex("608648016503040201")) + tlv(5, b"")) + tlv(4, rng.randbytes(32)))
+    locked = tlv(0x30, tlv(0x30, tlv(6, bytes.fromhex("2a864886f70d01050d")) + tlv(0x30, b"")) + tlv(4, rng.randbytes(64)))
+    assert secrets.der_key(digest) is None and secrets.der_key(locked) == "pkcs8, encrypted"
+
+
+def test_what_is_glued_in_front_does_not_hide_a_secret():
+    token, key = jwt({"alg": "HS256"}, {"sub": "1"}), coded(rsa())
+    for front in ("Authorization.", "some-long-word.other.", "bearer-token_", "my-", "a.b.c.d."):
+        t = f"x {front}{token} y"
+        assert [t[a:b] for a, k, b, _ in secrets.spans_of(t) if k == 4] == [token], front
+    for front in ("path/to/", "my-key-", "a_"):
+        t = f"see {front}{key} here"
+        assert [t[a:b] for a, k, b, _ in secrets.spans_of(t) if k == 3] == [key], front
+    body = re.sub("(.{64})", r"\1\\n", key)
+    t = f'{{"key": "-----BEGIN RSA PRIVATE KEY-----\\n{body}\\n-----END RSA PRIVATE KEY-----\\n"}}'
+    assert [k for _, k, _, _ in secrets.spans_of(t)] == [3]
+    assert secrets.spans_of("my-" + token.replace("eyJ", "eyK") + " a/" + key[:-8]) == []
+
+
+@pytest.mark.parametrize("piece", ["a", "aB3_", "0f", "/M", "-ey", "aaaaaaaaaaaa.", "abc-eyJ", "-----BEGIN A-----", "AKIA", "token ", "MIIB/", "password=", ".", "eyJhbGciOi."])
+def test_scanning_is_linear_in_a_long_text(piece):
+    text = piece * ((2 << 20) // len(piece))
+    began = time.process_time()
+    got = next(secrets._scan(pa.array([text])))
+    assert time.process_time() - began < 4 and isinstance(got, list)
+
+
 def test_rows_are_scanned_alone_whatever_the_row_before_ends_in():
     key = rsa()
     secret = ["0123456789abcdef0123456789abcdef is a hash", coded(key) + " key", key.hex() + " key", jwt({"alg": "HS256"}, {"sub": "1"}) + " token", "0123456789abcdef" * 2]
