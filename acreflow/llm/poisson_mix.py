@@ -3,7 +3,8 @@
 A source's mean repetition rate is its target share of the mixture's characters over its own.  Each document
 draws its count by inverting the Poisson distribution of that rate at a number hashed from a seed and the
 document, is repeated that often, and all copies are shuffled globally by a hash of their own.  The draw needs
-no state, so a lost executor repeats it exactly.
+no state, so a lost executor repeats it exactly.  A rate above ``LARGEST`` is cut into equal parts, each drawn from a
+hash of its own: their sum follows the whole rate, and no table of probabilities grows with it.
 """
 
 from __future__ import annotations
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 
 from acreflow.plans.storage import stored
 
-#: A table of rates of at most so many rows is broadcast; a larger one is joined with salted keys.
-FEW_SOURCES = 20_000
+#: A table of rates of at most so many bytes is broadcast; a larger one is joined with salted keys.
+TABLE_BYTES = 16 << 20
+#: The largest rate that is drawn at once.
+LARGEST = 64.0
 SALTS = 32
 _STEPS = 2**52
 
@@ -52,42 +55,55 @@ def rates(docs: DataFrame, weights: dict[str, float] | None, power: float, size:
     return wanted.select("source", F.when((F.col("mass") > 0) & F.lit(all_weight > 0), share).otherwise(F.lit(0.0)).alias("rate"))
 
 
-def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, size: float = 1.0, seed: str = "mix") -> DataFrame:
+def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, size: float = 1.0, seed: str = "mix", numbered: bool = True) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, source, more), each as often as drawn, in a global random order.
 
     ``weights``: target share of characters by source, not necessarily adding up to 1; a source that is not
     named, null included, has none.  Without it a source's weight is its number of characters to the
-    ``power``.  ``size``: characters of the mixture over those of ``docs``.  Adds a column ``copy`` (0, 1 ...).
-    Sources without any character, and all if no weight is positive, have rate 0.  Repeated rows draw the
-    same count; rows with a null doc_id draw by their text.  An empty table stays empty.
+    ``power``.  ``size``: characters of the mixture over those of ``docs``.  With ``numbered`` a last column
+    ``copy`` (0, 1 ...) numbers the copies and takes the place of one that ``docs`` has; without it the columns are
+    those of ``docs``.  Sources without any character, and all if no weight is positive, have rate 0.  Repeated
+    rows draw the same count; rows with a null doc_id draw by their text.  An empty table stays empty.
     """
-    table = stored(rates(docs, weights, power, size).select(F.col("source").alias("__source"), poisson_table(F.col("rate")).alias("__cumulative")), "rates")
-    draw = uniform(seed, F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
-    if table.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES:
+    each = rates(docs, weights, power, size)
+    parts = F.greatest(F.ceil(F.col("rate") / F.lit(LARGEST)), F.lit(1)).cast("int")
+    table = stored(each.select(F.col("source").alias("__source"), parts.alias("__parts"), poisson_table(F.col("rate") / parts).alias("__cumulative")), "rates")
+    own = F.when(F.col("doc_id").isNull(), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    row_bytes = F.octet_length(F.coalesce("__source", F.lit(""))) + 8 * F.size("__cumulative") + 64
+    if (table.agg(F.sum(row_bytes)).first()[0] or 0) <= TABLE_BYTES:
         joined = docs.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("__source")))
     else:
         salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = docs.withColumn("__own", F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)).cast("int")).join(salted, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__salt")))
-    # How many entries are at most the draw: all but those before it in descending order.
-    count = F.size("__cumulative") - (F.array_position(F.reverse(F.array_sort(F.array_append("__cumulative", draw))), draw) - 1)
-    copies = joined.withColumn("__n", count).filter("__n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__n").cast("int") - 1)))
-    return copies.withColumn("__order", F.xxhash64(F.lit(seed), "doc_id", "copy", "text")).repartition("__order").sortWithinPartitions("__order").select(*docs.columns, "copy")
+    # How many entries are at most the draw: all but those before it in descending order; then the draws of further parts.
+    draw = uniform(seed, F.col("doc_id"), own)
+    first = F.size("__cumulative") - (F.array_position(F.reverse(F.array_sort(F.array_append("__cumulative", draw))), draw) - 1)
+    draws = F.transform(F.sequence(F.lit(1), F.col("__parts") - 1), lambda j: uniform(seed, F.col("doc_id"), own, j))
+    further = F.aggregate(draws, F.lit(0).cast("long"), lambda n, u: n + F.size(F.filter("__cumulative", lambda c: c <= u)))
+    count = first + F.when(F.col("__parts") > 1, further).otherwise(0)
+    copies = joined.withColumn("__n", count).filter("__n > 0").withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__n").cast("int") - 1)))
+    mixed = copies.withColumn("__order", F.xxhash64(F.lit(seed), "doc_id", "__copy", "text")).repartition("__order").sortWithinPartitions("__order")
+    if not numbered:
+        return mixed.select(*docs.columns)
+    return mixed.select(*(c for c in docs.columns if c != "copy"), F.col("__copy").alias("copy"))
 
 
 #: The same by DuckDB, for the defaults.
 ORACLE_SQL = """
 WITH RECURSIVE mass AS (SELECT source, CAST(sum(length(text)) AS DOUBLE) AS mass FROM documents GROUP BY source),
-rates AS (SELECT source, sqrt(mass) / (SELECT sum(sqrt(mass)) FROM mass) * (SELECT sum(mass) FROM mass) / mass AS rate FROM mass),
+whole AS (SELECT source, sqrt(mass) / (SELECT sum(sqrt(mass)) FROM mass) * (SELECT sum(mass) FROM mass) / mass AS rate FROM mass),
+rates AS (SELECT source, rate / greatest(ceil(rate / 64e0), 1e0) AS rate, CAST(greatest(ceil(rate / 64e0), 1e0) AS INTEGER) AS parts FROM whole),
 steps AS (
   SELECT source, rate, 0 AS k, -rate AS l, exp(-rate) AS cum FROM rates
   UNION ALL
   SELECT source, rate, k + 1, l + ln(rate) - ln(CAST(k + 1 AS DOUBLE)), least(cum + exp(l + ln(rate) - ln(CAST(k + 1 AS DOUBLE))), 1e0)
   FROM steps WHERE k < ceil(rate + 10e0 * sqrt(rate) + 20e0)
 ),
+part AS (SELECT d.*, unnest(range(r.parts)) AS j FROM documents d JOIN rates r ON r.source = d.source),
 draws AS (
-  SELECT doc_id, text, lang, source, n_chars,
-         CAST(CAST('0x' || substr(md5('mix:' || CAST(doc_id AS VARCHAR) || ':\\N'), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496e0 AS u
-  FROM documents
+  SELECT doc_id, text, lang, source, n_chars, j,
+         CAST(CAST('0x' || substr(md5('mix:' || CAST(doc_id AS VARCHAR) || ':\\N' || CASE WHEN j > 0 THEN ':' || CAST(j AS VARCHAR) ELSE '' END), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496e0 AS u
+  FROM part
 ),
 counts AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, count(*) AS n FROM draws d JOIN steps s ON s.source = d.source AND s.cum <= d.u GROUP BY ALL)
 SELECT doc_id, text, lang, source, n_chars, CAST(unnest(range(n)) AS INTEGER) AS copy FROM counts
