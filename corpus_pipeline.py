@@ -26,7 +26,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's share asks for, in a global random order."""
-    return poisson_mix.poisson_mix(docs).drop("copy")
+    return poisson_mix.poisson_mix(docs, numbered=False)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
