@@ -5,8 +5,9 @@ ones among its inputs.  In training these are out-of-fold predictions, so a late
 they will be on new text.
 
 Inputs are hashed words and word beginnings of the whole text: whether one is there, how often, and how dense.
-Models are fitted by the driver on a bounded sample of labelled rows (``SAMPLE``) and a bounded number of
-inputs (``INPUTS``), chosen by a two-sample test over that sample; everything else covers all rows.
+Models are fitted by the driver on a bounded sample of labelled rows and a bounded number of inputs of each model,
+both parameters of the calls, chosen by a two-sample test over that sample; everything else covers all rows.  The
+models that predict a fold are fitted on the other folds alone, their inputs chosen by the labels of these.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from acreflow.plans.storage import stored
 
 #: Labelled rows that the classifiers are fitted on, at most: those with the smallest hashes of their ids.
 SAMPLE = 6_000
+#: (input, level) pairs that a model has weights for, at most: those that tell the classes apart best.
 INPUTS = 1_024
 FOLDS = 3
 #: Word beginnings of so many bytes are inputs besides whole words.
@@ -31,6 +33,7 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 COUNTS = (1, 2, 3, 5)
 DENSITIES = (2.0, 5.0, 10.0, 20.0, 40.0)  # per 1000 words, of 20 at least
 LEVELS = len(COUNTS) + len(DENSITIES)
+#: Rows of the sample that an input must be in to be tested.
 LEAST_ROWS = 5
 #: The chain: categories in order, with the SQL that labels a row of ``labels``.
 CHAIN = (("junk", "quality = 0"), ("toxic", "toxic = 1"))
@@ -99,20 +102,20 @@ def inputs_of(raw: np.ndarray, offsets: np.ndarray, known: np.ndarray | None = N
     return doc, what, reach, n_words
 
 
-def _tallies(names: list[str]):
-    """Per batch of the sample: in how many rows of each category, and in all, each (input, level) is."""
+def _tallies(marks: list[str]):
+    """Per batch of the sample: of how many rows that have each 0/1 mark, each (input, level) is in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            y = np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names] + [np.ones(batch.num_rows, np.int64)])
+            y = np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in marks])
             for at, _, raw, offsets in slices(batch.column("text"), 16 << 20):
                 doc, what, reach, _ = inputs_of(raw, offsets)
                 own, inverse = np.unique(what, return_inverse=True)
                 for level in range(LEVELS):
                     use = reach[:, level]
                     tally = [np.bincount(inverse[use], row[at + doc[use]], minlength=len(own)).astype(np.int64) for row in y]
-                    some = tally[-1] > 0
-                    yield pa.RecordBatch.from_arrays([pa.array(own[some].view(np.int64)), pa.array(np.full(int(some.sum()), level, np.int32)), *(pa.array(t[some]) for t in tally)], ["what", "level", *names, "every"])
+                    some = np.bincount(inverse[use], minlength=len(own)) > 0
+                    yield pa.RecordBatch.from_arrays([pa.array(own[some].view(np.int64)), pa.array(np.full(int(some.sum()), level, np.int32)), *(pa.array(t[some]) for t in tally)], ["what", "level", *marks])
 
     return run
 
@@ -147,68 +150,92 @@ def _fit(row: np.ndarray, column: np.ndarray, n_columns: int, dense: np.ndarray,
     return w[:n_columns], w[n_columns:-1], float(w[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, chain: tuple = CHAIN, sample: int = SAMPLE) -> Chain:
+def _chosen(tally: DataFrame, name: str, totals: dict[str, int], outside: int, inputs: int) -> list[tuple[int, int]]:
+    """(input, level) that tell rows of a category best from others, by the rows that are not in fold ``outside``."""
+    folds = [f for f in range(FOLDS) if f != outside]
+    of, all_ = sum(totals[f"{name}_{f}"] for f in folds), sum(totals[f"every_{f}"] for f in folds)
+    of, rest = max(of, 1), max(all_ - of, 1)
+    total = lambda n: sum((F.col(f"{n}_{f}") for f in folds), F.lit(0))
+    p = (total("every") + 1) / F.lit(float(of + rest))
+    z = F.abs(total(name) / of - (total("every") - total(name)) / rest) / F.sqrt(p * (1 - F.least(p, F.lit(0.99))) * (1 / of + 1 / rest))
+    best = tally.filter(total("every") >= LEAST_ROWS).select("what", "level", z.alias("z")).orderBy(F.desc("z"), "what", "level").limit(inputs)
+    return [(r["what"], r["level"]) for r in best.collect()]
+
+
+def train(docs: DataFrame, labels: DataFrame, chain: tuple = CHAIN, sample: int = SAMPLE, inputs: int = INPUTS) -> Chain:
     """The chain, fitted on the documents of a sample of ``labels`` (doc_id and what ``chain`` reads).
 
-    Of several labels of one document, a category holds if any of them says so; labels with nulls and such
-    without a document count as not there.  With no rows of one class a category is predicted as the other.
+    ``sample`` bounds the labelled documents, ``inputs`` the (input, level) pairs of each model.  Of several labels
+    of one document, a category holds if any of them says so; labels with nulls and such without a document count as
+    not there.  With no rows of one class a category is predicted as the other.
     """
     names = [n for n, _ in chain]
+    marks = [f"{n}_{f}" for n in (*names, "every") for f in range(FOLDS)]
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.expr(f"int({sql})").alias(n) for n, sql in chain)).dropna()
     chosen = marked.groupBy("doc_id").agg(*(F.max(n).alias(n) for n in names)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = stored(source.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "sample")
-    totals = rows.agg(F.count(F.lit(1)), *(F.coalesce(F.sum(n), F.lit(0)) for n in names)).first()
-    fields = ", ".join(f"{n} long" for n in names)
-    tally = rows.mapInArrow(_tallies(names), f"what long, level int, {fields}, every long").groupBy("what", "level").agg(*(F.sum(n).alias(n) for n in (*names, "every"))).filter(F.col("every") >= LEAST_ROWS)
+    rows = source.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int"))
+    in_fold = {f"{n}_{f}": F.when(F.col("fold") == f, F.col(n) if n != "every" else F.lit(1)).otherwise(0) for n in (*names, "every") for f in range(FOLDS)}
+    rows = stored(rows.withColumns(in_fold), "sample")
+    totals = rows.agg(*(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in marks)).first().asDict()
+    kinds = ", ".join(f"{m} long" for m in marks)
+    every = sum((F.col(f"every_{f}") for f in range(FOLDS)), F.lit(0))
+    tally = rows.mapInArrow(_tallies(marks), f"what long, level int, {kinds}").groupBy("what", "level").agg(*(F.sum(m).alias(m) for m in marks)).filter(every >= LEAST_ROWS)
     tally = stored(tally, "tally")
-    picked: dict[str, list] = {}
-    for i, name in enumerate(names):
-        of, rest = max(int(totals[i + 1]), 1), max(int(totals[0]) - int(totals[i + 1]), 1)
-        p = (F.col("every") + 1) / F.lit(float(of + rest))
-        z = F.abs(F.col(name) / of - (F.col("every") - F.col(name)) / rest) / F.sqrt(p * (1 - F.least(p, F.lit(0.99))) * (1 / of + 1 / rest))
-        picked[name] = tally.select("what", "level").orderBy(z.desc(), "what", "level").limit(INPUTS).collect()
-    known = np.unique(np.array([r["what"] for x in picked.values() for r in x], np.int64).view(np.uint64))
-    got = rows.select("doc_id", *(F.col(n).cast("long").alias(n) for n in names), "text").mapInArrow(_vectors(known, names), f"doc_id long, {fields}, what binary, reach binary").collect()
+    picked = {(n, f): _chosen(tally, n, totals, f, inputs) for n in names for f in (*range(FOLDS), FOLDS)}
+    known = np.unique(np.array([w for x in picked.values() for w, _ in x], np.int64).view(np.uint64))
+    fields = ", ".join(f"{n} long" for n in (*names, "fold"))
+    columns = [F.col(n).cast("long").alias(n) for n in (*names, "fold")]
+    got = rows.select("doc_id", *columns, "text").mapInArrow(_vectors(known, [*names, "fold"]), f"doc_id long, {fields}, what binary, reach binary").collect()
     got.sort(key=lambda r: r["doc_id"])
     row = np.repeat(np.arange(len(got)), [len(r["what"]) // 8 for r in got])
     what = np.frombuffer(b"".join(r["what"] for r in got), np.uint64)
     reach = np.frombuffer(b"".join(r["reach"] for r in got), bool).reshape(-1, LEVELS)
     at = np.searchsorted(known, what)
-    fold = np.arange(len(got)) % FOLDS
+    fold = np.array([r["fold"] for r in got], np.int64)
     out, earlier = Chain(), np.zeros((len(got), 0))
     for name in names:
         y = np.array([r[name] for r in got], float)
-        slot = np.full((len(known), LEVELS), -1)
-        for i, r in enumerate(picked[name]):
-            slot[np.searchsorted(known, np.array([r["what"]], np.int64).view(np.uint64))[0], r["level"]] = i
-        column = np.where(reach, slot[at], -1)
-        r_, l_ = np.nonzero(column >= 0)
-        sparse = row[r_], column[r_, l_]
-        k = len(picked[name])
+
+        def columns_of(chosen_: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """The slots of the chosen inputs, and the rows and slots of the entries of the sample."""
+            slot = np.full((len(known), LEVELS), -1)
+            for i, (w, level) in enumerate(chosen_):
+                slot[np.searchsorted(known, np.array([w], np.int64).view(np.uint64))[0], level] = i
+            column = np.where(reach, slot[at], -1)
+            r_, l_ = np.nonzero(column >= 0)
+            return slot, row[r_], column[r_, l_]
+
         apart = np.zeros(len(got))
         for f in range(FOLDS):
-            inside = fold[sparse[0]] != f
-            place = np.cumsum(fold != f) - 1
-            w, v, c = _fit(place[sparse[0][inside]], sparse[1][inside], k, earlier[fold != f], y[fold != f])
-            score = np.bincount(sparse[0], w[sparse[1]], minlength=len(got)) + earlier @ v + c
+            _, r_, c_ = columns_of(picked[name, f])
+            inside, place = fold[r_] != f, np.cumsum(fold != f) - 1
+            w, v, c = _fit(place[r_[inside]], c_[inside], len(picked[name, f]), earlier[fold != f], y[fold != f])
+            score = np.bincount(r_, w[c_], minlength=len(got)) + earlier @ v + c
             apart[fold == f] = 1 / (1 + np.exp(-np.clip(score[fold == f], -50, 50)))
-        w, v, c = _fit(*sparse, k, earlier, y)
+        slot, r_, c_ = columns_of(picked[name, FOLDS])
+        w, v, c = _fit(r_, c_, len(picked[name, FOLDS]), earlier, y)
         weights = np.zeros((len(known), LEVELS))
         weights[slot >= 0] = w[slot[slot >= 0]]
         out.links.append(Link(name, known, weights, v, c if len(got) else -50.0))
         earlier = np.column_stack((earlier, apart))
+    own = np.flatnonzero(sum((np.abs(x.weights).sum(axis=1) for x in out.links), np.zeros(len(known))) > 0)
+    for x in out.links:  # what only models of folds use is not looked up
+        x.inputs, x.weights = known[own], x.weights[own]
     return out
 
 
+def _probabilities(chain: Chain, column: pa.Array) -> np.ndarray:
+    parts = [chain.predict(inputs_of(raw, offsets, chain.links[0].inputs)) for _, _, raw, offsets in slices(column, 8 << 20)]
+    return np.concatenate([np.zeros((0, len(chain.links))), *parts])
+
+
 def _predicted(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = shared.value
-        known = chain.links[0].inputs
         for batch in batches:
-            parts = [chain.predict(inputs_of(raw, offsets, known)) for _, _, raw, offsets in slices(batch.column("text"), 8 << 20)]
-            p = np.concatenate([np.zeros((0, len(chain.links))), *parts])
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p[:, i]) for i in range(p.shape[1]))], [*batch.schema.names, *(f"p_{x.name}" for x in chain.links)])
+            p = _probabilities(chain, batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(p[:, i]) for i in range(p.shape[1]))], ["doc_id", *(f"p_{x.name}" for x in chain.links)])
 
     return run
 
@@ -217,25 +244,24 @@ def toxicity(docs: DataFrame, labels: DataFrame, chain: tuple = CHAIN, limit: fl
     """doc_id, a probability p_<category> for each category of the chain, and toxic: whether the last is at
     least ``limit``; a row for each row of ``docs`` (doc_id, text, more).
 
-    Null, empty and blank texts have no inputs, and the probabilities of the models' constants.  Repeated rows
-    and null ids are rows like any other; other columns are ignored.  Without labels nothing is toxic.
+    Null, empty and blank texts have no inputs, and the probabilities of the models' constants.  Very long texts are
+    read whole.  Repeated rows and null ids are rows like any other; other columns are ignored, whatever their names.
+    Without labels nothing is toxic.
     """
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, chain))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     fields = [f"p_{n}" for n, _ in chain]
-    found = source.mapInArrow(_predicted(shared), f"doc_id long, text string, {', '.join(f'{f} double' for f in fields)}")
+    found = source.mapInArrow(_predicted(shared), f"doc_id long, {', '.join(f'{f} double' for f in fields)}")
     return found.select("doc_id", *fields, (F.col(fields[-1]) >= limit).alias("toxic"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, chain: tuple = CHAIN, limit: float = 0.5) -> DataFrame:
     """``docs``, in all its columns, without the rows that ``toxicity`` calls toxic."""
-    model = train(docs, labels, chain)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, chain))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = next(_predicted(shared)(iter([batch.select(["text"])])))
-            keep = p.column(p.num_columns - 1).to_numpy() < limit
+            keep = _probabilities(shared.value, batch.column("text"))[:, -1] < limit
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

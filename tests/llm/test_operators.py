@@ -251,6 +251,107 @@ def test_chain_is_accurate_on_rows_held_out(labelled):
     assert kept == {r["doc_id"] for r in out.collect() if not r["toxic"]}
 
 
+def plain_inputs(text):
+    """{(word or (beginning, its length)): levels reached}, and nothing of Arrow or arrays."""
+    own = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall("[A-Za-z0-9\x80-\U0010ffff]+", text or "")]
+    count = collections.Counter((0, w.encode()) for w in own)
+    for k in toxicity.BEGINNINGS:
+        count.update((k, w.encode()[:k]) for w in own if len(w.encode()) > k)
+    per = 1000 / max(len(own), 20)
+    return {x: [n >= c for c in toxicity.COUNTS] + [n * per >= d for d in toxicity.DENSITIES] for x, n in count.items()}
+
+
+def plain_hash(x):
+    k, w = x
+    raw = np.frombuffer(w, np.uint8)
+    return int(textblocks.word_hashes(raw, np.array([0]), np.array([len(raw)]))[0]) ^ k
+
+
+def dense_fit(x, y):
+    """The same descent as a dense logistic regression; the last column of ``x`` is the constant."""
+    w, mean, square = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    for i in range(1, 201):
+        grad = x.T @ (1 / (1 + np.exp(-np.clip(x @ w, -50, 50))) - y) / len(y)
+        grad[:-1] += 1e-4 * w[:-1]
+        mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad * grad
+        w -= 0.05 * (mean / (1 - 0.9**i)) / (np.sqrt(square / (1 - 0.99**i)) + 1e-8)
+    return w
+
+
+def plain_chain(texts, labels, folds, inputs):
+    """Probabilities of each text by a chain fitted on all of them, in plain words and dense matrices."""
+    found = [plain_inputs(t) for t in texts]
+    hashes = {x: plain_hash(x) for f in found for x in f}
+    signed = lambda h: h - 2**64 if h >= 2**63 else h
+    rows = [{(signed(hashes[x]), i): 1 for x, reach in f.items() for i, r in enumerate(reach) if r} for f in found]
+    n, earlier, out = len(texts), np.zeros((len(texts), 0)), np.zeros((len(texts), 0))
+    for y in labels:
+        def chosen(use):
+            every, of = collections.Counter(), collections.Counter()
+            for i in np.flatnonzero(use):
+                every.update(rows[i].keys())
+                if y[i]:
+                    of.update(rows[i].keys())
+            pos, rest = max(int(y[use].sum()), 1), max(int(use.sum() - max(y[use].sum(), 1)), 1)
+            def z(k):
+                p = (every[k] + 1) / (pos + rest)
+                return abs(of[k] / pos - (every[k] - of[k]) / rest) / math.sqrt(p * (1 - min(p, 0.99)) * (1 / pos + 1 / rest))
+            return sorted((k for k, c in every.items() if c >= toxicity.LEAST_ROWS), key=lambda k: (-z(k), k))[:inputs]
+        matrix = lambda keys: np.hstack([np.array([[r.get(k, 0) for k in keys] for r in rows], float).reshape(n, len(keys)), earlier, np.ones((n, 1))])
+        apart = np.zeros(n)
+        for f in range(toxicity.FOLDS):
+            x = matrix(chosen(folds != f))
+            apart[folds == f] = 1 / (1 + np.exp(-x[folds == f] @ dense_fit(x[folds != f], y[folds != f])))
+        keys = chosen(np.ones(n, bool))
+        x = matrix(keys)
+        w = dense_fit(x, y)
+        x[:, len(keys) : -1] = out  # on new text the chain's own probabilities stand in for the out-of-fold ones
+        out = np.column_stack((out, 1 / (1 + np.exp(-x @ w))))
+        earlier = np.column_stack((earlier, apart))
+    return out
+
+
+def test_chain_equals_a_plain_one(spark, labelled):
+    docs, labels, _ = labelled
+    few, marks = docs.filter("doc_id < 150"), {r["doc_id"]: r for r in labels.filter("doc_id < 150").collect()}
+    texts = {r["doc_id"]: r["text"] for r in few.collect()}
+    fold = {r[0]: r[1] for r in few.select("doc_id", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(toxicity.FOLDS))).collect()}
+    ids = sorted(texts)
+    y = [np.array([float(marks[i]["quality"] == 0) for i in ids]), np.array([float(marks[i]["toxic"]) for i in ids])]
+    want = plain_chain([texts[i] for i in ids], y, np.array([fold[i] for i in ids]), 40)
+    chain = toxicity.train(few, labels.filter("doc_id < 150"), inputs=40)
+    raw, offsets = textblocks.string_buffer(pa.array([texts[i] for i in ids]))
+    got = chain.predict(toxicity.inputs_of(raw, offsets, chain.links[0].inputs))
+    assert np.abs(got - want).max() < 1e-6
+
+
+def test_folds_do_not_see_their_own_labels(spark, labelled, monkeypatch):
+    """With labels of no meaning, out-of-fold probabilities know nothing: the chain gives them no weight that helps."""
+    docs, _, _ = labelled
+    noise = spark.createDataFrame([(i, int(hashlib.md5(str(i).encode()).digest()[0] % 2), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    seen, plain = [], toxicity._fit
+    monkeypatch.setattr(toxicity, "_fit", lambda row, column, k, dense, y, *more: (seen.append((dense, y)), plain(row, column, k, dense, y, *more))[1])
+    toxicity.train(docs, noise, chain=(("a", "quality = 1"), ("b", "quality = 1")))
+    dense, y = seen[-1]  # the last model of the second category: out-of-fold probabilities of the first, and labels
+    p = dense[:, 0]
+    auc = np.mean([(p[y == 1][:, None] > p[y == 0][None, :]).mean()])
+    assert abs(auc - 0.5) < 0.12
+
+
+def test_chain_reads_very_long_texts_whole(spark, labelled):
+    docs, labels, _ = labelled
+    long = " ".join(WORDS) + " "
+    df = spark.createDataFrame([(9001, long * 3000 + "idiot scum idiot", 1), (9002, None, 1)], "doc_id long, text string, p_toxic int")
+    assert toxicity.toxicity(df, labels.limit(0)).columns == ["doc_id", "p_junk", "p_toxic", "toxic"]
+    chain = toxicity.train(docs, labels.filter("doc_id < 300"), inputs=64)
+    found = toxicity.inputs_of(*textblocks.string_buffer(pa.array([long * 3000 + "idiot scum idiot", long * 3000])), chain.links[0].inputs)
+    assert len(found[3]) == 2 and found[3][0] == 3000 * len(plain_words(long)) + 3 and (found[0] == 0).sum() > (found[0] == 1).sum()
+
+
+def plain_words(text):
+    return re.findall("[A-Za-z0-9\x80-\U0010ffff]+", text)
+
+
 def test_chain_odd_rows(spark, odd, labelled):
     _, labels, _ = labelled
     out = toxicity.toxicity(odd, labels.limit(0))
