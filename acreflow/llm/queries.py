@@ -79,4 +79,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_poisson_mix": poisson_mix.ORACLE_SQL,
+    "op8_url_filters": url_filters.ORACLE_SQL,
 }

@@ -1,13 +1,19 @@
 """URL filters with redirect equivalence.
 
-A url is judged by the longest rule that fits its host and path.  Urls that redirect to one another, or name
-one another as canonical, are aliases: connected components over these edges carry a block to every alias that
-no rule speaks about.  An explicit allow of an alias stands against a block that comes from others.
+A url is judged by the longest rule that fits its host and path.  Rules are a table: the ends of each host are
+joined with the hosts of rules, then the beginnings of each path, in the lengths that rules of such a host have, with
+the rules themselves.  So any number of rules does, and none is compared with every url.
+
+Urls that redirect to one another, or name one another as canonical, are aliases: connected components over these
+edges carry a block to every alias that no rule speaks about.  An explicit allow of an alias stands against a block
+that comes from others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acreflow.operators.components import connected_components
@@ -15,7 +21,6 @@ from acreflow.plans.storage import stored
 
 #: The production rules, as (verdict, host and path).
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-MAX_RULES = 2_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
 _REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
@@ -44,19 +49,29 @@ def node_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), path_of(url), query))
 
 
-def _fits(rule: str, host: Column, path: Column) -> Column:
-    name, slash, rest = rule.partition("/")
-    return ((host == name) | host.endswith("." + name)) & path.startswith(slash + rest)
+def rule_table(spark: SparkSession, rules: Iterable[tuple[str, str]] | DataFrame) -> DataFrame:
+    """(r_host, r_path, rule, verdict) of pairs (verdict, rule), or of a table with these columns; rules that are null
+    or have another verdict than allow or block are left out.  A rule without / fits all paths."""
+    table = rules if isinstance(rules, DataFrame) else spark.createDataFrame(list(rules), "verdict string, rule string")
+    known = table.select("verdict", "rule").filter("rule is not null and verdict in ('allow', 'block')").distinct()
+    return known.select(F.regexp_extract("rule", r"^[^/]*", 0).alias("r_host"), F.regexp_extract("rule", r"(?s)^[^/]*(.*)$", 1).alias("r_path"), "rule", "verdict")
 
 
-def rule_of(host: Column, path: Column, rules: tuple = RULES) -> Column:
-    """struct(rule, verdict) of the longest rule that fits, or null; of equal ones the one that allows."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    out = F.lit(None).cast("struct<rule: string, verdict: string>")
-    for verdict, rule in sorted(rules, key=lambda r: (len(r[1]), r[0] == "allow")):
-        out = F.when(_fits(rule, host, path), F.struct(F.lit(rule).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(out)
-    return out
+def with_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path, rule, verdict): for each distinct (host, path) that a rule of ``rule_table`` fits, the longest one;
+    of equally long ones one that allows, then the last by its text."""
+    labels = lambda h: F.size(F.split(h, r"\."))
+    most = rules.agg(F.max(labels(F.col("r_host"))).alias("most"))
+    own = urls.select("host", "path").distinct()
+    parts, n = F.split("host", r"\."), labels(F.col("host"))
+    ends = F.transform(F.sequence(F.lit(1), F.least(n, F.coalesce("most", F.lit(1)))), lambda k: F.array_join(F.slice(parts, n - k + 1, k), "."))
+    lengths = rules.groupBy("r_host").agg(F.collect_set(F.length("r_path")).alias("lengths"))
+    hosts = own.select("host").distinct().withColumn("most", most.scalar()).select("host", F.explode(ends).alias("r_host")).join(lengths, "r_host")
+    begun = own.join(hosts, "host").select("host", "path", "r_host", F.explode(F.filter("lengths", lambda k: k <= F.length("path"))).alias("k"))
+    begun = begun.select("host", "path", "r_host", F.substring(F.col("path"), F.lit(1), F.col("k")).alias("r_path"))
+    best = F.max(F.struct(F.length("rule").alias("n"), (F.col("verdict") == "allow").alias("allows"), "rule")).alias("best")
+    found = begun.join(rules, ["r_host", "r_path"]).groupBy("host", "path").agg(best)
+    return found.select("host", "path", F.col("best.rule").alias("rule"), F.when(F.col("best.allows"), "allow").otherwise("block").alias("verdict"))
 
 
 def _resolved(target: Column, url: Column) -> Column:
@@ -83,24 +98,63 @@ def alias_edges(pages: DataFrame) -> DataFrame:
     return found.select(F.col("url").alias("a"), _resolved(F.col("to"), F.col("url")).alias("b")).filter("b is not null")
 
 
-def judge(pages: DataFrame, rules: tuple = RULES, redirects: DataFrame | None = None) -> DataFrame:
+def judge(pages: DataFrame, rules: Iterable[tuple[str, str]] | DataFrame = RULES, redirects: DataFrame | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict for each row of ``pages`` (page_id, url, html, more).
 
-    ``redirects``: more edges, as columns a and b of urls.  The verdict is that of the url's own rule; without
-    one it is block if any alias is blocked by a rule (whether the alias has a page or not), else allow.
-    Null url, or one without ://: empty host and path, no rule, allow.  Null html names no alias.  Repeated
-    rows are judged each.  Other columns are ignored.
+    ``rules``: pairs (verdict, rule) or a table of them, of any number.  ``redirects``: more edges, as columns a and
+    b of urls.  The verdict is that of the url's own rule; without one it is block if any alias is blocked by a rule
+    (whether the alias has a page or not), else allow.  Null url, or one without ://: empty host and path, no
+    rule (but one of an empty host), allow.  Null, empty and very long html is searched like any other.  Repeated rows
+    are judged each.  Other columns are ignored.
     """
+    table = rule_table(pages.sparkSession, rules)
     edges = alias_edges(pages)
     if redirects is not None:
         edges = edges.unionByName(redirects.select("a", "b"))
-    edges = stored(edges.select(node_of(F.col("a")).alias("a"), node_of(F.col("b")).alias("b"), "b", "a").toDF("a", "b", "url_b", "url_a").filter("a is not null and b is not null").distinct(), "edges")
+    edges = stored(edges.select(node_of(F.col("a")).alias("a"), node_of(F.col("b")).alias("b"), F.col("a").alias("url_a"), F.col("b").alias("url_b")).filter("a is not null and b is not null").distinct(), "edges")
     group = connected_components(edges, "a", "b")
-    named = edges.select(F.col("a").alias("node"), F.col("url_a").alias("url")).unionByName(edges.select(F.col("b").alias("node"), F.col("url_b").alias("url")))
-    ruled = named.select("node", rule_of(host_of(F.col("url")), path_of(F.col("url")), rules)["verdict"].alias("v")).filter("v = 'block'").select("node").distinct()
-    blocked = group.join(ruled, "node").select("component").distinct().withColumn("blocked", F.lit(True))
-    tainted = group.join(blocked, "component").select(F.col("node").alias("__node"), "blocked")
-    own = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url")).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url")), "__key": node_of(F.col("url"))})
-    own = own.withColumn("r", rule_of(F.col("host"), F.col("path"), rules)).join(tainted, F.col("__key") == F.col("__node"), "left")
-    verdict = F.coalesce(F.col("r.verdict"), F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow")))
-    return own.select("page_id", "host", "path", F.col("r.rule").alias("rule"), verdict.alias("verdict"))
+    end = lambda x: edges.select(F.col(x).alias("node"), host_of(F.col(f"url_{x}")).alias("host"), path_of(F.col(f"url_{x}")).alias("path"))
+    named = end("a").unionByName(end("b")).distinct()
+    ruled = named.join(with_rules(named, table).filter("verdict = 'block'"), ["host", "path"]).select("node").distinct()
+    blocked = group.join(ruled, "node").select("component").distinct()
+    tainted = group.join(blocked, "component").select(F.col("node").alias("__node"), F.lit(True).alias("blocked"))
+    own = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"))
+    own = own.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("__key"))
+    own = own.join(with_rules(own, table), ["host", "path"], "left").join(tainted, F.col("__key") == F.col("__node"), "left")
+    verdict = F.coalesce("verdict", F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow")))
+    return own.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
+
+
+_SQL_RULES = ", ".join(f"('{v}', '{r}')" for v, r in RULES)
+_SQL_PARTS = lambda url: f"""CASE WHEN instr({url}, '://') > 0 THEN substr({url}, instr({url}, '://') + 3) ELSE '' END"""
+_SQL_LOWER = lambda x: f"translate({x}, '{_UPPER}', '{_LOWER}')"
+#: The same by DuckDB, for the production rules and no further redirects.
+ORACLE_SQL = rf"""
+WITH RECURSIVE rules(verdict, rule) AS (VALUES {_SQL_RULES}),
+own AS (SELECT row_number() OVER () AS r, page_id, coalesce(url, '') AS url, html FROM pages),
+tags AS (
+  SELECT url, unnest(list_concat(
+    list_transform(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\bcontent\s*=\s*["'']?[^"''>]*?url\s*=\s*["'']?([^"''\s>]+)', 1)))) AS raw
+  FROM own WHERE url <> '' AND regexp_matches(html, '(?i)canonical|refresh')
+),
+targets AS (SELECT url, replace(raw, '&amp;', '&') AS t, regexp_extract(url, '^(.*?)://', 1) AS scheme, {_SQL_PARTS('url')} AS rest FROM tags WHERE raw <> ''),
+resolved AS (
+  SELECT url AS a, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN scheme || ':' || t
+    WHEN starts_with(t, '/') THEN scheme || '://' || regexp_extract(rest, '^[^/?#]*') || t WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    ELSE scheme || '://' || regexp_extract(rest, '^[^/?#]*') || coalesce(nullif(regexp_extract(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '^(.*/)', 1), ''), '/') || t END AS b FROM targets
+),
+urls AS (SELECT url FROM own UNION SELECT a FROM resolved UNION SELECT b FROM resolved WHERE b IS NOT NULL),
+cut AS (SELECT url, {_SQL_PARTS('url')} AS rest FROM urls),
+known AS (SELECT url, {_SQL_LOWER("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*([?][^#]*)', 1) AS query FROM cut),
+judged AS (
+  SELECT url, host, path, CASE WHEN instr(url, '://') > 0 THEN host || path || query END AS node, max(struct_pack(n := length(rule), allows := verdict = 'allow', rule := rule)) FILTER (WHERE rule IS NOT NULL) AS best
+  FROM known LEFT JOIN rules ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1))) AND starts_with(path, substr(rule, instr(rule, '/'))) GROUP BY ALL
+),
+edges AS (SELECT x.node AS a, y.node AS b FROM resolved r JOIN judged x ON x.url = r.a JOIN judged y ON y.url = r.b WHERE x.node IS NOT NULL AND y.node IS NOT NULL),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reached AS (SELECT DISTINCT node AS n, node AS of FROM judged WHERE NOT best.allows AND node IN (SELECT a FROM both_ways) UNION SELECT e.b, r.of FROM reached r JOIN both_ways e ON e.a = r.n),
+tainted AS (SELECT DISTINCT n FROM reached)
+SELECT o.page_id, j.host, j.path, j.best.rule AS rule, CASE WHEN j.best IS NOT NULL THEN CASE WHEN j.best.allows THEN 'allow' ELSE 'block' END WHEN t.n IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM own o JOIN judged j ON j.url = o.url LEFT JOIN tainted t ON t.n = j.node
+"""

@@ -595,6 +595,74 @@ def test_blocks_reach_aliases_but_not_allowed_ones(spark):
     assert dict(listed(url_filters.judge(df, redirects=more), "page_id", "verdict"))[4] == "block"
 
 
+def alias_graph(n_chain=120, n_hub=150):
+    """Pages with a long chain of canonical links, a hub, pairs, loops and pages with rules of their own among them."""
+    link = lambda u: f"<p><link rel='canonical' href='{u}'>"
+    rows = [(f"http://chain.net/{i}", link(f"http://chain.net/{i + 1}")) for i in range(n_chain)] + [("http://chain.net/end", link(f"http://CHAIN.net/{n_chain}#x"))]
+    rows += [(f"https://chain.net/{n_chain}", link("http://x.com/de/1")), ("http://ok.org/in-chain", link("http://chain.net/7"))]
+    rows += [(f"http://spoke{i}.net/", link("http://hub.net/")) for i in range(n_hub)] + [("http://y.com/fr/1", link("http://hub.net/")), ("http://z.com/de/2", link("http://spoke3.net/"))]
+    rows += [(f"http://pair{i}.net/a/b?q", f'<META HTTP-EQUIV=refresh content="1;url=c{i}">') for i in range(40)] + [(f"http://pair{i}.net/a/c{i}", None if i % 2 else "") for i in range(0, 40, 3)]
+    rows += [("http://self.net/", link("/")), ("http://self.net/", link("http://self.net/")), ("http://lone.net/1", "<link rel=canonical>" + "x" * 2_000_000), (None, link("http://q.net/")), ("no url", link("http://x.com/de/1"))]
+    rows += [("http://twice.net/", link("http://a.com/de/")), ("http://twice.net/", "other html"), ("http://example.org/es/1", link("http://safe.net/")), ("http://safe.net/", None)]
+    r = random.Random(4)
+    rows += [(f"http://rand.net/{r.randrange(300)}", link(f"http://rand.net/{r.randrange(300)}")) for _ in range(170)] + [("http://rand.net/5", link("http://b.com/de/")), ("http://rand.net/9", link("http://b.com/de/"))]
+    return [(i, u, h) for i, (u, h) in enumerate(rows)]
+
+
+def plain_judge(rows, rules):
+    def cut(url):
+        rest = url.split("://", 1)[1] if url and "://" in url else None
+        host = re.match("[^/?#]*", rest or "")[0]
+        return re.sub("[A-Z]", lambda m: m[0].lower(), host), re.match("[^?#]*", (rest or "")[len(host) :])[0], rest
+    def rule(url):
+        host, path, _ = cut(url)
+        fit = [(len(r), v == "allow", r) for v, r in rules for h, s, p in [r.partition("/")] if (host == h or host.endswith("." + h)) and path.startswith(s + p)]
+        return max(fit)[1:] if fit else None
+    def node(url):
+        host, path, rest = cut(url)
+        return None if rest is None else host + path + re.match(r"(\?[^#]*)?", rest[len(re.match("[^?#]*", rest)[0]) :])[0]
+    label, blocked = {}, set()
+    def find(x):
+        label.setdefault(x, x)
+        while label[x] != x:
+            x = label[x]
+        return x
+    for _, url, html in rows:
+        for to in re.findall(r"href='([^']+)'|url=([^\"]+)", html or ""):
+            to = to[0] or to[1]
+            if url and "://" in url:
+                base = url.split("://")[0] + "://" + re.match("[^/?#]*", cut(url)[2])[0]
+                to = to if "://" in to else base + to if to.startswith("/") else base + re.match("(.*/)?", cut(url)[1])[0] + to
+                label[find(node(url))] = find(node(to))
+                blocked |= {node(u) for u in (url, to) if (r := rule(u)) and not r[0]}
+    bad = {find(x) for x in blocked}
+    return [(i, *cut(u)[:2], (r := rule(u)) and r[1], ("allow" if r[0] else "block") if r else "block" if node(u) in label and find(node(u)) in bad else "allow") for i, u, _ in rows]
+
+
+def test_alias_graphs_equal_union_find_and_the_sql(spark):
+    import duckdb
+
+    rows = alias_graph()
+    want = sorted(plain_judge(rows, url_filters.RULES), key=repr)
+    assert {v for *_, v in want} == {"allow", "block"} and sum(v == "block" and r is None for *_, r, v in want) > 200
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert listed(url_filters.judge(df), "page_id", "host", "path", "rule", "verdict") == want
+    pages = df.toArrow()
+    assert sorted(duckdb.query(f"SELECT page_id, host, path, rule, verdict FROM ({url_filters.ORACLE_SQL})").fetchall() if pages is not None else [], key=repr) == want
+
+
+def test_any_number_of_rules(spark):
+    r = random.Random(2)
+    hosts = [f"h{i}.{t}" for i in range(300) for t in ("com", "net", "a.b.org")]
+    rules = [(r.choice(["allow", "block"]), f"{r.choice(hosts)}/{'/'.join(str(r.randrange(9)) for _ in range(r.randrange(3)))}") for _ in range(2500)] + [("block", "net"), ("block", "b.org/"), ("allow", "b.org/"), ("block", "")]
+    rows = [(i, f"http://{r.choice(['', 'www.', 'x.y.'])}{r.choice(hosts)}/{'/'.join(str(r.randrange(9)) for _ in range(r.randrange(4)))}?q", None) for i in range(400)] + [(900, "", None), (901, "http://a." + "b." * 3000 + "net/" + "p" * 5000, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert listed(url_filters.judge(df, rules), "page_id", "host", "path", "rule", "verdict") == sorted(plain_judge(rows, rules), key=repr)
+    many = spark.range(100_000).select(F.lit("block").alias("verdict"), F.concat(F.lit("h"), "id", F.lit(".com/")).alias("rule"))
+    out = dict(listed(url_filters.judge(spark.createDataFrame([(1, "http://h77777.com/x", None), (2, "http://h100000.com/x", None)], "page_id long, url string, html string"), many), "page_id", "verdict"))
+    assert out == {1: "block", 2: "allow"}
+
+
 # 9 fingerprints
 
 
