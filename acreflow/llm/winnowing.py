@@ -11,9 +11,10 @@ is the smallest hash with the rightmost tie, and sliding minima of width 2 and 4
 
 from __future__ import annotations
 
+import json
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -25,6 +26,8 @@ BASE = 1_000_003
 _TOP = 2**32 - 1
 #: Bytes of input, as Catalyst estimates them, for one range of ids.
 RANGE_BYTES = 1 << 20
+#: Ranges at most: their first ids are longs in the plan.  Beyond 1 TB ranges get longer; their rows are sorted, with spill.
+MAX_RANGES = 1 << 20
 _SPACE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -88,29 +91,34 @@ def fingerprint(df: DataFrame, text: str = "text", to: str = "fingerprint") -> D
     return with_marks(df, text, "__marks").withColumn(to, shown(F.col("__marks"))).drop("__marks")
 
 
-def _ranges(spark: SparkSession, ids: DataFrame, n: int) -> list:
-    """The smallest id of each of at most ``n`` ranges with about as many rows each: n longs for the driver."""
-    cuts = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(n + 1)], 10 * n)).first()[0]
-    if not cuts:
-        return []
-    known = ids.filter("doc_id is not null").select("doc_id", _range_of(F.col("doc_id"), sorted(set(cuts))).alias("r"))
-    return sorted(x["least"] for x in known.groupBy("r").agg(F.min("doc_id").alias("least")).collect())
+def _ranges(ids: DataFrame, n: int) -> list[int]:
+    """The smallest id of each of about ``n`` ranges with about as many rows each: so many longs for the driver.
+
+    Every k-th id of the sorted ones, found once: another sort could put its cuts elsewhere.
+    """
+    known = ids.filter("doc_id is not null")
+    k = max(1, -(-known.count() // n))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    sorted_ = known.repartitionByRange(max(8, n >> 12), "doc_id").sortWithinPartitions("doc_id").withColumn("i", place)
+    return sorted(r[0] for r in sorted_.filter(F.col("i") % k == 0).select("doc_id").distinct().collect())
 
 
-def _range_of(id_: Column, starts: list) -> Column:
-    """The number of the range that holds an id, by a search in two steps of about sqrt(n) comparisons."""
-    step = math.isqrt(len(starts)) + 1
-    count = lambda a: F.size(F.filter(a, lambda s: s <= id_))
-    coarse = F.greatest(count(_longs(starts[::step])) - 1, F.lit(0))
-    at = coarse * step + count(F.slice(_longs(starts), coarse * step + 1, step)) - 1
-    return F.greatest(at, F.lit(0)).cast("int")
+def _longs(values: list[int]) -> Column:
+    """A constant array, in one call whatever its length."""
+    return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
 
 
-def _longs(values: list) -> Column:
-    return F.array(*(F.lit(int(v)).cast("long") for v in values))
+def _range_of(id_: Column, starts: list[int]) -> Column:
+    """The number of the range that holds an id, by a search in three steps of about n ** (1 / 3) comparisons."""
+    step = math.ceil(len(starts) ** (1 / 3)) + 1
+    upto = lambda a: F.greatest(F.size(F.filter(a, lambda s: s <= id_)) - 1, F.lit(0))
+    at = upto(_longs(starts[:: step * step]))
+    for every in (step, 1):
+        at = at * step + upto(F.slice(_longs(starts[::every]), at * step + 1, step))
+    return at.cast("int")
 
 
-def edited_fingerprints(docs: DataFrame, rows_of_ranges: int | None = None) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """A row for each row of ``docs`` (doc_id, text, more): doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next.
 
@@ -121,15 +129,15 @@ def edited_fingerprints(docs: DataFrame, rows_of_ranges: int | None = None) -> D
     One shuffle of the texts: rows are dealt into ranges of doc_id, and the first row of a range also goes,
     as a guest, to the end of the range before it.
     """
-    spark = docs.sparkSession
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    n = rows_of_ranges or max(8, min(65536, input_bytes(docs.select("doc_id", "text")) // RANGE_BYTES))
-    starts = _ranges(spark, ids, int(n))
+    n = ranges or max(8, min(MAX_RANGES, input_bytes(docs.select("doc_id", "text")) // RANGE_BYTES))
+    starts = _ranges(ids, int(n))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     if starts:
-        r = _range_of(F.col("doc_id"), starts)
+        base = base.withColumn("own", _range_of(F.col("doc_id"), starts))
+        r = F.col("own")
         before = F.when(r == 0, F.lit(len(starts) - 1)).otherwise(r - 1)
-        is_first = F.array_contains(_longs(starts), F.col("doc_id"))
+        is_first = F.get(_longs(starts), r) == F.col("doc_id")
         homes = F.when(F.col("doc_id").isNull(), F.array(F.struct(F.pmod(F.xxhash64("text"), F.lit(len(starts))).cast("int").alias("r"), F.lit(False).alias("guest")))).when(
             is_first, F.array(F.struct(r.alias("r"), F.lit(False).alias("guest")), F.struct(before.cast("int").alias("r"), F.lit(True).alias("guest")))
         ).otherwise(F.array(F.struct(r.alias("r"), F.lit(False).alias("guest"))))

@@ -1,6 +1,7 @@
 """The ten text operators against plain versions, on small tables with nulls, blanks, ties, repeated rows and odd columns."""
 
 import base64
+import bisect
 import collections
 import hashlib
 import json
@@ -703,6 +704,25 @@ def test_fingerprints_equal_plain_winnowing(docs, texts):
         assert r["near_next"] == like(marks[i], marks[(i + 1) % len(texts)]) and r["near_edited"] == like(marks[i], plain_marks(edited))
 
 
+def test_many_ranges_are_planned_quickly_and_found_right(spark):
+    r = random.Random(8)
+    starts = sorted(r.sample(range(-(10**15), 10**15), 65_536))
+    began = time.monotonic()
+    ids = [*r.sample(starts, 300), *(r.randrange(-(10**15), 10**15) for _ in range(300)), starts[0], starts[-1], starts[0] - 1, starts[-1] + 5]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long").withColumn("r", winnowing._range_of(F.col("doc_id"), starts))
+    df._jdf.queryExecution().executedPlan()
+    assert time.monotonic() - began < 5
+    assert all(x["r"] == max(0, bisect.bisect_right(starts, x["doc_id"]) - 1) for x in df.collect())
+    few = spark.createDataFrame([(i,) for i in (5, 5, 1, 9, None, 7, 7, 7)], "doc_id long")
+    cuts = winnowing._ranges(few, 3)
+    assert cuts == sorted(set(cuts)) and cuts[0] == 1 and set(cuts) <= {1, 5, 7, 9}
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 60])
+def test_fingerprints_do_not_depend_on_ranges(docs, ranges):
+    assert listed(winnowing.edited_fingerprints(docs, ranges)) == listed(winnowing.edited_fingerprints(docs))
+
+
 def test_fingerprints_share_long_runs(spark):
     shared = prose(winnowing.K + winnowing.W - 1)
     df = winnowing.fingerprint(spark.createDataFrame([(prose(50) + " " + shared + " " + prose(50),), (prose(9) + " " + shared,)], "text string"))
