@@ -4,13 +4,14 @@ Greedy longest-match pieces of a word are counted without building them: a trie
 each node, a failure link to where matching goes on after the pieces that are then known, and how many these
 are.  Every symbol and every failure step is taken once, so a word takes time linear in its length.  Distinct
 words of a slice run through the automaton side by side.  Pieces that may only continue a word (written ##x)
-have a root of their own.
+have a root of their own.  A vocabulary that marks the ends of words has its marks matched as a symbol after the last
+byte, so a marked piece can only end a word; an end that no marked piece takes is a token of its own.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,27 +21,36 @@ from pyspark.sql import functions as F
 
 from acreflow.llm.textblocks import LOWER, slices, word_hashes, words
 
-_SYMBOLS = 256
+#: The symbol after the last byte of a word.
+END = 256
+_SYMBOLS = 257
 #: Words longer than this go through the automaton one at a time.
 SIDE_BY_SIDE = 256
 
 
 @dataclass(frozen=True)
 class Automaton:
-    keys: np.ndarray  # node * 256 + byte, ascending
+    keys: np.ndarray  # node * _SYMBOLS + symbol, ascending
     to: np.ndarray
     fail: np.ndarray  # -1: no piece fits
     popped: np.ndarray
     inner: int  # the root after the first piece; a word begins at node 0
+    ends: bool  # whether words are followed by END
 
 
-def build(first: Iterable[bytes], later: Iterable[bytes] | None = None) -> Automaton:
-    """The automaton of the pieces that can begin a word and of those that can continue it (the same ones by default)."""
+def build(first: Iterable[Sequence[int]], later: Iterable[Sequence[int]] | None = None) -> Automaton:
+    """The automaton of the pieces that can begin a word and of those that can continue it (the same ones by default).
+
+    A piece is a sequence of bytes, END after them if it is marked as one that ends a word.
+    """
+    first = list(first)
+    ends = any(len(p) and p[-1] == END for p in first)
+    first += [(END,)] * ends
     edges: list[dict[int, int]] = [{}]
     is_piece = [False]
     inner = 0
 
-    def add(pieces: Iterable[bytes], root: int) -> None:
+    def add(pieces: Iterable[Sequence[int]], root: int) -> None:
         for piece in pieces:
             node = root
             for symbol in piece:
@@ -76,7 +86,7 @@ def build(first: Iterable[bytes], later: Iterable[bytes] | None = None) -> Autom
     keys = np.array([u * _SYMBOLS + s for u, e in enumerate(edges) for s in e], np.int64)
     to = np.array([v for e in edges for v in e.values()], np.int32)
     order = np.argsort(keys)
-    return Automaton(keys[order], to[order], np.array(fail, np.int32), np.array(popped, np.int32), inner)
+    return Automaton(keys[order], to[order], np.array(fail, np.int32), np.array(popped, np.int32), inner, ends)
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -86,9 +96,9 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
-def load_pieces(path: str) -> tuple[list[bytes], list[bytes] | None]:
-    """The pieces of a vocabulary file: of a ``tokenizers`` file with a byte-level vocabulary, end-of-word
-    suffixes left off, or of a text file with a piece in each line and ## before continuing ones."""
+def load_pieces(path: str) -> tuple[list[Sequence[int]], list[Sequence[int]] | None]:
+    """The pieces of a vocabulary file: of a ``tokenizers`` file with a byte-level vocabulary, its end-of-word
+    suffix read as END, or of a text file with a piece in each line and ## before continuing ones."""
     if not path.endswith(".json"):
         with open(path, encoding="utf-8") as f:
             lines = [x.rstrip("\n") for x in f]
@@ -96,14 +106,19 @@ def load_pieces(path: str) -> tuple[list[bytes], list[bytes] | None]:
     with open(path, encoding="utf-8") as f:
         model = json.load(f)["model"]
     byte, suffix = _byte_of_char(), model.get("end_of_word_suffix") or ""
-    bodies = {p.removesuffix(suffix) for p in model["vocab"]}
-    return sorted(bytes(byte[c] for c in p) for p in bodies if p and all(c in byte for c in p)), None
+    out = []
+    for piece in model["vocab"]:
+        marked = bool(suffix) and piece.endswith(suffix)
+        body = piece.removesuffix(suffix)
+        if body and all(c in byte for c in body):
+            out.append((*(byte[c] for c in body), *[END] * marked))
+    return sorted(out), None
 
 
 def count_one(a: Automaton, word: bytes) -> int:
     """The number of pieces of one word; -1 if no pieces make it up."""
     state, n = 0, 0
-    for symbol in word:
+    for symbol in (*word, *[END] * a.ends):
         while True:
             key = state * _SYMBOLS + symbol
             at = int(np.searchsorted(a.keys, key))
@@ -124,7 +139,7 @@ def count_one(a: Automaton, word: bytes) -> int:
 
 def count_many(a: Automaton, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The number of pieces of each (non-empty) word; -1 if no pieces make it up."""
-    length = ends - starts
+    length = ends - starts + a.ends
     n, state = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
     if not len(a.keys):
         return n - 1
@@ -142,7 +157,8 @@ def count_many(a: Automaton, raw: np.ndarray, starts: np.ndarray, ends: np.ndarr
     side_by_side = alive
     j = 0
     while len(alive := alive[(length[alive] > j) & (n[alive] >= 0)]):
-        todo, symbol = alive, raw[starts[alive] + j].astype(np.int64)
+        todo, last = alive, a.ends & (length[alive] == j + 1)
+        symbol = np.where(last, END, raw[np.where(last, 0, starts[alive] + j)].astype(np.int64))
         while len(todo):
             key = state[todo] * _SYMBOLS + symbol
             at = np.minimum(np.searchsorted(a.keys, key), len(a.keys) - 1)
@@ -182,7 +198,8 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, n_words, n_unknown), a row for each row of ``docs`` (doc_id, text, more).
 
     Words are separated by ASCII white space, A-Z are lower-cased; each is cut into the longest pieces from
-    the left; a word that no pieces make up is one token, and counted as unknown.  Null and empty text: zeros.
+    the left; a word that no pieces make up is one token, and counted as unknown.  Null, empty and blank text: zeros.
+    Very long texts and words are read whole.
     Repeated rows and null ids are rows like any other; other columns are ignored.  The vocabulary is read by
     the driver and its automaton, of a size bounded by it, is broadcast.
     """
