@@ -1,25 +1,29 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
-Counts of n-grams are quantised on a logarithmic scale; an n-gram whose count has level q puts the items
-(n-gram, 1) ... (n-gram, q) into a Bloom filter.  A count is read back by probing levels until one is
-missing, so it can come out too high with a small probability and never too low by more than its level.  The
-filter has a fixed number of bits, is built in segments by the executors and broadcast.  Counts cover the
-whole training text; n-grams too rare for the filter's capacity, by a threshold taken from the histogram of
-all counts, are left to smoothing.
-
-Exact counts of all words, for the base score, are never broadcast as a whole: words more frequent than one
-token in ``HEAD`` are at most that many and are broadcast, the others meet the documents in hash blocks.
+Counts of pairs and triples of words are quantised on a logarithmic scale; an n-gram whose count has level q puts
+the items (n-gram, 1) ... (n-gram, q) into a Bloom filter.  A count is read back by probing levels until one is
+missing, so it can come out too high with a small probability and never too low by more than its level.
+
+The filter is as large as the corpus asks for: ``ITEM_BITS`` for each item, no n-gram left out.  It is cut into
+segments by hash block, each built by one task from the exact counts of its block.  The most frequent n-grams, as many
+as fit ``HEAD_BITS``, are also in a head filter of that fixed size, which is broadcast; an n-gram that is not found
+there is asked for in its block: the distinct ones of a slice of text travel to the segments, a byte for each travels
+back, and the slice, which travelled along compressed, is scored.  Words keep exact counts, as the base score needs
+them: those more frequent than one token in ``HEAD_WORDS`` are broadcast, the others are asked for in their blocks.
+
+The score interpolates triples with pairs with add-one word probabilities.  What a context leaves to the shorter one
+is worth count ** ``POWER`` + 1 observations: rare contexts lean on the shorter one, frequent ones much less.
 """
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,20 +31,25 @@ from acreflow.llm.textblocks import combine, mix, slices, word_hashes, words
 from acreflow.plans.storage import input_bytes, stored
 
 #: Words that are broadcast with their exact counts, at most.
-HEAD = 1 << 18
-#: Bits of the filter, as a power of two; 2**27 bits are 16 MB.
-LOG2_BITS = 27
-#: One segment of the filter is built by one task.
-LOG2_SEGMENTS = 6
+HEAD_WORDS = 1 << 18
+#: Bits of the broadcast filter (16 MB), its bits and probes for an item, and its segments, each built by one task.
+HEAD_BITS = 1 << 27
+HEAD_ITEM_BITS, HEAD_PROBES = 24, 8
+LOG2_HEAD_SEGMENTS = 6
+#: Bits and probes for an item of a block's segment.
+ITEM_BITS, PROBES = 12, 6
 LEVEL_BASE = 1.5
-#: Weight of the pair against the single word.
-PAIR = 0.2
+POWER = 0.9
+#: Bytes of input that one hash block stands for, as Catalyst estimates them.
 BLOCK_BYTES = 4 << 20
-#: Bytes of text that a task works on at once.
+#: Bytes of text that a task works on at once, and entries that it gathers before it sends them.
 SLICE = 4 << 20
+GATHERED = 4 << 20
+#: Bits of a pair or triple that tell it apart in its block.
+KEY_BITS = 40
+WORD, PAIR, TRIPLE = 1, 2, 3
 END = np.uint64(0x9D39247E33776D41)
 START = np.uint64(0x2AF7398005AAA5C7)
-_PROBES = 4
 
 
 def in_training(doc_id: int | None) -> bool:
@@ -60,274 +69,397 @@ def count_of(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, (low + np.maximum(low, high)) / 2, 0.0)
 
 
-def _spots(grams: np.ndarray, at_level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For items (gram, level) the 64-bit word of the filter, and the bits in it that the item sets."""
+def _hash(keys: np.ndarray, q: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = mix(grams + at_level.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-    word = (grams >> np.uint64(64 - LOG2_SEGMENTS) << np.uint64(LOG2_BITS - 6 - LOG2_SEGMENTS)) | (h & np.uint64((1 << (LOG2_BITS - 6 - LOG2_SEGMENTS)) - 1))
-    bits = np.zeros(len(h), np.uint64)
-    for i in range(_PROBES):
-        bits |= np.uint64(1) << ((h >> np.uint64(64 - 6 * (i + 1))) & np.uint64(63))
-    return word, bits
-
-
-def build_segment(grams: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """The words of the one segment that all these n-grams belong to."""
-    out = np.zeros(1 << (LOG2_BITS - 6 - LOG2_SEGMENTS), np.uint64)
-    mask = np.uint64(len(out) - 1)
-    for q in range(1, int(levels.max(initial=0)) + 1):
-        word, bits = _spots(grams[levels >= q], np.full(int((levels >= q).sum()), q))
-        np.bitwise_or.at(out, (word & mask).astype(np.int64), bits)
+        return mix(keys + np.uint64(q) * np.uint64(0xD1342543DE82EF95))
+
+
+def _spot(h: np.ndarray, i: int, size: int) -> np.ndarray:
+    """The bit that probe ``i`` of hashed items looks at, of ``size`` < 2**32 bits."""
+    low = np.uint64(0xFFFFFFFF)
+    return (((h >> np.uint64(32)) + np.uint64(i) * ((h & low) | np.uint64(1))) & low) * np.uint64(size) >> np.uint64(32)
+
+
+def build_filter(keys: np.ndarray, levels: np.ndarray, size: int, probes: int, first: int = 1) -> np.ndarray:
+    """``size`` bits (a multiple of 8) as bytes, with the items (key, first) ... (key, level) of all keys."""
+    bits = np.zeros(size, bool)
+    for q in range(first, int(levels.max(initial=0)) + 1):
+        h = _hash(keys[levels >= q], q)
+        for i in range(probes):
+            bits[_spot(h, i, size).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little")
+
+
+def probe(filter_: np.ndarray, keys: np.ndarray, size: int, probes: int, first: int = 1, base: np.ndarray | None = None) -> np.ndarray:
+    """The level of each key, by probes until one fails; 0 if the first does.  ``base``: the bit where each key's filter begins."""
+    out = np.zeros(len(keys), np.uint8)
+    alive, q = np.arange(len(keys)), first
+    while len(alive) and q < 256:
+        h = _hash(keys[alive], q)
+        for i in range(probes):
+            at = _spot(h, i, size)
+            if base is not None:
+                at += base[alive]
+            hit = (filter_[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
+            alive, h = alive[hit], h[hit]
+        out[alive] = q
+        q += 1
     return out
 
 
-def probe(filter_: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """The level of each n-gram, by probes until one fails."""
-    out = np.zeros(len(grams), np.int64)
-    alive = np.arange(len(grams))
-    q = 1
-    while len(alive):
-        word, bits = _spots(grams[alive], np.full(len(alive), q))
-        alive = alive[(filter_[word.astype(np.int64)] & bits) == bits]
-        out[alive] = q
-        q += 1
+@dataclass(frozen=True)
+class Blocks:
+    """How 64-bit hashes are cut: a word is whole, a pair or triple ``KEY_BITS`` bits within its block."""
+
+    bits: int
+
+    @property
+    def key_bits(self) -> int:
+        return min(KEY_BITS, 64 - self.bits)
+
+    def cut(self, kind: int, grams: np.ndarray) -> np.ndarray:
+        """What stands for n-grams: block and key, or the whole hash of a word."""
+        return grams if kind == WORD else grams >> np.uint64(64 - self.bits - self.key_bits)
+
+    def of(self, kind: int, cut: np.ndarray) -> np.ndarray:
+        return (cut >> np.uint64(64 - self.bits if kind == WORD else self.key_bits)).astype(np.int64)
+
+    def runs(self, kind: int, cut: np.ndarray) -> list[tuple[int, int, int]]:
+        """(block, start, end) of ascending entries."""
+        if not len(cut):
+            return []
+        block = self.of(kind, cut)
+        edges = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+        return list(zip(block[edges].tolist(), edges.tolist(), np.append(edges[1:], len(block)).tolist(), strict=True))
+
+    def pack(self, kind: int, cut: np.ndarray) -> bytes:
+        if kind == WORD:
+            return cut.tobytes()
+        key = cut & np.uint64((1 << self.key_bits) - 1)
+        return key.astype(np.uint32).tobytes() + (key >> np.uint64(32)).astype(np.uint8).tobytes()
+
+
+def _unpack(kind: int, data: bytes) -> np.ndarray:
+    if kind == WORD:
+        return np.frombuffer(data, np.uint64)
+    n = len(data) // 5
+    return np.frombuffer(data, np.uint32, n).astype(np.uint64) | (np.frombuffer(data, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32))
+
+
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """A byte each; 255 stands for one of the longs that follow."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype(np.int64).tobytes()
+
+
+def _unpack_counts(data: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(data[n:], np.int64)
     return out
 
 
-def grams_of(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The words and the end of each document in a row, and the pair that each forms with what precedes it."""
-    n = len(first) - 1
+def grams_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Where each text begins among all tokens, its end being one; and by kind the hashes of the token itself, of the
+    pair and of the triple that it ends.  Before the first token are starts."""
+    starts, ends, first = words(raw, offsets)
+    tokens, n = word_hashes(raw, starts, ends), len(offsets) - 1
     every = np.full(len(tokens) + n, END)
     every[np.arange(len(tokens)) + np.repeat(np.arange(n), np.diff(first))] = tokens
-    before = np.empty(len(every), np.uint64)
-    before[1:] = every[:-1]
-    before[first[:-1] + np.arange(n)] = START
-    both = np.empty(2 * len(every), np.uint64)
-    both[::2], both[1::2] = before, every
-    return every, combine(both, 2)[::2]
-
+    first = first + np.arange(n + 1)
+    chain = np.empty((len(every), 3), np.uint64)
+    chain[:, 2] = every
+    for i in (1, 0):
+        chain[1:, i] = chain[:-1, i + 1]
+        chain[first[:-1], i] = START
+    return first, {WORD: every, PAIR: combine(chain[:, 1:].reshape(-1), 2)[::2], TRIPLE: combine(chain.reshape(-1), 3)[::3]}
 
-def _cut(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    starts, ends, first = words(raw, offsets)
-    return word_hashes(raw, starts, ends), first
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ascending keys of (keys, counts) with the sums of their counts."""
+    keys = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in parts)])
+    counts = np.concatenate([np.zeros(0, np.int64), *(c for _, c in parts)])
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[new], np.add.reduceat(counts, new) if len(new) else counts
 
-_COUNTED = "kind int, block int, grams binary, counts binary"
 
+_COUNTED = "kind int, block long, keys binary, counts binary"
 
-def _count(bits: int):
-    """Per slice of training text the distinct words (kind 1) and pairs (kind 2), by hash block."""
 
-    def one(raw: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
-        every, pairs = grams_of(*_cut(raw, offsets))
-        out = []
-        for kind, grams in ((1, every), (2, pairs)):
-            own, count = np.unique(grams, return_counts=True)
-            cuts = np.searchsorted(own >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-            out += [(kind, b, own[i:j].tobytes(), count[i:j].astype(np.uint32).tobytes()) for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if j > i]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int32() if i < 2 else pa.binary()) for i in range(4)], ["kind", "block", "grams", "counts"])
+def _count(blocks: Blocks):
+    """The distinct words, pairs and triples of training text with their counts, by hash block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {WORD: [], PAIR: [], TRIPLE: []}
+
+        def sent() -> pa.RecordBatch:
+            out = []
+            for kind, parts in held.items():
+                keys, counts = _merged(parts)
+                parts.clear()
+                out += [(kind, b, blocks.pack(kind, keys[i:j]), _pack_counts(counts[i:j])) for b, i, j in blocks.runs(kind, keys)]
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["kind", "block", "keys", "counts"])
+
+        n = 0
         for batch in batches:
             keep = pa.array([in_training(i) for i in batch.column("doc_id").to_pylist()], pa.bool_())
             for _, _, raw, offsets in slices(batch.column("text").filter(keep), SLICE):
-                yield one(raw, offsets)
+                for kind, grams in grams_of(raw, offsets)[1].items():
+                    held[kind].append(np.unique(blocks.cut(kind, grams), return_counts=True))
+                    n += len(held[kind][-1][0])
+                if n >= GATHERED:
+                    yield sent()
+                    n = 0
+        if n:
+            yield sent()
 
     return run
 
 
-def _join_bytes(table: pa.Table, name: str, kind: type) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
+_SUMMED = "block long, words binary, word_counts binary, filter binary, head binary, head_levels binary, head_least int, histogram array<bigint>, n_distinct long, n_total long"
+_KINDS = [pa.int64(), *[pa.binary()] * 5, pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
 
 
-def _sum_block(table: pa.Table) -> pa.Table:
-    """The exact counts of one hash block, with what the driver needs to know of it."""
-    grams, counts = _join_bytes(table, "grams", np.uint64), _join_bytes(table, "counts", np.uint32)
-    order = np.argsort(grams)
-    grams, counts = grams[order], counts[order]
-    del order
-    first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
-    own, total = grams[first], np.add.reduceat(counts, first, dtype=np.int64)
-    del grams, counts
-    histogram = np.bincount(level(total), minlength=128)[:128]
-    return pa.table([table.column("kind")[:1], table.column("block")[:1], pa.array([own.tobytes()], pa.binary()), pa.array([total.tobytes()], pa.binary()), pa.array([len(own)], pa.int64()), pa.array([int(total.sum())], pa.int64()), pa.array([histogram.tolist()], pa.list_(pa.int64()))], ["kind", "block", "grams", "counts", "n_distinct", "n_total", "histogram"])
+def _fitting(histogram: np.ndarray, room: float) -> int:
+    """The least level whose n-grams, with items from that level on, fit into ``room`` items with all higher ones."""
+    above = np.cumsum(histogram[::-1])[::-1]  # n-grams of a level or more: what one level of items takes
+    q = len(histogram) - 1
+    while q > 1 and above[q - 1 :].sum() <= room:
+        q -= 1
+    return q
 
 
-_SUMMED = "kind int, block int, grams binary, counts binary, n_distinct long, n_total long, histogram array<bigint>"
+def _sum_block(blocks: Blocks):
+    """The exact word counts of a hash block, its segment of the filter, and its share of what could be in the head."""
+    share = 1.25 * HEAD_BITS / HEAD_ITEM_BITS / (1 << blocks.bits) + 64
 
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        block, parts = key[0].as_py(), {WORD: [], PAIR: [], TRIPLE: []}
+        for kind, keys, counts in zip(*(table.column(c).to_pylist() for c in ("kind", "keys", "counts")), strict=True):
+            keys = _unpack(kind, keys)
+            parts[kind].append((keys, _unpack_counts(counts, len(keys))))
+        own, total = _merged(parts[WORD])
+        grams, counts = _merged(parts[PAIR] + parts[TRIPLE])
+        q = level(counts)
+        histogram = np.bincount(q, minlength=128)
+        size = max(64, -(-int(q.sum()) * ITEM_BITS // 64) * 64)
+        least = _fitting(histogram, share)
+        head = q >= least
+        whole = (np.uint64(block) << np.uint64(blocks.key_bits)) | grams[head]
+        row = [block, own.tobytes(), total.tobytes(), build_filter(grams, q, size, PROBES).tobytes(), whole.tobytes(), q[head].astype(np.uint8).tobytes(), least, histogram.tolist(), len(own), int(total.sum())]
+        return pa.table([pa.array([v], k) for v, k in zip(row, _KINDS, strict=True)], [f.split()[0] for f in _SUMMED.split(", ")])
+
+    return run
 
-def _levels(least: int):
-    """Kept n-grams of each block by filter segment."""
+
+def _head_items(blocks: Blocks, least: int):
+    """The n-grams of the head, by the segment of its filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for raw, counts in zip(batch.column("grams"), batch.column("counts"), strict=True):
-                grams, q = np.frombuffer(raw.as_py(), np.uint64), level(np.frombuffer(counts.as_py(), np.int64))
-                grams, q = grams[q >= least], q[q >= least]
-                cuts = np.searchsorted(grams >> np.uint64(64 - LOG2_SEGMENTS), np.arange((1 << LOG2_SEGMENTS) + 1, dtype=np.uint64))
-                out += [(s, grams[i:j].tobytes(), q[i:j].astype(np.uint8).tobytes()) for s, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if j > i]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.binary()), pa.array([r[2] for r in out], pa.binary())], ["segment", "grams", "levels"])
+            for raw, levels in zip(batch.column("head").to_pylist(), batch.column("head_levels").to_pylist(), strict=True):
+                keys, q = np.frombuffer(raw, np.uint64), np.frombuffer(levels, np.uint8)
+                keys, q = keys[q >= least], q[q >= least]
+                segment = (keys >> np.uint64(blocks.bits + blocks.key_bits - LOG2_HEAD_SEGMENTS)).astype(np.int64)
+                out += [(s, keys[segment == s].tobytes(), q[segment == s].tobytes()) for s in np.unique(segment).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["segment", "keys", "levels"])
 
     return run
 
 
-def _segment(table: pa.Table) -> pa.Table:
-    built = build_segment(_join_bytes(table, "grams", np.uint64), _join_bytes(table, "levels", np.uint8).astype(np.int64))
-    return pa.table([table.column("segment")[:1], pa.array([built.tobytes()], pa.binary())], ["segment", "bits"])
+def _head_segment(least: int):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        keys, q = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("keys", np.uint64), ("levels", np.uint8)))
+        built = build_filter(keys, q.astype(np.int64), HEAD_BITS >> LOG2_HEAD_SEGMENTS, HEAD_PROBES, least)
+        return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([built.tobytes()], pa.binary())], ["segment", "bits"])
+
+    return run
 
 
 def _frequent(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
-            for raw, counts in zip(batch.column("grams"), batch.column("counts"), strict=True):
-                grams, c = np.frombuffer(raw.as_py(), np.uint64), np.frombuffer(counts.as_py(), np.int64)
-                parts.append((grams[c > least], c[c > least]))
-            yield pa.RecordBatch.from_arrays([pa.array([a.tobytes() for a, _ in parts], pa.binary()), pa.array([b.tobytes() for _, b in parts], pa.binary())], ["grams", "counts"])
+            for raw, counts in zip(batch.column("words").to_pylist(), batch.column("word_counts").to_pylist(), strict=True):
+                keys, c = np.frombuffer(raw, np.uint64), np.frombuffer(counts, np.int64)
+                parts.append((keys[c > least].tobytes(), c[c > least].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in parts], pa.binary()) for i in range(2)], ["words", "word_counts"])
 
     return run
 
 
-_SCORED = "row_key long, doc_id long, rows long, n_tokens long, n_known long, log_counts double, score double, block int, keys binary, lengths binary, grams binary, times binary"
-_SCORED_NAMES = [x.split()[0] for x in _SCORED.split(", ")]
-
-
-def row_key(doc_id: int | None, raw: bytes) -> int:
-    """A 64-bit hash that tells rows apart by id and text; repeated rows are one key, counted."""
-    return int.from_bytes(hashlib.blake2b(raw, digest_size=8, key=str(doc_id).encode()).digest(), "little", signed=True)
-
-
-def _score(model, bits: int):
-    """Per document its model score, what its frequent words add to the base score, and its other words by block."""
-    kinds = [pa.int64()] * 5 + [pa.float64()] * 2 + [pa.int32()] + [pa.binary()] * 4
-
-    def out(columns: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], _SCORED_NAMES)
-
-    def one(ids: list, raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.RecordBatch, pa.RecordBatch]:
-        head, head_counts, filter_, mass = model.value
-        n_ends = float(count_of(probe(filter_, np.array([END])))[0])
-        tokens, first = _cut(raw, offsets)
-        n = len(ids)
-        doc = np.repeat(np.arange(n), np.diff(first) + 1)
-        every, pairs = grams_of(tokens, first)
-        own, word = np.unique(every, return_inverse=True)
-        single = count_of(probe(filter_, own))[word]
-        context = np.append(n_ends, single[:-1])
-        context[first[:-1] + np.arange(n)] = n_ends  # as many documents begin as end
-        pair_own, pair = np.unique(pairs, return_inverse=True)
-        seen = np.minimum(np.minimum(count_of(probe(filter_, pair_own))[pair], context), single)
-        p = PAIR * seen / np.maximum(context, 1.0) + (1 - PAIR) * (single + 1.0) / mass
-        score = np.bincount(doc, np.log10(p), minlength=n)
-        # Exact counts: frequent words here, the others through their blocks.
-        where = np.searchsorted(head, own)
-        is_head = where < len(head)
-        is_head[is_head] = head[where[is_head]] == own[is_head]
-        log_count = np.zeros(len(own))
-        log_count[is_head] = np.log10(head_counts[where[is_head]] + 1.0)
-        here = is_head[word]
-        base = np.bincount(doc, log_count[word], minlength=n)
-        known = np.bincount(doc, here, minlength=n).astype(np.int64)
-        data = raw.tobytes()
-        keys = np.array([row_key(ids[i], data[offsets[i] : offsets[i + 1]]) for i in range(n)], np.int64)
-        none = [None] * n  # what is ready rides along in any block
-        ready = out([keys, ids, [1] * n, np.diff(first) + 1, known, base, score, (keys & ((1 << bits) - 1)).astype(np.int32), none, none, none, none])
-        rest, rest_doc = word[~here], doc[~here]
-        packed, times = np.unique(rest.astype(np.int64) * n + rest_doc, return_counts=True)
-        gram, owner = own[packed // n], packed % n
-        cuts = np.searchsorted(gram >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-        tiles = []
-        for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
-            if j > i:
-                order = np.argsort(owner[i:j], kind="stable")
-                who, count = np.unique(owner[i:j], return_counts=True)
-                tiles.append((b, keys[who].tobytes(), count.astype(np.uint32).tobytes(), gram[i:j][order].tobytes(), times[i:j][order].astype(np.uint32).tobytes()))
-        void = [None] * len(tiles)
-        return ready, out([void] * 7 + [[t[k] for t in tiles] for k in range(5)])
+@dataclass(frozen=True)
+class Model:
+    """What is broadcast: frequent words with their counts, the head filter, and the size of the training text."""
+
+    words: np.ndarray
+    counts: np.ndarray
+    head: np.ndarray
+    least: int
+    n_tokens: int
+    n_distinct: int
+
+    def known(self, blocks: Blocks, kind: int, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The count of a word or level of an n-gram, and which of them are not known here and have to be asked for."""
+        if kind == WORD:
+            at = np.searchsorted(self.words, cut)
+            hit = at < len(self.words)
+            hit[hit] = self.words[at[hit]] == cut[hit]
+            out = np.zeros(len(cut), np.int64)
+            out[hit] = self.counts[at[hit]]
+            return out, ~hit
+        size = 8 * len(self.head) >> LOG2_HEAD_SEGMENTS
+        base = (cut >> np.uint64(blocks.bits + blocks.key_bits - LOG2_HEAD_SEGMENTS)) * np.uint64(size)
+        out = probe(self.head, cut, size, HEAD_PROBES, self.least, base).astype(np.int64)
+        return out, (out == 0) & (self.least > 1)
+
+
+def train(docs: DataFrame, blocks: Blocks) -> tuple[Model, DataFrame]:
+    """The model, and the table of blocks that answers for what it does not hold."""
+    counted = docs.mapInArrow(_count(blocks), _COUNTED)
+    table = stored(counted.groupBy("block").applyInArrow(_sum_block(blocks), _SUMMED), "blocks")
+    n_distinct, n_tokens, found = table.agg(F.coalesce(F.sum("n_distinct"), F.lit(0)), F.coalesce(F.sum("n_total"), F.lit(0)), F.coalesce(F.max("head_least"), F.lit(1))).first()
+    histogram = np.zeros(128, np.int64)
+    for r in table.select(F.posexplode("histogram").alias("q", "n")).groupBy("q").agg(F.sum("n").alias("n")).collect():  # 128 rows
+        histogram[r["q"]] = r["n"]
+    least = max(_fitting(histogram, HEAD_BITS / HEAD_ITEM_BITS), found)
+    head = np.zeros(HEAD_BITS // 8, np.uint8)
+    size = len(head) >> LOG2_HEAD_SEGMENTS
+    items = table.select("head", "head_levels").mapInArrow(_head_items(blocks, least), "segment long, keys binary, levels binary")
+    for r in items.groupBy("segment").applyInArrow(_head_segment(least), "segment long, bits binary").toLocalIterator():
+        head[r["segment"] * size : (r["segment"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    words_ = table.select("words", "word_counts").mapInArrow(_frequent(n_tokens / HEAD_WORDS), "words binary, word_counts binary").collect()  # fewer than HEAD_WORDS words
+    keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["words"], np.uint64) for r in words_)])
+    counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["word_counts"], np.int64) for r in words_)])
+    order = np.argsort(keys)
+    return Model(keys[order], counts[order], head, least, int(n_tokens), int(n_distinct)), table
+
+
+#: kind 0: a slice, its compressed text as data and its rows as more; others: distinct n-grams of a slice in a block, or the answer.
+_MAIL = "slice long, kind int, block long, data binary, more binary"
+_MAIL_NAMES = [f.split()[0] for f in _MAIL.split(", ")]
+_MAIL_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+
+
+def _mail(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(_MAIL_KINDS)], _MAIL_NAMES)
+
+
+def _ask(shared, blocks: Blocks, slice_bytes: int):
+    """Slices of text, and by block what the model does not know of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for at, stop, raw, offsets in slices(batch.column("text"), SLICE // 2):
-                yield from one(ids[at:stop], raw, offsets)
+            ids, null = batch.column("doc_id").fill_null(0).to_numpy(), batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            for at, stop, raw, offsets in slices(batch.column("text"), slice_bytes):
+                rows = ids[at:stop].astype(np.int64).tobytes() + np.diff(offsets).astype(np.int64).tobytes() + null[at:stop].astype(np.uint8).tobytes()
+                home = int(mix(np.array([number], np.uint64))[0] >> np.uint64(64 - blocks.bits))
+                out = [(number, 0, home, pa.compress(raw.tobytes(), codec="zstd", asbytes=True), rows + len(raw).to_bytes(8, "little"))]
+                for kind, grams in grams_of(raw, offsets)[1].items():
+                    own = np.unique(blocks.cut(kind, grams))
+                    own = own[shared.value.known(blocks, kind, own)[1]]
+                    out += [(number, kind, b, blocks.pack(kind, own[i:j]), None) for b, i, j in blocks.runs(kind, own)]
+                number += 1
+                yield _mail(out)
+
+    return run
+
+
+def _answer(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    """What a block knows of the n-grams that slices ask for: counts of words, levels of others.  Slices pass through."""
+    block = right.to_pylist()[0] if right.num_rows else None
+    kinds, data = left.column("kind").to_pylist(), left.column("data").to_pylist()
+    for kind in (WORD, PAIR, TRIPLE):
+        rows = [i for i, k in enumerate(kinds) if k == kind]
+        if not rows:
+            continue
+        keys = [_unpack(kind, data[i]) for i in rows]
+        ends, all_ = np.cumsum([len(k) for k in keys]), np.concatenate(keys)
+        found = np.zeros(len(all_), np.uint32 if kind == WORD else np.uint8)
+        if block and kind == WORD:
+            own, counts = np.frombuffer(block["words"], np.uint64), np.frombuffer(block["word_counts"], np.int64)
+            at = np.minimum(np.searchsorted(own, all_), max(len(own) - 1, 0))
+            if len(own):
+                found = np.where(own[at] == all_, counts[at], 0).astype(np.uint32)
+        elif block:
+            filter_ = np.frombuffer(block["filter"], np.uint8)
+            found = probe(filter_, all_, 8 * len(filter_), PROBES)
+        for i, a, b in zip(rows, np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
+            data[i] = found[a:b].tobytes()
+    return left.set_column(left.schema.get_field_index("data"), "data", pa.array(data, pa.binary()))
+
+
+def log_probabilities(first: np.ndarray, single: np.ndarray, pair: np.ndarray, triple: np.ndarray, n_ends: float, n_tokens: int, n_distinct: int) -> np.ndarray:
+    """The log10 probability of each token, from the counts of the word, pair and triple that end there."""
+    before = np.append(n_ends, single[:-1])
+    two = np.append(n_ends, pair[:-1])
+    before[first[:-1]] = two[first[:-1]] = n_ends  # as many texts begin as end
+    pair = np.minimum(np.minimum(pair, before), single)
+    triple = np.minimum(np.minimum(triple, two), pair)
+    p = (single + 1.0) / (n_tokens + n_distinct + 1)
+    for seen, context in ((pair, before), (triple, two)):
+        rest = context**POWER + 1
+        p = (seen + rest * p) / (context + rest)
+    return np.log10(p)
+
+
+_SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+
+def _score(shared, blocks: Blocks):
+    def run(table: pa.Table) -> pa.Table:
+        model, rows, answers = shared.value, None, {WORD: [], PAIR: [], TRIPLE: []}
+        for kind, block, data, more in zip(*(table.column(c).to_pylist() for c in ("kind", "block", "data", "more")), strict=True):
+            if kind:
+                answers[kind].append((block, data))
+            else:
+                rows = data, more
+        data, more = rows
+        n = (len(more) - 8) // 17
+        ids, lengths, null = np.frombuffer(more, np.int64, n), np.frombuffer(more, np.int64, n, 8 * n), np.frombuffer(more, np.uint8, n, 16 * n)
+        raw = np.frombuffer(pa.decompress(data, int.from_bytes(more[-8:], "little"), codec="zstd", asbytes=True), np.uint8)
+        first, grams = grams_of(raw, np.append(0, np.cumsum(lengths)))
+        counts = {}
+        for kind in (WORD, PAIR, TRIPLE):
+            own, inverse = np.unique(blocks.cut(kind, grams.pop(kind)), return_inverse=True)
+            value, missing = model.known(blocks, kind, own)
+            got = np.frombuffer(b"".join(d for _, d in sorted(answers.pop(kind))), np.uint32 if kind == WORD else np.uint8)
+            if len(got) != missing.sum():
+                raise RuntimeError("a slice was cut differently when it was read again: docs must be a table whose rows keep their order")
+            value[missing] = got
+            if kind == WORD:
+                n_ends = float(value[np.searchsorted(own, END)]) if n else 0.0
+            counts[kind] = (value if kind == WORD else count_of(value))[inverse].astype(float)
+        doc = np.repeat(np.arange(n), np.diff(first))
+        logs = log_probabilities(first, counts[WORD], counts[PAIR], counts[TRIPLE], n_ends, model.n_tokens, model.n_distinct)
+        base = np.log10(counts[WORD] + 1) - np.log10(model.n_tokens + model.n_distinct + 1)
+        known = np.bincount(doc, counts[WORD] > 0, minlength=n).astype(np.int64)
+        sums = [pa.array(np.bincount(doc, x, minlength=n)) for x in (base, logs)]
+        return pa.table([pa.array(ids, mask=null > 0), pa.array(np.diff(first)), pa.array(known), *sums], [f.split()[0] for f in _SCORED.split(", ")])
 
     return run
 
 
-_PARTS = "row_key long, doc_id long, rows long, n_tokens long, n_known long, log_counts double, score double"
-_PARTS_NAMES = [x.split()[0] for x in _PARTS.split(", ")]
-
-
-def _block_score(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    """What the words of one block add to the base scores of the documents that have them, and what was ready."""
-    ready = left.filter(pc.is_valid(left.column("row_key"))).select(_PARTS_NAMES)
-    left = left.filter(pc.is_null(left.column("row_key")))
-    if not left.num_rows:
-        return ready
-    keys, lengths = _join_bytes(left, "keys", np.int64), _join_bytes(left, "lengths", np.uint32)
-    grams, times = _join_bytes(left, "grams", np.uint64), _join_bytes(left, "times", np.uint32).astype(np.int64)
-    counts = np.zeros(len(grams), np.int64)
-    if right.num_rows:
-        own, c = np.frombuffer(right.column("grams")[0].as_py(), np.uint64), np.frombuffer(right.column("counts")[0].as_py(), np.int64)
-        at = np.minimum(np.searchsorted(own, grams), len(own) - 1)
-        counts = np.where(own[at] == grams, c[at], 0)
-    own, inverse = np.unique(keys, return_inverse=True)
-    row = np.repeat(inverse, lengths)
-    known = np.bincount(row, times * (counts > 0), minlength=len(own)).astype(np.int64)
-    void = pa.nulls(len(own), pa.int64())
-    added = [pa.array(own), void, void, void, pa.array(known), pa.array(np.bincount(row, times * np.log10(counts + 1.0), minlength=len(own))), pa.nulls(len(own), pa.float64())]
-    return pa.concat_tables([ready, pa.table(added, _PARTS_NAMES).cast(ready.schema)])
-
-
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, block_bits: int | None = None) -> DataFrame:
     """A row for each row of ``docs`` (doc_id, text, more): doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score.
 
     The model learns from the rows for which ``in_training``.  Words are lower-cased (A-Z) and separated by
     ASCII white space, one end token follows each text; null text is empty and has the end alone.  base_score
-    is add-one unigram over exact counts; score interpolates pair counts, read from the filter, with the
-    smoothed word counts read from it.  Repeated rows count each in training and come back as often.  With
-    nothing to learn from, all counts are 0.  Other columns are ignored.
+    is add-one unigram over exact counts; score is the model's.  Repeated rows count each in training and come back as
+    often.  With nothing to learn from, all counts are 0.  Very long texts are a slice of their own.  Other
+    columns are ignored.  ``block_bits``: hash blocks as a power of two, by the size of the input if not given.
     """
-    spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    bits = max(4, min(16, (input_bytes(docs) // BLOCK_BYTES).bit_length()))
-    counted = source.mapInArrow(_count(bits), _COUNTED)
-    counts = stored(counted.groupBy("kind", "block").applyInArrow(_sum_block, _SUMMED), "counts")
-    facts = counts.select("kind", F.posexplode("histogram").alias("q", "n"))
-    one = F.sum(F.when(F.col("kind") == 1, F.col("n")).otherwise(0)).alias("words")
-    by_level = facts.groupBy("q").agg(F.sum("n").alias("n"), one).orderBy(F.desc("q")).collect()  # at most 128 rows
-    n_distinct, n_tokens = counts.filter("kind = 1").agg(F.coalesce(F.sum("n_distinct"), F.lit(0)), F.coalesce(F.sum("n_total"), F.lit(0))).first()
-    # The lowest level whose n-grams, with all higher ones, still leave half of the filter's bits unset.
-    room, least = (1 << LOG2_BITS) * np.log(2) / _PROBES, 1
-    for r in by_level:
-        room -= r["q"] * r["n"]
-        if room < 0:
-            least = r["q"] + 1
-            break
-    mass = n_distinct + 1 + sum(float(count_of(np.array([r["q"]]))[0]) * r["words"] for r in by_level if r["q"] >= least)
-    built = counts.select("grams", "counts").mapInArrow(_levels(least), "segment int, grams binary, levels binary").groupBy("segment").applyInArrow(_segment, "segment int, bits binary").collect()
-    filter_ = np.zeros(1 << (LOG2_BITS - 6), np.uint64)
-    size = 1 << (LOG2_BITS - 6 - LOG2_SEGMENTS)
-    for r in built:
-        filter_[r["segment"] * size : (r["segment"] + 1) * size] = np.frombuffer(r["bits"], np.uint64)
-    words_ = counts.filter("kind = 1").select("grams", "counts")
-    head = words_.mapInArrow(_frequent(n_tokens / HEAD), "grams binary, counts binary").collect()  # fewer than HEAD words
-    grams = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["grams"], np.uint64) for r in head)])
-    c = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["counts"], np.int64) for r in head)])
-    order = np.argsort(grams)
-    model = spark.sparkContext.broadcast((grams[order], c[order], filter_, mass))
-    scored = source.mapInArrow(_score(model, bits), _SCORED)
-    exact = counts.filter("kind = 1").select(F.col("block").alias("b"), "grams", "counts")
-    every = scored.groupBy("block").cogroup(exact.groupBy("b")).applyInArrow(_block_score, _PARTS)
-    by_row = every.groupBy("row_key").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("rows").alias("rows"), F.max("n_tokens").alias("n_tokens"),
-        F.sum("n_known").alias("n_known"), F.sum("log_counts").alias("log_counts"), F.max("score").alias("score"),
-    )
-    one = by_row.withColumns({"n_known": F.expr("n_known div rows"), "log_counts": F.col("log_counts") / F.col("rows")})
-    each = one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+    blocks = Blocks(max(LOG2_HEAD_SEGMENTS, block_bits or (input_bytes(docs) // BLOCK_BYTES).bit_length()))
+    model, table = train(source, blocks)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # A slice is larger where there are many blocks, so that what it asks of one is not too little.
+    asked = source.mapInArrow(_ask(shared, blocks, SLICE << min(2, max(0, blocks.bits - 14))), _MAIL)
+    exact = table.select(F.col("block").alias("b"), "words", "word_counts", "filter")
+    answered = asked.groupBy("block").cogroup(exact.groupBy("b")).applyInArrow(_answer, _MAIL)
+    scored = answered.groupBy("slice").applyInArrow(_score(shared, blocks), _SCORED)
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
-    n = F.lit(int(n_tokens)).cast("long")
-    base = F.col("log_counts") - F.col("n_tokens") * F.lit(float(np.log10(n_tokens + n_distinct + 1)))
-    return each.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", n.alias("train_tokens"), base.alias("base_score"), "score")
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

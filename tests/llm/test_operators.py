@@ -513,18 +513,76 @@ def test_filter_reads_back_levels_and_never_too_low():
     r = np.random.default_rng(3)
     grams, counts = r.integers(0, 2**63, 20000, dtype=np.uint64) * np.uint64(2) + np.uint64(1), r.integers(1, 5000, 20000)
     q = bloom_lm.level(counts)
-    whole = np.zeros(1 << (bloom_lm.LOG2_BITS - 6), np.uint64)
-    size = 1 << (bloom_lm.LOG2_BITS - 6 - bloom_lm.LOG2_SEGMENTS)
-    segment = (grams >> np.uint64(64 - bloom_lm.LOG2_SEGMENTS)).astype(int)
-    for s in range(1 << bloom_lm.LOG2_SEGMENTS):
-        whole[s * size : (s + 1) * size] = bloom_lm.build_segment(grams[segment == s], q[segment == s])
-    got = bloom_lm.probe(whole, grams)
-    assert (got >= q).all() and (got == q).mean() > 0.99
-    assert (bloom_lm.probe(whole, r.integers(0, 2**63, 20000, dtype=np.uint64)) > 0).mean() < 0.01
+    for item_bits, probes, first, wrong in ((bloom_lm.ITEM_BITS, bloom_lm.PROBES, 1, 0.01), (bloom_lm.HEAD_ITEM_BITS, bloom_lm.HEAD_PROBES, 4, 0.001)):
+        size = -(-int(np.maximum(q - first + 1, 0).sum()) * item_bits // 8) * 8
+        built = bloom_lm.build_filter(grams, q, size, probes, first)
+        got = bloom_lm.probe(built, grams, size, probes, first)
+        assert (got >= np.where(q >= first, q, 0)).all() and (got == np.where(q >= first, q, 0)).mean() > 0.98
+        assert (bloom_lm.probe(built, r.integers(0, 2**63, 20000, dtype=np.uint64), size, probes, first) > 0).mean() < wrong
     ratio = bloom_lm.count_of(q) / counts
     assert ratio.min() > 0.6 and ratio.max() < 1.6
 
 
+def plain_scores(rows):
+    """The model's score of each row by dictionaries of exact counts, quantised."""
+    tokens = [[*words_of(t), "</s> "] for _, t in rows]
+    spots = [[(tuple((["<s> "] * k + v)[j : j + k + 1]), k) for j in range(len(v)) for k in range(3)] for v in tokens]
+    c = collections.Counter(g for (i, _), s in zip(rows, spots) if zlib.crc32(str(i).encode() if i is not None else b"") % 7 != 2 for g, _ in s)
+    n, v = sum(x for g, x in c.items() if len(g) == 1), sum(len(g) == 1 for g in c)
+    middle = lambda g: c[g] if len(g) == 1 else float(bloom_lm.count_of(bloom_lm.level(np.array([c[g]])))[0]) if c[g] else 0.0
+    ends = c[("</s> ",)]
+    out = []
+    for text in tokens:
+        total = 0.0
+        for j, w in enumerate(text):
+            a, b = (["<s> ", "<s> ", *text])[j : j + 2]
+            before = c[(b,)] if j else ends
+            two = middle((a, b)) if j else ends
+            single, pair = c[(w,)], min(middle((b, w)), before, c[(w,)])
+            triple = min(middle((a, b, w)), two, pair)
+            p = (single + 1) / (n + v + 1)
+            for seen, context in ((pair, before), (triple, two)):
+                p = (seen + (context**bloom_lm.POWER + 1) * p) / (context + context**bloom_lm.POWER + 1)
+            total += math.log10(p)
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("setting", [{}, {"HEAD_BITS": 1 << 16, "HEAD_WORDS": 64, "bits": 27}, {"HEAD_BITS": 1 << 14, "HEAD_WORDS": 1, "SLICE": 500, "GATHERED": 100, "bits": 18}])
+def test_scores_equal_exact_counts(docs, odd, texts, monkeypatch, setting):
+    """Whether n-grams are found in the broadcast filter or in the segments of blocks; with filters so sparse that nothing is found by chance."""
+    setting = dict(setting)
+    bits = setting.pop("bits", None)
+    monkeypatch.setattr(bloom_lm, "ITEM_BITS", 200)
+    monkeypatch.setattr(bloom_lm, "HEAD_ITEM_BITS", 200)
+    for k, v in setting.items():
+        monkeypatch.setattr(bloom_lm, k, v)
+    every = docs.unionByName(odd)
+    rows = [(r["doc_id"], r["text"]) for r in every.collect()]
+    got = sorted(((r["doc_id"], r["n_tokens"], r["score"]) for r in bloom_lm.score_documents(every, bits).collect()), key=repr)
+    want = sorted(((i, len(words_of(t)) + 1, s) for (i, t), s in zip(rows, plain_scores(rows))), key=repr)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=1e-6)
+
+
+def test_no_ngram_is_left_out_whatever_the_head_holds(spark, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "HEAD_BITS", 1 << 12)
+    r = random.Random(6)
+    df = spark.createDataFrame([(i, " ".join(f"w{r.randrange(2000)}" for _ in range(200))) for i in range(100)], "doc_id long, text string")
+    model, table = bloom_lm.train(df, bloom_lm.Blocks(7))
+    assert model.least > 1
+    first, grams = bloom_lm.grams_of(*textblocks.string_buffer(pa.array([x["text"] for x in df.collect() if bloom_lm.in_training(x["doc_id"])])))
+    filters = {x["block"]: np.frombuffer(x["filter"], np.uint8) for x in table.collect()}
+    blocks, asked = bloom_lm.Blocks(7), 0
+    for kind in (bloom_lm.PAIR, bloom_lm.TRIPLE):
+        cut, n = np.unique(blocks.cut(kind, grams[kind]), return_counts=True)
+        for b, i, j in blocks.runs(kind, cut):
+            keys = bloom_lm._unpack(kind, blocks.pack(kind, cut[i:j]))
+            assert (bloom_lm.probe(filters[b], keys, 8 * len(filters[b]), bloom_lm.PROBES) >= bloom_lm.level(n[i:j])).all()
+            asked += j - i
+    assert asked > 20000
+
+
 # 7 embeddings
 
 
