@@ -8,7 +8,7 @@ The filter is as large as the corpus asks for: ``ITEM_BITS`` for each item, no n
 segments by hash block, each built by one task from the exact counts of its block.  The most frequent n-grams, as many
 as fit ``HEAD_BITS``, are also in a head filter of that fixed size, which is broadcast; an n-gram that is not found
 there is asked for in its block: the distinct ones of a slice of text travel to the segments, a byte for each travels
-back, and the slice, which travelled along compressed, is scored.  Words keep exact counts, as the base score needs
+on to the compressed slice, which is scored.  Words keep exact counts, as the base score needs
 them: those more frequent than one token in ``HEAD_WORDS`` are broadcast, the others are asked for in their blocks.
 
 The score interpolates triples with pairs with add-one word probabilities.  What a context leaves to the shorter one
@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreflow.llm.textblocks import combine, mix, slices, word_hashes, words
-from acreflow.plans.storage import input_bytes, stored
+from acreflow.llm.textblocks import combine, distinct, mix, slices, word_hashes, words
+from acreflow.plans.storage import input_bytes, rows_keep_order, stored
 
 #: Words that are broadcast with their exact counts, at most.
 HEAD_WORDS = 1 << 18
@@ -45,8 +45,8 @@ BLOCK_BYTES = 4 << 20
 #: Bytes of text that a task works on at once, and entries that it gathers before it sends them.
 SLICE = 4 << 20
 GATHERED = 4 << 20
-#: Bits of a pair or triple that tell it apart in its block.
-KEY_BITS = 40
+#: Bits of a pair or triple that tell it apart in its block; two that share them add a small part to the filter's errors.
+KEY_BITS = 32
 WORD, PAIR, TRIPLE = 1, 2, 3
 END = np.uint64(0x9D39247E33776D41)
 START = np.uint64(0x2AF7398005AAA5C7)
@@ -133,17 +133,18 @@ class Blocks:
         return list(zip(block[edges].tolist(), edges.tolist(), np.append(edges[1:], len(block)).tolist(), strict=True))
 
     def pack(self, kind: int, cut: np.ndarray) -> bytes:
+        """Ascending entries of one block: words whole, others as the steps between their keys, byte by byte, so that high ones, mostly 0, compress."""
         if kind == WORD:
             return cut.tobytes()
-        key = cut & np.uint64((1 << self.key_bits) - 1)
-        return key.astype(np.uint32).tobytes() + (key >> np.uint64(32)).astype(np.uint8).tobytes()
+        key = (cut & np.uint64((1 << self.key_bits) - 1)).astype(np.uint32)
+        return np.diff(key, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
 def _unpack(kind: int, data: bytes) -> np.ndarray:
     if kind == WORD:
         return np.frombuffer(data, np.uint64)
-    n = len(data) // 5
-    return np.frombuffer(data, np.uint32, n).astype(np.uint64) | (np.frombuffer(data, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32))
+    steps = np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view(np.uint32)
+    return np.cumsum(steps, dtype=np.uint64)
 
 
 def _pack_counts(counts: np.ndarray) -> bytes:
@@ -336,39 +337,56 @@ def train(docs: DataFrame, blocks: Blocks) -> tuple[Model, DataFrame]:
     return Model(keys[order], counts[order], head, least, int(n_tokens), int(n_distinct)), table
 
 
-#: kind 0: a slice, its compressed text as data and its rows as more; others: distinct n-grams of a slice in a block, or the answer.
-_MAIL = "slice long, kind int, block long, data binary, more binary"
+#: Distinct n-grams of a slice in a block, or the answer; kind 0: what a slice's text sums up to.
+_MAIL = "slice long, kind int, block long, data binary"
 _MAIL_NAMES = [f.split()[0] for f in _MAIL.split(", ")]
-_MAIL_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+_MAIL_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
 
 def _mail(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(_MAIL_KINDS)], _MAIL_NAMES)
 
 
+def _numbered(batches: Iterator[pa.RecordBatch], slice_bytes: int) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(number, rows, bytes, offsets) of the slices of a partition."""
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for at, stop, raw, offsets in slices(batch.column("text"), slice_bytes):
+            yield number, batch.slice(at, stop - at), raw, offsets
+            number += 1
+
+
+def _packed(slice_bytes: int):
+    """The slices themselves: compressed text, and of its rows the ids, lengths and which ids are null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, rows, raw, offsets in _numbered(batches, slice_bytes):
+            ids, null = rows.column("doc_id").fill_null(0).to_numpy(), rows.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            more = ids.astype(np.int64).tobytes() + np.diff(offsets).astype(np.int64).tobytes() + null.astype(np.uint8).tobytes()
+            text = pa.compress(raw.tobytes(), codec="zstd", asbytes=True)
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([text], pa.binary()), pa.array([more + len(raw).to_bytes(8, "little")], pa.binary())], ["slice", "text", "rows"])
+
+    return run
+
+
 def _ask(shared, blocks: Blocks, slice_bytes: int):
-    """Slices of text, and by block what the model does not know of each."""
+    """By block what the model does not know of each slice, and what the slice's text sums up to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            ids, null = batch.column("doc_id").fill_null(0).to_numpy(), batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-            for at, stop, raw, offsets in slices(batch.column("text"), slice_bytes):
-                rows = ids[at:stop].astype(np.int64).tobytes() + np.diff(offsets).astype(np.int64).tobytes() + null[at:stop].astype(np.uint8).tobytes()
-                home = int(mix(np.array([number], np.uint64))[0] >> np.uint64(64 - blocks.bits))
-                out = [(number, 0, home, pa.compress(raw.tobytes(), codec="zstd", asbytes=True), rows + len(raw).to_bytes(8, "little"))]
-                for kind, grams in grams_of(raw, offsets)[1].items():
-                    own = np.unique(blocks.cut(kind, grams))
-                    own = own[shared.value.known(blocks, kind, own)[1]]
-                    out += [(number, kind, b, blocks.pack(kind, own[i:j]), None) for b, i, j in blocks.runs(kind, own)]
-                number += 1
-                yield _mail(out)
+        for number, _, raw, offsets in _numbered(batches, slice_bytes):
+            home = int(mix(np.array([number], np.uint64))[0] >> np.uint64(64 - blocks.bits))
+            out = [(number, 0, home, zlib.crc32(raw.tobytes()).to_bytes(8, "little"))]
+            for kind, grams in grams_of(raw, offsets)[1].items():
+                own = distinct(blocks.cut(kind, grams))
+                own = own[shared.value.known(blocks, kind, own)[1]]
+                out += [(number, kind, b, blocks.pack(kind, own[i:j])) for b, i, j in blocks.runs(kind, own)]
+            yield _mail(out)
 
     return run
 
 
 def _answer(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    """What a block knows of the n-grams that slices ask for: counts of words, levels of others.  Slices pass through."""
+    """What a block knows of the n-grams that slices ask for: counts of words, levels of others.  Sums pass through."""
     block = right.to_pylist()[0] if right.num_rows else None
     kinds, data = left.column("kind").to_pylist(), left.column("data").to_pylist()
     for kind in (WORD, PAIR, TRIPLE):
@@ -409,25 +427,23 @@ _SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score do
 
 
 def _score(shared, blocks: Blocks):
-    def run(table: pa.Table) -> pa.Table:
-        model, rows, answers = shared.value, None, {WORD: [], PAIR: [], TRIPLE: []}
-        for kind, block, data, more in zip(*(table.column(c).to_pylist() for c in ("kind", "block", "data", "more")), strict=True):
-            if kind:
-                answers[kind].append((block, data))
-            else:
-                rows = data, more
-        data, more = rows
+    def run(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        model, answers = shared.value, {0: [], WORD: [], PAIR: [], TRIPLE: []}
+        for kind, block, data in zip(*(left.column(c).to_pylist() for c in ("kind", "block", "data")), strict=True):
+            answers[kind].append((block, data))
+        more = right.column("rows")[0].as_py() if right.num_rows else bytes(8)
         n = (len(more) - 8) // 17
         ids, lengths, null = np.frombuffer(more, np.int64, n), np.frombuffer(more, np.int64, n, 8 * n), np.frombuffer(more, np.uint8, n, 16 * n)
-        raw = np.frombuffer(pa.decompress(data, int.from_bytes(more[-8:], "little"), codec="zstd", asbytes=True), np.uint8)
+        raw = pa.decompress(right.column("text")[0].as_py(), int.from_bytes(more[-8:], "little"), codec="zstd", asbytes=True) if n else b""
+        if [d for _, d in answers[0]] != [zlib.crc32(raw).to_bytes(8, "little")]:
+            raise RuntimeError("a slice was cut differently when it was read again")
+        raw = np.frombuffer(raw, np.uint8)
         first, grams = grams_of(raw, np.append(0, np.cumsum(lengths)))
         counts = {}
         for kind in (WORD, PAIR, TRIPLE):
             own, inverse = np.unique(blocks.cut(kind, grams.pop(kind)), return_inverse=True)
             value, missing = model.known(blocks, kind, own)
             got = np.frombuffer(b"".join(d for _, d in sorted(answers.pop(kind))), np.uint32 if kind == WORD else np.uint8)
-            if len(got) != missing.sum():
-                raise RuntimeError("a slice was cut differently when it was read again: docs must be a table whose rows keep their order")
             value[missing] = got
             if kind == WORD:
                 n_ends = float(value[np.searchsorted(own, END)]) if n else 0.0
@@ -453,13 +469,17 @@ def score_documents(docs: DataFrame, block_bits: int | None = None) -> DataFrame
     columns are ignored.  ``block_bits``: hash blocks as a power of two, by the size of the input if not given.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if not rows_keep_order(source):  # slices are cut twice, the same way
+        source = stored(source, "source")
     blocks = Blocks(max(LOG2_HEAD_SEGMENTS, block_bits or (input_bytes(docs) // BLOCK_BYTES).bit_length()))
     model, table = train(source, blocks)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     # A slice is larger where there are many blocks, so that what it asks of one is not too little.
-    asked = source.mapInArrow(_ask(shared, blocks, SLICE << min(2, max(0, blocks.bits - 14))), _MAIL)
+    slice_bytes = SLICE << min(2, max(0, blocks.bits - 14))
+    asked = source.mapInArrow(_ask(shared, blocks, slice_bytes), _MAIL)
     exact = table.select(F.col("block").alias("b"), "words", "word_counts", "filter")
     answered = asked.groupBy("block").cogroup(exact.groupBy("b")).applyInArrow(_answer, _MAIL)
-    scored = answered.groupBy("slice").applyInArrow(_score(shared, blocks), _SCORED)
+    texts = source.mapInArrow(_packed(slice_bytes), "slice long, text binary, rows binary")
+    scored = answered.groupBy("slice").cogroup(texts.groupBy("slice")).applyInArrow(_score(shared, blocks), _SCORED)
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -36,6 +36,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(a: np.ndarray) -> np.ndarray:
+    """The distinct entries, ascending; by sorting, which for these hashes is several times as fast as numpy's own hashing."""
+    a = np.sort(a)
+    return a[np.concatenate(([True], a[1:] != a[:-1]))] if len(a) else a
+
+
 def _geometric(base: int, n: int) -> np.ndarray:
     out = np.full(n, np.uint64(base))
     out[:1] = 1

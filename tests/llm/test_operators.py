@@ -548,16 +548,16 @@ def plain_scores(rows):
     return out
 
 
-@pytest.mark.parametrize("setting", [{}, {"HEAD_BITS": 1 << 16, "HEAD_WORDS": 64, "bits": 27}, {"HEAD_BITS": 1 << 14, "HEAD_WORDS": 1, "SLICE": 500, "GATHERED": 100, "bits": 18}])
+@pytest.mark.parametrize("setting", [{}, {"HEAD_BITS": 1 << 20, "HEAD_WORDS": 64, "bits": 27}, {"HEAD_BITS": 1 << 18, "HEAD_WORDS": 1, "SLICE": 500, "GATHERED": 100, "bits": 18}])
 def test_scores_equal_exact_counts(docs, odd, texts, monkeypatch, setting):
     """Whether n-grams are found in the broadcast filter or in the segments of blocks; with filters so sparse that nothing is found by chance."""
     setting = dict(setting)
     bits = setting.pop("bits", None)
-    monkeypatch.setattr(bloom_lm, "ITEM_BITS", 200)
-    monkeypatch.setattr(bloom_lm, "HEAD_ITEM_BITS", 200)
+    monkeypatch.setattr(bloom_lm, "ITEM_BITS", 4000)
+    monkeypatch.setattr(bloom_lm, "HEAD_ITEM_BITS", 4000)
     for k, v in setting.items():
         monkeypatch.setattr(bloom_lm, k, v)
-    every = docs.unionByName(odd)
+    every = docs.filter("doc_id < 30").unionByName(odd)
     rows = [(r["doc_id"], r["text"]) for r in every.collect()]
     got = sorted(((r["doc_id"], r["n_tokens"], r["score"]) for r in bloom_lm.score_documents(every, bits).collect()), key=repr)
     want = sorted(((i, len(words_of(t)) + 1, s) for (i, t), s in zip(rows, plain_scores(rows))), key=repr)
