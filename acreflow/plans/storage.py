@@ -7,6 +7,7 @@ setting is empty, as in unit tests on one machine.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,3 +47,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan; it steers the number of blocks, never the result."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def rows_keep_order(df: DataFrame) -> bool:
+    """Whether a plan reads files or literal rows and does no more than choose among them, so that each run of it, and
+    each retry of a task, meets the same rows in the same order."""
+    plan = str(df._jdf.queryExecution().optimizedPlan())
+    nodes = re.findall(r"^[\s:+-]*(\w+)", plan, re.MULTILINE)
+    return all(n in ("Project", "Filter", "Relation", "RelationV2", "LocalRelation", "LogicalRDD") for n in nodes)
