@@ -2,7 +2,10 @@
 
 Executors can be lost at any time and share no local disk, so everything that cuts lineage goes to the
 folder that the cluster names in ``spark.checkpoint.dir``.  A folder of our own is made only where that
-setting is empty, as in unit tests on one machine.
+setting is empty, as in unit tests on one machine; off one machine that is an error.
+
+Operators delete the tables that their results do not read any more.  What lazy results still read stays until
+``release``, which deletes all of a session's tables.
 """
 
 from __future__ import annotations
@@ -14,13 +17,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables."""
+    """The shared folder for checkpoints and intermediate tables; ``RuntimeError`` if a cluster names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="acreflow-"))
     return f"file://{_own[0]}"
@@ -40,8 +46,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Preferred over a checkpoint for wide tables: columnar, compressed and prunable.
     """
     path = f"{shared_dir(df.sparkSession)}/acreflow/{uuid.uuid4().hex}/{name}"
+    _written.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._acreflow_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path.rsplit("/", 1)[0])
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    if path in _written:
+        _written.remove(path)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that ``stored`` returned and that nothing reads any more."""
+    for t in tables:
+        _delete(t.sparkSession, t._acreflow_path)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all tables that ``stored`` wrote and that are still there; results that read them are void then."""
+    for path in list(_written):
+        _delete(spark, path)
 
 
 def input_bytes(df: DataFrame) -> int:
