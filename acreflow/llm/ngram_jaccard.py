@@ -20,8 +20,10 @@ bound what has to be multiplied:
   tiles of bounded size, of which only a spanning set of links comes out, never the pairs.
 
 Rows are distinct shingle sets (64-bit identities): exact copies are collapsed, inside a task before the
-shuffle and then in each block, and come back by a join.  A column block gathers the entries of its columns;
-a shingle takes 5 to 30 bytes there for each *different* set that has it.
+shuffle and then in each block, and come back by a join.  A column block gathers the entries of its columns.
+Shingles that a bounded sample of sets shows to be in many of them are not counted, so no task gathers them: they
+are sent to the blocks of their rows right away, as columns of most rows, last in the order.  Which ones the sample
+shows only moves work, any order of columns gives the same links.
 """
 
 from __future__ import annotations
@@ -33,15 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreflow.llm.textblocks import mix, shingle_sets, slices, word_hashes, words
+from acreflow.llm.textblocks import distinct, mix, shingle_sets, slices, word_hashes, words
 from acreflow.operators.components import connected_components
-from acreflow.plans.storage import input_bytes, stored
+from acreflow.plans.storage import forget, input_bytes, stored
 
 WIDTH = 5
 #: Bytes of input that one column block stands for, as Catalyst estimates them.
 BLOCK_BYTES = 8 << 20
 #: Columns of more rows than this are multiplied in tiles.
 FEW = 16
+#: Sets in the sample that hot shingles are looked for in, about; in how many of them a hot one is; and how many there are at most.
+SAMPLE_SETS, HOT_SETS, HOT = 4096, 40, 1 << 16
+MOST_ROWS = 65535
 #: Rows in a chunk of a cluster, at least and at most; a tile is made of two chunks.
 CHUNK = (128, 1500)
 _SEED = np.uint64(0xD6E8FEB86659FD93)
@@ -84,34 +89,56 @@ def _identities(width: int):
     return run
 
 
-_TILE = "block int, ids binary, counts binary, sizes binary, low binary, high binary"
-_TURNED = "block int, at int, ids binary, counts binary, sizes binary, low binary, high binary, rows binary"
+#: Entries of a column block, or of the row block -1 - ``block``, whose columns are hot.
+_TILE = "block long, ids binary, counts binary, sizes binary, low binary, high binary, at binary"
+_TURNED = "block long, ids binary, counts binary, sizes binary, low binary, high binary, at binary, rows binary"
+_NAMES = [f.split()[0] for f in _TURNED.split(", ")]
 
 
 def _bytes(a: np.ndarray, kind: type) -> bytes:
     return a.astype(kind).tobytes()
 
 
-def _tiles(width: int, bits: int):
-    """Row chunks of A, cut into column blocks: the top ``bits`` of a shingle's hash, then 40 bits."""
+def _key_bits(bits: int) -> int:
+    """Bits of a shingle's hash that tell it apart in its column block."""
+    return min(40, 64 - bits)
+
+
+def _runs(ascending: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, start, end) of runs of equal values."""
+    if not len(ascending):
+        return []
+    edges = np.flatnonzero(np.concatenate(([True], ascending[1:] != ascending[:-1])))
+    return list(zip(ascending[edges].tolist(), edges.tolist(), np.append(edges[1:], len(ascending)).tolist(), strict=True))
+
+
+def _tiles(width: int, bits: int, hot: np.ndarray):
+    """Row chunks of A, cut into column blocks (the top ``bits`` of a shingle's hash); hot columns into row blocks."""
+    key_bits = np.uint64(_key_bits(bits))
+
+    def cut(block: np.ndarray, column: np.ndarray, row: np.ndarray, ids: np.ndarray, sizes: np.ndarray, with_at: bool) -> list[tuple]:
+        order = np.argsort(block, kind="stable")
+        block, column, row, out = block[order], column[order], row[order], []
+        key, at = column & ((np.uint64(1) << key_bits) - np.uint64(1)), column >> key_bits
+        for b, i, j in _runs(block):
+            edges = np.flatnonzero(np.concatenate(([True], row[i + 1 : j] != row[i : j - 1], [True])))
+            have, k = row[i:j][edges[:-1]], key[i:j]
+            out.append((b, ids[have].tobytes(), _bytes(np.diff(edges), np.uint32), _bytes(sizes[have], np.uint32), _bytes(k, np.uint32), _bytes(k >> np.uint64(32), np.uint8), _bytes(at[i:j], np.uint32) if with_at else None))
+        return out
 
     def tile(sets: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
-        sizes = np.array([len(s) for s in sets], np.int64)
+        sizes, ids_ = np.array([len(s) for s in sets], np.int64), np.array(ids, np.int64)
         entries = np.concatenate(sets)
         row = np.repeat(np.arange(len(sets)), sizes)
-        block = (entries >> np.uint64(64 - bits)).astype(np.uint16)
-        order = np.argsort(block, kind="stable")
-        key = (entries[order] >> np.uint64(24 - bits)) & np.uint64((1 << 40) - 1)
-        row, ids_, out = row[order], np.array(ids, np.int64), []
-        cuts = np.searchsorted(block[order], np.arange((1 << bits) + 1))
-        for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
-            if j > i:
-                count = np.bincount(row[i:j], minlength=len(sets))
-                have = np.flatnonzero(count)
-                k = key[i:j]
-                out.append((b, ids_[have].tobytes(), _bytes(count[have], np.uint32), _bytes(sizes[have], np.uint32), _bytes(k, np.uint32), _bytes(k >> np.uint64(32), np.uint8)))
-        names = ["block", "ids", "counts", "sizes", "low", "high"]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int32() if not i else pa.binary()) for i in range(6)], names)
+        is_hot = np.zeros(len(entries), bool)
+        if len(hot):
+            is_hot = hot[np.minimum(np.searchsorted(hot, entries), len(hot) - 1)] == entries
+        column = entries >> np.uint64(64 - bits - int(key_bits))
+        plain = ~is_hot
+        out = cut((entries[plain] >> np.uint64(64 - bits)).astype(np.int64), column[plain], row[plain], ids_, sizes, False)
+        home = -1 - (ids_.view(np.uint64)[row[is_hot]] >> np.uint64(64 - bits)).astype(np.int64)
+        out += cut(home, column[is_hot], row[is_hot], ids_, sizes, True)
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if not i else pa.binary()) for i in range(7)], _NAMES[:7])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -134,6 +161,24 @@ def _tiles(width: int, bits: int):
     return run
 
 
+def _sample_shingles(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in _sets(batch.column("text"), width):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), set_id(s))), pa.array(s.view(np.int64))], ["s", "shingle"])
+
+    return run
+
+
+def hot_shingles(docs: DataFrame, width: int) -> np.ndarray:
+    """Hashes of shingles that are in at least ``HOT_SETS`` different sets of a sample: the most frequent ``HOT``, ascending."""
+    n = docs.count()
+    some = docs.select("text").sample(False, min(1.0, SAMPLE_SETS / max(n, 1)), 7)
+    counted = some.mapInArrow(_sample_shingles(width), "s long, shingle long").distinct().groupBy("shingle").count().filter(F.col("count") >= HOT_SETS)
+    found = counted.orderBy(F.desc("count"), "shingle").limit(HOT).collect()
+    return np.sort(np.array([r["shingle"] for r in found], np.int64).view(np.uint64))
+
+
 def _gather(table: pa.Table, name: str, kind: type) -> np.ndarray:
     parts = [np.frombuffer(x.as_py(), kind) for x in table.column(name)]
     return np.concatenate(parts) if parts else np.zeros(0, kind)
@@ -149,14 +194,33 @@ def _key(table: pa.Table) -> np.ndarray:
     return _gather(table, "low", np.uint32).astype(np.uint64) | (_gather(table, "high", np.uint8).astype(np.uint64) << np.uint64(32))
 
 
+def _turned(block: np.ndarray, ids: np.ndarray, sizes: np.ndarray, row: np.ndarray, key: np.ndarray, at: np.ndarray, n_rows: np.ndarray) -> pa.Table:
+    """Entries, by row, cut into row blocks; ``block`` is that of each row."""
+    out = []
+    for b, i, j in _runs(block[row]):
+        edges = np.flatnonzero(np.concatenate(([True], row[i + 1 : j] != row[i : j - 1], [True])))
+        have, k = row[i:j][edges[:-1]], key[i:j]
+        out.append((b, ids[have].tobytes(), _bytes(np.diff(edges), np.uint32), _bytes(sizes[have], np.uint32), _bytes(k, np.uint32), _bytes(k >> np.uint64(32), np.uint8), _bytes(at[i:j], np.uint32), _bytes(n_rows[i:j], np.uint16)))
+    return pa.table([pa.array([x[i] for x in out], pa.int64() if not i else pa.binary()) for i in range(8)], _NAMES)
+
+
 def _count_columns(bits: int):
-    """A column block: entries of columns with two rows or more, turned to row blocks, with the rows counted."""
+    """A column block: entries of columns with two rows or more, turned to row blocks, with the rows counted.
+    Hot columns, which come by the blocks of their rows, count as of most rows."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(group: tuple, table: pa.Table) -> pa.Table:
+        block = group[0].as_py()
         ids, sizes, row = _rows(table)
         key = _key(table)
+        home = (ids >> np.uint64(64 - bits)).astype(np.int64)
+        if block < 0:
+            at = _gather(table, "at", np.uint32)
+            order = np.lexsort((key, at, row))
+            key, at, row = key[order], at[order], row[order]
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (at[1:] != at[:-1]) | (row[1:] != row[:-1])))
+            return _turned(home, ids, sizes, row[new], key[new], at[new], np.full(int(new.sum()), MOST_ROWS))
         if len(ids) <= 1 << 24:
-            packed = np.unique((key << np.uint64(24)) | row.astype(np.uint64))
+            packed = distinct((key << np.uint64(24)) | row.astype(np.uint64))
             key, row = packed >> np.uint64(24), (packed & np.uint64((1 << 24) - 1)).astype(np.int64)
         else:
             order = np.lexsort((row, key))
@@ -167,41 +231,32 @@ def _count_columns(bits: int):
         n_rows = np.diff(np.append(start, len(key)))
         n_rows = np.repeat(n_rows, n_rows)
         kept = n_rows > 1
-        key, row, n_rows = key[kept], row[kept], np.minimum(n_rows[kept], 65535)
+        key, row, n_rows = key[kept], row[kept], np.minimum(n_rows[kept], MOST_ROWS)
         order = np.argsort(row, kind="stable")
-        key, row, n_rows = key[order], row[order], n_rows[order]
-        have, count = np.unique(row, return_counts=True)
-        home = (ids[have] >> np.uint64(64 - bits)).astype(np.int64)
-        cuts, ends = np.searchsorted(home, np.arange((1 << bits) + 1)), np.append(0, np.cumsum(count))
-        block = table.column("block")[0].as_py()
-        out = []
-        for r, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
-            if j > i:
-                a, b = ends[i], ends[j]
-                k = key[a:b]
-                out.append((r, block, ids[have[i:j]].tobytes(), _bytes(count[i:j], np.uint32), _bytes(sizes[have[i:j]], np.uint32), _bytes(k, np.uint32), _bytes(k >> np.uint64(32), np.uint8), _bytes(n_rows[a:b], np.uint16)))
-        names = ["block", "at", "ids", "counts", "sizes", "low", "high", "rows"]
-        return pa.table([pa.array([x[i] for x in out], pa.int32() if i < 2 else pa.binary()) for i in range(8)], names)
+        return _turned(home, ids, sizes, row[order], key[order], np.full(len(key), block), n_rows[order])
 
     return run
 
 
-def _rare_first(table: pa.Table) -> pa.Table:
+def _rare_first(bits: int):
     """A row block: rows that keep at least ceil(0.8 n) entries, their columns in the order of rarity."""
-    ids, sizes, row = _rows(table)
-    at = np.repeat(np.array(table.column("at").to_pylist(), np.uint64), [len(x.as_py()) // 4 for x in table.column("low")])
-    column = _key(table) | (at << np.uint64(40))
-    rare = _gather(table, "rows", np.uint16)
-    alive = np.bincount(row, minlength=len(ids)) >= least_kept(sizes.astype(np.int64))
-    kept = alive[row]
-    column, rare, row = column[kept], rare[kept], row[kept]
-    order = np.lexsort((column, rare, row))
-    column, row = column[order].view(np.int64), row[order]
-    have = np.flatnonzero(alive)
-    cuts = np.searchsorted(row, np.append(have, len(ids)))
-    keys = [column[i:j].tobytes() for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-    central = np.bincount(row, rare[order], minlength=len(ids))[have].astype(np.int64)
-    return pa.table([pa.array(ids[have].view(np.int64)), pa.array(sizes[have].astype(np.int64)), pa.array(central), pa.array(keys, pa.binary())], ["set_id", "n", "central", "keys"])
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, sizes, row = _rows(table)
+        column = _key(table) | (_gather(table, "at", np.uint32).astype(np.uint64) << np.uint64(_key_bits(bits)))
+        rare = _gather(table, "rows", np.uint16)
+        alive = np.bincount(row, minlength=len(ids)) >= least_kept(sizes.astype(np.int64))
+        kept = alive[row]
+        column, rare, row = column[kept], rare[kept], row[kept]
+        order = np.lexsort((column, rare, row))
+        column, row = column[order].view(np.int64), row[order]
+        have = np.flatnonzero(alive)
+        cuts = np.searchsorted(row, np.append(have, len(ids)))
+        keys = [column[i:j].tobytes() for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        central = np.bincount(row, rare[order], minlength=len(ids))[have].astype(np.int64)
+        return pa.table([pa.array(ids[have].view(np.int64)), pa.array(sizes[have].astype(np.int64)), pa.array(central), pa.array(keys, pa.binary())], ["set_id", "n", "central", "keys"])
+
+    return run
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,12 +335,13 @@ def shingle_rows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_identities(width), "doc_id long, set_id long, n long")
 
 
-def set_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(set_id, component) of the shingle sets that link with another one."""
-    bits = max(4, min(16, (input_bytes(docs) // BLOCK_BYTES).bit_length()))
-    tiles = docs.select("text").mapInArrow(_tiles(width, bits), _TILE)
+def set_components(docs: DataFrame, width: int = WIDTH, block_bits: int | None = None) -> DataFrame:
+    """(set_id, component) of the shingle sets that link with another one.  ``block_bits``: blocks as a power of two, by
+    the size of the input if not given."""
+    bits = min(32, max(4, block_bits or (input_bytes(docs) // BLOCK_BYTES).bit_length()))
+    tiles = docs.select("text").mapInArrow(_tiles(width, bits, hot_shingles(docs, width)), _TILE)
     turned = tiles.groupBy("block").applyInArrow(_count_columns(bits), _TURNED)
-    rows = stored(turned.groupBy("block").applyInArrow(_rare_first, "set_id long, n long, central long, keys binary"), "rows")
+    rows = stored(turned.groupBy("block").applyInArrow(_rare_first(bits), "set_id long, n long, central long, keys binary"), "rows")
     prefix = stored(rows.mapInArrow(_prefixes, "key long, s long, n long, central long"), "prefixes")
     # A row against the most central row of like size in each of its columns; the one it meets most often.
     graded = prefix.withColumn("grade", F.floor(F.log("n") / F.log(F.lit(1.25))))
@@ -310,10 +366,12 @@ def set_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     counted = counted.join(unseen("a"), "a", "left").join(unseen("b"), "b", "left").withColumn("met", F.col("met") + F.coalesce(F.least("h_a", "h_b"), F.lit(0)))
     able = counted.filter("9 * (met + floor((4 * greatest(na, nb) + 4) / 5) - 1) >= 4 * (na + nb)")
     second = stored(_links(able, rows).unionByName(_cluster_links(hot, rows)), "second")
-    return connected_components(first.unionByName(second), "a", "b").withColumnRenamed("node", "set_id")
+    out = connected_components(first.unionByName(second), "a", "b").withColumnRenamed("node", "set_id")
+    forget(rows, prefix, first, part, second)  # components are checkpointed
+    return out
 
 
-def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = WIDTH, block_bits: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row for each row of ``docs`` (doc_id, text, more).
 
     Documents link at a Jaccard similarity of 0.8 or more of their distinct ``width``-word shingles.
@@ -323,7 +381,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     with, or null.  Other columns are ignored.
     """
     ids = stored(shingle_rows(docs, width), "ids")
-    found = set_components(docs, width)
+    found = set_components(docs, width, block_bits)
     own = ids.join(found, "set_id", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "set_id")).alias("c"))
     least = own.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"))
     return own.join(least, "c", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
@@ -336,3 +394,18 @@ def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     kept = jaccard_components(docs, width).filter("doc_id = component_id").select("doc_id").distinct()
     own = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return own.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+
+
+#: The same by DuckDB, with every pair of different texts that share a shingle.
+ORACLE_SQL = r"""
+WITH RECURSIVE own AS (SELECT min(doc_id) AS k, coalesce(text, '') AS t FROM documents GROUP BY ALL),
+w AS (SELECT k, list_filter(regexp_split_to_array(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM own),
+s AS (SELECT k, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM w WHERE len(w) > 0),
+x AS (SELECT k, len(g) AS n, unnest(g) AS g FROM s),
+links AS (SELECT a.k AS a, b.k AS b FROM x a JOIN x b ON a.g = b.g AND a.k < b.k GROUP BY a.k, b.k, a.n, b.n HAVING 180 * count(*) >= 80 * (a.n + b.n)),
+e AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+r AS (SELECT k AS n, k AS root FROM own UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.n),
+c AS (SELECT n, min(root) AS component_id FROM r GROUP BY n)
+SELECT d.doc_id, CAST(coalesce(len(s.g), 0) AS BIGINT) AS n_shingles, CASE WHEN s.g IS NULL THEN d.doc_id ELSE c.component_id END AS component_id
+FROM documents d JOIN own ON own.t = coalesce(d.text, '') JOIN c ON c.n = own.k LEFT JOIN s ON s.k = own.k
+"""

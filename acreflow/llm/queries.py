@@ -79,5 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_poisson_mix": poisson_mix.ORACLE_SQL,
+    "op2_ngram_jaccard": ngram_jaccard.ORACLE_SQL,
     "op8_url_filters": url_filters.ORACLE_SQL,
 }

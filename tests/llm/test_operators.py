@@ -210,6 +210,21 @@ def test_jaccard_with_hot_columns_in_tiles(spark, monkeypatch):
     assert listed(ngram_jaccard.jaccard_components(df)) == sorted(plain_components(list(range(40)), made), key=repr)
 
 
+@pytest.mark.parametrize("bits", [4, 18, 30])
+def test_jaccard_with_hot_shingles_over_several_blocks(spark, monkeypatch, bits):
+    """A passage that most texts share, uncounted, with blocks of any number."""
+    monkeypatch.setattr(ngram_jaccard, "HOT_SETS", 5)
+    r, shared = random.Random(bits), prose(25)
+    made = [f"{prose(r.randrange(4, 40))} {shared} {prose(r.randrange(40))}" for _ in range(25)] + [f"{shared} {w}" for w in "abcdefgh"] + [prose(30) for _ in range(5)]
+    made += [t + " tail" for t in made[:10]] + made[3:6] + ["", None, "x"]
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").repartition(3)
+    hot = ngram_jaccard.hot_shingles(df, 5)
+    assert len(hot) >= 20
+    home = df.mapInArrow(ngram_jaccard._tiles(5, bits, hot), ngram_jaccard._TILE).filter("block < 0").select("block").distinct().count()
+    assert home > 4
+    assert listed(ngram_jaccard.jaccard_components(df, block_bits=bits)) == sorted(plain_components(list(range(len(made))), made), key=repr)
+
+
 def test_jaccard_odd_rows(spark, odd):
     assert listed(ngram_jaccard.jaccard_components(odd)) == sorted([(None, 2, 5)] * 2 + [(5, 2, 5)] * 2 + [(7, 0, 7)], key=repr)
     assert ngram_jaccard.jaccard_components(odd.limit(0)).count() == 0
