@@ -66,3 +66,9 @@ def digest(*columns: Column) -> Column:
 def compact(*items: Column) -> Column:
     """An array of the items that are not null."""
     return F.array_compact(F.array(*items))
+
+
+def url_part(url: Column, part: str) -> Column:
+    """HOST, PATH, QUERY, PROTOCOL ... of a url, null where it has none or is not one; hosts in lower case."""
+    out = F.try_parse_url(url, F.lit(part))
+    return F.lower(out) if part == "HOST" else out

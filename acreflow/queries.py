@@ -9,12 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreflow.functions.columns import block_key, digest
+from acreflow.functions.columns import block_key, digest, url_part
 from acreflow.operators import assemblages as asm
-from acreflow.operators import ownership, permits, proximity, ranking, reconcile, runlog, score
+from acreflow.operators import links, ownership, permits, proximity, ranking, reconcile, runlog, score
 from acreflow.plans import standins as on
 from acreflow.plans.storage import shared_dir
-from acreflow.sources import load, sinks
+from acreflow.sources import load, run, sinks
 
 AS_OF = dt.date(2001, 8, 2)
 SINCE = dt.date(2000, 8, 2)
@@ -162,12 +162,9 @@ def nearest_poi(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(f"""WITH {_PROPERTY}, {_PERMIT}, {_POI}, {_INDUSTRIAL}, n AS (SELECT property_id, min({_metres('a', 'b')}) AS m FROM property a, poi b WHERE {_metres('a', 'b')} <= 800e0 GROUP BY property_id)
 SELECT property_id, concat_ws('; ', CASE WHEN m IS NOT NULL THEN 'power within ' || CAST(floor(m) AS BIGINT) || ' m' END, CASE WHEN basis <> '' THEN basis END) AS basis FROM i LEFT JOIN n USING (property_id) WHERE m IS NOT NULL OR basis <> ''""")
 def power_or_industrial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near power infrastructure or with an industrial signal: two flags, then a disjunction, each with its basis."""
-    close = proximity.nearest(on.properties(spark, sf_dir), on.pois(spark, sf_dir), "property_id", "poi_id", 800.0, MAX_LAT, bounded=True)
-    out = _industrial(spark, sf_dir).join(close.select("property_id", "distance_m"), "property_id", "left")
-    power = F.when(F.col("distance_m").isNotNull(), F.concat(F.lit("power within "), F.floor("distance_m").cast("long").cast("string"), F.lit(" m")))
-    basis = F.concat(F.array_compact(F.array(power)), "basis")
-    return out.filter(F.col("distance_m").isNotNull() | F.col("industrial")).select("property_id", F.array_join(basis, "; ").alias("basis"))
+    is_signal = (F.col("permit_type") == "R") & F.col("description").isin("PROMO", "LARGE")
+    out = links.power_or_industrial(on.properties(spark, sf_dir), on.permits(spark, sf_dir), on.pois(spark, sf_dir), is_signal, ("MACHINERY",), 5, 800.0, MAX_LAT)
+    return out.select("property_id", F.array_join("basis", "; ").alias("basis"))
 
 
 @register(f"""WITH RECURSIVE {_PROPERTY}, e AS (SELECT a.property_id AS a, b.property_id AS b FROM property a JOIN property b ON a.owner_id = b.owner_id AND a.property_id <> b.property_id WHERE {_metres('a', 'b')} <= 3000e0),
@@ -185,10 +182,15 @@ def totals_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.totals_by_source(on.table(spark, sf_dir, "documents"), "source", "lang", collected_at="doc_id")
 
 
-@register(f"WITH {_LOG} SELECT source, stage, count(*) AS n_runs, CAST(sum(CASE WHEN failed THEN 1 ELSE 0 END) AS BIGINT) AS n_failed, min(seen_at) AS first_at, max(seen_at) AS last_at, quantile_disc(seconds, 0.95) AS p95_seconds FROM log GROUP BY source, stage")
+@register(f"""WITH {_LOG} SELECT source, stage, count(*) AS n_stages, CAST(sum(seconds) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN failed THEN 1 ELSE 0 END) AS BIGINT) AS n_errors, min(seen_at) AS started_at, max(seen_at + INTERVAL 60 SECOND) AS ended_at, 60e0 AS p95_seconds,
+  CASE WHEN bool_or(failed) THEN 'failed' ELSE '' END AS limitations FROM (SELECT source, stage, floor(seconds) AS seconds, seen_at, failed FROM log) GROUP BY source, stage""")
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = on.load_log(spark, sf_dir)
-    return log.groupBy("source", "stage").agg(F.count(F.lit(1)).alias("n_runs"), F.sum(F.when(F.col("failed"), 1).otherwise(0)).cast("long").alias("n_failed"), F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY seconds)").alias("p95_seconds"))
+    """events as a run log: each a stage of a minute with its value as rows."""
+    log = on.load_log(spark, sf_dir).select(
+        "source", "stage", F.floor("seconds").cast("long").alias("n_rows"), F.col("failed").cast("long").alias("n_errors"),
+        F.col("at").alias("started_at"), (F.col("at") + F.expr("INTERVAL 60 SECOND")).alias("ended_at"), F.when(F.col("failed"), "failed").alias("limitation"),
+    )
+    return runlog.run_summary(log, "source", "stage").withColumn("limitations", F.array_join("limitations", "; "))
 
 
 @register(f"WITH {_LOG} SELECT source, count(*) AS n_stages, quantile_disc(seconds, 0.95) AS p95_seconds, CAST(sum(CASE WHEN failed THEN 1 ELSE 0 END) AS BIGINT) AS n_failed FROM log GROUP BY source ORDER BY p95_seconds DESC, source LIMIT 5")
@@ -325,12 +327,87 @@ def artifact_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.eligible(sinks.manifest(spark, path, "property", "fixture"), ["property"])
 
 
-@register(f"WITH {_PROPERTY}, {_TRANSFER} SELECT p.property_id, CAST(acreage AS DOUBLE) AS acres, max(transfer_date) AS last_transfer FROM property p JOIN transfer USING (property_id) WHERE acreage >= 80 GROUP BY ALL HAVING max(transfer_date) < DATE '2000-08-02'")
+@register(f"""WITH {_PROPERTY}, {_TRANSFER}, {_PERMIT}, {_POI}, l AS (SELECT property_id, max(transfer_date) AS last_transfer, count(*) AS n FROM transfer GROUP BY property_id),
+m AS (SELECT property_id, min({_metres('a', 'b')}) AS m FROM property a, poi b WHERE {_metres('a', 'b')} <= 800e0 GROUP BY property_id), s AS (SELECT property_id, count(*) AS n FROM permit WHERE upper(permit_type) = 'R' GROUP BY property_id),
+b AS (SELECT p.property_id, acreage, last_transfer, coalesce(l.n, 0) AS n_transfers, concat_ws('; ', CASE WHEN m IS NOT NULL THEN 'power within ' || CAST(floor(m) AS BIGINT) || ' m' END, CASE WHEN s.n >= 20 THEN 'permits: ' || s.n END, CASE WHEN zoning = 'MACHINERY' THEN 'zoning: ' || zoning END) AS basis
+  FROM property p LEFT JOIN l USING (property_id) LEFT JOIN m USING (property_id) LEFT JOIN s USING (property_id) WHERE acreage >= 60 AND NOT EXISTS (SELECT 1 FROM transfer t WHERE t.property_id = p.property_id AND t.transfer_date >= DATE '2000-08-03'))
+SELECT property_id, CAST(acreage AS DOUBLE) AS acres, last_transfer, n_transfers, basis FROM b WHERE basis <> ''""")
 def agent_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A prompt, matched to a registered tool with its slots filled, run through the tool's own function."""
     from acreflow.serving.agent import match
     from acreflow.serving.tools import Tables, run_tool
 
-    tables = Tables(property=on.properties(spark, sf_dir), transfer=on.transfers(spark, sf_dir))
-    found = match("Which parcels of at least 80 acres have had no transfer in more than 1 year as of 2001-08-02?")
-    return run_tool(found.tool, tables, **found.arguments).select("property_id", F.col("acreage").cast("double").alias("acres"), "last_transfer")
+    tables = Tables(property=on.properties(spark, sf_dir), transfer=on.transfers(spark, sf_dir), permit=on.permits(spark, sf_dir), poi=on.pois(spark, sf_dir).withColumn("kind", F.lit("power")))
+    found = match("Which larger parcels of at least 60 acres have stable ownership (no recorded transfer in the last 1+ years as of 2001-08-02) and any available signals related to power or industrial suitability?")
+    out = run_tool(found.tool, tables, **found.arguments, zones="MACHINERY", permit_types="R", least=20, metres=800.0)
+    return out.select("property_id", F.col("acreage").cast("double").alias("acres"), "last_transfer", "n_transfers", F.array_join("basis", "; ").alias("basis"))
+
+
+_NAME = "regexp_replace(upper({0}), '^[A-Z]+#0*', 'FIRM ')"
+
+
+@register(f"SELECT c_custkey AS owner_id, c_name AS name, s_suppkey AS business_id, s_name AS business_name FROM customer LEFT JOIN supplier ON {_NAME.format('c_name')} = {_NAME.format('s_name')}")
+def owner_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as owners and supplier as businesses, joined through the entity map of both; names tell by their numbers."""
+    owners = on.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("owner_id"), F.col("c_name").alias("name"))
+    firms = on.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("business_id"), F.col("s_name").alias("name"))
+    name = F.regexp_replace(F.upper("name"), "^[A-Z]+#0*", "FIRM ")
+    entities = links.entity_map(owners, "owner", "owner_id", name).unionByName(links.entity_map(firms, "business", "business_id", name))
+    return links.owner_businesses(owners, firms, entities)
+
+
+@register(f"""WITH {_PROPERTY}, z AS (SELECT o_custkey AS property_id, o_orderpriority AS zoning_code, o_orderstatus AS land_use_code, CAST(o_orderdate AS DATE) AS zoned_on FROM orders WHERE o_orderkey % 5 <> 0 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderpriority DESC, o_orderstatus DESC) = 1)
+SELECT property_id, parcel_no, zoning_code, land_use_code, zoned_on FROM property LEFT JOIN z USING (property_id)""")
+def zoned_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as zoning rows, priority as code; every fifth only links to its source."""
+    zoning = on.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("property_id"), F.col("o_orderpriority").alias("zoning_code"), F.col("o_orderstatus").alias("land_use_code"), F.to_date("o_orderdate").alias("effective_date"), (F.col("o_orderkey") % 5 == 0).alias("link_only"))
+    return links.with_zoning(on.properties(spark, sf_dir), zoning).select("property_id", "parcel_no", "zoning_code", "land_use_code", "zoned_on")
+
+
+@register("SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)) AS host, regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path, nullif(regexp_extract(url, '[?]([^#]*)', 1), '') AS query FROM pages")
+def source_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.col("url")
+    return on.table(spark, sf_dir, "pages").select("page_id", url_part(url, "HOST").alias("host"), url_part(url, "PATH").alias("path"), url_part(url, "QUERY").alias("query"))
+
+
+@register(f"""WITH {_PROPERTY}, {_POI}, n AS (SELECT DISTINCT property_id FROM property a, poi b WHERE {_metres('a', 'b')} <= 800e0)
+SELECT p.property_id, CASE p.property_id % 3 WHEN 0 THEN true WHEN 1 THEN false ELSE n.property_id IS NOT NULL END AS water_view, CASE WHEN p.property_id % 3 < 2 THEN 'source' ELSE 'nearness (assumed)' END AS water_basis FROM property p LEFT JOIN n USING (property_id)""")
+def water_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier as water; two of three parcels have a flag of their source."""
+    parcels = on.properties(spark, sf_dir).withColumn("flag", F.when(F.col("property_id") % 3 == 0, True).when(F.col("property_id") % 3 == 1, False))
+    return links.water_view(parcels, on.pois(spark, sf_dir), 800.0, MAX_LAT, "flag").select("property_id", "water_view", "water_basis")
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Loads customer, kept as CSV with every seventh key malformed, through a run; the folder and the run's id."""
+    folder = f"{shared_dir(spark)}/acreflow/{uuid.uuid4().hex}"
+    key = F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit("x"), "c_custkey")).otherwise(F.col("c_custkey").cast("string"))
+    on.table(spark, sf_dir, "customer").select(key.alias("k"), "c_name", "c_mktsegment").write.csv(f"{folder}/raw", header=True)
+    names = {"business_id": "k", "name": "c_name", "category": "c_mktsegment"}
+    source = run.Source("customer", "business", lambda s, r: load.load(s, "business", f"{folder}/raw", "customer", r, fmt="csv", names=names), "a stand-in")
+    return folder, run.run(spark, [source], folder)
+
+
+@register("SELECT c_custkey AS business_id, c_name AS name, c_mktsegment AS category, 'customer' AS source_id, CAST(c_custkey AS VARCHAR) AS source_record_id, sha256(CAST(c_custkey AS VARCHAR) || chr(31) || c_name || chr(31) || c_mktsegment) AS content_sha256 FROM customer WHERE c_custkey % 7 <> 0")
+def loaded_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run loaded, published and read back, with provenance."""
+    folder, run_id = _loaded(spark, sf_dir)
+    good = spark.read.parquet(f"{folder}/business/run={run_id}/source=customer")
+    back = spark.read.parquet(sinks.publish(good, f"{folder}/published", "business", "business_id"))
+    return back.select("business_id", "name", "category", "prov.source_id", "prov.source_record_id", "prov.content_sha256")
+
+
+@register("SELECT 'x' || c_custkey AS k, 'business_id: not a long; business_id: missing' AS reasons FROM customer WHERE c_custkey % 7 = 0")
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run set aside, with the reasons."""
+    folder, run_id = _loaded(spark, sf_dir)
+    bad = spark.read.parquet(f"{folder}/_rejected/business/run={run_id}/source=customer")
+    return bad.select(F.get_json_object("raw", "$.k").alias("k"), F.array_join("reasons", "; ").alias("reasons"))
+
+
+@register("SELECT 'customer' AS source_id, CAST(1 AS BIGINT) AS n_stages, count(*) FILTER (WHERE c_custkey % 7 <> 0) AS n_rows, count(*) FILTER (WHERE c_custkey % 7 = 0) AS n_errors, 'a stand-in' AS limitations FROM customer")
+def load_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of a run from its own log."""
+    folder, run_id = _loaded(spark, sf_dir)
+    out = runlog.run_summary(run.read_log(spark, folder).filter(F.col("run_id") == run_id), "source_id")
+    return out.select("source_id", "n_stages", "n_rows", "n_errors", F.array_join("limitations", "; ").alias("limitations"))

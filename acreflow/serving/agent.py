@@ -11,13 +11,18 @@ from acreflow.serving.tools import TOOLS, Tables, catalogue, run_tool
 #: In order: the first pattern that is found names the tool.
 _INTENTS = (
     ("candidates", r"strong candidate|rank|further .*review"),
-    ("run_summary", r"run summary|records by source|uploaded records"),
+    ("run_summary", r"run summary"),
+    ("totals_by_source", r"records by source|uploaded records|totals? by source"),
     ("artifacts", r"\bartifacts?\b|content identifier"),
     ("assemblages", r"assemblage|adjacent parcels"),
     ("old_roofs", r"\broofs?\b"),
-    ("near_places", r"walking distance|view of water|\bnear\b|\bwithin [\d.]+ ?(m|km|met)"),
+    ("stable_with_signals", r"(stable ownership|no (recorded )?transfer|not exchanged|long[- ]held).*(power|industrial|zoning)"),
+    ("power_or_industrial", r"power.*(industrial|zoning)|(industrial|zoning).*power"),
+    ("water_views", r"view of (the )?water|water view"),
+    ("near_places", r"walking distance|\bnear\b|\bwithin [\d.]+ ?(m|km|met)"),
     ("owner_areas", r"out[- ]of[- ]area|regional owner|local owner"),
-    ("stable_parcels", r"not exchanged|no (recorded )?transfer|stable ownership|long[- ]held"),
+    ("no_transfer_since", r"no (recorded )?transfer"),
+    ("stable_parcels", r"not exchanged|stable ownership|long[- ]held"),
     ("industrial_signals", r"industrial|zoning"),
 )
 _PLACES = (("starbucks", r"starbucks"), ("water", r"water"), ("power", r"power"), ("transit", r"transit|transport|bus|train"))

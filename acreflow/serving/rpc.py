@@ -34,8 +34,8 @@ def handle(message: dict, tables: Tables, most: int = 200) -> dict | None:
                 rows = [r.asDict(recursive=True) for r in df.limit(most + 1).collect()]
                 out = {"rows": rows[:most], "more": len(rows) > most, "schema": json.loads(df.schema.json())}
             return reply({"content": [{"type": "text", "text": json.dumps(out, default=str)}], "isError": False})
-        except (KeyError, TypeError, ValueError) as e:
-            return reply({"content": [{"type": "text", "text": f"{type(e).__name__}: {e}"}], "isError": True})
+        except Exception as e:  # whatever a tool fails with, the server answers and goes on
+            return reply({"content": [{"type": "text", "text": f"{type(e).__name__}: {str(e)[:500]}"}], "isError": True})
     return {"jsonrpc": "2.0", "id": key, "error": {"code": -32601, "message": f"no such method: {method}"}}
 
 

@@ -9,7 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreflow.operators import assemblages, ownership, permits, proximity, runlog, score
+from acreflow.functions.columns import years_before
+from acreflow.operators import assemblages, links, ownership, permits, proximity, runlog, score
 from acreflow.plans.params import Params
 
 
@@ -22,6 +23,11 @@ class Tables:
     permit: DataFrame | None = None
     poi: DataFrame | None = None
     owner: DataFrame | None = None
+    contractor: DataFrame | None = None
+    business: DataFrame | None = None
+    location: DataFrame | None = None
+    zoning: DataFrame | None = None
+    entity_map: DataFrame | None = None
     run_log: DataFrame | None = None
     artifact: DataFrame | None = None
 
@@ -75,15 +81,79 @@ def run_tool(name: str, tables: Tables, **arguments: object) -> DataFrame:
     return t.run(tables, **values)
 
 
-@tool("stable_parcels", "Parcels of a least size whose ownership has not changed for years, with the last transfer.", ("property", "transfer"), "acreage is at least {min_acres} acres and the last recorded transfer is more than {years} years before {as_of}", ("a parcel without any recorded transfer has an unknown tenure and is left out",), min_acres=_P.min_acres, years=_P.tenure_years, as_of=_P.as_of, inclusive=_P.inclusive)
+def _with_evidence(parcels: DataFrame, transfers: DataFrame) -> DataFrame:
+    """Parcels with their ownership history and, as JSON, what an answer rests on."""
+    out = parcels.join(ownership.history(transfers), "property_id", "left")
+    parts = {c: F.col(c) for c in ("property_id", "acreage", "last_transfer", "n_transfers", "basis", "prov") if c in out.columns}
+    return score.with_evidence(out, parts)
+
+
+def _untouched(t: Tables, min_acres: float, years: int, as_of: dt.date, inclusive: bool) -> DataFrame:
+    """Parcels of a least size (0: any) without a recorded transfer within the years, with the last one before."""
+    since = years_before(as_of, years) + dt.timedelta(days=int(inclusive))
+    large = t.property.filter(F.col("acreage") >= F.lit(min_acres)) if min_acres > 0 else t.property
+    out = ownership.no_transfer_since(large, t.transfer, since).join(ownership.last_transfers(t.transfer), "property_id", "left")
+    return out.withColumn("n_transfers", F.coalesce("n_transfers", F.lit(0)))
+
+
+def _words(text: str) -> tuple[str, ...]:
+    return tuple(w.strip().upper() for w in text.split(",") if w.strip())
+
+
+def _zoned(t: Tables) -> DataFrame:
+    """Properties with the zoning table's code where it has one."""
+    if t.zoning is None:
+        return t.property
+    return links.with_zoning(t.property, t.zoning).withColumn("zoning", F.coalesce("zoning_code", "zoning")).drop("zoning_code", "land_use_code", "zoned_on")
+
+
+def _signals(t: Tables, parcels: DataFrame, zones: str, permit_types: str, least: int, metres: float, max_lat: float) -> DataFrame:
+    spots = t.poi.filter("lower(kind) = 'power'").select("poi_id", "lat", "lon")
+    return links.power_or_industrial(parcels, t.permit, spots, F.upper("permit_type").isin(*_words(permit_types)), _words(zones), least, metres, max_lat)
+
+
+_SIGNAL = {"zones": ",".join(_P.industrial_zones), "permit_types": ",".join(_P.industrial_permits), "least": 1, "metres": _P.power_m, "max_lat": 60.0}
+
+
+@tool("stable_parcels", "Parcels of a least size whose ownership has not changed for years, with their ownership history.", ("property", "transfer"), "acreage is at least {min_acres} acres and the last recorded transfer is more than {years} years before {as_of}", ("a parcel without any recorded transfer has an unknown tenure and is left out",), min_acres=_P.min_acres, years=_P.tenure_years, as_of=_P.as_of, inclusive=_P.inclusive)
 def stable_parcels(t: Tables, min_acres: float, years: int, as_of: dt.date, inclusive: bool) -> DataFrame:
     large = t.property.filter(F.col("acreage") >= F.lit(min_acres))
-    return ownership.tenure_over(large, t.transfer, as_of, years, inclusive)
+    return _with_evidence(ownership.tenure_over(large, t.transfer, as_of, years, inclusive), t.transfer)
+
+
+@tool("no_transfer_since", "Parcels without a recorded transfer within some years, those with none at all included.", ("property", "transfer"), "no transfer is recorded within {years} years before {as_of}, and acreage is at least {min_acres} acres", ("a parcel without any recorded transfer counts as not transferred",), min_acres=0.0, years=_P.tenure_years, as_of=_P.as_of, inclusive=_P.inclusive)
+def no_transfer_since(t: Tables, min_acres: float, years: int, as_of: dt.date, inclusive: bool) -> DataFrame:
+    return _with_evidence(_untouched(t, min_acres, years, as_of, inclusive), t.transfer)
+
+
+@tool("stable_with_signals", "Larger parcels without a recorded transfer within some years that have a power or industrial signal, with basis and history.", ("property", "transfer", "permit", "poi"), "acreage is at least {min_acres} acres, no transfer is recorded within {years} years before {as_of}, and power lies within {metres} m or permits or zoning point to industrial use", ("a parcel without any recorded transfer counts as not transferred", "distances are straight lines"), min_acres=_P.min_acres, years=_P.tenure_years, as_of=_P.as_of, inclusive=_P.inclusive, **_SIGNAL)
+def stable_with_signals(t: Tables, min_acres: float, years: int, as_of: dt.date, inclusive: bool, **signal: object) -> DataFrame:
+    stable = _untouched(t, min_acres, years, as_of, inclusive).join(_zoned(t).select("property_id", F.col("zoning").alias("__zoning")), "property_id", "left")
+    return _with_evidence(_signals(t, stable.withColumn("zoning", F.col("__zoning")).drop("__zoning"), **signal), t.transfer)
+
+
+@tool("power_or_industrial", "Parcels near power infrastructure or with permits or zoning that point to industrial use, with the basis.", ("property", "permit", "poi"), "power lies within {metres} m, or permits or zoning point to industrial use", ("distances are straight lines",), **_SIGNAL)
+def power_or_industrial(t: Tables, **signal: object) -> DataFrame:
+    return _signals(t, _zoned(t), **signal)
+
+
+@tool("water_views", "Parcels with a view of water, as a source says or by nearness.", ("property", "poi"), "a source says so, or water lies within {metres} m", ("without a source's own flag a view is taken as nearness",), metres=_P.water_m, max_lat=60.0)
+def water_views(t: Tables, metres: float, max_lat: float) -> DataFrame:
+    spots = t.poi.filter("lower(kind) = 'water'").select("poi_id", "lat", "lon")
+    return links.water_view(t.property, spots, metres, max_lat, "water_flag" if "water_flag" in t.property.columns else None).filter("water_view")
 
 
-@tool("no_transfer_since", "Parcels without a recorded transfer on or after a date, those with none at all included.", ("property", "transfer"), "no transfer is recorded on or after {since}", since=dt.date(2015, 1, 1))
-def no_transfer_since(t: Tables, since: dt.date) -> DataFrame:
-    return ownership.no_transfer_since(t.property, t.transfer, since)
+@tool("totals_by_source", "Total uploaded records by table and source, with the times of their collection.", (), "counted over all uploaded tables with provenance")
+def totals_by_source(t: Tables) -> DataFrame:
+    kinds = ("property", "transfer", "owner", "permit", "contractor", "business", "location", "zoning", "poi")
+    there = [(k, df) for k in kinds if (df := getattr(t, k)) is not None and "prov" in df.columns]
+    if not there:
+        raise ValueError("no table with provenance is loaded")
+    parts = [runlog.totals_by_source(df.select(F.lit(k).alias("dataset"), "prov.source_id", "prov.collected_at"), "dataset", "source_id", collected_at="collected_at") for k, df in there]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 @tool("old_roofs", "Parcels whose roof is older than some years.", ("property", "permit"), "the last roofing permit, or else the building, is more than {years} years old at {as_of}", ("without a roofing permit the roof is as old as the building",), years=_P.roof_years, as_of=_P.as_of)
@@ -102,7 +172,7 @@ def near_places(t: Tables, kind: str, metres: float, max_lat: float) -> DataFram
 def industrial_signals(t: Tables, zones: str, permit_types: str, least: int) -> DataFrame:
     kinds = [k.strip().upper() for k in permit_types.split(",") if k.strip()]
     is_signal = F.upper("permit_type").isin(kinds)
-    return permits.industrial_signal(t.property, t.permit, is_signal, tuple(z.strip() for z in zones.split(",") if z.strip()), least).filter("industrial")
+    return permits.industrial_signal(_zoned(t), t.permit, is_signal, tuple(z.strip() for z in zones.split(",") if z.strip()), least).filter("industrial")
 
 
 @tool("assemblages", "Groups of adjacent parcels of one owner with a least total acreage.", ("property",), "parcels of one owner within {metres} m of each other add up to at least {min_acres} acres", ("adjacency is the distance of parcel points",), min_acres=_P.min_acres, metres=_P.adjacent_m, least=2, max_lat=60.0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import os
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,11 @@ class Page(InputPartition):
 
 
 def pages_of_json(folder: str, number: int) -> list[dict]:
-    """The rows of one page kept as ``page-<n>.json`` (an array of objects); the stand-in for a remote fetch."""
-    with open(f"{folder}/page-{number}.json", encoding="utf-8") as f:
+    """The rows of one page kept as ``page-<n>.json`` (an array of objects); none beyond the last.  The stand-in for a remote fetch."""
+    path = f"{folder}/page-{number}.json"
+    if not os.path.exists(path):
+        return []
+    with open(path, encoding="utf-8") as f:
         return json.load(f)
 
 
@@ -53,3 +57,17 @@ def read_pages(spark: SparkSession, schema: str, location: str, pages: int, firs
     spark.dataSource.register(PagedSource)
     options = {"location": location, "pages": str(pages), "first": str(first)} | ({"fetch": fetch} if fetch else {})
     return spark.read.format("paged").schema(schema).options(**options).load()
+
+
+def drain(spark: SparkSession, schema: str, location: str, folder: str, at_once: int = 64, fetch: str | None = None) -> DataFrame:
+    """All rows of a source of unknown length, kept below ``folder``: ``at_once`` pages at a time, until the last of them
+    is empty.  Pages before the end are not empty.  Called again after a break, it reads on behind what is whole."""
+    first = 0
+    while True:
+        path = f"{folder}/from-{first}"
+        files = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if not files.getFileSystem(spark._jsc.hadoopConfiguration()).exists(files):
+            read_pages(spark, schema, location, first + at_once, first, fetch).write.mode("overwrite").parquet(path)
+        if read_pages(spark, schema, location, first + at_once, first + at_once - 1, fetch).isEmpty():
+            return spark.read.schema(schema).parquet(f"{folder}/from-*")
+        first += at_once

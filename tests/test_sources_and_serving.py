@@ -7,13 +7,16 @@ import urllib.request
 from decimal import Decimal
 
 import pytest
+from dataclasses import replace
 from pyspark.sql import functions as F
 
 from acreflow.functions.content_id import cid_of_digest
+from acreflow.functions.columns import normal_name
+from acreflow.operators import links
 from acreflow.serving import agent, page, rpc
 from acreflow.serving.tools import TOOLS, Tables, catalogue, register_sql_functions, run_tool
 from acreflow.sources import load, run, sinks
-from acreflow.sources.paged import read_pages
+from acreflow.sources.paged import drain, read_pages
 from acreflow.streaming.pickup import pick_up
 
 D = dt.date
@@ -122,6 +125,15 @@ def test_tools(spark, tables):
     assert [r["property_id"] for r in sorted(ranked, key=lambda r: r["rank"])] == [1, 2] and ranked[0]["missing"] == []
     with pytest.raises(ValueError):
         run_tool("stable_parcels", tables, acres=1)
+    signals = {r["property_id"]: r for r in run_tool("power_or_industrial", tables).collect()}
+    assert {k: r["basis"] for k, r in signals.items()} == {1: ["power within 111 m", "zoning: M-1"], 2: ["permits: 1"]}
+    both = run_tool("stable_with_signals", tables).collect()
+    assert [(r["property_id"], r["basis"], len(r["ownership_history"])) for r in both] == [(1, ["power within 111 m", "zoning: M-1"], 1)] and '"property_id":1' in both[0]["evidence"]
+    assert ids(run_tool("no_transfer_since", tables, years=1)) == [1, 2, 3] and ids(run_tool("water_views", tables)) == []
+    zoned = replace(tables, zoning=tables.property.sparkSession.createDataFrame([(2, "I-1", "x", D(2020, 1, 1), False), (1, "R-9", "x", D(2020, 1, 1), False), (1, "I-1", "x", None, True)], "property_id long, zoning_code string, land_use_code string, effective_date date, link_only boolean"))
+    assert {r["property_id"]: r["basis"] for r in run_tool("power_or_industrial", zoned).collect()} == {1: ["power within 111 m"], 2: ["permits: 1", "zoning: I-1"]}
+    with pytest.raises(ValueError):
+        run_tool("totals_by_source", tables)
     with pytest.raises(ValueError):
         run_tool("run_summary", tables)
 
@@ -129,7 +141,7 @@ def test_tools(spark, tables):
 def test_agent_and_page_give_the_tools_rows(tables):
     prompt = "Which parcels of at least 45 acres have stable ownership (no recorded transfer in the last 10+ years)?"
     found = agent.match(prompt)
-    assert found.tool == "stable_parcels" and found.arguments == {"years": 10, "inclusive": True, "min_acres": 45.0}
+    assert found.tool == "no_transfer_since" and found.arguments == {"years": 10, "inclusive": True, "min_acres": 45.0}
     got = agent.answer(prompt, tables)
     assert [r["property_id"] for r in got["rows"]] == ids(run_tool(found.tool, tables, **found.arguments)) == [1]
     assert "45.0 acres" in got["reasoning"] and got["assumptions"]
@@ -140,14 +152,40 @@ def test_agent_and_page_give_the_tools_rows(tables):
 
 
 @pytest.mark.parametrize(("prompt", "tool"), [
-    ("properties with roofs older than 15 years", "old_roofs"), ("within walking distance of Starbucks", "near_places"), ("a view of water", "near_places"),
+    ("properties with roofs older than 15 years", "old_roofs"), ("within walking distance of Starbucks", "near_places"), ("a view of water", "water_views"),
     ("Which properties appear to be strong candidates for further data-center review?", "candidates"), ("properties with out-of-area owners", "owner_areas"),
+    ("Show properties near candidate power infrastructure or with relevant industrial/zoning signals where data is available.", "power_or_industrial"), ("Show the total uploaded records by source.", "totals_by_source"), ("I am opening the pipeline run summary", "run_summary"),
+    ("Which larger parcels in Rock Island County have stable ownership (no recorded transfer in the last 10+ years) and any available signals related to power or industrial suitability?", "stable_with_signals"), ("parcels with no recorded transfer in 10 years", "no_transfer_since"),
     ("not exchanged ownership in more than 10 years", "stable_parcels"), ("industrial zoning history", "industrial_signals"), ("assemblages above 100 acres", "assemblages"),
 ])
 def test_prompts(prompt, tool):
     assert agent.match(prompt).tool == tool
 
 
+def test_totals_by_source_over_all_tables(spark):
+    prov = "struct<source_id: string, collected_at: timestamp_ntz>"
+    made = lambda n, s: spark.createDataFrame([(i, (s, dt.datetime(2024, 1, 1 + i))) for i in range(n)], f"id long, prov {prov}")
+    got = run_tool("totals_by_source", Tables(property=made(2, "a"), business=made(3, "b"), permit=made(1, "a"))).collect()
+    assert sorted((r["dataset"], r["source_id"], r["n_rows"]) for r in got) == [("business", "b", 3), ("permit", "a", 1), ("property", "a", 2)]
+
+
+def test_a_source_of_unknown_length_is_drained(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"page-{i}.json").write_text(json.dumps([{"id": 10 * i + j} for j in range(3)]))
+    for _ in range(2):
+        got = drain(spark, "id long", str(tmp_path), str(tmp_path / "kept"), at_once=2)
+        assert sorted(r["id"] for r in got.collect()) == [10 * i + j for i in range(5) for j in range(3)]
+
+
+def test_entities_link_owners_and_businesses(spark):
+    owners = spark.createDataFrame([(1, "Acme Corp."), (2, "ACME, LLC"), (3, None), (4, "Other")], "owner_id long, name string")
+    firms = spark.createDataFrame([(7, "acme inc"), (8, None), (9, "Nobody")], "business_id long, name string")
+    found = links.entity_map(owners, "owner", "owner_id", normal_name(F.col("name"))).unionByName(links.entity_map(firms, "business", "business_id", normal_name(F.col("name"))))
+    got = links.owner_businesses(owners, firms, found).collect()
+    assert sorted((r["owner_id"], r["business_id"]) for r in got if r["business_id"]) == [(1, 7), (2, 7)] and len(got) == 4
+    assert found.columns == ["entity_kind", "record_key", "canonical_id", "match_rule", "score"]
+
+
 def test_rpc_round_trip(tables):
     messages = [
         {"jsonrpc": "2.0", "id": 1, "method": "initialize"}, {"jsonrpc": "2.0", "method": "notifications/initialized"}, {"jsonrpc": "2.0", "id": 2, "method": "tools/list"},
