@@ -32,6 +32,8 @@ FOLDS = 3
 BEGINNINGS = (4, 5, 6, 7, 8)
 COUNTS = (1, 2, 3, 5)
 DENSITIES = (2.0, 5.0, 10.0, 20.0, 40.0)  # per 1000 words, of 20 at least
+#: Bytes of text that a task works on at once: each word has six inputs, of some 100 bytes each for a while.
+SLICE = 2 << 20
 LEVELS = len(COUNTS) + len(DENSITIES)
 #: Rows of the sample that an input must be in to be tested.
 LEAST_ROWS = 5
@@ -108,7 +110,7 @@ def _tallies(marks: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y = np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in marks])
-            for at, _, raw, offsets in slices(batch.column("text"), 16 << 20):
+            for at, _, raw, offsets in slices(batch.column("text"), SLICE):
                 doc, what, reach, _ = inputs_of(raw, offsets)
                 own, inverse = np.unique(what, return_inverse=True)
                 for level in range(LEVELS):
@@ -124,7 +126,7 @@ def _vectors(known: np.ndarray, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             what_, reach_, at_ = [], [], []
-            for at, stop, raw, offsets in slices(batch.column("text"), 16 << 20):
+            for at, stop, raw, offsets in slices(batch.column("text"), SLICE):
                 doc, what, reach, _ = inputs_of(raw, offsets, known)
                 cut = np.searchsorted(doc, np.arange(stop - at + 1))
                 for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
@@ -226,7 +228,7 @@ def train(docs: DataFrame, labels: DataFrame, chain: tuple = CHAIN, sample: int
 
 
 def _probabilities(chain: Chain, column: pa.Array) -> np.ndarray:
-    parts = [chain.predict(inputs_of(raw, offsets, chain.links[0].inputs)) for _, _, raw, offsets in slices(column, 8 << 20)]
+    parts = [chain.predict(inputs_of(raw, offsets, chain.links[0].inputs)) for _, _, raw, offsets in slices(column, SLICE)]
     return np.concatenate([np.zeros((0, len(chain.links))), *parts])
 
 
