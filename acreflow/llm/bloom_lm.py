@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreflow.llm.textblocks import combine, distinct, mix, slices, word_hashes, words
+from acreflow.llm.textblocks import combine, distinct, mix, slices, tidy, word_hashes, words
 from acreflow.plans.storage import input_bytes, rows_keep_order, stored
 
 #: Words that are broadcast with their exact counts, at most.
@@ -190,6 +190,7 @@ _COUNTED = "kind int, block long, keys binary, counts binary"
 def _count(blocks: Blocks):
     """The distinct words, pairs and triples of training text with their counts, by hash block."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {WORD: [], PAIR: [], TRIPLE: []}
 
@@ -256,6 +257,7 @@ def _sum_block(blocks: Blocks):
 def _head_items(blocks: Blocks, least: int):
     """The n-grams of the head, by the segment of its filter."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -279,6 +281,7 @@ def _head_segment(least: int):
 
 
 def _frequent(least: float):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
@@ -359,6 +362,7 @@ def _numbered(batches: Iterator[pa.RecordBatch], slice_bytes: int) -> Iterator[t
 def _packed(slice_bytes: int):
     """The slices themselves: compressed text, and of its rows the ids, lengths and which ids are null."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows, raw, offsets in _numbered(batches, slice_bytes):
             ids, null = rows.column("doc_id").fill_null(0).to_numpy(), rows.column("doc_id").is_null().to_numpy(zero_copy_only=False)
@@ -372,6 +376,7 @@ def _packed(slice_bytes: int):
 def _ask(shared, blocks: Blocks, slice_bytes: int):
     """By block what the model does not know of each slice, and what the slice's text sums up to."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, _, raw, offsets in _numbered(batches, slice_bytes):
             home = int(mix(np.array([number], np.uint64))[0] >> np.uint64(64 - blocks.bits))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreflow.llm.textblocks import distinct, mix, shingle_sets, slices, word_hashes, words
+from acreflow.llm.textblocks import distinct, mix, shingle_sets, slices, tidy, word_hashes, words
 from acreflow.operators.components import connected_components
 from acreflow.plans.storage import forget, input_bytes, stored
 
@@ -76,6 +76,7 @@ def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
 
 
 def _identities(width: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sizes = [], []
@@ -140,6 +141,7 @@ def _tiles(width: int, bits: int, hot: np.ndarray):
         out += cut(home, column[is_hot], row[is_hot], ids_, sizes, True)
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if not i else pa.binary()) for i in range(7)], _NAMES[:7])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -162,6 +164,7 @@ def _tiles(width: int, bits: int, hot: np.ndarray):
 
 
 def _sample_shingles(width: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in _sets(batch.column("text"), width):

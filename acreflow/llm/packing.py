@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acreflow.llm.subwords import encoder
+from acreflow.llm.textblocks import tidy
 from acreflow.plans.storage import stored
 
 WINDOW = 4096
@@ -70,6 +71,7 @@ class OpenWindows:
 
 
 def _packer(path: str, end_id: int, size: int, limit: int, with_ids: bool):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         tokens, windows, number = encoder(path), OpenWindows(size, limit), 0

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreflow.llm.textblocks import LOWER, slices
+from acreflow.llm.textblocks import LOWER, slices, tidy
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -368,6 +368,7 @@ def redact_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every found secret in ``text`` replaced by ``mark``; all rows and columns stay.  Where a
     column n_chars is there, it counts the code points of the new text."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text")

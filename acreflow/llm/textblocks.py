@@ -7,7 +7,9 @@ intermediates, so a very long text costs little more than its own bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,28 @@ WINDOW = 1 << 20
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def give_back() -> None:
+    """Returns memory that is free to the system: workers live on between stages, and the C library keeps what large arrays leave."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over the batches of a partition that gives memory back before it begins and when it ends."""
+
+    @wraps(run)
+    def out(batches: Iterator) -> Iterator:
+        give_back()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return out
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on uint64."""
     x = x ^ (x >> np.uint64(30))

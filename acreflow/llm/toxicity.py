@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreflow.llm.textblocks import slices, word_hashes, words
+from acreflow.llm.textblocks import slices, tidy, word_hashes, words
 from acreflow.plans.storage import stored
 
 #: Labelled rows that the classifiers are fitted on, at most: those with the smallest hashes of their ids.
@@ -107,6 +107,7 @@ def inputs_of(raw: np.ndarray, offsets: np.ndarray, known: np.ndarray | None = N
 def _tallies(marks: list[str]):
     """Per batch of the sample: of how many rows that have each 0/1 mark, each (input, level) is in."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y = np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in marks])
@@ -123,6 +124,7 @@ def _tallies(marks: list[str]):
 
 
 def _vectors(known: np.ndarray, names: list[str]):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             what_, reach_, at_ = [], [], []
@@ -233,6 +235,7 @@ def _probabilities(chain: Chain, column: pa.Array) -> np.ndarray:
 
 
 def _predicted(shared):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = shared.value
         for batch in batches:
@@ -261,6 +264,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, chain: tuple = CHAIN, limi
     """``docs``, in all its columns, without the rows that ``toxicity`` calls toxic."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, chain))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = _probabilities(shared.value, batch.column("text"))[:, -1] < limit

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreflow.llm.textblocks import LOWER, slices, word_hashes, words
+from acreflow.llm.textblocks import LOWER, slices, tidy, word_hashes, words
 
 #: The symbol after the last byte of a word.
 END = 256
@@ -177,6 +177,7 @@ def count_many(a: Automaton, raw: np.ndarray, starts: np.ndarray, ends: np.ndarr
 
 
 def _counted(shared):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = shared.value
         for batch in batches:
