@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreflow.llm import bloom_lm, cap_filters, ngram_jaccard, packing, poisson_mix, secrets, toxicity, url_filters, winnowing, wordpiece
+from acreflow.llm import bloom_lm, cap_filters, ngram_jaccard, packing, poisson_mix, secrets, sessions, toxicity, url_filters, winnowing, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op7_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op13_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.sessions(table(spark, sf_dir, "clicks"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_poisson_mix": op1_poisson_mix,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -75,10 +79,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_winnowing": op9_winnowing,
     "op10_secrets": op10_secrets,
+    "op13_gap_sessions": op13_gap_sessions,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_poisson_mix": poisson_mix.ORACLE_SQL,
     "op2_ngram_jaccard": ngram_jaccard.ORACLE_SQL,
     "op8_url_filters": url_filters.ORACLE_SQL,
+    "op13_gap_sessions": sessions.ORACLE_SQL,
 }
