@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreflow.llm import bloom_lm, cap_filters, ngram_jaccard, packing, poisson_mix, secrets, sessions, toxicity, url_filters, winnowing, wordpiece
+from acreflow.llm import bloom_lm, cap_filters, ngram_jaccard, packing, poisson_mix, secrets, sessions, toxicity, url_filters, whitening, winnowing, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op13_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.sessions(table(spark, sf_dir, "clicks"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_poisson_mix": op1_poisson_mix,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_winnowing": op9_winnowing,
     "op10_secrets": op10_secrets,
+    "op12_whitening": op12_whitening,
     "op13_gap_sessions": op13_gap_sessions,
 }
 
