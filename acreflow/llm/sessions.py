@@ -215,7 +215,7 @@ def hop(summaries: DataFrame, heads: DataFrame) -> DataFrame:
             raise RuntimeError("blocks are not numbered without holes")
         waiting = left
     entry = known.select((F.col("block") + 1).alias("block"), *_STATE).filter("start_us is not null")
-    return entry.join(cells.select("block", F.col("first_client").alias("client_id")), ["block", "client_id"]).select(F.col("block").alias("at"), *(F.col(c).alias(f"in_{c}") for c in _STATE))
+    return entry.join(cells.select("block", F.col("first_client").alias("client_id")).hint("merge"), ["block", "client_id"]).select(F.col("block").alias("at"), *(F.col(c).alias(f"in_{c}") for c in _STATE))
 
 
 _FRAGMENT = [f for f in _FIELDS if f[0] in {c.split()[0] for c in _CELLS.split(", ")} - {"path_sha256"}]
