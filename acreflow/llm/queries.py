@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreflow.llm import bloom_lm, cap_filters, ngram_jaccard, packing, poisson_mix, secrets, sessions, toxicity, url_filters, whitening, winnowing, wordpiece
+from acreflow.llm import bloom_lm, cap_filters, ngram_jaccard, packing, poisson_mix, recompression, secrets, sessions, toxicity, url_filters, whitening, winnowing, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op13_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.sessions(table(spark, sf_dir, "clicks"))
 
 
+def op11_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.without_repeats(table(spark, sf_dir, "documents"), texts=False)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_winnowing": op9_winnowing,
     "op10_secrets": op10_secrets,
+    "op11_recompression": op11_recompression,
     "op12_whitening": op12_whitening,
     "op13_gap_sessions": op13_gap_sessions,
 }
@@ -91,5 +96,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_poisson_mix": poisson_mix.ORACLE_SQL,
     "op2_ngram_jaccard": ngram_jaccard.ORACLE_SQL,
     "op8_url_filters": url_filters.ORACLE_SQL,
+    "op11_recompression": recompression.ORACLE_SQL,
     "op13_gap_sessions": sessions.ORACLE_SQL,
 }

@@ -297,9 +297,9 @@ ordered AS (
   SELECT *, row_number() OVER w AS r, coalesce(lag(final) OVER w, true) AS end_before, ts - lag(ts) OVER w >= {GAP} AS gap_before
   FROM once WHERE NOT late WINDOW w AS (PARTITION BY client_id ORDER BY ts, click_id)
 ),
-parts AS (SELECT *, sum(CASE WHEN end_before OR gap_before THEN 1 ELSE 0 END) OVER (PARTITION BY client_id ORDER BY r) AS part FROM ordered),
+parts AS MATERIALIZED (SELECT *, sum(CASE WHEN end_before OR gap_before THEN 1 ELSE 0 END) OVER (PARTITION BY client_id ORDER BY r) AS part FROM ordered),
 spots AS (SELECT client_id, part, ts, min(r) AS r FROM parts GROUP BY ALL),
-after AS (SELECT p.client_id, p.part, p.r, n.r AS next_r FROM parts p ASOF LEFT JOIN spots n ON p.client_id = n.client_id AND p.part = n.part AND p.ts + {LENGTH} < n.ts),
+after AS MATERIALIZED (SELECT p.client_id, p.part, p.r, n.r AS next_r FROM parts p ASOF LEFT JOIN spots n ON p.client_id = n.client_id AND p.part = n.part AND p.ts + {LENGTH} < n.ts),
 starts AS (
   SELECT client_id, part, min(r) AS r FROM parts GROUP BY client_id, part
   UNION ALL

@@ -73,7 +73,8 @@ def _geometric(base: int, n: int) -> np.ndarray:
         return np.multiply.accumulate(out)
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of an odd base modulo 2**64, and of its inverse."""
     size = max(n, WINDOW)
     if size not in _powers:
         if size > WINDOW:  # one word longer than a window: not worth keeping
@@ -122,8 +123,8 @@ def words(raw: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATO
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A mixed 64-bit polynomial hash of each lower-cased word, by prefix sums modulo 2**64."""
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """A mixed 64-bit polynomial hash of each word, lower-cased (A-Z) or as it is, by prefix sums modulo 2**64."""
     out = np.empty(len(starts), np.uint64)
     at = 0
     with np.errstate(over="ignore"):
@@ -131,9 +132,9 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
             base = int(starts[at])
             stop = max(at + 1, int(np.searchsorted(ends, base + WINDOW, "right")))
             last = int(ends[stop - 1])
-            power, inverse = _power_tables(last - base)
+            power, inverse = power_tables(last - base)
             sums = np.zeros(last - base + 1, np.uint64)
-            np.cumsum(_BYTE[LOWER[raw[base:last]]] * power[: last - base], out=sums[1:])
+            np.cumsum(_BYTE[LOWER[raw[base:last]] if fold else raw[base:last]] * power[: last - base], out=sums[1:])
             s, e = starts[at:stop] - base, ends[at:stop] - base
             out[at:stop] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
             at = stop
