@@ -17,15 +17,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acreflow.operators.components import connected_components
-from acreflow.plans.storage import stored
+from acreflow.plans.storage import forget, stored
 
 #: The production rules, as (verdict, host and path).
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_LINK = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-_REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
+#: A tag ends where the next one begins, so a tag that is never closed costs no more than its own characters.
+_LINK, _META = r"(?is)<link\b[^<>]*>", r"(?is)<meta\b[^<>]*>"
+_CANONICAL = r"(?is)\brel\s*=\s*[\"']?canonical\b"
+_REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"
 _HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-_TARGET = r"(?is)\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*[\"']?([^\"'\s>]+)"
+_CONTENT = r"(?is)\bcontent\s*=\s*(\"[^\">]*|'[^'>]*|[^\"'>]*)"
+_TARGET = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
 
 
 def _rest(url: Column) -> Column:
@@ -93,8 +96,10 @@ def alias_edges(pages: DataFrame) -> DataFrame:
     """(a, b) urls: each page's url with what its canonical links and refresh redirects name."""
     html = F.col("html")
     some = pages.filter(html.rlike(r"(?i)canonical|refresh") & F.col("url").isNotNull())
-    tags = lambda tag, inner: F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, inner, 1))
-    found = some.select("url", F.explode(F.concat(tags(_LINK, _HREF), tags(_REFRESH, _TARGET))).alias("to")).filter("to != ''")
+    tags = lambda tag, kind: F.filter(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda x: x.rlike(kind))
+    links = F.transform(tags(_LINK, _CANONICAL), lambda x: F.regexp_extract(x, _HREF, 1))
+    targets = F.transform(tags(_META, _REFRESH), lambda x: F.regexp_extract(F.regexp_extract(x, _CONTENT, 1), _TARGET, 1))
+    found = some.select("url", F.explode(F.concat(links, targets)).alias("to")).filter("to != ''")
     return found.select(F.col("url").alias("a"), _resolved(F.col("to"), F.col("url")).alias("b")).filter("b is not null")
 
 
@@ -112,15 +117,19 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str]] | DataFrame = RULES
     if redirects is not None:
         edges = edges.unionByName(redirects.select("a", "b"))
     edges = stored(edges.select(node_of(F.col("a")).alias("a"), node_of(F.col("b")).alias("b"), F.col("a").alias("url_a"), F.col("b").alias("url_b")).filter("a is not null and b is not null").distinct(), "edges")
+    own = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"))
+    own = own.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("__key"))
+    own = own.join(with_rules(own, table), ["host", "path"], "left")
+    if edges.isEmpty():  # no aliases: each url is judged alone
+        forget(edges)
+        return own.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"))
     group = connected_components(edges, "a", "b")
     end = lambda x: edges.select(F.col(x).alias("node"), host_of(F.col(f"url_{x}")).alias("host"), path_of(F.col(f"url_{x}")).alias("path"))
     named = end("a").unionByName(end("b")).distinct()
     ruled = named.join(with_rules(named, table).filter("verdict = 'block'"), ["host", "path"]).select("node").distinct()
     blocked = group.join(ruled, "node").select("component").distinct()
     tainted = group.join(blocked, "component").select(F.col("node").alias("__node"), F.lit(True).alias("blocked"))
-    own = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"))
-    own = own.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("__key"))
-    own = own.join(with_rules(own, table), ["host", "path"], "left").join(tainted, F.col("__key") == F.col("__node"), "left")
+    own = own.join(tainted, F.col("__key") == F.col("__node"), "left")
     verdict = F.coalesce("verdict", F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow")))
     return own.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
 
@@ -128,14 +137,15 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str]] | DataFrame = RULES
 _SQL_RULES = ", ".join(f"('{v}', '{r}')" for v, r in RULES)
 _SQL_PARTS = lambda url: f"""CASE WHEN instr({url}, '://') > 0 THEN substr({url}, instr({url}, '://') + 3) ELSE '' END"""
 _SQL_LOWER = lambda x: f"translate({x}, '{_UPPER}', '{_LOWER}')"
+_SQL_TEXT = lambda x: "'" + x.replace("'", "''") + "'"
 #: The same by DuckDB, for the production rules and no further redirects.
 ORACLE_SQL = rf"""
 WITH RECURSIVE rules(verdict, rule) AS (VALUES {_SQL_RULES}),
 own AS (SELECT row_number() OVER () AS r, page_id, coalesce(url, '') AS url, html FROM pages),
 tags AS (
   SELECT url, unnest(list_concat(
-    list_transform(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
-    list_transform(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), lambda x: regexp_extract(x, '(?is)\bcontent\s*=\s*["'']?[^"''>]*?url\s*=\s*["'']?([^"''\s>]+)', 1)))) AS raw
+    list_transform(list_filter(regexp_extract_all(html, {_SQL_TEXT(_LINK)}), lambda x: regexp_matches(x, {_SQL_TEXT(_CANONICAL)})), lambda x: regexp_extract(x, {_SQL_TEXT(_HREF)}, 1)),
+    list_transform(list_filter(regexp_extract_all(html, {_SQL_TEXT(_META)}), lambda x: regexp_matches(x, {_SQL_TEXT(_REFRESH)})), lambda x: regexp_extract(regexp_extract(x, {_SQL_TEXT(_CONTENT)}, 1), {_SQL_TEXT(_TARGET)}, 1)))) AS raw
   FROM own WHERE url <> '' AND regexp_matches(html, '(?i)canonical|refresh')
 ),
 targets AS (SELECT url, replace(raw, '&amp;', '&') AS t, regexp_extract(url, '^(.*?)://', 1) AS scheme, {_SQL_PARTS('url')} AS rest FROM tags WHERE raw <> ''),
