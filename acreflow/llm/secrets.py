@@ -4,8 +4,12 @@ Base kinds are three patterns.  On top of them, every run that could be base64,
 decoded and parsed: private keys in DER (PKCS#1, PKCS#8 plain with its inner key or encrypted, SEC1) with all nested
 lengths adding up exactly, OpenSSH private keys with their length-prefixed fields, and tokens of three
 dot-separated parts whose first part is a JSON header that names an algorithm.  A run that fails as a whole is
-tried again from where a key or a header can begin behind a separator.  Only confirmed ones are reported.  Texts are
-first narrowed down on their raw bytes, which can pass too many but never too few.  Scanning is linear in a text.
+tried again from where a key or a header can begin behind a separator; for that it is decoded once for each of the four
+ways in which such a place can lie in it, and what begins there is parsed in place.  Only confirmed ones are reported.  Texts
+are first narrowed down on their raw bytes, which can pass too many but never too few.  Scanning is linear in a text.
+
+Structures have bounds of their own: a DER key has at most ``MOST_PARTS`` elements (keys of algorithms not known here
+``MOST_UNKNOWN``), an OpenSSH file at most 32 keys, and a token's header is nested no deeper than the JSON parser goes.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ import binascii
 import hashlib
 import json
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +47,12 @@ _INNER_KEY = re.compile(r"(?<=[/_-])(?:M[C-I]|b3BlbnNzaC1rZXktdjE)")
 _HEX_ANY = re.compile(r"[0-9A-Fa-f]{%d,}" % (2 * MIN_CODED))
 #: Three dot-separated parts; looked for at each run of such characters, so runs that follow one another are all tried.
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*))")
-_INNER_TOKEN = re.compile(r"[_-](?=ey[A-Za-z0-9_-]{8,})")
-_JSON_OPENING = re.compile(rb'\{\s*"[\x20-\x7e\s]*')
+_INNER_TOKEN = re.compile(r"[_-](?=ey[A-Za-z0-9_-]{8})")
+#: Quotes, those behind an odd number of backslashes among them.
+_QUOTE = re.compile(r'(?<!\\)\\*"')
+_scan_json = json.JSONDecoder().raw_decode
+#: PKCS#1 has nine elements and one more for further primes, the others fewer.
+MOST_PARTS, MOST_UNKNOWN = 12, 64
 
 
 def _class(chars: str) -> np.ndarray:
@@ -74,17 +82,23 @@ def _der_item(b: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
-def _der_children(b: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+def _der_children(b: bytes, at: int, end: int, most: int = MOST_PARTS) -> list[tuple[int, int, int]] | None:
+    """The elements that fill ``at`` to ``end`` exactly; None if they do not, or are more than ``most``."""
     out = []
     while at < end:
         item = _der_item(b, at, end)
-        if item is None:
+        if item is None or len(out) == most:
             return None
         out.append(item)
         at = item[2]
     return out
 
 
+def _is_number(b: bytes, part: tuple[int, int, int], *values: int) -> bool:
+    """Whether an element is one byte with one of these values."""
+    return part[2] - part[1] == 1 and b[part[1]] in values
+
+
 #: Object identifiers as DER writes them.
 _RSA, _EC, _DSA, _DH = (bytes.fromhex(x) for x in ("2a864886f70d010101", "2a8648ce3d0201", "2a8648ce380401", "2a864886f70d010301"))
 _EDWARDS = tuple(bytes.fromhex(x) for x in ("2b656e", "2b656f", "2b6570", "2b6571"))
@@ -93,24 +107,24 @@ _PASSWORD_BASED = tuple(bytes.fromhex(x) for x in ("2a864886f70d0105", "2a864886
 
 def _pkcs1(b: bytes, parts: list[tuple[int, int, int]]) -> bool:
     whole = len(parts) >= 9 and all(t == 0x02 for t, _, _ in parts[:9]) and all(t == 0x30 for t, _, _ in parts[9:])
-    return whole and b[parts[0][1] : parts[0][2]] in (b"\0", b"\1") and parts[1][2] - parts[1][1] >= 32
+    return whole and _is_number(b, parts[0], 0, 1) and parts[1][2] - parts[1][1] >= 32
 
 
 def _sec1(b: bytes, parts: list[tuple[int, int, int]]) -> bool:
     tags = [t for t, _, _ in parts]
-    return tags[:2] == [0x02, 0x04] and b[parts[0][1] : parts[0][2]] == b"\1" and parts[1][2] - parts[1][1] >= 16 and set(tags[2:]) <= {0xA0, 0xA1}
+    return tags[:2] == [0x02, 0x04] and _is_number(b, parts[0], 1) and parts[1][2] - parts[1][1] >= 16 and set(tags[2:]) <= {0xA0, 0xA1}
 
 
-def _inner_key(oid: bytes, b: bytes) -> bool:
-    """Whether ``b`` is what the private key field of PKCS#8 holds for an algorithm; for one not known here, any one element."""
-    top = _der_item(b, 0, len(b))
-    if top is None or top[2] != len(b):
+def _inner_key(oid: bytes, b: bytes, at: int, end: int) -> bool:
+    """Whether ``at`` to ``end`` is what the private key field of PKCS#8 holds for an algorithm; for one not known here, any one element."""
+    top = _der_item(b, at, end)
+    if top is None or top[2] != end:
         return False
     if oid in _EDWARDS:
         return top[0] == 0x04 and top[2] - top[1] in (32, 56, 57)
     if oid in (_DSA, _DH):
         return top[0] == 0x02 and top[2] - top[1] >= 16
-    parts = _der_children(b, top[1], top[2]) if top[0] == 0x30 else None
+    parts = _der_children(b, top[1], top[2], MOST_PARTS if oid in (_RSA, _EC) else MOST_UNKNOWN) if top[0] == 0x30 else None
     if oid == _RSA:
         return bool(parts) and _pkcs1(b, parts)
     if oid == _EC:
@@ -118,10 +132,11 @@ def _inner_key(oid: bytes, b: bytes) -> bool:
     return bool(parts) or (top[0] in (0x02, 0x04) and top[2] - top[1] >= 16)
 
 
-def der_key(b: bytes) -> str | None:
-    """The encoding of the key that ``b`` is, nested lengths and the inner key included, or None."""
-    top = _der_item(b, 0, len(b))
-    if top is None or top[0] != 0x30 or top[2] != len(b):
+def der_key(b: bytes, at: int = 0, end: int | None = None) -> str | None:
+    """The encoding of the key that ``b`` is from ``at`` to ``end``, nested lengths and the inner key included, or None."""
+    end = len(b) if end is None else end
+    top = _der_item(b, at, end)
+    if top is None or top[0] != 0x30 or top[2] != end:
         return None
     parts = _der_children(b, top[1], top[2])
     if not parts:
@@ -133,34 +148,35 @@ def der_key(b: bytes) -> str | None:
         return "sec1"
     at = 1 if tags[:3] == [0x02, 0x30, 0x04] else 0 if tags == [0x30, 0x04] else -1
     algorithm = _der_children(b, parts[at][1], parts[at][2]) if at >= 0 else None
-    if not algorithm or algorithm[0][0] != 0x06 or algorithm[0][2] - algorithm[0][1] < 3:
+    if not algorithm or algorithm[0][0] != 0x06 or not 3 <= algorithm[0][2] - algorithm[0][1] <= 64:
         return None
-    oid, body = b[algorithm[0][1] : algorithm[0][2]], b[parts[at + 1][1] : parts[at + 1][2]]
-    if at and b[parts[0][1] : parts[0][2]] in (b"\0", b"\1") and set(tags[3:]) <= {0xA0, 0xA1, 0x81} and _inner_key(oid, body):
+    oid, (_, begin, stop) = b[algorithm[0][1] : algorithm[0][2]], parts[at + 1]
+    if at and _is_number(b, parts[0], 0, 1) and set(tags[3:]) <= {0xA0, 0xA1, 0x81} and _inner_key(oid, b, begin, stop):
         return "pkcs8"
-    return "pkcs8, encrypted" if not at and oid.startswith(_PASSWORD_BASED) and len(body) >= 32 else None
+    return "pkcs8, encrypted" if not at and oid.startswith(_PASSWORD_BASED) and stop - begin >= 32 else None
 
 
-def openssh_key(b: bytes) -> bool:
-    """Whether ``b`` is an OpenSSH private key: a magic, three strings, a count and that many key blobs."""
+def openssh_key(b: bytes, at: int = 0) -> bool:
+    """Whether ``b`` is an OpenSSH private key from ``at`` on: a magic, three strings, a count and that many key blobs."""
     magic = b"openssh-key-v1\0"
-    if not b.startswith(magic):
+    if not b.startswith(magic, at):
         return False
-    at, fields = len(magic), []
+    at += len(magic)
+    count = 0
     for i in range(64):
-        if i == 3:
-            if at + 4 > len(b) or not 1 <= int.from_bytes(b[at : at + 4], "big") <= 32:
-                return False
-            fields.append(int.from_bytes(b[at : at + 4], "big"))
-            at += 4
-            continue
         if at + 4 > len(b):
             return False
         n = int.from_bytes(b[at : at + 4], "big")
-        at += 4 + n
+        at += 4
+        if i == 3:
+            if not 1 <= n <= 32:
+                return False
+            count = n
+            continue
+        at += n
         if at > len(b):
             return False
-        if i > 3 and i - 4 == fields[-1]:  # after the public keys the private part
+        if i > 3 and i - 4 == count:  # after the public keys the private part
             return at == len(b)
     return False
 
@@ -189,31 +205,92 @@ def is_signed_token(run: str) -> bool:
     return isinstance(header, dict) and isinstance(claims, dict) and isinstance(header.get("alg"), str) and (len(parts[2]) >= 16 or header["alg"].lower() == "none")
 
 
+def _object_end(text: str, at: int) -> tuple[int, bool]:
+    """(where the JSON object that begins at ``at`` ends, True), or (where reading it fails, False).
+
+    Read from pieces that grow, as an error costs what lies before it in its piece.
+    """
+    size = 256
+    while True:
+        piece, rest = text[at : at + size], at + size < len(text)
+        try:
+            return at + _scan_json(piece, 0)[1], True
+        except json.JSONDecodeError as e:
+            if not rest or (e.pos < len(piece) - 16 and not e.msg.startswith("Unterminated")):
+                return at + e.pos, False
+        size *= 8
+
+
+def _closing(text: str, starts: list[int]) -> list[int]:
+    """Those of ``starts`` (ascending) from where a JSON object reaches to the end of ``text``.
+
+    What one try has read outside of strings the next need not read again: an object that begins there ends within it or fails
+    with it.  Of tries that begin inside the strings of others the same holds, so each character is read a few times.
+    """
+    end, out, covered = len(text.rstrip()), [], [0, 0]
+    quotes = [m.end() - 1 for m in _QUOTE.finditer(text) if (m.end() - m.start()) % 2]
+    side = lambda p: bisect_left(quotes, p) & 1
+    for i, p in enumerate(starts):
+        c = side(p)
+        if p < covered[c]:
+            continue
+        try:
+            covered[c], whole = _object_end(text, p)
+            if whole and covered[c] == end:
+                out.append(p)
+        except RecursionError:  # nested too deep from here on; one further in may not be
+            inside, low = [q for q in starts[i:] if side(q) == c], 0
+            high = len(inside)
+            while high - low > 1:
+                mid = (low + high) // 2
+                try:
+                    _object_end(text, inside[mid])
+                    high = mid
+                except RecursionError:
+                    low = mid
+            covered[c] = inside[high] if high < len(inside) else end
+    return out
+
+
 def _inner_token(run: str) -> int:
-    """Where in a run a token begins behind a separator; -1 if none does.  Only what opens as a JSON object of ASCII is decoded whole."""
+    """Where in a run a token begins behind a separator; -1 if none does."""
     dot = run.index(".")
-    for m in _INNER_TOKEN.finditer(run, 0, dot):
-        near = min(m.end() + 64, dot)
-        opening = _decoded(run[m.end() : near - (near - m.end()) % 4]) or b""
-        if _JSON_OPENING.fullmatch(opening) and is_signed_token(run[m.end() :]):
-            return m.end()
-    return -1
+    openings = [m.end() for m in _INNER_TOKEN.finditer(run, 0, dot)]
+    found = []
+    for r in {at % 4 for at in openings}:
+        data = _decoded(run[r:dot]) or b""  # None where nothing that begins here can end at the dot
+        own = [at for at in openings if at % 4 == r]
+        ends = set(_closing(data.decode("latin-1"), [(at - r) // 4 * 3 for at in own])) if data else ()
+        found += [at for at in own if (at - r) // 4 * 3 in ends]
+    return next((at for at in sorted(found) if is_signed_token(run[at:])), -1)
 
 
 def _inner_der(run: str) -> tuple[int, int] | None:
     """(start, end) of the first key inside a run behind a separator.  The length that opens a sequence says how far it has to go."""
+    decoded: dict[int, bytes] = {}
+    whole = len(run.rstrip("="))
+
+    def data(at: int) -> bytes:
+        r = at % 4
+        if r not in decoded:
+            decoded[r] = _decoded(run[r : whole - ((whole - r) % 4 == 1)]) or b""
+        return decoded[r]
+
     for m in _INNER_KEY.finditer(run):
-        at, end = m.start(), len(run)
-        if run[at] == "M":
-            opening = _decoded(run[at : at + 12]) or b""
-            k = opening[1] & 0x7F if len(opening) == 9 and opening[1] & 0x80 else 0
-            if len(opening) < 9 or k > 4 or opening[2 + k] not in (0x02, 0x30):
-                continue
-            n = 2 + k + (int.from_bytes(opening[2 : 2 + k], "big") if k else opening[1])
-            end = at + (4 * n + 2) // 3
-            if end - at < MIN_CODED or end > len(run):
-                continue
-        if is_key(_decoded(run[at:end])):
+        at, begin = m.start(), m.start() // 4 * 3
+        if run[at] != "M":
+            if (whole - at) % 4 != 1 and openssh_key(data(at), begin):
+                return at, len(run)
+            continue
+        opening = _decoded(run[at : at + 12]) or b""
+        k = opening[1] & 0x7F if len(opening) == 9 and opening[1] & 0x80 else 0
+        if len(opening) < 9 or k > 4 or opening[2 + k] not in (0x02, 0x30):
+            continue
+        n = 2 + k + (int.from_bytes(opening[2 : 2 + k], "big") if k else opening[1])
+        end = at + (4 * n + 2) // 3
+        if end - at < MIN_CODED or end > len(run):
+            continue
+        if begin + n <= len(data(at)) and der_key(data(at), begin, begin + n):
             return at, end if run[end:].strip("=") else len(run)
     return None
 
