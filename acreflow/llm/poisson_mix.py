@@ -62,30 +62,34 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, power:
     named, null included, has none.  Without it a source's weight is its number of characters to the
     ``power``.  ``size``: characters of the mixture over those of ``docs``.  With ``numbered`` a last column
     ``copy`` (0, 1 ...) numbers the copies and takes the place of one that ``docs`` has; without it the columns are
-    those of ``docs``.  Sources without any character, and all if no weight is positive, have rate 0.  Repeated
+    those of ``docs``.  Other columns come back as they are, whatever their names.  Sources without any character, and all if no weight is positive, have rate 0.  Repeated
     rows draw the same count; rows with a null doc_id draw by their text.  An empty table stays empty.
     """
-    each = rates(docs, weights, power, size)
+    each = rates(docs.select("source", "text"), weights, power, size)
+    # Rows travel as one struct, so that no name of theirs can meet one that is added here.
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    of = lambda c: F.col("row").getField(c)
+    doc_id, text, source = of("doc_id"), of("text"), of("source")
     parts = F.greatest(F.ceil(F.col("rate") / F.lit(LARGEST)), F.lit(1)).cast("int")
-    table = stored(each.select(F.col("source").alias("__source"), parts.alias("__parts"), poisson_table(F.col("rate") / parts).alias("__cumulative")), "rates")
-    own = F.when(F.col("doc_id").isNull(), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    row_bytes = F.octet_length(F.coalesce("__source", F.lit(""))) + 8 * F.size("__cumulative") + 64
+    table = stored(each.select("source", parts.alias("parts"), poisson_table(F.col("rate") / parts).alias("cumulative")), "rates")
+    own = F.when(doc_id.isNull(), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    row_bytes = F.octet_length(F.coalesce("source", F.lit(""))) + 8 * F.size("cumulative") + 64
     if (table.agg(F.sum(row_bytes)).first()[0] or 0) <= TABLE_BYTES:
-        joined = docs.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("__source")))
+        joined = whole.join(F.broadcast(table), source.eqNullSafe(F.col("source")))
     else:
-        salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = docs.withColumn("__own", F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)).cast("int")).join(salted, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__salt")))
+        salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = whole.withColumn("own", F.pmod(F.xxhash64(doc_id, text), F.lit(SALTS)).cast("int")).join(salted, source.eqNullSafe(F.col("source")) & (F.col("own") == F.col("salt")))
     # How many entries are at most the draw: all but those before it in descending order; then the draws of further parts.
-    draw = uniform(seed, F.col("doc_id"), own)
-    first = F.size("__cumulative") - (F.array_position(F.reverse(F.array_sort(F.array_append("__cumulative", draw))), draw) - 1)
-    draws = F.transform(F.sequence(F.lit(1), F.col("__parts") - 1), lambda j: uniform(seed, F.col("doc_id"), own, j))
-    further = F.aggregate(draws, F.lit(0).cast("long"), lambda n, u: n + F.size(F.filter("__cumulative", lambda c: c <= u)))
-    count = first + F.when(F.col("__parts") > 1, further).otherwise(0)
-    copies = joined.withColumn("__n", count).filter("__n > 0").withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__n").cast("int") - 1)))
-    mixed = copies.withColumn("__order", F.xxhash64(F.lit(seed), "doc_id", "__copy", "text")).repartition("__order").sortWithinPartitions("__order")
+    draw = uniform(seed, doc_id, own)
+    first = F.size("cumulative") - (F.array_position(F.reverse(F.array_sort(F.array_append("cumulative", draw))), draw) - 1)
+    draws = F.transform(F.sequence(F.lit(1), F.col("parts") - 1), lambda j: uniform(seed, doc_id, own, j))
+    further = F.aggregate(draws, F.lit(0).cast("long"), lambda n, u: n + F.size(F.filter("cumulative", lambda c: c <= u)))
+    count = first + F.when(F.col("parts") > 1, further).otherwise(0)
+    copies = joined.select("row", count.alias("n")).filter("n > 0").select("row", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("copy"))
+    mixed = copies.withColumn("place", F.xxhash64(F.lit(seed), doc_id, "copy", text)).repartition("place").sortWithinPartitions("place")
     if not numbered:
-        return mixed.select(*docs.columns)
-    return mixed.select(*(c for c in docs.columns if c != "copy"), F.col("__copy").alias("copy"))
+        return mixed.select(*(of(c).alias(c) for c in docs.columns))
+    return mixed.select(*(of(c).alias(c) for c in docs.columns if c != "copy"), "copy")
 
 
 #: The same by DuckDB, for the defaults.

@@ -176,6 +176,18 @@ def test_mixing_with_clashing_names_ties_and_long_texts(spark):
     assert poisson_mix.poisson_mix(empty).count() == 0
 
 
+def test_mixing_leaves_columns_of_any_name_alone(spark, monkeypatch):
+    names = ["row", "place", "salt", "own", "n", "parts", "cumulative", "rate", "weight", "mass", "__n", "__order", "__copy", "__parts", "__own", "__source", "a.b", "a b", "COPY2"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    rows = [(i, f"text {i % 3}", "ab"[i % 2], *(f"{n}{i}" for n in names)) for i in range(60)]
+    df = spark.createDataFrame(rows, schema)
+    for limit in (poisson_mix.TABLE_BYTES, 0):
+        monkeypatch.setattr(poisson_mix, "TABLE_BYTES", limit)
+        out = poisson_mix.poisson_mix(df, size=3.0)
+        assert out.columns == [*df.columns, "copy"] and {tuple(r)[:-1] for r in out.collect()} <= set(rows)
+        assert poisson_mix.poisson_mix(df, size=3.0, numbered=False).columns == df.columns
+
+
 # 2 n-gram Jaccard
 
 
@@ -748,6 +760,16 @@ def test_alias_graphs_equal_union_find_and_the_sql(spark):
     assert sorted(duckdb.query(f"SELECT page_id, host, path, rule, verdict FROM ({url_filters.ORACLE_SQL})").fetchall() if pages is not None else [], key=repr) == want
 
 
+@pytest.mark.parametrize("piece", ["<link ", "<link rel=canonical ", "<meta http-equiv=refresh content=", "<meta http-equiv=refresh content='url content=' ", "canonical rel=canonical href= ", "<link rel   ", "<link href=' "])
+def test_alias_extraction_is_linear_in_malformed_html(spark, piece):
+    """Two million characters of tags that are never closed; what comes behind them is still found."""
+    tail = "><link rel=canonical href='http://a.com/de/'><meta content=\"0; URL='/x'\" http-equiv='refresh'>"
+    df = spark.createDataFrame([("http://u.net/", piece * (2_000_000 // len(piece)) + tail)], "url string, html string")
+    began = time.perf_counter()
+    got = {r["b"] for r in url_filters.alias_edges(df).collect()}
+    assert time.perf_counter() - began < 6 and {"http://a.com/de/", "http://u.net/x"} <= got
+
+
 def test_any_number_of_rules(spark):
     r = random.Random(2)
     hosts = [f"h{i}.{t}" for i in range(300) for t in ("com", "net", "a.b.org")]
@@ -914,14 +936,63 @@ def test_what_is_glued_in_front_does_not_hide_a_secret():
     assert secrets.spans_of("my-" + token.replace("eyJ", "eyK") + " a/" + key[:-8]) == []
 
 
-@pytest.mark.parametrize("piece", ["a", "aB3_", "0f", "/M", "-ey", "aaaaaaaaaaaa.", "abc-eyJ", "-----BEGIN A-----", "AKIA", "token ", "MIIB/", "password=", ".", "eyJhbGciOi."])
-def test_scanning_is_linear_in_a_long_text(piece):
+@pytest.mark.parametrize("piece", ["a", "aB3_", "0f", "/M", "-ey", "aaaaaaaaaaaa.", "abc-eyJ", "-----BEGIN A-----", "AKIA", "token ", "MIIB/", "password=", ".", "eyJhbGciOi.", "eyJhYWF-", "_eyJhIjoi", "-eyJhIjp7", "-eyJhIjp7ICAg", "/MIIEAAIBAAIB", "/MIIBAAIBADCB", "/MIGAAgEAMAYG", "/b3BlbnNzaC1rZXktdjEA"])
+@pytest.mark.parametrize("tail", ["", ".e30.c2lnbmF0dXJlLXBhcnQteHl6"])
+def test_scanning_is_linear_in_a_long_text(piece, tail):
     took = []
     for size in (1 << 19, 2 << 20):
-        column, began = pa.array([piece * (size // len(piece))]), time.process_time()
+        column, began = pa.array([piece * (size // len(piece)) + tail]), time.process_time()
         assert isinstance(next(secrets._scan(column)), list)
         took.append(time.process_time() - began)
-    assert took[1] < 6 * took[0] + 1
+    assert took[1] < 6 * took[0] + 1 and took[1] < 6
+
+
+def plain_confirmed(text):
+    """Keys and tokens by trying every start behind a separator, and for keys every end, decoding each by itself."""
+    out = []
+    free = lambda a, b: all(b <= x or a >= y for x, _, y in out)
+    for m in re.finditer(r"-----BEGIN ([A-Z0-9 ]{1,60})-----([A-Za-z0-9+/=\s\\]+)-----END \1-----", text):
+        if secrets.is_key(secrets._decoded(re.sub(r"\\[nrt]|\s+", "", m[2]))):
+            out.append((m.start(), 3, m.end()))
+    for m in re.finditer(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*))", text):
+        run, dot = m[1], m[1].index(".")
+        for at in [0, *(i for i in range(1, dot) if run[i - 1] in "_-" and re.match("ey[A-Za-z0-9_-]{8,}", run[i:dot]))]:
+            if secrets.is_signed_token(run[at:]):
+                if free(m.start() + at, m.end(1)):
+                    out.append((m.start() + at, 4, m.end(1)))
+                break
+    for m in re.finditer(r"[0-9A-Fa-f]{80,}", text):
+        if free(m.start(), m.end()) and len(m[0]) % 2 == 0 and secrets.is_key(bytes.fromhex(m[0])):
+            out.append((m.start(), 3, m.end()))
+    for m in re.finditer(r"[A-Za-z0-9+/_-]{40,}={0,2}", text):
+        run = m[0]
+        if not free(m.start(), m.end()):
+            continue
+        starts = [0, *(i for i in range(1, len(run)) if run[i - 1] in "/_-")]
+        for at, end in ((at, end) for at in starts for end in ([len(run)] if at == 0 or run.startswith("b3Bl", at) else range(at + 40, len(run) + 1))):
+            if secrets.is_key(secrets._decoded(run[at:end])):
+                out.append((m.start() + at, 3, m.start() + (end if run[end:].strip("=") else len(run))))
+                break
+    return sorted(out)
+
+
+def test_confirmed_spans_equal_those_of_every_start():
+    r = random.Random(12)
+    header = lambda: r.choice([{"alg": "HS256"}, {"alg": "none", "é": [1, {"b": '"'}]}, {"typ": "x"}, {"alg": 3}, {"a": {"alg": "x"}}])
+    nested = base64.urlsafe_b64encode(b'{"k":"' + b"~" * 3 + b'{"alg":"HS256"}').decode().rstrip("=")
+    pkcs8 = tlv(0x30, tlv(2, b"\0") + tlv(0x30, tlv(6, b"\x2a\x86\x48\xce\x3d\x02\x01") + tlv(5, b"")) + tlv(4, tlv(0x30, tlv(2, b"\1") + tlv(4, rng.randbytes(32)))))
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    ssh = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(rng.randbytes(51)) + field(rng.randbytes(40))
+    piece = lambda: r.choice([
+        jwt(header(), {"sub": 1}), jwt(header(), {}, ""), coded(pkcs8), coded(pkcs8)[:-5], coded(ssh), coded(ssh)[:-2], pkcs8.hex(), "my-", "eyJhYWF-", "_eyJhIjp7", "/MIIB", "a/b/", ".", "..", " ", "\n", "=", "word", "x_", nested, nested + ".e30.abc", "-ey", "Zm9v" * 12,
+    ])
+    found = collections.Counter()
+    for _ in range(1500):
+        text = "".join(piece() for _ in range(r.randrange(1, 9)))
+        got = [(a, k, b) for a, k, b, _ in sorted(secrets.confirmed_spans(text))]
+        assert got == plain_confirmed(text), text
+        found.update(k for _, k, _ in got)
+    assert min(found[3], found[4]) > 200
 
 
 def test_rows_are_scanned_alone_whatever_the_row_before_ends_in():
