@@ -1,4 +1,4 @@
-"""Content identifiers: CIDv1, raw codec, SHA-256, base32.  Right for content of a single block."""
+"""Content identifiers: CIDv1, SHA-256, base32.  ``content_id`` is that of a single raw block; ``sources.artifacts`` has files."""
 
 from __future__ import annotations
 
@@ -11,13 +11,14 @@ from pyspark.sql.types import StringType
 
 #: Version 1, raw codec, SHA-256, 32 bytes.
 PREFIX = bytes([0x01, 0x55, 0x12, 0x20])
-BLOCK_BYTES = 1 << 20
+
+
+def identifier(prefix: bytes, digest: bytes) -> str:
+    return "b" + base64.b32encode(prefix + digest).decode().lower().rstrip("=")
 
 
 def cid_of_digest(sha256_hex: str | None) -> str | None:
-    if sha256_hex is None:
-        return None
-    return "b" + base64.b32encode(PREFIX + bytes.fromhex(sha256_hex)).decode().lower().rstrip("=")
+    return None if sha256_hex is None else identifier(PREFIX, bytes.fromhex(sha256_hex))
 
 
 @F.pandas_udf(StringType())

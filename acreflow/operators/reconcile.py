@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acreflow.functions.columns import digest
 from acreflow.operators.components import connected_components
+from acreflow.operators.segments import close_pairs
 
 
 def unify(*frames: DataFrame) -> DataFrame:
@@ -25,14 +26,13 @@ def exact_classes(df: DataFrame, key: str, *content: str) -> DataFrame:
 def close_names(df: DataFrame, key: str, name: Column, block: Column, most: int) -> DataFrame:
     """(a, b, distance) links between the representatives of equal names that share a block.
 
-    Names are compared once for all rows that have them; links come between their smallest keys.  ``block``
-    keeps the comparisons local; a finer one keeps a frequent block small.  Null names or blocks link nothing.
+    Names are compared once for all rows that have them; links come between their smallest keys.  Within a block names meet
+    through an index of their segments (``segments.close_pairs``).  Null names or blocks link nothing.
     """
     rows = df.select(F.col(key).alias("k"), name.alias("name"), block.alias("block")).filter("name is not null and block is not null")
-    own = rows.groupBy("block", "name").agg(F.min("k").alias("k")).withColumn("len", F.length("name"))
-    left, right = own.toDF("block", "name_a", "a", "la"), own.toDF("block", "name_b", "b", "lb")
-    pairs = left.join(right, "block").filter((F.col("name_a") < F.col("name_b")) & (F.abs(F.col("la") - F.col("lb")) <= most))
-    pairs = pairs.withColumn("distance", F.levenshtein("name_a", "name_b", most)).filter("distance >= 0")
+    own = rows.groupBy("block", "name").agg(F.min("k").alias("k"))
+    end = lambda x: own.select("block", F.col("name").alias(f"name_{x}"), F.col("k").alias(x))
+    pairs = close_pairs(rows, most).join(end("a"), ["block", "name_a"]).join(end("b"), ["block", "name_b"])
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-PROV = "struct<source_id: string, source_record_id: string, source_url: string, collected_at: timestamp_ntz, run_id: string, content_sha256: string>"
+PROV = "struct<source_id: string, source_record_id: string, source_url: string, collected_at: timestamp_ntz, run_id: string, content_sha256: string, source_file: string, source_row: bigint>"
 
 CURATED = {
     "property": "property_id long, parcel_no string, situs_address string, situs_city string, situs_state string, situs_zip string, county string, acreage decimal(12,4), year_built int, land_use string, zoning string, lat double, lon double",

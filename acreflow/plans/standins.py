@@ -19,7 +19,7 @@ def point(key: str, lat: int, lon: int) -> tuple[Column, Column]:
 def prov(source: str, record: str) -> Column:
     """Provenance without a clock, so that results repeat."""
     none = lambda t: F.lit(None).cast(t)
-    return F.struct(F.lit(source).alias("source_id"), F.col(record).cast("string").alias("source_record_id"), none("string").alias("source_url"), none("timestamp_ntz").alias("collected_at"), F.lit("fixture").alias("run_id"), F.sha2(F.col(record).cast("string"), 256).alias("content_sha256"))
+    return F.struct(F.lit(source).alias("source_id"), F.col(record).cast("string").alias("source_record_id"), none("string").alias("source_url"), none("timestamp_ntz").alias("collected_at"), F.lit("fixture").alias("run_id"), F.sha2(F.col(record).cast("string"), 256).alias("content_sha256"), none("string").alias("source_file"), none("long").alias("source_row"))
 
 
 def properties(spark: SparkSession, sf_dir: str) -> DataFrame:

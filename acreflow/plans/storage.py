@@ -23,15 +23,26 @@ _written: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables; ``RuntimeError`` if a cluster names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
     if named:
+        # local-cluster runs its executors beside the driver, where they may share a folder.
+        if named.startswith("file:") and not local:
+            raise RuntimeError(f"spark.checkpoint.dir is {named}: a folder of one machine is not shared")
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="acreflow-"))
     return f"file://{_own[0]}"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new path in the shared folder, which ``release`` deletes."""
+    path = f"{shared_dir(spark)}/acreflow/{uuid.uuid4().hex}/files"
+    _written.append(path)
+    return path
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed now and kept as a reliable checkpoint, with no lineage."""
     spark = df.sparkSession

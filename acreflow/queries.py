@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +12,8 @@ from acreflow.functions.columns import block_key, digest, url_part
 from acreflow.operators import assemblages as asm
 from acreflow.operators import links, ownership, permits, proximity, ranking, reconcile, runlog, score
 from acreflow.plans import standins as on
-from acreflow.plans.storage import shared_dir
-from acreflow.sources import load, run, sinks
+from acreflow.plans.storage import shared_folder
+from acreflow.sources import artifacts, load, run, sinks
 
 AS_OF = dt.date(2001, 8, 2)
 SINCE = dt.date(2000, 8, 2)
@@ -244,6 +243,13 @@ def fuzzy_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.close_names(on.table(spark, sf_dir, "part"), "p_partkey", F.col("p_name"), block_key(F.col("p_name")), 3)
 
 
+@register("""WITH own AS (SELECT min(p_partkey) AS k, p_name AS n FROM part GROUP BY p_name)
+SELECT least(a.k, b.k) AS a, greatest(a.k, b.k) AS b, CAST(levenshtein(a.n, b.n) AS INTEGER) AS distance FROM own a JOIN own b ON a.n < b.n AND abs(length(a.n) - length(b.n)) <= 2 WHERE levenshtein(a.n, b.n) <= 2""")
+def fuzzy_names_everywhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names within two edits, whatever they begin with: one block holds them all."""
+    return reconcile.close_names(on.table(spark, sf_dir, "part"), "p_partkey", F.col("p_name"), F.lit(""), 2)
+
+
 @register("SELECT o_custkey AS property_id, to_json(list(o_orderkey ORDER BY o_orderkey)) AS evidence FROM orders GROUP BY o_custkey")
 def evidence_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return on.transfers(spark, sf_dir).groupBy("property_id").agg(F.to_json(F.sort_array(F.collect_list("transfer_id"))).alias("evidence"))
@@ -323,10 +329,30 @@ def candidate_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def artifact_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publishes a table and lists its files with digests and content identifiers."""
-    path = sinks.publish(on.properties(spark, sf_dir), f"{shared_dir(spark)}/acreflow/{uuid.uuid4().hex}", "property", "property_id")
+    path = sinks.publish(on.properties(spark, sf_dir), shared_folder(spark), "property", "property_id")
     return sinks.eligible(sinks.manifest(spark, path, "property", "fixture"), ["property"])
 
 
+_CHUNK, _FAN = 4096, 8
+
+
+@register(f"""WITH RECURSIVE lines AS (SELECT substr(o_orderpriority, 1, 1) AS part, o_orderkey AS k, concat_ws('|', o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_orderdate AS DATE) AS VARCHAR)) || chr(10) AS line FROM orders),
+files AS (SELECT part, string_agg(line, '' ORDER BY k) AS t FROM lines GROUP BY part), sizes AS (SELECT part, t, length(t) AS n, CAST(ceil(length(t) / {_CHUNK}.0) AS BIGINT) AS leaves FROM files),
+levels AS (SELECT part, 0 AS level, leaves AS n_below, leaves AS n_here, CAST({_CHUNK} AS BIGINT) AS span, n FROM sizes UNION ALL SELECT part, level + 1, n_here, CAST(ceil(n_here / {_FAN}.0) AS BIGINT), span * {_FAN}, n FROM levels WHERE n_here > 1),
+nodes AS (SELECT part, level, unnest(range(n_here)) AS i, n_below, n_here, span, n FROM levels)
+SELECT part, CAST(level AS INTEGER) AS level, i, CASE WHEN level = 0 THEN 0 ELSE least({_FAN}, n_below - i * {_FAN}) END AS n_links, least(span, nodes.n - i * span) AS size, n_here = 1 AS root, CASE WHEN level = 0 THEN sha256(substr(t, CAST(i * {_CHUNK} + 1 AS BIGINT), {_CHUNK})) END AS leaf_sha256
+FROM nodes JOIN sizes USING (part)""")
+def artifact_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as one text file for each priority, cut into blocks: digests of chunks, and the link nodes above them."""
+    folder = shared_folder(spark)
+    line = F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").cast("string"))
+    lines = on.table(spark, sf_dir, "orders").select(F.substring("o_orderpriority", 1, 1).alias("part"), "o_orderkey", line.alias("line"))
+    lines.repartition("part").sortWithinPartitions("part", "o_orderkey").select("part", "line").write.partitionBy("part").text(folder)
+    nodes, _ = artifacts.blocks(spark, folder, _CHUNK, _FAN, "*.txt")
+    part = F.regexp_extract("path", "part=([^/]*)/", 1).alias("part")
+    return nodes.select(part, "level", "i", "n_links", "size", "root", F.when(F.col("level") == 0, F.lower(F.hex("digest"))).alias("leaf_sha256"))
+
+
 @register(f"""WITH {_PROPERTY}, {_TRANSFER}, {_PERMIT}, {_POI}, l AS (SELECT property_id, max(transfer_date) AS last_transfer, count(*) AS n FROM transfer GROUP BY property_id),
 m AS (SELECT property_id, min({_metres('a', 'b')}) AS m FROM property a, poi b WHERE {_metres('a', 'b')} <= 800e0 GROUP BY property_id), s AS (SELECT property_id, count(*) AS n FROM permit WHERE upper(permit_type) = 'R' GROUP BY property_id),
 b AS (SELECT p.property_id, acreage, last_transfer, coalesce(l.n, 0) AS n_transfers, concat_ws('; ', CASE WHEN m IS NOT NULL THEN 'power within ' || CAST(floor(m) AS BIGINT) || ' m' END, CASE WHEN s.n >= 20 THEN 'permits: ' || s.n END, CASE WHEN zoning = 'MACHINERY' THEN 'zoning: ' || zoning END) AS basis
@@ -380,7 +406,7 @@ def water_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _loaded(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Loads customer, kept as CSV with every seventh key malformed, through a run; the folder and the run's id."""
-    folder = f"{shared_dir(spark)}/acreflow/{uuid.uuid4().hex}"
+    folder = shared_folder(spark)
     key = F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit("x"), "c_custkey")).otherwise(F.col("c_custkey").cast("string"))
     on.table(spark, sf_dir, "customer").select(key.alias("k"), "c_name", "c_mktsegment").write.csv(f"{folder}/raw", header=True)
     names = {"business_id": "k", "name": "c_name", "category": "c_mktsegment"}
@@ -397,6 +423,36 @@ def loaded_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("business_id", "name", "category", "prov.source_id", "prov.source_record_id", "prov.content_sha256")
 
 
+@register("SELECT c_custkey AS property_id, c_name AS parcel_no, CAST(c_acctbal AS DECIMAL(12,4)) AS acreage FROM customer WHERE c_acctbal >= 0")
+def published_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer, published in part, then by a run that fails between files, then whole: what a reader gets in the end."""
+    folder = shared_folder(spark)
+    rows = on.table(spark, sf_dir, "customer").filter("c_acctbal >= 0").select(F.col("c_custkey").alias("property_id"), F.col("c_name").alias("parcel_no"), F.col("c_acctbal").cast("decimal(12,4)").alias("acreage"))
+    sinks.publish_snapshot(rows.filter("property_id % 2 = 0"), folder, "property", "property_id")
+    before = sinks.published(spark, folder, "property").count()
+    try:
+        sinks.publish_snapshot(rows.withColumn("parcel_no", F.when(F.col("property_id") % 50 == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("parcel_no"))), folder, "property", "property_id")
+    except Exception as e:
+        if "lost" not in str(e):
+            raise
+    if sinks.published(spark, folder, "property").count() != before:
+        raise RuntimeError("a broken run has changed what was published")
+    sinks.publish_snapshot(rows, folder, "property", "property_id")
+    sinks.retire(spark, folder, "property")
+    return sinks.published(spark, folder, "property")
+
+
+@register("SELECT c_custkey AS contractor_id, upper(c_name) AS name, true AS one_file, c_name AS raw_name, c_acctbal AS raw_balance FROM customer")
+def record_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published records led back to the file and row that they were loaded from."""
+    folder, path = shared_folder(spark), f"{sf_dir}/customer.parquet"
+    good, _ = load.load(spark, "contractor", path, "customer", "fixture", names={"contractor_id": "c_custkey", "name": "c_name"})
+    sinks.publish_snapshot(good.withColumn("name", F.upper("name")), folder, "contractor", "contractor_id")
+    records = sinks.published(spark, folder, "contractor")
+    found = load.raw_rows(records, load.read_raw(spark, path), "contractor_id").join(records.select("contractor_id", "name"), "contractor_id")
+    return found.select("contractor_id", "name", F.col("source_file").contains("customer").alias("one_file"), F.col("raw.c_name").alias("raw_name"), F.col("raw.c_acctbal").alias("raw_balance"))
+
+
 @register("SELECT 'x' || c_custkey AS k, 'business_id: not a long; business_id: missing' AS reasons FROM customer WHERE c_custkey % 7 = 0")
 def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run set aside, with the reasons."""

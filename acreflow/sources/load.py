@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +13,30 @@ from acreflow.plans.schemas import columns
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Rows of files as they are, with _metadata.  CSV columns are strings."""
+    """Rows of files as they are; their hidden _metadata column says where each is from.  CSV columns are strings."""
     reader = spark.read.format(fmt).options(**({"header": "true"} | options if fmt == "csv" else options))
     return reader.load(path)
 
 
+def origin(raw: DataFrame) -> tuple[Column, Column]:
+    """(file, place in it) of each row of files; the place is null for formats that number no rows, both for other rows."""
+    none = F.lit(None)
+    try:
+        fields = raw.select("_metadata").schema[0].dataType.names
+    except AnalysisException:  # not rows of files
+        return none.cast("string"), none.cast("long")
+    return F.col("_metadata.file_path"), F.col("_metadata.row_index") if "row_index" in fields else none.cast("long")
+
+
+def raw_rows(records: DataFrame, raw: DataFrame, key: str) -> DataFrame:
+    """``key`` of ``records`` (with prov), source_file, source_row, and ``raw``: the columns of the row of ``raw`` that each was
+    loaded from.  Rows of formats that number no rows, or of other files, are not found and left out."""
+    at = records.select(key, F.col("prov.source_file").alias("source_file"), F.col("prov.source_row").alias("source_row")).filter("source_file is not null and source_row is not null")
+    file, row = origin(raw)
+    there = raw.select(file.alias("source_file"), row.alias("source_row"), F.struct(*(F.col(f"`{c}`") for c in raw.columns)).alias("raw"))
+    return at.join(there, ["source_file", "source_row"]).select(key, "source_file", "source_row", "raw")
+
+
 def try_as(column: Column, kind: str) -> Column:
     """A value in the curated type, null if it cannot be; never an error."""
     text = F.trim(column.cast("string"))
@@ -45,11 +65,13 @@ def parse(raw: DataFrame, kind: str, required: tuple[str, ...], names: dict[str,
 
 
 def with_prov(df: DataFrame, source_id: str, run_id: str, record_id: Column, url: Column | None = None, collected_at: Column | None = None) -> DataFrame:
-    """Adds the provenance struct to each row; the digest covers all columns in their order."""
+    """Adds the provenance struct to each row; the digest covers all columns in their order.  Rows of files keep their file and place in it."""
+    file, row = origin(df)
     at = collected_at if collected_at is not None else F.current_timestamp().cast("timestamp_ntz")
     return df.withColumn("prov", F.struct(
         F.lit(source_id).alias("source_id"), record_id.cast("string").alias("source_record_id"), (url if url is not None else F.lit(None).cast("string")).alias("source_url"),
         at.cast("timestamp_ntz").alias("collected_at"), F.lit(run_id).alias("run_id"), digest(*(F.col(f"`{c}`") for c in df.columns)).alias("content_sha256"),
+        file.alias("source_file"), row.alias("source_row"),
     ))
 
 

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from acreflow.plans import commits
+from acreflow.sources.artifacts import CHUNK_BYTES, FAN, blocks
 
-from acreflow.functions.content_id import BLOCK_BYTES, content_id
+#: The file that names the snapshot to read.
+POINTER = "current.json"
 
 
 def publish(df: DataFrame, folder: str, name: str, key: str, rows_per_file: int = 5_000_000) -> str:
@@ -15,14 +23,43 @@ def publish(df: DataFrame, folder: str, name: str, key: str, rows_per_file: int
     return path
 
 
-def manifest(spark: SparkSession, folder: str, dataset: str, run_id: str) -> DataFrame:
-    """dataset, path, n_bytes, sha256, cid, single_block, run_id for each Parquet file under ``folder``.
+def publish_snapshot(df: DataFrame, folder: str, name: str, key: str, rows_per_file: int = 5_000_000) -> str:
+    """Publishes ``df`` as a new snapshot beside the old ones, then swaps the pointer to it as the last step; the snapshot's path.
+
+    Whatever fails before leaves the old snapshot in place, whole; readers that have begun on it go on.  Any Parquet
+    reader can take the pointer's text as the folder to read.
+    """
+    spark, snapshot = df.sparkSession, f"snapshot-{uuid.uuid4().hex}"
+    path = publish(df, f"{folder}/{name}", snapshot, key, rows_per_file)
+    commits.swap(spark, f"{folder}/{name}/{POINTER}", json.dumps({"snapshot": snapshot, "schema": df.schema.jsonValue()}))
+    return path
+
+
+def published(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The table as it was published last; ``FileNotFoundError`` if it never was."""
+    said = commits.current(spark, f"{folder}/{name}/{POINTER}")
+    if said is None:
+        raise FileNotFoundError(f"{name} was not published below {folder}")
+    pointer = json.loads(said)
+    return spark.read.schema(StructType.fromJson(pointer["schema"])).parquet(f"{folder}/{name}/{pointer['snapshot']}")
+
+
+def retire(spark: SparkSession, folder: str, name: str) -> int:
+    """Deletes the snapshots that the pointer does not name, broken ones among them, once nobody reads them; how many."""
+    pointer = json.loads(commits.current(spark, f"{folder}/{name}/{POINTER}") or '{"snapshot": null}')
+    old = [s for s in commits.folders(spark, f"{folder}/{name}") if s.startswith("snapshot-") and s != pointer["snapshot"]]
+    for s in old:
+        commits.remove(spark, f"{folder}/{name}/{s}")
+    return len(old)
+
+
+def manifest(spark: SparkSession, folder: str, dataset: str, run_id: str, chunk: int = CHUNK_BYTES, fan: int = FAN) -> DataFrame:
+    """dataset, path, n_bytes, sha256, cid, n_blocks, single_block, run_id for each Parquet file under ``folder``.
 
-    The identifier is that of a raw block; single_block says whether a node would store the file as one.
+    The identifier is that of the file's root, a raw block where the file is a single chunk; files are streamed.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(folder)
-    hashed = files.select(F.lit(dataset).alias("dataset"), "path", F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
-    return hashed.select("*", content_id(F.col("sha256")).alias("cid"), (F.col("n_bytes") <= BLOCK_BYTES).alias("single_block"), F.lit(run_id).alias("run_id"))
+    files = blocks(spark, folder, chunk, fan, "*.parquet")[1]
+    return files.select(F.lit(dataset).alias("dataset"), "path", "n_bytes", "sha256", "cid", "n_blocks", (F.col("n_blocks") == 1).alias("single_block"), F.lit(run_id).alias("run_id"))
 
 
 def eligible(artifacts: DataFrame, public: list[str]) -> DataFrame:

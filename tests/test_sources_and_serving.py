@@ -15,7 +15,7 @@ from acreflow.functions.columns import normal_name
 from acreflow.operators import links
 from acreflow.serving import agent, page, rpc
 from acreflow.serving.tools import TOOLS, Tables, catalogue, register_sql_functions, run_tool
-from acreflow.sources import load, run, sinks
+from acreflow.sources import artifacts, load, run, sinks
 from acreflow.sources.paged import drain, read_pages
 from acreflow.streaming.pickup import pick_up
 
