@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acreflow.functions.columns import block_key, digest, url_part
 from acreflow.operators import assemblages as asm
-from acreflow.operators import links, ownership, permits, proximity, ranking, reconcile, runlog, score
+from acreflow.operators import labels, links, matching, ownership, permits, proximity, ranking, reconcile, runlog, score
 from acreflow.plans import standins as on
 from acreflow.plans.storage import shared_folder
 from acreflow.sources import artifacts, load, run, sinks
@@ -369,6 +369,62 @@ def agent_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("property_id", F.col("acreage").cast("double").alias("acres"), "last_transfer", "n_transfers", F.array_join("basis", "; ").alias("basis"))
 
 
+_CLIENT_FIELDS = (matching.Field("words", 2, True), matching.Field("email"), matching.Field("city"), matching.Field("segment"))
+_CLIENT_KEYS = ((F.col, "words", "email"), (F.col, "email", "words"), (matching.longest_word, "words", "city"))
+
+
+def _clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """clients, one row for each id, with the words of their names."""
+    one = on.table(spark, sf_dir, "clients").filter("client_id is not null").groupBy("client_id").agg(F.min(F.struct("name", "email", "city", "segment")).alias("c"))
+    return one.select("client_id", matching.word_key(F.col("c.name")).alias("words"), F.lower("c.email").alias("email"), "c.city", "c.segment")
+
+
+def _client_keys() -> list[tuple[Column, Column]]:
+    return [(how(by) if how is F.col else how(F.col(by)), F.col(tie)) for how, by, tie in _CLIENT_KEYS]
+
+
+_CLIENTS = f"""c AS (SELECT client_id AS k, list_sort(list_filter(string_split(trim(regexp_replace(upper(name), '[^A-Z0-9]+', ' ', 'g')), ' '), lambda w: w <> '' AND w NOT IN ('JR', 'SR', 'II', 'III'))) AS w, lower(email) AS email, city, segment FROM clients WHERE client_id IS NOT NULL),
+r AS (SELECT k, w, nullif(array_to_string(w, ' '), '') AS words, email, city, segment FROM c),
+n AS (SELECT 1 AS src, k, words AS own, email AS tie FROM r UNION ALL SELECT 2, k, email, words FROM r UNION ALL SELECT 3, k, list_sort(list_transform(w, lambda x: {{'l': -length(x), 'x': x}}))[1].x, city FROM r WHERE words IS NOT NULL),
+p AS (SELECT src, k, own, row_number() OVER (PARTITION BY src ORDER BY own, tie NULLS FIRST, k) AS at FROM n WHERE own IS NOT NULL),
+names AS (SELECT words, min(k) AS k FROM r WHERE words IS NOT NULL GROUP BY words),
+pairs AS (SELECT least(x.k, y.k) AS a, greatest(x.k, y.k) AS b FROM names x JOIN names y ON x.words < y.words AND abs(length(x.words) - length(y.words)) <= 2 WHERE levenshtein(x.words, y.words) <= 2 UNION SELECT least(x.k, y.k) AS a, greatest(x.k, y.k) AS b FROM p x JOIN p y ON x.src = y.src AND x.own = y.own AND x.k <> y.k AND y.at BETWEEN x.at + 1 AND x.at + {matching.WIDTH})"""
+
+
+@register(f"""WITH {_CLIENTS}, met AS (SELECT x.w AS wx, y.w AS wy, x.words AS wa, y.words AS wb, x.email AS ea, y.email AS eb, x.city AS ca, y.city AS cb, x.segment AS sa, y.segment AS sb FROM pairs JOIN r x ON x.k = a JOIN r y ON y.k = b),
+levels AS (SELECT CASE WHEN wa IS NULL OR wb IS NULL THEN -1 WHEN wa = wb THEN 2 WHEN levenshtein(wa, wb) <= 2 OR (len(wx) = len(wy) AND list_bool_and(list_transform(range(1, len(wx) + 1), lambda i: wx[i] = wy[i] OR (length(wx[i]) = 1 AND starts_with(wy[i], wx[i])) OR (length(wy[i]) = 1 AND starts_with(wx[i], wy[i]))))) THEN 1 ELSE 0 END AS words,
+  coalesce(CAST(ea = eb AS INTEGER), -1) AS email, coalesce(CAST(ca = cb AS INTEGER), -1) AS city, coalesce(CAST(sa = sb AS INTEGER), -1) AS segment FROM met)
+SELECT words, email, city, segment, count(*) AS n_pairs FROM levels GROUP BY ALL""")
+def match_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """clients: how many pairs of neighbouring records agree in which fields, and how well; -1 is missing."""
+    rows = _clients(spark, sf_dir)
+    compared = matching.patterns(rows, "client_id", matching.candidates(rows, "client_id", _client_keys(), close=F.col("words")), _CLIENT_FIELDS)
+    return matching.pattern_counts(compared, _CLIENT_FIELDS).fillna(-1)
+
+
+@register()
+def resolved_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """clients as entities by learned weights; no SQL, as these are fitted in rounds.  Tests hold them against the true ones."""
+    return matching.resolve(_clients(spark, sf_dir), "client", "client_id", _CLIENT_FIELDS, _client_keys(), close=F.col("words"))[0]
+
+
+@register("""WITH RECURSIVE c AS (SELECT client_id AS k, name, email FROM clients WHERE client_id IS NOT NULL),
+own AS (SELECT k, min(k) OVER (PARTITION BY name) AS by_name, min(k) OVER (PARTITION BY email) AS by_email, name, email FROM c),
+e AS (SELECT k AS a, by_name AS b FROM own WHERE name IS NOT NULL UNION SELECT by_name, k FROM own WHERE name IS NOT NULL UNION SELECT k, by_email FROM own WHERE email IS NOT NULL UNION SELECT by_email, k FROM own WHERE email IS NOT NULL),
+r AS (SELECT a AS node, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node) SELECT node, min(root) AS component FROM r GROUP BY node""")
+def components_over_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """clients of one name or email, as links that three runs bring one after the other."""
+    rows, folder = on.table(spark, sf_dir, "clients").filter("client_id is not null").select("client_id", "name", "email"), shared_folder(spark)
+    edges = None
+    for c in ("name", "email"):
+        first = rows.filter(F.col(c).isNotNull()).groupBy(c).agg(F.min("client_id").alias("b"))
+        own = rows.join(first, c).select(F.col("client_id").alias("a"), "b")
+        edges = own if edges is None else edges.unionByName(own)
+    for r in range(3):
+        labels.extend(spark, folder, edges.filter(F.col("a") % 3 == r), "a", "b")
+    return labels.labels(spark, folder)
+
+
 _NAME = "regexp_replace(upper({0}), '^[A-Z]+#0*', 'FIRM ')"
 
 
