@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from acreflow.functions.columns import block_key, digest, url_part
 from acreflow.operators import assemblages as asm
-from acreflow.operators import labels, links, matching, ownership, permits, proximity, ranking, reconcile, runlog, score
+from acreflow.operators import labels, links, matching, ownership, permits, proximity, ranking, reconcile, runlog, score, selection
 from acreflow.plans import standins as on
 from acreflow.plans.storage import shared_folder
-from acreflow.sources import artifacts, load, run, sinks
+from acreflow.sources import artifacts, load, payloads, run, sinks
 
 AS_OF = dt.date(2001, 8, 2)
 SINCE = dt.date(2000, 8, 2)
@@ -285,6 +285,30 @@ def parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return on.table(spark, sf_dir, "events").select("event_id", k.alias("k"), F.when(k.isNull(), "k: missing").otherwise("").alias("reasons"))
 
 
+@register("""WITH p AS (SELECT props, CASE WHEN json_valid(props) THEN props END AS v FROM clicks), f AS (SELECT v, unnest(json_keys(v)) AS field FROM p WHERE v IS NOT NULL)
+SELECT field, CASE json_type(v, '$.' || field) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind, count(*) AS n_rows FROM f GROUP BY ALL
+UNION ALL SELECT NULL, CASE WHEN props IS NULL THEN 'missing' ELSE 'broken' END AS kind, count(*) FROM p WHERE v IS NULL GROUP BY ALL""")
+def payload_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which kinds of value the fields of clicks' payloads have; some drift, some are broken."""
+    return payloads.shapes(on.table(spark, sf_dir, "clicks"), "props")
+
+
+@register("""WITH p AS (SELECT click_id, props, CASE WHEN json_valid(props) THEN props END AS v FROM clicks)
+SELECT click_id, TRY_CAST(json_extract_string(v, '$.k') AS INTEGER) AS k, json_extract_string(v, '$.device.os') AS os, TRY_CAST(json_extract_string(v, '$.items[0].qty') AS INTEGER) AS qty,
+  concat_ws(',', CASE WHEN props IS NOT NULL AND v IS NULL THEN '*' END, CASE WHEN json_type(v, '$.tags') NOT IN ('NULL', 'UBIGINT') THEN 'tags' END) AS set_aside FROM p""")
+def payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """clicks' payloads in typed columns; tags, asked for as a number, are set aside where they are a list."""
+    fields = {"k": ("$.k", "int"), "os": ("$.device.os", "string"), "qty": ("$.items[0].qty", "int"), "tags": ("$.tags", "int")}
+    out = payloads.typed(on.table(spark, sf_dir, "clicks"), "props", fields)
+    return out.select("click_id", "k", "os", "qty", F.array_join("set_aside", ",").alias("set_aside"))
+
+
+@register("SELECT vendor_id, unnest([0.5e0, 0.95e0]) AS share, unnest([quantile_disc(amount, 0.5), quantile_disc(amount, 0.95)]) AS amount FROM sale_lines WHERE amount IS NOT NULL AND vendor_id IS NOT NULL GROUP BY vendor_id")
+def exact_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median and 95th percentile of the amounts of each vendor, one of whom has most of the lines."""
+    return selection.percentiles(on.table(spark, sf_dir, "sale_lines").filter("vendor_id is not null"), "vendor_id", "amount", (0.5, 0.95), few=1000)
+
+
 _SCORED = f"""WITH {_PROPERTY}, {_TRANSFER}, l AS (SELECT property_id, CAST(date_diff('day', max(transfer_date), DATE '2001-08-02') AS DOUBLE) AS days FROM transfer GROUP BY property_id),
 c AS (SELECT p.property_id, CASE WHEN acreage IS NOT NULL THEN greatest(0e0, least(1e0, CAST(acreage AS DOUBLE) / 100e0)) END AS size, CASE WHEN days IS NOT NULL THEN greatest(0e0, least(1e0, days / 1000e0)) END AS tenure FROM property p LEFT JOIN l USING (property_id)),
 scored AS (SELECT property_id, CASE WHEN size IS NOT NULL OR tenure IS NOT NULL THEN (0e0 + coalesce(size * 2e0, 0e0) + coalesce(tenure * 1e0, 0e0)) / (0e0 + CASE WHEN size IS NOT NULL THEN 2e0 ELSE 0e0 END + CASE WHEN tenure IS NOT NULL THEN 1e0 ELSE 0e0 END) END AS score,
