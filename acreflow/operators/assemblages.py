@@ -11,9 +11,8 @@ from acreflow.operators.proximity import within
 
 def adjacent_parcels(parcels: DataFrame, distance_m: float, max_lat: float = 60.0) -> DataFrame:
     """(a, b) parcels (property_id, owner_id, lat, lon) of one owner within ``distance_m``; a < b."""
-    left = parcels.select(F.col("property_id").alias("a"), F.col("owner_id").alias("__oa"), "lat", "lon").filter("__oa is not null")
-    right = parcels.select(F.col("property_id").alias("b"), F.col("owner_id").alias("__ob"), "lat", "lon").filter("__ob is not null")
-    return within(left, right, distance_m, max_lat).filter("__oa = __ob and a < b").select("a", "b")
+    end = lambda x: parcels.select(F.col("property_id").alias(x), F.col("owner_id").alias("owner"), "lat", "lon").filter("owner is not null")
+    return within(end("a"), end("b"), distance_m, max_lat, ("owner",)).filter("a < b").select("a", "b")
 
 
 def assemblage_of(parcels: DataFrame, distance_m: float, max_lat: float = 60.0) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from acreflow.functions.columns import DEGREE_M, haversine_m, valid_point
 from acreflow.plans.storage import checkpointed
 
-MAX_RINGS = 14
+#: Metres within which the nearest place is looked for.
+FARTHEST = 2_000_000.0
 
 
 def cell_degrees(radius_m: float, max_lat: float) -> tuple[float, float]:
@@ -27,13 +28,8 @@ def cell_degrees(radius_m: float, max_lat: float) -> tuple[float, float]:
 
 
 
-def within(left: DataFrame, right: DataFrame, radius_m: float, max_lat: float = 60.0) -> DataFrame:
-    """All pairs of a row of ``left`` and one of ``right`` (lat, lon, more) at most ``radius_m`` apart.
-
-    Columns of ``right`` must have other names than those of ``left`` but for lat and lon, which are left's;
-    adds distance_m.  Rows without a valid point pair with nothing; points beyond ``max_lat`` raise no error
-    but may be missed, so give the data's own bound.
-    """
+def _celled(left: DataFrame, right: DataFrame, radius_m: float, max_lat: float) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their cells __y and __x, the right one copied into the cells around; its point is __lat, __lon."""
     dlat, dlon = cell_degrees(radius_m, max_lat)
     wrap = max(1, math.floor(360 / dlon))
     dlon = 360 / wrap
@@ -43,15 +39,27 @@ def within(left: DataFrame, right: DataFrame, radius_m: float, max_lat: float =
     a = left.filter(valid_point(F.col("lat"), F.col("lon"))).withColumns({"__y": row(F.col("lat")), "__x": column(F.col("lon"))})
     b = right.filter(valid_point(F.col("lat"), F.col("lon"))).withColumnsRenamed({"lat": "__lat", "lon": "__lon"})
     b = b.withColumn("__dy", F.explode(around)).withColumn("__dx", F.explode(F.array_distinct(F.transform(around, lambda d: F.pmod(column(F.col("__lon")) + d, F.lit(wrap))))))
-    b = b.withColumns({"__y": row(F.col("__lat")) + F.col("__dy"), "__x": F.col("__dx")}).drop("__dy", "__dx")
-    pairs = a.join(b, ["__y", "__x"]).withColumn("distance_m", haversine_m(F.col("lat"), F.col("lon"), F.col("__lat"), F.col("__lon")))
+    return a, b.withColumns({"__y": row(F.col("__lat")) + F.col("__dy"), "__x": F.col("__dx")}).drop("__dy", "__dx")
+
+
+def within(left: DataFrame, right: DataFrame, radius_m: float, max_lat: float = 60.0, on: tuple[str, ...] = ()) -> DataFrame:
+    """All pairs of a row of ``left`` and one of ``right`` (lat, lon, more) at most ``radius_m`` apart that are equal in ``on``.
+
+    Columns of ``right`` must have other names than those of ``left`` but for ``on`` and for lat and lon, which are left's;
+    adds distance_m.  Rows without a valid point, or with a null in ``on``, pair with nothing; points beyond ``max_lat`` raise
+    no error but may be missed, so give the data's own bound.
+    """
+    a, b = _celled(left, right, radius_m, max_lat)
+    pairs = a.join(b, ["__y", "__x", *on]).withColumn("distance_m", haversine_m(F.col("lat"), F.col("lon"), F.col("__lat"), F.col("__lon")))
     return pairs.filter(F.col("distance_m") <= radius_m).drop("__y", "__x", "__lat", "__lon")
 
 
 def near(left: DataFrame, right: DataFrame, key: str, radius_m: float, max_lat: float = 60.0) -> DataFrame:
-    """The rows of ``left`` with any row of ``right`` within ``radius_m``, once each (``key`` is unique)."""
-    hits = within(left.select(key, "lat", "lon"), right.select("lat", "lon"), radius_m, max_lat).select(key).distinct()
-    return left.join(hits, key, "left_semi")
+    """The rows of ``left`` with any row of ``right`` within ``radius_m``, once each; no pairs are made.  ``key`` may repeat."""
+    a, b = _celled(left, right.select("lat", "lon"), radius_m, max_lat)
+    b = b.withColumnsRenamed({"__y": "__by", "__x": "__bx"})
+    close = haversine_m(F.col("lat"), F.col("lon"), F.col("__lat"), F.col("__lon")) <= radius_m
+    return a.join(b, (F.col("__y") == F.col("__by")) & (F.col("__x") == F.col("__bx")) & close, "left_semi").select(*(F.col(f"`{c}`") for c in left.columns))
 
 
 def nearest(left: DataFrame, right: DataFrame, key: str, right_key: str, radius_m: float, max_lat: float = 60.0, bounded: bool = False) -> DataFrame:
@@ -59,7 +67,8 @@ def nearest(left: DataFrame, right: DataFrame, key: str, right_key: str, radius_
 
     Starts with ``radius_m`` and doubles it for the rows that have found nothing, which are ever fewer, until
     all have; with ``bounded`` it stays at ``radius_m``.  A row found within r is final, as all of ``right``
-    within r was seen.  Rows without a valid point are not in the result.
+    within r was seen.  A row with nothing within ``FARTHEST`` comes back with nulls.  Rows without a valid point are
+    not in the result; without any place nothing is.
     """
     spots = right.select(F.col(right_key), "lat", "lon").filter(valid_point(F.col("lat"), F.col("lon")))
     todo = left.select(key, "lat", "lon").filter(valid_point(F.col("lat"), F.col("lon")))
@@ -68,12 +77,11 @@ def nearest(left: DataFrame, right: DataFrame, key: str, right_key: str, radius_
     if bounded or spots.isEmpty():
         return out
     out = checkpointed(out)  # each ring starts from results, not from the rings before
-    for _ in range(MAX_RINGS):
+    while True:
         todo = checkpointed(todo.join(out.select(key), key, "left_anti"))
         if todo.isEmpty():
             return out
-        radius_m *= 2
-        if radius_m > 2_000_000:
-            break
+        if radius_m >= FARTHEST:
+            return out.unionByName(todo.select(key, F.lit(None).cast(dict(spots.dtypes)[right_key]).alias(right_key), F.lit(None).cast("double").alias("distance_m")))
+        radius_m = min(2 * radius_m, FARTHEST)
         out = out.unionByName(checkpointed(best(within(todo, spots, radius_m, max_lat))))
-    raise ValueError("some rows have no row within 2000 km")

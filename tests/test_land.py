@@ -127,6 +127,16 @@ def test_nearest_widens_and_ignores_bad_points(spark):
     assert rows(proximity.nearest(a, b, "a", "b", 500.0, bounded=True), "a", "b") == [(1, 6)]
     assert rows(proximity.near(a, b, "a", 500.0), "a") == [(1,)]
     assert not rows(proximity.nearest(a, b.limit(0), "a", "b", 500.0), "a")
+    far = a.unionByName(spark.createDataFrame([(9, 41.0, 90.0)], "a long, lat double, lon double"))
+    got = {r["a"]: (r["b"], r["distance_m"] is None) for r in proximity.nearest(far, b, "a", "b", 50_000.0).collect()}
+    assert got == {1: (6, False), 2: (5, False), 9: (None, True)}
+
+
+def test_within_by_a_further_key(spark):
+    a = spark.createDataFrame([(1, "x", 41.0, -90.0), (2, "y", 41.0, -90.0), (3, None, 41.0, -90.0)], "a long, o string, lat double, lon double")
+    b = spark.createDataFrame([(7, "x", 41.001, -90.0), (8, None, 41.001, -90.0), (9, "y", 44.0, -90.0)], "b long, o string, lat double, lon double")
+    assert rows(proximity.within(a, b, 500.0, on=("o",)), "a", "b") == [(1, 7)]
+    assert sorted(r["a"] for r in proximity.near(a, b, "a", 500.0).collect()) == [1, 2, 3] and proximity.near(a, b, "a", 500.0).columns == a.columns
 
 
 def test_grid_join_has_no_nested_loop(spark):
