@@ -45,6 +45,30 @@ def test_stages(spark, tmp_path):
     assert cut(run) == cut(seen["packing"])
 
 
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_repeated_rows_and_columns_of_any_name(spark, tmp_path):
+    more = ["copy", "row", "n", "place", "spans", "component_id", "slice", "__n", "block"]
+    words = [f"w{chr(97 + i % 26)}{i}" for i in range(300)]
+    texts = [" ".join(words[(5 * i + j * (i + 2)) % 300] for j in range(30)) for i in range(40)]
+    rows = [(i, t, "en", f"s{i % 2}", len(t), *(f"{c}{i}" for c in more)) for i, t in enumerate(texts)]
+    rows += rows[:5] + [(None, "a text without an id " * 3, "en", None, 63, *more), (99, None, None, "s0", None, *more)]
+    docs = spark.createDataFrame(rows, DOCS + "".join(f", `{c}` string" for c in more))
+    spark.createDataFrame([(i, 1, i % 2) for i in range(0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    columns, known = docs.columns, set(rows)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/out{k}")
+        docs = spark.read.parquet(f"{tmp_path}/out{k}")
+        if k < 4:
+            assert docs.columns == columns and docs.count() and {tuple(r) for r in docs.collect()} <= known
+    assert {r["doc_id"] for r in docs.collect()} <= {r[0] for r in rows}
+
+
 def test_registry():
     names = set(__spark_entry__.queries())
     assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
