@@ -393,6 +393,18 @@ def agent_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("property_id", F.col("acreage").cast("double").alias("acres"), "last_transfer", "n_transfers", F.array_join("basis", "; ").alias("basis"))
 
 
+@register(f"""WITH {_PROPERTY}, {_TRANSFER}, l AS (SELECT property_id, max(transfer_date) AS last_transfer, count(*) AS n FROM transfer GROUP BY property_id)
+SELECT property_id, concat_ws('; ', acreage || ' acres', 'last recorded transfer on ' || last_transfer, CASE WHEN coalesce(n, 0) = 0 THEN 'no recorded transfer' ELSE n || ' recorded transfers' END) AS explanation
+FROM property p LEFT JOIN l USING (property_id) WHERE acreage >= 20 AND NOT EXISTS (SELECT 1 FROM transfer t WHERE t.property_id = p.property_id AND t.transfer_date >= DATE '2000-08-03')""")
+def explained_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why each parcel is in an answer, in words."""
+    from acreflow.serving.reasons import explained
+    from acreflow.serving.tools import Tables, run_tool
+
+    tables = Tables(property=on.properties(spark, sf_dir), transfer=on.transfers(spark, sf_dir))
+    return explained(run_tool("no_transfer_since", tables, years=1, as_of=AS_OF, inclusive=True, min_acres=20.0)).select("property_id", "explanation")
+
+
 _CLIENT_FIELDS = (matching.Field("words", 2, True), matching.Field("email"), matching.Field("city"), matching.Field("segment"))
 _CLIENT_KEYS = ((F.col, "words", "email"), (F.col, "email", "words"), (matching.longest_word, "words", "city"))
 

@@ -6,6 +6,7 @@ import datetime as dt
 import re
 from dataclasses import dataclass, field
 
+from acreflow.serving.reasons import explained
 from acreflow.serving.tools import TOOLS, Tables, catalogue, run_tool
 
 #: In order: the first pattern that is found names the tool.
@@ -61,11 +62,11 @@ def match(prompt: str) -> Match | None:
 
 
 def answer(prompt: str, tables: Tables, most: int = 50) -> dict:
-    """tool, arguments, reasoning, assumptions, rows (at most ``most``, with whether there are more)."""
+    """tool, arguments, reasoning, assumptions, rows (at most ``most``, each with its explanation, and whether there are more)."""
     found = match(prompt)
     if found is None:
         return {"tool": None, "message": "no tool fits this question", "catalogue": catalogue()}
     t = TOOLS[found.tool]
-    rows = [r.asDict(recursive=True) for r in run_tool(found.tool, tables, **found.arguments).limit(most + 1).collect()]
+    rows = [r.asDict(recursive=True) for r in explained(run_tool(found.tool, tables, **found.arguments)).limit(most + 1).collect()]
     values = {k: found.arguments.get(k, d) for k, (_, d) in t.parameters.items()}
     return {"tool": t.name, "arguments": values, "reasoning": t.reasoning.format(**values), "assumptions": list(t.assumptions), "rows": rows[:most], "more": len(rows) > most}

@@ -14,6 +14,7 @@ from acreflow.functions.content_id import cid_of_digest
 from acreflow.functions.columns import normal_name
 from acreflow.operators import links
 from acreflow.serving import agent, page, rpc
+from acreflow.serving.reasons import explained
 from acreflow.serving.tools import TOOLS, Tables, catalogue, register_sql_functions, run_tool
 from acreflow.sources import artifacts, load, run, sinks
 from acreflow.sources.paged import drain, read_pages
@@ -145,6 +146,11 @@ def test_agent_and_page_give_the_tools_rows(tables):
     got = agent.answer(prompt, tables)
     assert [r["property_id"] for r in got["rows"]] == ids(run_tool(found.tool, tables, **found.arguments)) == [1]
     assert "45.0 acres" in got["reasoning"] and got["assumptions"]
+    assert [r["explanation"] for r in got["rows"]] == ["50.0000 acres; last recorded transfer on 2000-01-01; 1 recorded transfers"]
+    said = {r["property_id"]: r["explanation"] for r in explained(run_tool("power_or_industrial", tables)).collect()}
+    assert said == {1: "50.0000 acres; power within 111 m, zoning: M-1", 2: "40.0000 acres; permits: 1"}
+    odd = tables.property.select("property_id", F.lit("x").alias("basis"), F.lit(None).cast("int").alias("acreage"))
+    assert {r["explanation"] for r in explained(odd).collect()} == {""} == {r["explanation"] for r in explained(odd.select("property_id")).collect()}
     assert agent.answer("what is the weather", tables)["catalogue"] == catalogue()
     status, text = page.render("/stable_parcels?min_acres=45&years=10", tables)
     assert status == 200 and "<td>1</td>" in text and "<td>2</td>" not in text
