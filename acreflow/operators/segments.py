@@ -1,7 +1,7 @@
 """Names within an edit distance, by an index of segments.
 
 A name that differs from another in at most k edits holds at least one of any k + 1 disjoint segments of it unchanged, at most
-k places away.  So each name is cut into k + 1 even segments, and of each its rarest run of up to three characters is
+k places away.  So each name is cut into k + 1 even segments, and of each its rarest run of up to five characters is
 put into an index; every other name looks up all its runs.  Pairs that meet in a run are verified.  No block is compared
 with itself as a whole: what meets is bounded by how often the rarest runs occur.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of a run at most.
-GRAM = 3
+GRAM = 5
 
 
 def _size(length: Column, most: int) -> Column:
