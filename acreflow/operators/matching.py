@@ -6,6 +6,9 @@ share a key.  A pair's agreement pattern says for each field how well both agree
 chance pairs, neighbours in the order of a hash.  How likely each level of agreement is among pairs that do not match is read
 off the latter; among matches it is fitted to the counts by expectation-maximisation, fields taken as independent (so of
 fields that change together only one should be named).  Likely pairs are links, entities their connected components.
+
+Records meet in shuffles only: estimates from compressed files and exploded rows are far too low, and tables that are broadcast
+by them do not fit into the driver.
 """
 
 from __future__ import annotations
@@ -72,7 +75,7 @@ def neighbours(df: DataFrame, key: str, by: Column, tie: Column, width: int = WI
     rows = df.select(F.col(key).alias("k"), by.alias("by"), tie.alias("tie")).filter("by is not null")
     placed = positions(rows, F.asc("by"), F.asc_nulls_first("tie"), F.asc("k")).select("k", "by", "position")
     ahead = placed.select(F.col("k").alias("k2"), F.col("by").alias("by2"), F.explode(F.sequence(F.col("position") + 1, F.col("position") + width)).alias("position"))
-    met = placed.join(ahead, "position").filter("by = by2 and k <> k2")
+    met = placed.join(ahead.hint("merge"), "position").filter("by = by2 and k <> k2")
     return met.select(F.least("k", "k2").alias("a"), F.greatest("k", "k2").alias("b"))
 
 
@@ -93,7 +96,7 @@ def candidates(df: DataFrame, key: str, keys: Sequence[tuple[Column, Column]], w
 def patterns(df: DataFrame, key: str, pairs: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """(a, b, one level of agreement for each field) of pairs (a, b) of rows of ``df``."""
     end = lambda x: df.select(F.col(key).alias(x), *(F.col(f.name).alias(f"{f.name}_{x}") for f in fields))
-    both = pairs.join(end("a"), "a").join(end("b"), "b")
+    both = pairs.join(end("a").hint("merge"), "a").join(end("b").hint("merge"), "b")
     return both.select("a", "b", *(f.agreement(F.col(f"{f.name}_a"), F.col(f"{f.name}_b")).alias(f.name) for f in fields))
 
 

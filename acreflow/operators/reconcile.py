@@ -27,12 +27,13 @@ def close_names(df: DataFrame, key: str, name: Column, block: Column, most: int)
     """(a, b, distance) links between the representatives of equal names that share a block.
 
     Names are compared once for all rows that have them; links come between their smallest keys.  Within a block names meet
-    through an index of their segments (``segments.close_pairs``).  Null names or blocks link nothing.
+    through an index of their segments (``segments.close_pairs``).  Null names or blocks link nothing.  No join is a broadcast:
+    compressed files make tables of names look smaller than they are.
     """
     rows = df.select(F.col(key).alias("k"), name.alias("name"), block.alias("block")).filter("name is not null and block is not null")
     own = rows.groupBy("block", "name").agg(F.min("k").alias("k"))
     end = lambda x: own.select("block", F.col("name").alias(f"name_{x}"), F.col("k").alias(x))
-    pairs = close_pairs(rows, most).join(end("a"), ["block", "name_a"]).join(end("b"), ["block", "name_b"])
+    pairs = close_pairs(rows, most).join(end("a").hint("merge"), ["block", "name_a"]).join(end("b").hint("merge"), ["block", "name_b"])
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
 
 

@@ -4,6 +4,9 @@ A name that differs from another in at most k edits holds at least one of any k
 k places away.  So each name is cut into k + 1 even segments, and of each its rarest run of up to five characters is
 put into an index; every other name looks up all its runs.  Pairs that meet in a run are verified.  No block is compared
 with itself as a whole: what meets is bounded by how often the rarest runs occur.
+
+A name has many runs, which Spark's estimate of a table's size does not count, so the joins ask for shuffles: it would
+broadcast millions of runs as if they were the names.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ def close_pairs(names: DataFrame, most: int) -> DataFrame:
     runs = spots.select("block", "name", "len", "q", "part", F.explode(F.sequence(first, last)).alias("at"))
     runs = runs.withColumn("gram", F.substring(F.col("name"), F.col("at") + 1, F.col("q")))
     often = runs.groupBy("block", "gram").agg(F.count(F.lit(1)).alias("often"))
-    rarest = runs.join(often, ["block", "gram"]).groupBy("block", "name", "len", "part").agg(F.min(F.struct("often", "gram", "at")).alias("r"))
+    rarest = runs.join(often.hint("merge"), ["block", "gram"]).groupBy("block", "name", "len", "part").agg(F.min(F.struct("often", "gram", "at")).alias("r"))
     short = cut.filter("q = 0").select("block", F.lit("").alias("gram"), F.col("name").alias("name_a"), F.col("len").alias("len_a"), F.lit(0).alias("at_a"))
     index = rarest.select("block", "r.gram", F.col("name").alias("name_a"), F.col("len").alias("len_a"), F.col("r.at").alias("at_a")).unionByName(short)
     # The runs of a name in all sizes that names as long or up to ``most`` shorter are indexed by.
@@ -44,6 +47,6 @@ def close_pairs(names: DataFrame, most: int) -> DataFrame:
     asked = asked.select("block", "name", "len", "q", F.explode(F.when(F.col("q") > 0, F.sequence(F.lit(0), F.col("len") - F.col("q"))).otherwise(F.array(F.lit(0)))).alias("at_b"))
     asked = asked.select("block", F.when(F.col("q") > 0, F.substring(F.col("name"), F.col("at_b") + 1, F.col("q"))).otherwise("").alias("gram"), F.col("name").alias("name_b"), F.col("len").alias("len_b"), "at_b")
     order = (F.col("len_a") < F.col("len_b")) | ((F.col("len_a") == F.col("len_b")) & (F.col("name_a") < F.col("name_b")))
-    met = index.join(asked, ["block", "gram"]).filter(order & (F.col("len_b") - F.col("len_a") <= most) & ((F.abs(F.col("at_a") - F.col("at_b")) <= most) | (F.col("gram") == "")))
+    met = index.join(asked.hint("merge"), ["block", "gram"]).filter(order & (F.col("len_b") - F.col("len_a") <= most) & ((F.abs(F.col("at_a") - F.col("at_b")) <= most) | (F.col("gram") == "")))
     pairs = met.withColumn("distance", F.levenshtein("name_a", "name_b", most)).filter("distance >= 0")
     return pairs.select("block", "name_a", "name_b", "distance").distinct()

@@ -78,6 +78,16 @@ def test_neighbours_follow_the_records(spark):
     assert found.count() == sum(min(4, 2999 - i) for i in range(3000)) and found.filter("a >= b").count() == 0
 
 
+def test_records_and_runs_are_not_broadcast(spark):
+    """Small estimates do not make the driver gather the records of a pair or the runs of a name."""
+    df = spark.createDataFrame([(1, "ANN LEE"), (2, "AN LEE"), (3, "BOB RAY")], "k long, n string")
+    pairs = matching.close_names(df, "k", F.col("n"), F.lit(""), 2)
+    for out in (pairs, matching.patterns(df, "k", pairs.select("a", "b"), [Field("n", 2)])):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
+    assert [tuple(r) for r in pairs.collect()] == [(1, 2, 1)]
+
+
 @pytest.mark.skipif(not os.path.exists(f"{DATA}/clients.parquet"), reason="needs the test tables")
 def test_entities_are_mostly_right(spark):
     truth = {r[0]: r[1] for r in spark.read.parquet(f"{DATA}/clients.parquet").select("client_id", "master_id").collect()}
