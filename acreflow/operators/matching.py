@@ -183,7 +183,7 @@ def resolve(df: DataFrame, kind: str, key: str, fields: Sequence[Field], keys: S
     found = stored(links(compared, fields, weights, likely), "links")
     groups = connected_components(found, "a", "b").select(F.col("node").alias("k"), "component")
     best = found.select(F.col("a").alias("k"), "score").unionByName(found.select(F.col("b").alias("k"), "score")).groupBy("k").agg(F.max("score").alias("score"))
-    own = rows.select(F.col(key).alias("k")).join(groups, "k", "left").join(best, "k", "left")
+    own = rows.select(F.col(key).alias("k")).join(groups.hint("merge"), "k", "left").join(best.hint("merge"), "k", "left")
     return own.select(
         F.lit(kind).alias("entity_kind"), F.col("k").cast("string").alias("record_key"), F.coalesce("component", "k").cast("string").alias("canonical_id"),
         F.when(F.col("component").isNotNull(), "weights").otherwise("self").alias("match_rule"), F.coalesce("score", F.lit(1.0)).alias("score"),

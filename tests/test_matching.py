@@ -86,6 +86,8 @@ def test_records_and_runs_are_not_broadcast(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
     assert [tuple(r) for r in pairs.collect()] == [(1, 2, 1)]
+    entities, _ = matching.resolve(df, "x", "k", [Field("n", 2)], [(F.col("n"), F.col("n"))], close=F.col("n"))
+    assert "Broadcast" not in (plan := entities._jdf.queryExecution().executedPlan().toString()), plan
 
 
 @pytest.mark.skipif(not os.path.exists(f"{DATA}/clients.parquet"), reason="needs the test tables")
