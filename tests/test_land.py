@@ -132,6 +132,19 @@ def test_nearest_widens_and_ignores_bad_points(spark):
     assert got == {1: (6, False), 2: (5, False), 9: (None, True)}
 
 
+def test_nearest_compares_points_not_rows(spark, monkeypatch):
+    """Rows that share a point are compared once, and each gets the point's nearest place."""
+    a = spark.createDataFrame([(i, 41.0 + (i % 2), -90.0) for i in range(40)] + [(90, 41.0, -90.0), (90, 43.0, -90.0), (91, 43.0, -90.0)], "a long, lat double, lon double")
+    b = spark.createDataFrame([(i, 41.001, -90.0) for i in range(30, 60)], "b long, lat double, lon double")
+    met, within = [], proximity.within
+    monkeypatch.setattr(proximity, "within", lambda *x, **y: (met.append(n.count()), n)[1] if (n := within(*x, **y)) is not None else None)
+    got = {r["a"]: r["b"] for r in proximity.nearest(a, b, "a", "b", 500.0, bounded=True).collect()}
+    assert got == {i: 30 for i in (*range(0, 40, 2), 90)} and met == [1]
+    got = {r["a"]: r["b"] for r in proximity.nearest(a, b, "a", "b", 200_000.0).collect()}
+    assert got == dict.fromkeys((*range(40), 90, 91), 30)
+    assert proximity.near(a, b, "a", 500.0).count() == 21
+
+
 def test_within_by_a_further_key(spark):
     a = spark.createDataFrame([(1, "x", 41.0, -90.0), (2, "y", 41.0, -90.0), (3, None, 41.0, -90.0)], "a long, o string, lat double, lon double")
     b = spark.createDataFrame([(7, "x", 41.001, -90.0), (8, None, 41.001, -90.0), (9, "y", 44.0, -90.0)], "b long, o string, lat double, lon double")
@@ -180,6 +193,19 @@ def test_assemblages_sum_exactly(spark):
     assert dict(rows(assemblages.assemblage_of(p, 200.0), "property_id", "assemblage_id"))[4] == 4
 
 
+def test_parcels_at_one_point_are_no_pairs(spark):
+    """Parcels of one point are one spot: edges follow the points, entities stay those of all pairs."""
+    from decimal import Decimal
+
+    many = [(i, Decimal("1"), 1, "", 41.0 + (i % 2) * 0.001, -90.0) for i in range(10, 90)] + [(i, Decimal("1"), 1, "", 45.0, -90.0) for i in (3, 4)] + [(5, Decimal("1"), None, "", 41.0, -90.0), (6, Decimal("1"), 1, "", 0.0, 0.0)]
+    p = parcels(spark, many)
+    assert assemblages.adjacent_spots(p, 200.0).count() == 1
+    got = dict(rows(assemblages.assemblage_of(p, 200.0), "property_id", "assemblage_id"))
+    assert {got[i] for i in range(10, 90)} == {10} and (got[3], got[4], got[5], got[6]) == (3, 3, 5, 6)
+    both = parcels(spark, [(1, Decimal("1"), 1, "", 41.0, -90.0), (2, Decimal("1"), 1, "", 41.0, -90.0), (2, Decimal("1"), 1, "", 44.0, -90.0), (3, Decimal("1"), 1, "", 44.0, -90.0)])
+    assert set(rows(assemblages.assemblage_of(both, 200.0), "property_id", "assemblage_id")) == {(1, 1), (2, 1), (3, 1)}
+
+
 def test_names_and_acres(spark):
     df = spark.createDataFrame([("Smith & Sons, L.L.C.",), ("SMITH SONS LLC",), ("  smith   sons ",)], "n string")
     assert {r[0] for r in df.select(normal_name(F.col("n"))).collect()} == {"SMITH SONS"}
