@@ -55,8 +55,9 @@ def within(left: DataFrame, right: DataFrame, radius_m: float, max_lat: float =
 
 
 def near(left: DataFrame, right: DataFrame, key: str, radius_m: float, max_lat: float = 60.0) -> DataFrame:
-    """The rows of ``left`` with any row of ``right`` within ``radius_m``, once each; no pairs are made.  ``key`` may repeat."""
-    a, b = _celled(left, right.select("lat", "lon"), radius_m, max_lat)
+    """The rows of ``left`` with any row of ``right`` within ``radius_m``, once each; no pairs are made.  ``key`` may repeat.
+    Rows of ``right`` at one point count as one."""
+    a, b = _celled(left, right.select("lat", "lon").distinct(), radius_m, max_lat)
     b = b.withColumnsRenamed({"__y": "__by", "__x": "__bx"})
     close = haversine_m(F.col("lat"), F.col("lon"), F.col("__lat"), F.col("__lon")) <= radius_m
     return a.join(b, (F.col("__y") == F.col("__by")) & (F.col("__x") == F.col("__bx")) & close, "left_semi").select(*(F.col(f"`{c}`") for c in left.columns))
@@ -65,23 +66,26 @@ def near(left: DataFrame, right: DataFrame, key: str, radius_m: float, max_lat:
 def nearest(left: DataFrame, right: DataFrame, key: str, right_key: str, radius_m: float, max_lat: float = 60.0, bounded: bool = False) -> DataFrame:
     """(key, right_key, distance_m): the nearest row of ``right``; of equally near ones the smallest right_key.
 
-    Starts with ``radius_m`` and doubles it for the rows that have found nothing, which are ever fewer, until
-    all have; with ``bounded`` it stays at ``radius_m``.  A row found within r is final, as all of ``right``
-    within r was seen.  A row with nothing within ``FARTHEST`` comes back with nulls.  Rows without a valid point are
-    not in the result; without any place nothing is.
+    Distances are taken between distinct points, however many rows share one.  Starts with ``radius_m`` and doubles it for
+    the points that have found nothing, which are ever fewer, until all have; with ``bounded`` it stays at ``radius_m``.  A
+    point found within r is final, as all of ``right`` within r was seen.  A row with nothing within ``FARTHEST`` comes back
+    with nulls.  Rows without a valid point are not in the result; without any place nothing is.
     """
-    spots = right.select(F.col(right_key), "lat", "lon").filter(valid_point(F.col("lat"), F.col("lon")))
-    todo = left.select(key, "lat", "lon").filter(valid_point(F.col("lat"), F.col("lon")))
-    best = lambda pairs: pairs.groupBy(key).agg(F.min(F.struct("distance_m", right_key)).alias("m")).select(key, f"m.{right_key}", "m.distance_m")
+    spots = right.filter(valid_point(F.col("lat"), F.col("lon"))).groupBy("lat", "lon").agg(F.min(right_key).alias(right_key))
+    rows = left.select(key, "lat", "lon").filter(valid_point(F.col("lat"), F.col("lon")))
+    best = lambda pairs: pairs.groupBy("lat", "lon").agg(F.min(F.struct("distance_m", right_key)).alias("m")).select("lat", "lon", f"m.{right_key}", "m.distance_m")
+    found = F.when(F.col("distance_m").isNotNull(), F.struct("distance_m", right_key))
+    of_rows = lambda out: rows.join(out, ["lat", "lon"]).groupBy(key).agg(F.min(found).alias("m")).select(key, f"m.{right_key}", "m.distance_m")
+    todo = rows.select("lat", "lon").distinct()
     out = best(within(todo, spots, radius_m, max_lat))
     if bounded or spots.isEmpty():
-        return out
+        return of_rows(out)
     out = checkpointed(out)  # each ring starts from results, not from the rings before
     while True:
-        todo = checkpointed(todo.join(out.select(key), key, "left_anti"))
+        todo = checkpointed(todo.join(out.select("lat", "lon"), ["lat", "lon"], "left_anti"))
         if todo.isEmpty():
-            return out
+            return of_rows(out)
         if radius_m >= FARTHEST:
-            return out.unionByName(todo.select(key, F.lit(None).cast(dict(spots.dtypes)[right_key]).alias(right_key), F.lit(None).cast("double").alias("distance_m")))
+            return of_rows(out.unionByName(todo.select("lat", "lon", F.lit(None).cast(dict(spots.dtypes)[right_key]).alias(right_key), F.lit(None).cast("double").alias("distance_m"))))
         radius_m = min(2 * radius_m, FARTHEST)
         out = out.unionByName(checkpointed(best(within(todo, spots, radius_m, max_lat))))
