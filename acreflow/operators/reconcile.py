@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from acreflow.functions.columns import digest
 from acreflow.operators.components import connected_components
 from acreflow.operators.segments import close_pairs
+from acreflow.plans.storage import forget, stored
 
 
 def unify(*frames: DataFrame) -> DataFrame:
@@ -41,25 +42,30 @@ def shingle_links(df: DataFrame, key: str, text: str, width: int = 5, percent: i
     """(a, b, overlap, n_a, n_b) links between the representatives of equal texts at a Jaccard similarity of
     ``percent`` or more of their distinct word shingles; a < b.
 
-    Only the rarest shingles of a text, as many as two linked texts cannot both lack, look for partners;
-    these are then counted out on the whole sets.  Texts with fewer words than ``width`` have one shingle.
+    Only shingles of several texts travel, and texts of which too few are such are dropped: they cannot link.  Of the others
+    the rarest shingles, as many as two linked texts cannot both lack, look for partners, and two meet only if enough
+    shingles follow in both; these are then counted out on what the texts share with any.  Texts with fewer words than
+    ``width`` have one shingle.
     """
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     own = df.groupBy(F.sha2(F.col(text), 256).alias("h")).agg(F.min(key).alias("k"), F.first(text).alias(text)).filter("h is not null")
-    own = own.select("k", F.transform(words, lambda w: F.xxhash64(w)).alias("w")).filter("size(w) > 0").withColumn("run", F.col("w"))
-    for j in range(1, width):  # a column for each word more, so that no array is computed twice
-        own = own.withColumn("run", F.zip_with("run", F.slice("w", F.lit(1 + j), F.greatest(F.size("w") - j, F.lit(0))), lambda x, y: F.xxhash64(x, y)))
-    runs = F.slice("run", F.lit(1), F.greatest(F.size("w") - (width - 1), F.lit(1)))
+    own = own.filter(F.col(text).rlike(r"[^\x20\x09-\x0D]")).select("k", words.alias("w"))  # cheap enough to be done before the words
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, F.lit(width))))
     sets = own.select("k", F.array_sort(F.array_distinct(runs)).alias("set")).withColumn("n", F.size("set"))
+    sets = stored(sets, "sets")
     entries = sets.select("k", "n", F.explode("set").alias("s"))
-    rare = entries.join(entries.groupBy("s").agg(F.count(F.lit(1)).alias("f")), "s")
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    ranked = rare.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("f", "s"))).filter((F.col("r") <= prefix) & (F.col("f") > 1))
-    left, right = ranked.select("s", F.col("k").alias("a"), F.col("n").alias("n_a")), ranked.select("s", F.col("k").alias("b"), F.col("n").alias("n_b"))
-    able = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-    pairs = left.join(right, "s").filter((F.col("a") < F.col("b")) & able).select("a", "b").distinct()
-    end = lambda x: sets.select(F.col("k").alias(x), F.col("n").alias(f"n_{x}"), F.col("set").alias(f"set_{x}"))
-    met = pairs.join(end("a"), "a").join(end("b"), "b").withColumn("overlap", F.size(F.array_intersect("set_a", "set_b")))
+    often = entries.groupBy("s").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+    held = entries.join(often.hint("merge"), "s").repartition("k").groupBy("k").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "s"))).alias("held"))
+    least = F.ceil(F.col("n") * percent / 100).cast("int")
+    rows = stored(held.filter(F.size("held") >= least).select("k", "n", F.transform("held", lambda x: x.s).alias("set")), "shared")
+    forget(sets)
+    prefix = F.slice("set", F.lit(1), F.size("set") - least + 1)  # shingles of one text only are the rarest, and come before
+    ranked = rows.select("k", "n", F.size("set").alias("size"), F.posexplode(prefix).alias("i", "s")).withColumn("rest", F.col("size") - F.col("i"))
+    end = lambda x: ranked.select("s", F.col("k").alias(x), F.col("n").alias(f"n_{x}"), F.col("rest").alias(f"rest_{x}"))
+    able = (100 + percent) * F.least("rest_a", "rest_b") >= percent * (F.col("n_a") + F.col("n_b"))
+    pairs = end("a").join(end("b").hint("merge"), "s").filter((F.col("a") < F.col("b")) & able).select("a", "b").distinct()
+    whole = lambda x: rows.select(F.col("k").alias(x), F.col("n").alias(f"n_{x}"), F.col("set").alias(f"set_{x}")).hint("merge")
+    met = pairs.join(whole("a"), "a").join(whole("b"), "b").withColumn("overlap", F.size(F.array_intersect("set_a", "set_b")))
     linked = (100 + percent) * F.col("overlap") >= percent * (F.col("n_a") + F.col("n_b"))
     return met.filter(linked).select("a", "b", "overlap", "n_a", "n_b")
 

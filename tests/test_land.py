@@ -206,6 +206,18 @@ def test_parcels_at_one_point_are_no_pairs(spark):
     assert set(rows(assemblages.assemblage_of(both, 200.0), "property_id", "assemblage_id")) == {(1, 1), (2, 1), (3, 1)}
 
 
+def test_texts_that_share_too_little_are_dropped(spark, monkeypatch):
+    """Of texts that have a passage in common only those that may link are compared, and all links are found."""
+    passage, body = [f"p{i}" for i in range(30)], [f"b{i}" for i in range(100)]
+    texts = [" ".join([*passage, *(f"x{i}_{j}" for j in range(40))]) for i in range(20)] + [" ".join(body), " ".join([*body, "more"]), "one two", None, " "]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    kept, stored = {}, reconcile.stored
+    monkeypatch.setattr(reconcile, "stored", lambda x, name: kept.setdefault(name, stored(x, name)))
+    monkeypatch.setattr(reconcile, "forget", lambda *x: None)
+    assert [tuple(r) for r in reconcile.shingle_links(df, "k", "t").collect()] == [(20, 21, 96, 96, 97)]
+    assert kept["sets"].count() == 23 and {r["k"] for r in kept["shared"].collect()} == {20, 21}
+
+
 def test_names_and_acres(spark):
     df = spark.createDataFrame([("Smith & Sons, L.L.C.",), ("SMITH SONS LLC",), ("  smith   sons ",)], "n string")
     assert {r[0] for r in df.select(normal_name(F.col("n"))).collect()} == {"SMITH SONS"}
