@@ -223,7 +223,7 @@ def near_dup_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 c AS (SELECT n, min(root) AS cluster_id FROM r GROUP BY n) SELECT doc_id, cluster_id FROM documents d JOIN own ON own.text = d.text JOIN c ON c.n = own.k""")
 def dup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = on.table(spark, sf_dir, "documents")
-    return reconcile.clusters(docs, "doc_id", reconcile.shingle_links(docs, "doc_id", "text"), "text")
+    return reconcile.clusters(docs, "doc_id", reconcile.spanning_links(docs, "doc_id", "text"), "text")
 
 
 @register("""SELECT doc_id, content_sha256, n_chars FROM (SELECT doc_id, sha256(text) AS content_sha256, n_chars, row_number() OVER (PARTITION BY text ORDER BY n_chars DESC, doc_id) AS r FROM documents) WHERE r = 1""")

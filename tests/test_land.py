@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from acreflow import queries
 from acreflow.functions.columns import acres, haversine_m, normal_name, years_before
 from acreflow.functions.content_id import cid_of_digest
 from acreflow.operators import assemblages, ownership, permits, proximity, ranking, reconcile, runlog, score
@@ -257,6 +258,51 @@ def test_shingle_links_equal_brute_force_and_clusters_chain(spark):
     assert got[19] == got[0] and got[16] == got[17] == got[18] == 16 and got[15] == 15
 
 
+def test_clusters_of_near_copies_take_links_in_proportion(spark, tmp_path, monkeypatch):
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*base[:i], f"x{i}", *base[i + 1 :]]) for i in range(0, 180, 3)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert reconcile.shingle_links(docs, "doc_id", "text").count() == 60 * 59 // 2
+    seen, components = [], reconcile.connected_components
+    monkeypatch.setattr(reconcile, "connected_components", lambda e, *x: (seen.append(e.count()), components(e, *x))[1])
+    assert {r["cluster_id"] for r in queries.QUERIES["dup_clusters"](spark, str(tmp_path)).collect()} == {0}
+    assert max(seen) <= 4 * 60
+
+
+def test_spanning_links_join_what_all_links_join(spark):
+    import random
+
+    for percent, seed in ((80, 1), (50, 2)):
+        rng, texts = random.Random(seed), []
+        for g in range(6):
+            shared = [f"p{g // 2}_{i}" for i in range(rng.randrange(30))]
+            at = shared + [f"w{g}_{i}" for i in range(rng.randrange(1, 40))]
+            for _ in range(14):
+                at = list(at) if rng.random() < 0.6 else shared + [f"w{g}_{i}" for i in range(rng.randrange(1, 40))]
+                for _ in range(rng.randrange(3)):
+                    at[rng.randrange(len(at))] = f"x{rng.randrange(99)}"
+                texts.append(" ".join(at))
+        df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "", None, " ", "A b", "a B"])], "k long, t string")
+        sets = {}
+        for i, t in df.collect():
+            w = (t or "").lower().split()
+            if w and t not in [x for x, _ in sets.values()]:
+                sets[i] = (t, {tuple(w[j : j + 3]) for j in range(max(1, len(w) - 2))})
+        want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a][1] & sets[b][1]) >= percent * len(sets[a][1] | sets[b][1])}
+        some = {(r["a"], r["b"]) for r in reconcile.spanning_links(df, "k", "t", 3, percent).collect()}
+        assert some <= want and len(want) > 9
+
+        def groups(links, sets=sets):
+            low = {k: k for k in sets}
+            for _ in sets:
+                for a, b in links:
+                    low[a] = low[b] = min(low[a], low[b])
+            return low
+
+        assert groups(some) == groups(want)
+
+
 def test_canonical_and_report(spark):
     df = spark.createDataFrame([(1, "c", 2, "x"), (2, "c", 3, "x"), (3, "c", 3, "x"), (4, "d", 1, "x")], "k long, c string, n int, kind string")
     assert rows(reconcile.canonical(df, "c", "k", F.col("n")), "k") == [(2,), (4,)]
