@@ -39,7 +39,7 @@ def with_zoning(properties: DataFrame, zoning: DataFrame) -> DataFrame:
 def water_view(properties: DataFrame, waters: DataFrame, metres: float, max_lat: float = 60.0, flag: str | None = None) -> DataFrame:
     """Adds water_view and its basis: the source's own flag where there is one, else nearness to water, which is an
     assumption; null without a flag and a valid point."""
-    close = proximity.nearest(properties, waters, "property_id", "poi_id", metres, max_lat, bounded=True).select("property_id", F.col("distance_m").alias("__m"))
+    close = proximity.distance_to_nearest(properties, waters, "property_id", metres, max_lat).withColumnRenamed("distance_m", "__m")
     out = properties.join(close, "property_id", "left")
     said = F.col(flag).cast("boolean") if flag else F.lit(None).cast("boolean")
     seen = F.when(F.coalesce(valid_point(F.col("lat"), F.col("lon")), F.lit(False)), F.col("__m").isNotNull())
@@ -49,7 +49,7 @@ def water_view(properties: DataFrame, waters: DataFrame, metres: float, max_lat:
 
 def power_or_industrial(properties: DataFrame, permits: DataFrame, power: DataFrame, is_signal: Column, zones: tuple[str, ...], least: int, metres: float, max_lat: float = 60.0) -> DataFrame:
     """Properties near power infrastructure or with an industrial signal: two flags, then a disjunction, each with its basis."""
-    close = proximity.nearest(properties, power, "property_id", "poi_id", metres, max_lat, bounded=True).select("property_id", "distance_m")
+    close = proximity.distance_to_nearest(properties, power, "property_id", metres, max_lat)
     out = permit_operators.industrial_signal(properties, permits, is_signal, zones, least).join(close, "property_id", "left")
     near = F.when(F.col("distance_m").isNotNull(), F.concat(F.lit("power within "), F.floor("distance_m").cast("long").cast("string"), F.lit(" m")))
     return out.withColumn("basis", F.concat(F.array_compact(F.array(near)), "basis")).filter(F.size("basis") > 0)

@@ -42,6 +42,13 @@ def _celled(left: DataFrame, right: DataFrame, radius_m: float, max_lat: float)
     return a, b.withColumns({"__y": row(F.col("__lat")) + F.col("__dy"), "__x": F.col("__dx")}).drop("__dy", "__dx")
 
 
+def _pairs(left: DataFrame, right: DataFrame, radius_m: float, max_lat: float, on: tuple[str, ...] = ()) -> DataFrame:
+    """The pairs of ``within``."""
+    a, b = _celled(left, right, radius_m, max_lat)
+    pairs = a.join(b, ["__y", "__x", *on]).withColumn("distance_m", haversine_m(F.col("lat"), F.col("lon"), F.col("__lat"), F.col("__lon")))
+    return pairs.filter(F.col("distance_m") <= radius_m).drop("__y", "__x", "__lat", "__lon")
+
+
 def within(left: DataFrame, right: DataFrame, radius_m: float, max_lat: float = 60.0, on: tuple[str, ...] = ()) -> DataFrame:
     """All pairs of a row of ``left`` and one of ``right`` (lat, lon, more) at most ``radius_m`` apart that are equal in ``on``.
 
@@ -49,9 +56,7 @@ def within(left: DataFrame, right: DataFrame, radius_m: float, max_lat: float =
     adds distance_m.  Rows without a valid point, or with a null in ``on``, pair with nothing; points beyond ``max_lat`` raise
     no error but may be missed, so give the data's own bound.
     """
-    a, b = _celled(left, right, radius_m, max_lat)
-    pairs = a.join(b, ["__y", "__x", *on]).withColumn("distance_m", haversine_m(F.col("lat"), F.col("lon"), F.col("__lat"), F.col("__lon")))
-    return pairs.filter(F.col("distance_m") <= radius_m).drop("__y", "__x", "__lat", "__lon")
+    return _pairs(left, right, radius_m, max_lat, on)
 
 
 def near(left: DataFrame, right: DataFrame, key: str, radius_m: float, max_lat: float = 60.0) -> DataFrame:
@@ -63,6 +68,20 @@ def near(left: DataFrame, right: DataFrame, key: str, radius_m: float, max_lat:
     return a.join(b, (F.col("__y") == F.col("__by")) & (F.col("__x") == F.col("__bx")) & close, "left_semi").select(*(F.col(f"`{c}`") for c in left.columns))
 
 
+def _least(points: DataFrame, spots: DataFrame, radius_m: float, max_lat: float) -> DataFrame:
+    """(lat, lon, distance_m): how far the nearest spot within ``radius_m`` is.  Pairs go into a hash table of the points as
+    they are made and are not sorted, so a task's memory follows its points and spots, however dense they are."""
+    return within(points, spots.select("lat", "lon"), radius_m, max_lat).groupBy("lat", "lon").agg(F.min("distance_m").alias("distance_m"))
+
+
+def distance_to_nearest(left: DataFrame, right: DataFrame, key: str, radius_m: float, max_lat: float = 60.0) -> DataFrame:
+    """(key, distance_m): how far the nearest row of ``right`` is, for the rows of ``left`` that have one within ``radius_m``.
+    Distances are taken between distinct points."""
+    rows = left.select(key, "lat", "lon").filter(valid_point(F.col("lat"), F.col("lon")))
+    out = _least(rows.select("lat", "lon").distinct(), right.select("lat", "lon").distinct(), radius_m, max_lat)
+    return rows.join(out, ["lat", "lon"]).groupBy(key).agg(F.min("distance_m").alias("distance_m"))
+
+
 def nearest(left: DataFrame, right: DataFrame, key: str, right_key: str, radius_m: float, max_lat: float = 60.0, bounded: bool = False) -> DataFrame:
     """(key, right_key, distance_m): the nearest row of ``right``; of equally near ones the smallest right_key.
 
@@ -73,11 +92,17 @@ def nearest(left: DataFrame, right: DataFrame, key: str, right_key: str, radius_
     """
     spots = right.filter(valid_point(F.col("lat"), F.col("lon"))).groupBy("lat", "lon").agg(F.min(right_key).alias(right_key))
     rows = left.select(key, "lat", "lon").filter(valid_point(F.col("lat"), F.col("lon")))
-    best = lambda pairs: pairs.groupBy("lat", "lon").agg(F.min(F.struct("distance_m", right_key)).alias("m")).select("lat", "lon", f"m.{right_key}", "m.distance_m")
     found = F.when(F.col("distance_m").isNotNull(), F.struct("distance_m", right_key))
     of_rows = lambda out: rows.join(out, ["lat", "lon"]).groupBy(key).agg(F.min(found).alias("m")).select(key, f"m.{right_key}", "m.distance_m")
+
+    def best(points: DataFrame) -> DataFrame:
+        """The least distance first, then the smallest key of the few spots that are that near; the second pass may round otherwise."""
+        least = _least(points, spots, radius_m, max_lat).withColumnRenamed("distance_m", "__least")
+        few = _pairs(least, spots, radius_m, max_lat).filter(F.col("distance_m") <= F.col("__least") * (1 + 1e-9))
+        return few.groupBy("lat", "lon").agg(F.min(F.struct("distance_m", right_key)).alias("m")).select("lat", "lon", f"m.{right_key}", "m.distance_m")
+
     todo = rows.select("lat", "lon").distinct()
-    out = best(within(todo, spots, radius_m, max_lat))
+    out = best(todo)
     if bounded or spots.isEmpty():
         return of_rows(out)
     out = checkpointed(out)  # each ring starts from results, not from the rings before
@@ -88,4 +113,4 @@ def nearest(left: DataFrame, right: DataFrame, key: str, right_key: str, radius_
         if radius_m >= FARTHEST:
             return of_rows(out.unionByName(todo.select("lat", "lon", F.lit(None).cast(dict(spots.dtypes)[right_key]).alias(right_key), F.lit(None).cast("double").alias("distance_m"))))
         radius_m = min(2 * radius_m, FARTHEST)
-        out = out.unionByName(checkpointed(best(within(todo, spots, radius_m, max_lat))))
+        out = out.unionByName(checkpointed(best(todo)))

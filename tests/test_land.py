@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from acreflow import queries
 from acreflow.functions.columns import acres, haversine_m, normal_name, years_before
 from acreflow.functions.content_id import cid_of_digest
-from acreflow.operators import assemblages, ownership, permits, proximity, ranking, reconcile, runlog, score
+from acreflow.operators import assemblages, links, ownership, permits, proximity, ranking, reconcile, runlog, score
 from acreflow.operators.components import connected_components
 
 D = dt.date
@@ -146,6 +146,34 @@ def test_nearest_compares_points_not_rows(spark, monkeypatch):
     assert proximity.near(a, b, "a", 500.0).count() == 21
 
 
+def test_nearest_of_dense_points_equals_brute_force(spark):
+    left, right = [(41.0 + i * 1e-3, -90.0 + j * 1e-3) for i in range(8) for j in range(6)], [(41.0005 + i * 1e-3, -89.9995 + j * 1e-3) for i in range(7) for j in range(5)]
+    a = spark.createDataFrame([(i, *p) for i, p in enumerate([*left, (41.0, -91.0), (0.0, 0.0)])], "property_id long, lat double, lon double")
+    b = spark.createDataFrame([(str(900 - i), *p) for i, p in enumerate([*right, *right])], "poi_id string, lat double, lon double")
+    far = {i: {str(900 - len(right) - j): metres(p, q) for j, q in enumerate(right)} for i, p in enumerate(left)}
+    got = {r["property_id"]: r["distance_m"] for r in proximity.distance_to_nearest(a, b, "property_id", 2000.0).collect()}
+    assert got.keys() == far.keys() and all(abs(got[i] - min(m.values())) < 1e-6 for i, m in far.items())
+    for out in (proximity.nearest(a, b, "property_id", "poi_id", 2000.0, bounded=True), proximity.nearest(a.filter("property_id < 48"), b, "property_id", "poi_id", 60.0)):
+        found = {r["property_id"]: (r["poi_id"], r["distance_m"]) for r in out.collect()}
+        assert found.keys() == far.keys() and all(abs(m - got[i]) < 1e-6 and abs(far[i][k] - m) < 1e-6 for i, (k, m) in found.items())
+
+
+def test_nearness_to_power_and_water_sorts_no_pairs(spark):
+    """The least distance is kept as pairs are made, so no task gathers and sorts the pairs of dense points."""
+    p, b = parcels(spark, [(1, None, 1, "", 41.0, -90.0)]), spark.createDataFrame([(7, 41.001, -90.0)], "poi_id long, lat double, lon double")
+    issued = spark.createDataFrame([(1, "x", dt.date(2020, 1, 1))], "property_id long, permit_type string, issued_date date")
+    for out in (links.power_or_industrial(p, issued, b, F.col("permit_type") == "x", (), 1, 2000.0), links.water_view(p, b, 2000.0)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_nearest_of_equally_near_ones_is_the_smallest_key(spark):
+    a = spark.createDataFrame([(1, 41.0, 0.0)], "a long, lat double, lon double")
+    for kind, keys in (("long", (9, 5, 7)), ("string", ("9", "5", "7"))):
+        b = spark.createDataFrame([(k, 41.0, lon) for k, lon in zip(keys, (0.5, -0.5, 0.6), strict=True)], f"b {kind}, lat double, lon double")
+        assert rows(proximity.nearest(a, b, "a", "b", 90_000.0, bounded=True), "b") == rows(proximity.nearest(a, b, "a", "b", 9_000.0), "b") == [(keys[1],)]
+
+
 def test_within_by_a_further_key(spark):
     a = spark.createDataFrame([(1, "x", 41.0, -90.0), (2, "y", 41.0, -90.0), (3, None, 41.0, -90.0)], "a long, o string, lat double, lon double")
     b = spark.createDataFrame([(7, "x", 41.001, -90.0), (8, None, 41.001, -90.0), (9, "y", 44.0, -90.0)], "b long, o string, lat double, lon double")
